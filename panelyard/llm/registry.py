@@ -1,6 +1,11 @@
 """Queries of this subpackage by name, and their SQL where SQL can express them."""
 
-from . import quality
+from . import mixing, neardup, quality, secrets
 
-QUERIES = {"op9_quality_rules": quality.op9_quality_rules}
+QUERIES = {
+    "op3_near_duplicates": neardup.op3_near_duplicates,
+    "op6_secret_scans": secrets.op6_secret_scans,
+    "op9_quality_rules": quality.op9_quality_rules,
+    "op10_mix_sources": mixing.op10_mix_sources,
+}
 ORACLES = {"op9_quality_rules": quality.ORACLE}

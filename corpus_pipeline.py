@@ -1,19 +1,49 @@
-"""A training-data pipeline over `documents`: each stage gets what its predecessor kept."""
+"""A training-data pipeline over `documents`: each stage gets what its predecessor kept.
+
+Rejected and repeated documents go, secrets are replaced in the texts, the rows are put in the order of the
+mix, and the last stage returns what the encoder made of each text. All but the last keep the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelyard.llm import quality
+from panelyard.llm import mixing, neardup, pieces, quality, secrets
 from panelyard.llm.common import table, written
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality rules; documents that they reject go."""
+    """Quality rules: documents that they reject go."""
     return quality.keep_good(docs)
 
 
-STAGES = [("quality_rules", drop_poor)]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """MinHash near-dedup: one document of each group stays."""
+    return neardup.keep_one(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret scans: what they find is replaced, n_chars follows."""
+    return secrets.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing sources to target weights: all rows, in files ordered by the mix."""
+    return mixing.in_mixed_order(docs)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece: pieces of each text and whether they decode to it."""
+    return pieces.encoded_and_back(docs)
+
+
+STAGES = [
+    ("quality_rules", drop_poor),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("secret_scans", redact_secrets),
+    ("mixing_sources", mix_sources),
+    ("sentencepiece", encode_pieces),
+]
 #: SQL can't express the near-duplicate, secret and SentencePiece stages; tests hold them against brute force.
 ORACLE_SQL = None
 

@@ -1,8 +1,10 @@
 """Queries of this subpackage by name, and their SQL where SQL can express them."""
 
-from . import mixing, neardup, quality, secrets
+from . import mixing, neardup, pieces, quality, secrets, tokenfile
 
 QUERIES = {
+    "op1_token_files": tokenfile.op1_token_files,
+    "op2_sentencepiece": pieces.op2_sentencepiece,
     "op3_near_duplicates": neardup.op3_near_duplicates,
     "op6_secret_scans": secrets.op6_secret_scans,
     "op9_quality_rules": quality.op9_quality_rules,

@@ -6,9 +6,11 @@ of these sets is at least 0.8. The bands propose pairs (a pair at 0.8 is missed
 of 3e-5, less above), the sets themselves decide. Documents with equal sets are one
 representative with members, so copies are never expanded into pairs.
 
-Inside a band's bucket each representative is compared with the bucket's smallest one. Buckets
-whose members are still in different components after that are compared across the components,
-so no link that a bucket proposes is lost and yet a bucket of n copies costs about n comparisons.
+Inside a band's bucket each representative is compared with the bucket's smallest one. In buckets
+whose members are still in different components after that, all members outside the largest component are
+compared with all members, in blocks of bounded size that give back a spanning forest of their
+links. So no link that a bucket proposes is lost, no pairs are emitted, and a bucket of n close
+copies costs about n comparisons.
 
 Defined cases: null, empty and blank texts have no windows and are classes of their own, as are
 rows with a null id and no copy (class null, kept). Repeated rows are copies. Extra columns are not read.
@@ -29,6 +31,8 @@ from .common import U64, components, hashed_words, mix, passes, table, windows,
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
+#: Most members on a side of a block of comparisons, and most cells that they hold.
+BLOCK, BLOCK_CELLS = 512, 2_000_000
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
@@ -124,6 +128,84 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select(["a", "b"]).filter(good)
 
 
+def common_cells(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], na: int, nb: int) -> np.ndarray:
+    """na x nb counts of cells that texts of two lists of (cell, text number) share.
+
+    Cells that many texts on both sides hold are columns of two matrices, multiplied in slices; the rest are counted one by one.
+    """
+    both = np.intersect1d(a[0], b[0])
+    out = np.zeros(na * nb, np.int64)
+    if not len(both):
+        return out.reshape(na, nb)
+    sides = []
+    for cell, doc in (a, b):
+        at = np.minimum(np.searchsorted(both, cell), len(both) - 1)
+        hit = both[at] == cell
+        order = np.argsort(at[hit], kind="stable")
+        sides.append((at[hit][order], doc[hit][order]))
+    (ka, da), (kb, db) = sides
+    fa, fb = np.bincount(ka, minlength=len(both)), np.bincount(kb, minlength=len(both))
+    often = np.flatnonzero(fa * fb >= 256)
+    slot = np.full(len(both), -1)
+    slot[often] = np.arange(len(often))
+    for first in range(0, len(often), 4096):
+        matrices = []
+        for k, d, n in ((ka, da, na), (kb, db, nb)):
+            s = slot[k]
+            pick = (s >= first) & (s < first + 4096)
+            m = np.zeros((n, min(4096, len(often) - first)), np.float32)
+            m[d[pick], s[pick] - first] = 1
+            matrices.append(m)
+        out += (matrices[0] @ matrices[1].T).astype(np.int64).reshape(-1)
+    rare = slot[kb] < 0
+    kb, db = kb[rare], db[rare]
+    begin = np.cumsum(fa) - fa
+    reps = fa[kb]
+    within = np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
+    rows = da[np.repeat(begin[kb], reps) + within]
+    out += np.bincount(rows * nb + np.repeat(db, reps), minlength=na * nb)
+    return out.reshape(na, nb)
+
+
+def _block_links(t: pa.Table) -> pa.Table:
+    """Links of a block's outer members with its others: for each member with one, the first that it is linked with, and those of the first."""
+    outer = t["outer"].to_numpy()
+    a, b = t.filter(pa.array(outer)), t.filter(pa.array(~outer))
+    links: set[tuple[int, int]] = set()
+    if len(a) and len(b):
+        cells = [_all_cells(x["text"].combine_chunks()) for x in (a, b)]
+        wa, wb = (np.bincount(c[1], minlength=len(x)) for c, x in zip(cells, (a, b)))
+        common = common_cells(*cells, len(a), len(b))
+        near = common / np.maximum(wa[:, None] + wb[None, :] - common, 1) >= SIMILARITY
+        ia, ib = a["x"].to_numpy(), b["x"].to_numpy()
+        near &= ia[:, None] != ib[None, :]
+        links = _forest_links(ia, ib, near)
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+
+def _all_cells(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    found = [(weighted_cells(texts.slice(i, j - i)), i) for i, j in passes(texts)]
+    return np.concatenate([c[0] for c, _ in found]), np.concatenate([c[1] + i for c, i in found])
+
+
+def _forest_links(ia: np.ndarray, ib: np.ndarray, near: np.ndarray) -> set[tuple[int, int]]:
+    """Pairs that keep the components of a link matrix, fewer than its nodes."""
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = set()
+    for r, c in zip(*(v.tolist() for v in np.nonzero(near))):
+        x, y = top(int(ia[r])), top(int(ib[c]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.add((int(ia[r]), int(ib[c])))
+    return out
+
+
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of pairs (a, b) whose texts are similar enough."""
     withed = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
@@ -149,16 +231,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # what the stars leave open: members of a bucket in different components
     named_roots = members.join(roots.withColumnRenamed("node", "x"), "x", "left").select("band", "x", "weight", "low", F.coalesce("root", "x").alias("root"))
     named_roots = written(named_roots, "rooted")
-    open_ = named_roots.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 <> r1 AND n > 2").select("band")
-    left = named_roots.join(open_, "band", "left_semi")
-    near = F.expr(f"least(l.weight, r.weight) >= {SIMILARITY} * greatest(l.weight, r.weight)")
-    across = (
-        left.alias("l").join(left.alias("r"), (F.col("l.band") == F.col("r.band")) & (F.col("l.x") < F.col("r.x")) & (F.col("l.root") != F.col("r.root")) & near & (F.col("l.x") != F.col("l.low")))
-        .select(F.col("l.x").alias("a"), F.col("r.x").alias("b")).distinct()
-    )
-    across = written(across, "across")
-    if not across.isEmpty():
-        roots = written(components(written(links.union(_links(across, texts)), "links")), "roots")
+    tally = named_roots.groupBy("band", "root").agg(F.count("*").alias("k"), F.max("weight").alias("heaviest"))
+    open_ = tally.groupBy("band").agg(F.max(F.struct("k", "root")).alias("main"), F.sum("k").alias("n"), F.count("*").alias("parts"), F.max("heaviest").alias("heaviest")).where("parts > 1 AND n > 2")
+    side = F.expr(f"greatest(8, least({BLOCK}, {BLOCK_CELLS} div heaviest))")
+    open_ = open_.select("band", F.col("main.root").alias("main"), F.ceil((F.col("n") - F.col("main.k")) / side).alias("nb"), F.ceil(F.col("n") / side).alias("vb"))
+    left = named_roots.join(open_, "band").withColumn("h", F.xxhash64("x", F.lit(3)))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    outer = left.where("root <> main").select("band", F.pmod("h", "nb").alias("i"), every("vb").alias("j"), F.lit(True).alias("outer"), "x")
+    inner = left.select("band", every("nb").alias("i"), F.pmod("h", "vb").alias("j"), F.lit(False).alias("outer"), "x")
+    dealt = written(outer.unionByName(inner), "dealt")
+    if not dealt.isEmpty():
+        blocks = dealt.join(texts.toDF("x", "text"), "x").groupBy("band", "i", "j").applyInArrow(_block_links, "a bigint, b bigint")
+        roots = written(components(written(links.union(blocks), "links")), "roots")
     classes = reps.select("key", F.col("doc_id").alias("node"), "copies").join(roots, "node", "left").select("key", "copies", F.coalesce("root", "node").alias("class_id"))
     return (
         signed.select("doc_id", "key").join(classes, "key", "left")

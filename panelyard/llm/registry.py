@@ -1,13 +1,14 @@
 """Queries of this subpackage by name, and their SQL where SQL can express them."""
 
-from . import mixing, neardup, pieces, quality, secrets, tokenfile
+from . import mixing, neardup, pieces, quality, secrets, tokenfile, vectors
 
 QUERIES = {
     "op1_token_files": tokenfile.op1_token_files,
     "op2_sentencepiece": pieces.op2_sentencepiece,
     "op3_near_duplicates": neardup.op3_near_duplicates,
+    "op4_near_vectors": vectors.op4_near_vectors,
     "op6_secret_scans": secrets.op6_secret_scans,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_mix_sources": mixing.op10_mix_sources,
 }
-ORACLES = {"op9_quality_rules": quality.ORACLE}
+ORACLES = {"op4_near_vectors": vectors.ORACLE, "op9_quality_rules": quality.ORACLE}

@@ -24,6 +24,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +39,8 @@ from .common import shared_dir, table, written
 END_ID = 2
 SKIP_INDEX, SKIP_SEEK, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FILE_CHARS = 1 << 25
-#: Chunks that a task remembers; the memory is emptied when full.
-CACHE = 400_000
+#: Chunks that a worker remembers; the memory is emptied when full.
+CACHE = 600_000
 #: White space that may join pre-tokens: such a text is encoded as a whole.
 _JOINED = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
 
@@ -50,40 +51,84 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: A chunk of a line end or space, letters (of blocks that hold only letters) and ASCII signs other than apostrophes: the pre-tokenizer cuts it before the signs.
+_SIMPLE = re.compile(r"(\n?)( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The characters that byte-level vocabularies write bytes as: printable ones stay, the others follow from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library. A text whose white space is single spaces and line ends falls
-    into chunks that the byte-level pre-tokenizer never joins; equal chunks are encoded once per task."""
+    into chunks that the byte-level pre-tokenizer never joins; a worker remembers chunks from one task to the next."""
+
+    _made: dict[tuple[str, int], Encoder] = {}
+
+    @classmethod
+    def of(cls, path: str, end_id: int = END_ID) -> Encoder:
+        """This worker's encoder."""
+        if (path, end_id) not in cls._made:
+            cls._made[path, end_id] = cls(path, end_id)
+        return cls._made[path, end_id]
 
     def __init__(self, path: str, end_id: int = END_ID):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        if not isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) or self.tokenizer.normalizer is not None:
+            raise ValueError(f"{path} is no plain byte-level tokenizer")
         self.width = 2 if max(self.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else 4
-        self.type = f"<u{self.width}"
-        self.end = np.array([end_id], self.type).tobytes()
+        self.type = "H" if self.width == 2 else "I"
+        self.end = array(self.type, [end_id]).tobytes()
         self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        self.letters = _byte_letters()
+        self.model = self.tokenizer.model
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [array(self.type, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one pre-token; the library's model alone, without its pre-tokenizer."""
+        return array(self.type, [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]).tobytes()
+
+    def _learn(self, chunks: set[str]) -> None:
+        """A chunk stands for a space and itself; one with a line end or a "\r" (the first of a text, which stays off) has no space before it."""
+        known, odd = self.known, []
+        for chunk in chunks:
+            text = chunk[1:] if chunk[0] == "\r" else chunk if chunk[0] == "\n" else " " + chunk
+            if m := _SIMPLE.fullmatch(text):
+                line, word, signs = m.groups()
+                key = word[1:] if word[0] == " " else "\r" + word
+                if (ids := known.get(key)) is None:
+                    ids = known[key] = self._word(word)
+                for at, part in ((0, line), (1, signs)):
+                    if part:
+                        if (more := known.get("\v" + part)) is None:
+                            more = known["\v" + part] = self._word(part)
+                        ids = ids + more if at else more + ids
+                known[chunk] = ids
+            else:
+                odd.append((chunk, text))
+        known.update(zip([c for c, _ in odd], self._whole([t for _, t in odd])))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids and the end id, as bytes."""
         texts = [t or "" for t in texts]
         whole = [i for i, t in enumerate(texts) if t == "" or _JOINED.search(t)]
         skip = set(whole)
-        # a chunk is a word; the first of a text is marked, as it has no space before it
         parts = [None if i in skip else ("\r" + t).replace("\n", " \n").split(" ") for i, t in enumerate(texts)]
-        new = {p for x in parts if x for p in x} - self.known.keys()
-        if len(self.known) + len(new) > CACHE:
+        if len(self.known) > CACHE:
             self.known.clear()
-            new = {p for x in parts if x for p in x}
-        keys = list(new)
-        self.known.update(zip(keys, self._ids([k[1:] if k[0] == "\r" else k if k[0] == "\n" else " " + k for k in keys])))
+        self._learn({p for x in parts if x for p in x} - self.known.keys())
         get = self.known.__getitem__
         out = [b"" if x is None else b"".join(map(get, x)) + self.end for x in parts]
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
+        for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
             out[i] = ids + self.end
         return out
 
@@ -99,7 +144,7 @@ def frames(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID)
         import xxhash
         import zstandard
 
-        encoder = Encoder(path, end_id)
+        encoder = Encoder.of(path, end_id)
         zstd = zstandard.ZstdCompressor(level=3, write_checksum=True)
         for b in batches:
             for first in range(0, b.num_rows, 512):

@@ -45,7 +45,8 @@ def within_radius(points: DataFrame, centers: DataFrame, radius: float, by: str
     cell = [F.floor(F.col(a) / radius).alias(f"g{a}") for a in AXES]
     around = centers.select(F.col(by), *[F.col(a).alias(f"o{a}") for a in AXES])
     for a in AXES:
-        around = around.withColumn(f"g{a}", F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d, a=a: F.floor(F.col(f"o{a}") / radius) + d)))
+        own = F.floor(F.col(f"o{a}") / radius)
+        around = around.withColumn(f"g{a}", F.explode(F.array(own - 1, own, own + 1)))
     near = sum(((F.col(a) - F.col(f"o{a}")) ** 2 for a in AXES), F.lit(0.0)) <= radius * radius
     p, c = points.select("*", *cell).alias("p"), around.alias("c")
     keys = (F.col(f"p.{by}") == F.col(f"c.{by}")) & (F.col("p.gx") == F.col("c.gx")) & (F.col("p.gy") == F.col("c.gy")) & (F.col("p.gz") == F.col("c.gz"))

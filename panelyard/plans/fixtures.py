@@ -55,9 +55,9 @@ SELECT id, grp, fold, y, p FROM (SELECT r.id, r.grp, r.y, r.year, r.x, {bucket('
     "fx_library": f"""
 SELECT doc_id, CASE WHEN length(trim(text)) < 40 THEN NULL ELSE lower(regexp_replace(trim(text), '\\\\s+', ' ', 'g')) END AS key, n_chars AS size, doc_id AS pos, {bucket('doc_id')} AS h FROM {{documents}}""",
     "fx_candidates": f"""
-SELECT p_partkey AS id, p_name AS name, p_brand AS grp, 4 + (p_retailprice % 400) / 80 AS prediction, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE (p_size - 25) / 10.0 END AS delta,
-  200 + p_size * 8.0 AS mw, (p_size % 9) - 2.0 AS logp, p_size % 7 AS hbd, p_size % 13 AS hba, p_size * 3.0 AS tpsa, p_size % 12 AS rotb, p_type LIKE 'PROMO%' AS alert,
-  ({bucket('p_partkey', 5)} % 1001) / 1000.0 AS sim, concat('C', p_partkey % 40) AS closest FROM {{part}}""",
+SELECT p_partkey AS id, p_name AS name, p_brand AS grp, CAST(4 + ((p_retailprice * 7) % 400) / 80 AS DOUBLE) AS prediction, CAST(CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE (p_size - 25) / 10.0 END AS DOUBLE) AS delta,
+  CAST(200 + p_size * 8.0 AS DOUBLE) AS mw, CAST((p_size % 9) - 2.0 AS DOUBLE) AS logp, p_size % 7 AS hbd, p_size % 13 AS hba, CAST(p_size * 3.0 AS DOUBLE) AS tpsa, p_size % 12 AS rotb, p_type LIKE 'PROMO%' AS alert,
+  CAST(({bucket('p_partkey', 5)} % 1001) / 1000.0 AS DOUBLE) AS sim, concat('C', p_partkey % 40) AS closest FROM {{part}}""",
     "fx_points": (
         "SELECT vec_id, concat('E', label) AS entry, vec_id % 6 AS grp, CAST(embedding[0] AS DOUBLE) * 40 AS x, CAST(embedding[1] AS DOUBLE) * 40 AS y, CAST(embedding[2] AS DOUBLE) * 40 AS z FROM {embeddings}",
         "SELECT vec_id, concat('E', label) AS entry, vec_id % 6 AS grp, CAST(embedding[1] AS DOUBLE) * 40 AS x, CAST(embedding[2] AS DOUBLE) * 40 AS y, CAST(embedding[3] AS DOUBLE) * 40 AS z FROM {embeddings}",

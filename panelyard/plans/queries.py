@@ -34,7 +34,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(f: Query) -> Query:
         QUERIES[name] = f
         if sql:
-            ORACLES[name] = oracle(sql)
+            ORACLES[name] = oracle(sql).replace("\0", "{").replace("\1", "}")
         return f
 
     return add

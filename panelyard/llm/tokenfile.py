@@ -39,10 +39,9 @@ from .common import shared_dir, table, written
 END_ID = 2
 SKIP_INDEX, SKIP_SEEK, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 FILE_CHARS = 1 << 25
-#: Chunks that a worker remembers; the memory is emptied when full.
+#: Chunks that a worker remembers, in two halves; the older half goes when the newer is full.
 CACHE = 600_000
-#: White space that may join pre-tokens: such a text is encoded as a whole.
-_JOINED = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
+_SPACE = re.compile(r"\s")
 
 
 def default_tokenizer() -> str:
@@ -86,7 +85,8 @@ class Encoder:
         self.width = 2 if max(self.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else 4
         self.type = "H" if self.width == 2 else "I"
         self.end = array(self.type, [end_id]).tobytes()
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
         self.letters = _byte_letters()
         self.model = self.tokenizer.model
 
@@ -98,37 +98,47 @@ class Encoder:
         return array(self.type, [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]).tobytes()
 
     def _learn(self, chunks: set[str]) -> None:
-        """A chunk stands for a space and itself; one with a line end or a "\r" (the first of a text, which stays off) has no space before it."""
-        known, odd = self.known, []
+        """A chunk stands for a space and itself; one that starts with a line end, or with the mark of a text's first chunk (a space, left off), has no
+        space before it. None: the chunk's white space may join its neighbour's, so its text is encoded as a whole."""
+        known, old, odd = self.known, self.old, []
         for chunk in chunks:
-            text = chunk[1:] if chunk[0] == "\r" else chunk if chunk[0] == "\n" else " " + chunk
+            if chunk in old:
+                known[chunk] = old[chunk]
+                continue
+            text = chunk[1:] if chunk[:1] == " " else chunk if chunk[:1] == "\n" else " " + chunk
             if m := _SIMPLE.fullmatch(text):
                 line, word, signs = m.groups()
-                key = word[1:] if word[0] == " " else "\r" + word
-                if (ids := known.get(key)) is None:
+                key = word[1:] if word[0] == " " else " " + word
+                if (ids := known.get(key) or old.get(key)) is None:
                     ids = known[key] = self._word(word)
                 for at, part in ((0, line), (1, signs)):
                     if part:
-                        if (more := known.get("\v" + part)) is None:
-                            more = known["\v" + part] = self._word(part)
+                        if (more := known.get("  " + part)) is None:
+                            more = known["  " + part] = self._word(part)
                         ids = ids + more if at else more + ids
                 known[chunk] = ids
+            elif text in ("", " ", "\n") or _SPACE.search(text[1:] if text[0] in " \n" else text):
+                known[chunk] = None
             else:
                 odd.append((chunk, text))
         known.update(zip([c for c, _ in odd], self._whole([t for _, t in odd])))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids and the end id, as bytes."""
-        texts = [t or "" for t in texts]
-        whole = [i for i, t in enumerate(texts) if t == "" or _JOINED.search(t)]
-        skip = set(whole)
-        parts = [None if i in skip else ("\r" + t).replace("\n", " \n").split(" ") for i, t in enumerate(texts)]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        self._learn({p for x in parts if x for p in x} - self.known.keys())
-        get = self.known.__getitem__
-        out = [b"" if x is None else b"".join(map(get, x)) + self.end for x in parts]
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
+        parts = [(" " + (t or "")).replace("\n", " \n").split(" ")[1:] for t in texts]
+        for x in parts:
+            x[0] = " " + x[0]
+        if len(self.known) > CACHE // 2:  # chunks that are met again move on to the new half
+            self.old, self.known = self.known, {}
+        self._learn({p for x in parts for p in x} - self.known.keys())
+        get, out, whole = self.known.__getitem__, [], []
+        for i, x in enumerate(parts):
+            try:
+                out.append(b"".join(map(get, x)) + self.end)
+            except TypeError:  # a None
+                out.append(b"")
+                whole.append(i)
+        for i, ids in zip(whole, self._whole([texts[i] or "" for i in whole])):
             out[i] = ids + self.end
         return out
 

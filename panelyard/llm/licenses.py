@@ -160,7 +160,10 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs
             notices.append((k, np.unique(pairs[pairs != 0])))
             cues.append(notices[-1][1])
     cue = np.unique(np.concatenate(cues))
-    drawn = docs.where(F.col(text).isNotNull()).select(F.xxhash64(F.col(doc_id)).alias("h"), F.slice(F.split(text, "\n"), 1, 200).alias("lines")).orderBy("h").limit(sample_docs).collect()
+    # the hashes' cut first, from ids alone: a task sends sample_docs numbers, and only the chosen texts come to the driver
+    hashed = docs.where(F.col(text).isNotNull()).select(F.xxhash64(F.col(doc_id)).alias("h"), F.col(text).alias("t"))
+    cut = hashed.select("h").orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
+    drawn = hashed.where(F.col("h") <= cut).limit(sample_docs).select(F.slice(F.split("t", "\n"), 1, 200).alias("lines")).collect() if cut is not None else []
     lines = [x for r in drawn for x in r["lines"] if x.strip()]
     words, pairs, ends = line_grams(pa.array(lines, pa.string()))
     hits = np.concatenate([[0], np.cumsum(np.isin(pairs, cue))])

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from .common import table
 
@@ -126,8 +127,9 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs that pass, with the columns of docs; the projection runs on the same row, no join."""
     names = docs.columns
     packed = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), docs["text"].alias("text"))
-    judged = quality_rules(packed, doc_id="row")
-    return judged.where("kept").select(*[F.col("doc_id").getField(c).alias(c) for c in names])
+    # an array of one row or none: a filter would be pushed below the counts, and be computed anew for each use of a word
+    kept = quality_rules(packed, doc_id="row").select(F.explode(F.when(F.col("kept"), F.array("doc_id")).otherwise(F.array().cast(ArrayType(packed.schema["row"].dataType)))).alias("row"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in names])
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

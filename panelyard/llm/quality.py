@@ -113,8 +113,8 @@ def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
 
 
 def failed_rules(rules: tuple[Rule, ...] = RULES) -> Column:
-    """Names of the rules that the row breaks."""
-    return F.array_compact(F.array(*(F.when(~verdict((r,)), F.lit(r.name)) for r in rules)))
+    """Names of the rules that the row breaks, comma-joined."""
+    return F.concat_ws(",", *(F.when(~verdict((r,)), F.lit(r.name)) for r in rules))
 
 
 def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -152,5 +152,5 @@ m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::
 b AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
   {', '.join(f"NOT ({' AND '.join([f'{r.measure} >= {r.low}'] * (r.low is not None) + [f'{r.measure} <= {r.high}'] * (r.high is not None))}) AS f{k}" for k, r in enumerate(RULES))} FROM m)
 SELECT * EXCLUDE ({', '.join(f'f{k}' for k in range(len(RULES)))}), NOT base_failed AND {' AND '.join(f'NOT f{k}' for k in range(len(RULES)))} AS kept,
-  list_filter([{', '.join(f"CASE WHEN f{k} THEN '{r.name}' END" for k, r in enumerate(RULES))}], lambda x: x IS NOT NULL) AS failed FROM b
+  concat_ws(',', {', '.join(f"CASE WHEN f{k} THEN '{r.name}' END" for k, r in enumerate(RULES))}) AS failed FROM b
 """

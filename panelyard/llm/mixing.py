@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import table, written
+from .common import fresh, table, written
 
 BLOCK = 16
 FRAME = 1000
@@ -117,9 +117,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, doc_id: str =
 def in_mixed_order(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """All rows of docs, in files and rows ordered by their place in the mix; the columns of docs."""
     names = docs.columns
-    place = written(mix(docs, weights).groupBy("doc_id").agg(F.min("position").alias("_place")), "places").withColumnRenamed("doc_id", "_id")
-    both = docs.join(place, docs["doc_id"].eqNullSafe(F.col("_id")), "left")
-    return both.repartitionByRange(F.col("_place").asc_nulls_last()).sortWithinPartitions(F.col("_place").asc_nulls_last()).select(*[docs[c] for c in names])
+    key, at = fresh(names, "_id", "_place")
+    place = written(mix(docs, weights).groupBy("doc_id").agg(F.min("position").alias(at)), "places").withColumnRenamed("doc_id", key)
+    both = docs.join(place, docs["doc_id"].eqNullSafe(place[key]), "left")
+    return both.repartitionByRange(F.col(at).asc_nulls_last()).sortWithinPartitions(F.col(at).asc_nulls_last()).select(*[docs[c] for c in names])
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -254,6 +254,22 @@ def test_passages_found_whole(spark):
     assert got[11]["rep"] == 10 and got[1]["partners"] == [0]
 
 
+@pytest.mark.parametrize("identity, least", [(0.9, 0.97), (0.85, 0.95), (0.8, 0.9)])
+def test_fuzzy_passages_with_spread_edits(spark, identity, least):
+    rng = random.Random(17)
+    rnd = lambda n: [rng.choice(WORDS) for _ in range(n)]
+    texts, n, words = [], 100, 70
+    for _ in range(n):
+        p = rnd(words)
+        q = list(p)
+        edits = int(words * (1 - identity) + 1e-9)
+        for i in range(edits):
+            q[int((i + 0.5) * words / edits)] = "changed"
+        texts += [rnd(60) + p + rnd(40), rnd(20) + q + rnd(70)]
+    got = {r["doc_id"]: r for r in passages.repeated_passages(docs_of(spark, [" ".join(t) for t in texts])).collect()}
+    assert sum(got[2 * i + 1]["partners"] == [2 * i] for i in range(n)) >= least * n
+
+
 def test_chains_match_quadratic_program():
     rng = random.Random(7)
     for _ in range(40):

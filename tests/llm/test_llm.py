@@ -254,6 +254,16 @@ def test_passages_found_whole(spark):
     assert got[11]["rep"] == 10 and got[1]["partners"] == [0]
 
 
+def test_passage_of_fragments_that_others_hold_first(spark):
+    rng = random.Random(16)
+    rnd = lambda n: [rng.choice(WORDS) for _ in range(n)]
+    for n in (120, 88):
+        p = rnd(n)
+        texts = [rnd(30) + p[i : i + n // 4] + rnd(30) for i in range(0, n, n // 4)] + [rnd(20) + p + rnd(40), rnd(50) + p]
+        got = {r["doc_id"]: r for r in passages.repeated_passages(docs_of(spark, [" ".join(t) for t in texts])).collect()}
+        assert {i for i, r in got.items() if r["n_passages"]} == {4, 5} and got[4]["spans"] == f"20:{20 + n}" and got[5]["partners"] == [4]
+
+
 @pytest.mark.parametrize("identity, least", [(0.9, 0.97), (0.85, 0.95), (0.8, 0.9)])
 def test_fuzzy_passages_with_spread_edits(spark, identity, least):
     rng = random.Random(17)

@@ -13,7 +13,7 @@ links. So no link that a bucket proposes is lost, no pairs are emitted, and a bu
 copies costs about n comparisons.
 
 Defined cases: null, empty and blank texts have no windows and are classes of their own, as are
-rows with a null id and no copy (class null, kept). Repeated rows are copies. Extra columns are not read.
+rows with a null id and no copy that has one (class null, kept). Repeated rows are copies. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -214,10 +214,15 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, class_id (smallest id of its component), copies (rows with the same windows), kept."""
+    return _classed(docs, doc_id, text)[0]
+
+
+def _classed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(near_duplicates, representatives by key; one with a null id has no copy with an id)."""
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     signed = written(docs.mapInArrow(_signed, "doc_id bigint, key binary, weight bigint, bands array<bigint>"), "signed")
     reps = written(
-        signed.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "weight", "bands")).alias("r"), F.count("*").alias("copies")).select("key", "r.doc_id", "r.weight", "r.bands", "copies"),
+        signed.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "weight", "bands")).alias("r"), F.count("*").alias("copies")).select("key", "r.doc_id", "r.weight", "r.bands", "copies"),
         "reps",
     )
     named = reps.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("x"), "weight", F.explode("bands").alias("band"))
@@ -244,17 +249,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         blocks = dealt.join(texts.toDF("x", "text"), "x").groupBy("band", "i", "j").applyInArrow(_block_links, "a bigint, b bigint")
         roots = written(components(written(links.union(blocks), "links")), "roots")
     classes = reps.select("key", F.col("doc_id").alias("node"), "copies").join(roots, "node", "left").select("key", "copies", F.coalesce("root", "node").alias("class_id"))
-    return (
+    out = (
         signed.select("doc_id", "key").join(classes, "key", "left")
         .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id").isNull()))
     )
+    return out, reps
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs without all but one row of each class. Rows with a null id stay unless they copy a row with an id."""
-    gone = near_duplicates(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    found, reps = _classed(docs)
+    gone = found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    # rows with a null id go by their texts' hashes
+    unnamed = docs.where("doc_id IS NULL").select(F.xxhash64("text").alias("doc_id"), "text").mapInArrow(_signed, "doc_id bigint, key binary, weight bigint, bands array<bigint>")
+    copied = unnamed.join(reps.where("doc_id IS NOT NULL").select("key"), "key", "left_semi").select(F.col("doc_id").alias("h")).distinct()
+    left = docs.join(gone, "doc_id", "left_anti")
+    left = left.join(copied, left["doc_id"].isNull() & (F.xxhash64(left["text"]) == copied["h"]), "left_anti")
+    return left.select(docs.columns).dropDuplicates(["doc_id", "text"])
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

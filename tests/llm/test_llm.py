@@ -180,6 +180,17 @@ def test_keep_one(spark):
     assert got.columns == df.columns and sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got.collect()) == [(False, 0), (False, 2), (False, 3), (True, 0)]
 
 
+def test_null_id_among_copies(spark):
+    base = WORDS[:60]
+    texts = [" ".join(base)] * 3 + [" ".join([*base[:-1], "other"]), "z y x w v u"]
+    df = docs_of(spark, texts)
+    unnamed = [(None, texts[0], "en", "s", 5), (None, " ".join(base).upper(), "en", "s", 5), (None, "alone here", "en", "s", 5), (None, None, "en", "s", 5)]
+    df = df.union(spark.createDataFrame(unnamed, df.schema))
+    got = neardup.near_duplicates(df).collect()
+    assert {(r["doc_id"], r["class_id"], r["kept"]) for r in got} == {(0, 0, True), (1, 0, False), (2, 0, False), (3, 0, False), (4, 4, True), (None, 0, False), (None, None, True)} and len(got) == 9
+    assert sorted((r["doc_id"] is None, r["text"] or "") for r in neardup.keep_one(df).collect()) == [(False, texts[0]), (False, texts[4]), (True, ""), (True, "alone here")]
+
+
 def test_dart_signature_agreement_estimates_similarity():
     a, b = " ".join(WORDS[:400]), " ".join(WORDS[100:500])
     cells, doc = neardup.weighted_cells(pa.array([a, b]))

@@ -7,8 +7,8 @@ with the smallest id hashes; the documented bound of the fit). A third of the va
 probabilities. A paragraph is of a family if the calibrated probability is at least CONFIDENCE and a notice
 of the family confirms it: a share of at least OVERLAP of the two-word n-grams of the shorter one.
 
-Nothing can be confirmed without CUES n-grams of some notice, so paragraphs with fewer are `unknown` without being scored; this
-changes no result. All lines of all whole texts are scanned.
+Nothing can be confirmed without a two-word n-gram of some notice (CUES), so paragraphs with none are `unknown` without being scored; this
+changes no result. A title line such as `MIT License` has just one. All lines of all whole texts are scanned.
 
 Defined cases: null, empty and blank texts have no paragraphs. Repeated rows give equal rows. Extra columns are not read. If the
 documents give no lines, the fixed sentences alone are the unknown class.
@@ -34,7 +34,9 @@ DIMENSIONS = 1 << 14
 SAMPLE_DOCS = 400
 CONFIDENCE = 0.6
 OVERLAP = 0.6
-CUES = 2
+CUES = 1
+#: Lines with so many are no examples of the unknown class.
+NOTICE_CUES = 2
 UNKNOWN = "unknown"
 
 # Notices of licence families, in the wording that their publishers give or that files commonly carry.
@@ -167,7 +169,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs
     lines = [x for r in drawn for x in r["lines"] if x.strip()]
     words, pairs, ends = line_grams(pa.array(lines, pa.string()))
     hits = np.concatenate([[0], np.cumsum(np.isin(pairs, cue))])
-    negatives = [x for x, a, b in zip(lines, np.concatenate([[0], ends[:-1]]), ends) if hits[b] - hits[a] < CUES] if lines else []
+    negatives = [x for x, a, b in zip(lines, np.concatenate([[0], ends[:-1]]), ends) if hits[b] - hits[a] < NOTICE_CUES] if lines else []
     examples = [(v, k, i % 3 == 2) for k, name in enumerate(NOTICES) for s in NOTICES[name] for i, v in enumerate(_variants(s, rng, 23))]
     examples += [(v, len(NOTICES), i % 3 == 2) for s in PLAIN for i, v in enumerate(_variants(s, rng, 11))]
     examples += [(v, len(NOTICES), i % 3 == 2) for i, v in enumerate(negatives[:2000])]

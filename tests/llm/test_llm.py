@@ -360,6 +360,12 @@ def test_licenses_held_out(spark, sf):
     assert all(not x for _, x in licenses.scan_lines(model, pa.array(plain)))
 
 
+def test_license_title_lines(spark, sf):
+    model = licenses.fit(spark.read.parquet(f"{sf}/documents.parquet"))
+    found = licenses.scan_lines(model, pa.array(["MIT License\n\nsome words", "ISC License", "of the\nthe software\nthe terms\nyou may\nunder the\nMIT\nISC"]))
+    assert [[(line, model.families[f]) for line, f in x] for _, x in found] == [[(0, "MIT")], [(0, "ISC")], []]
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------------
 
 TEMPLATE = chat.Template().check()

@@ -12,8 +12,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 U64 = np.uint64
 _own_dirs: list[tempfile.TemporaryDirectory] = []
@@ -26,9 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where that is unset (local runs)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset, a folder of our own, but only if
+    all tasks run in this machine's process (master local); on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if not _own_dirs:
             _own_dirs.append(tempfile.TemporaryDirectory(prefix="panelyard-"))
         found = f"file://{_own_dirs[0].name}"
@@ -40,7 +44,41 @@ def written(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Deletes tables made by `written` that nothing will read again; others are left alone."""
+    for df in tables:
+        path = getattr(df, "written_to", None)
+        if path:
+            jvm = df.sparkSession.sparkContext._jvm
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def ranked(df: DataFrame, group: list[str], order: list[Column], rank: str) -> tuple[DataFrame, DataFrame]:
+    """(df with `rank`, from 0, of each row in its group by `order`; group columns and `n`, its rows). No group: all rows.
+
+    Rows are range-partitioned by group and order, so a hot group is spread over many tasks, and no window holds rows:
+    one row per group and partition is summed up. Rows that are equal in all of `order` get ranks in any order.
+    """
+    part, at, low, before, tie = fresh([*df.columns, rank, "n"], "_part", "_at", "_low", "_before", "_tie")
+    keys = [*[F.col(g).asc_nulls_first() for g in group], *order, F.col(tie)]
+    rows = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys).drop(tie)
+    rows = written(rows.withColumns({part: F.spark_partition_id(), at: F.monotonically_increasing_id()}), "sorted")
+    counts = rows.groupBy(*group, part).agg(F.count("*").alias("n"), F.min(at).alias(low))
+    earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*group, part, low, "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(before))
+    own = fresh([*df.columns, part, at, low, before, rank, "n"], *[f"_g{i}" for i in range(len(group) + 1)])
+    starts = written(starts.withColumnsRenamed(dict(zip([*group, part], own))), "starts")
+    same = rows[part] == starts[own[-1]]
+    for g, o in zip(group, own):
+        same = same & rows[g].eqNullSafe(starts[o])
+    out = rows.join(starts, same).select(*[rows[c] for c in df.columns], (F.col(at) - F.col(low) + F.col(before)).alias(rank))
+    return out, starts.groupBy(*[F.col(o).alias(g) for g, o in zip(group, own)]).agg(F.sum("n").alias("n"))
 
 
 def fresh(columns: list[str], *names: str) -> list[str]:
@@ -146,7 +184,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a")
+        last = now
         now = written(small.select("a", F.col("m").alias("b")).union(small.where("b <> m").select(F.col("b"), F.col("m"))).distinct(), "edges")
+        forget(last)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break

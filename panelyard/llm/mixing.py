@@ -1,127 +1,155 @@
 """Mixing sources to target weights: Pfair slots for blocks of each source.
 
-A source's documents are cut into blocks; block i of a source with weight w is released at slot
-floor((i - 1) / w) and due by slot ceil(i / w). Earliest deadline first among released blocks then keeps each
-source within less than one block of w * slots at every slot. Weights are whole shares of a
-frame of FRAME slots, so a frame's schedule repeats and is all that is ever computed in one place: its
-length is a parameter, not the data's. When a source runs out, the others' weights are scaled up
-and a new phase begins, so every document gets a place; there are at most as many phases as sources.
-
-Ranks inside a source come from hash buckets of bounded expected size, so a source with most of
-the rows is spread over many tasks.
-
-Defined cases: a null source is a source of its own. Documents without a target weight share the weight of
-an average named source. Null ids and repeated rows get places of their own (ties in the order are equal rows).
-An empty table gives no rows. Extra columns are not read.
+A source's documents are cut into blocks. Block i (from 1) of a source with weight w, its exact share of all weights, is
+released at slot floor((i - 1) / w) and due by slot ceil(i / w); earliest deadline first among the released blocks keeps each
+source within less than one block of w * slots at every slot. Weights are whole numbers or decimals and are never rounded:
+they become whole slots of a frame as long as their sum (in lowest terms), after which the schedule repeats.
+
+Sources of equal weight are one class that is scheduled as a whole and whose slots go round its members; a member's window
+holds the class's window, so the bound stays. The frame is thus planned over the distinct weights of the `weights` parameter,
+however many sources the data has, and is a table that slots are looked up in.
+
+When a source runs out, its later slots stay empty and the others close ranks. The clock of releases and deadlines is
+the slot number with the empty ones counted, so the bound holds against that clock to the end; until the first source runs
+out it is the number of blocks placed. Positions count documents and have no gaps.
+
+All ranks come from range-partitioned sorts (`ranked`), so a source with most of the rows is spread over many tasks.
+
+Defined cases: a null source is a source of its own. Sources without a target weight have the mean of the given ones.
+Null ids and repeated rows get places of their own (equal rows share theirs in any order). An empty table gives no
+rows. Weights of 0 or less are an error. Extra columns are not read by `mix` and kept by
+`in_mixed_order`, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import heapq
+from collections.abc import Mapping
+from dataclasses import dataclass
+from fractions import Fraction
+from functools import reduce
+from math import gcd, lcm
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import fresh, table, written
+from .common import fresh, ranked, table, written
 
 BLOCK = 16
-FRAME = 1000
-#: Documents of a source that one window group holds, on average.
-BUCKET_ROWS = 2000
-
-
-def shares(weights: dict[str, float], frame: int = FRAME) -> dict[str, int]:
-    """Whole slots of a frame for each source: largest remainders, at least one each. A frame too short for all grows."""
-    frame = max(frame, 2 * len(weights))
-    total = sum(weights.values())
-    exact = {s: w / total * frame for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    by_rest = sorted(exact, key=lambda s: (out[s] - exact[s], s))
-    k = 0
-    while (gap := frame - sum(out.values())) != 0:
-        s = by_rest[k % len(by_rest)] if gap > 0 else max(out, key=lambda x: (out[x] - exact[x], out[x], x))
-        out[s] += 1 if gap > 0 else -1
-        k += 1
-    return out
+#: Target weights of the registered jobs: three favoured sources, the others at 1 (exact in a frame of the sum's length).
+PRODUCTION = {"src0": 4, "src1": 2, "src2": Fraction(1, 2)}
+PRODUCTION_OTHERS = 1
 
 
-def frame_slots(share: dict[str, int]) -> dict[str, list[int]]:
-    """Slots of each source in one frame: earliest deadline first among the released subtasks (ties by name)."""
-    frame = sum(share.values())
-    slots: dict[str, list[int]] = {s: [] for s in share}
-    for t in range(frame):
-        due = [(-(-(len(got) + 1) * frame // share[s]), s) for s, got in slots.items() if len(got) < share[s] and len(got) * frame // share[s] <= t]
-        slots[min(due)[1]].append(t)
-    return slots
-
-
-def phases(blocks: dict[str, int], weights: dict[str, float], frame: int = FRAME) -> list[dict]:
-    """Each phase: first block and slot offset, frame length, slots by source, blocks of each source it places."""
-    left, done, offset, out = {s: n for s, n in blocks.items() if n}, dict.fromkeys(blocks, 0), 0, []
-    while left:
-        share = shares({s: weights[s] for s in left}, frame)
-        slots, length = frame_slots(share), sum(share.values())
-        last = {s: (n - 1) // share[s] * length + slots[s][(n - 1) % share[s]] for s, n in left.items()}
-        end = min(last.values()) + 1
-        used = {s: end // length * share[s] + sum(t < end % length for t in slots[s]) for s in left}
-        out.append({"offset": offset, "length": length, "slots": slots, "first": {s: done[s] for s in left}, "used": used})
-        for s, n in used.items():
-            done[s] += n
-            left[s] -= n
-        left = {s: n for s, n in left.items() if n}
-        offset += end
-    return out
+def whole_weights(weights: list[Fraction]) -> list[int]:
+    """The weights as whole numbers in the same ratios, in lowest terms."""
+    scale = reduce(lcm, (w.denominator for w in weights), 1)
+    whole = [int(w * scale) for w in weights]
+    common = reduce(gcd, whole, 0)
+    return [w // common for w in whole]
+
 
+def exact(weight: object) -> Fraction:
+    """A weight as the decimal that it is written as."""
+    out = weight if isinstance(weight, Fraction) else Fraction(str(weight))
+    if out <= 0:
+        raise ValueError("a target weight must be over 0; leave the source out of the input instead")
+    return out
 
-def _order(cols: list[str]) -> list[Column]:
-    return [F.col(c).asc_nulls_first() for c in cols]
 
+def frame(slots: list[int], horizon: int | None = None) -> list[np.ndarray]:
+    """For each class, which has so many slots of a frame of sum(slots): the slots of its blocks, by earliest deadline first (ties by number).
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, doc_id: str = "doc_id", source: str = "source", block: int = BLOCK, frame: int = FRAME) -> DataFrame:
+    horizon: slots that are planned at most, for a frame that is longer than the data.
+    """
+    length = sum(slots)
+    horizon = length if horizon is None else min(length, horizon)
+    got: list[list[int]] = [[] for _ in slots]
+    ready = [(-(-length // n), c) for c, n in enumerate(slots)]
+    heapq.heapify(ready)
+    waiting: list[tuple[int, int]] = []
+    for t in range(horizon):
+        while waiting and waiting[0][0] <= t:
+            c = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, (-(-(len(got[c]) + 1) * length // slots[c]), c))
+        c = heapq.heappop(ready)[1]
+        got[c].append(t)
+        heapq.heappush(waiting, (len(got[c]) * length // slots[c], c))
+    return [np.array(x, np.int64) for x in got]
+
+
+@dataclass(frozen=True)
+class Targets:
+    """Exact target weights by source; `others` is the weight of sources that are not named."""
+
+    given: dict[str | None, Fraction]
+    others: Fraction
+
+    @classmethod
+    def of(cls, weights: Mapping[str | None, object] | None, others: object | None) -> Targets:
+        given = {s: exact(w) for s, w in (weights or {}).items()}
+        mean = sum(given.values(), Fraction(0)) / len(given) if given else Fraction(1)
+        return cls(given, mean if others is None else exact(others))
+
+    @property
+    def distinct(self) -> list[Fraction]:
+        return sorted({*self.given.values(), self.others})
+
+
+def slotted(docs: DataFrame, targets: Targets, source: str, block: int, names: tuple[str, str, str]) -> DataFrame:
+    """docs with three columns: block number inside the source (from 0), slot of the block, place inside the block."""
+    spark = docs.sparkSession
+    distinct = targets.distinct
+    h, rank, s, c, q, j, m, k, cc, r, t = fresh([*docs.columns, *names], *"_h _rank _s _c _q _j _m _k _cc _r _t".split())
+    inside, sizes = ranked(docs.withColumn(h, F.xxhash64(*docs.columns)), [source], [F.col(h)], rank)
+    # the parameter's entries and nothing of the data
+    known = spark.createDataFrame([(name, distinct.index(w)) for name, w in targets.given.items()], f"{cc} string, {c} int")
+    sizes = sizes.withColumnRenamed(source, s)
+    sizes = sizes.join(F.broadcast(known), F.col(s).eqNullSafe(F.col(cc)), "left")
+    sizes = written(sizes.select(s, "n", F.coalesce(c, F.lit(distinct.index(targets.others))).alias(c)), "sources")
+    members, _ = ranked(sizes, [c], [F.col(s).asc_nulls_first()], q)
+    classes = sizes.groupBy(c).agg(F.count("*").alias("m"), F.max("n").alias("most")).orderBy(c).collect()  # a row per distinct weight
+    if not classes:
+        return docs.select("*", *[F.lit(0).cast("bigint").alias(x) for x in names])
+    slots = [a * x["m"] for a, x in zip(whole_weights([distinct[x[c]] for x in classes]), classes)]
+    length = sum(slots)
+    blocks = [-(-x["most"] // block) * x["m"] for x in classes]
+    planned = frame(slots, max(-(-b * length // n) + 1 for b, n in zip(blocks, slots)))
+    plan = spark.createDataFrame([(x[c], x["m"], n) for x, n in zip(classes, slots)], f"{cc} int, {m} bigint, {k} bigint")
+    members = members.join(F.broadcast(plan), F.col(c) == F.col(cc)).select(s, c, q, m, k)  # a row per distinct weight
+    flat = pa.table({cc: np.repeat(np.array([x[c] for x in classes], np.int32), [len(x) for x in planned]),
+                     r: np.concatenate([np.arange(len(x)) for x in planned]), t: np.concatenate(planned)})
+    slot_of = written(spark.createDataFrame(flat), "frame")
+    # the joins follow the tables' sizes: small ones are broadcast below Spark's own threshold, others are shuffled
+    both = inside.join(written(members, "members"), inside[source].eqNullSafe(F.col(s)))
+    both = both.withColumn(names[0], F.expr(f"`{rank}` div {block}"))
+    both = both.withColumn(j, F.col(names[0]) * F.col(m) + F.col(q))
+    both = both.join(slot_of, (F.col(c) == F.col(cc)) & (F.pmod(j, k) == F.col(r)))
+    slot = F.expr(f"`{j}` div `{k}`") * F.lit(length) + F.col(t)
+    return both.select(*[inside[x] for x in docs.columns], names[0], slot.alias(names[1]), F.pmod(rank, F.lit(block)).alias(names[2]))
+
+
+def mix(docs: DataFrame, weights: Mapping[str | None, object] | None = None, others: object | None = None, doc_id: str = "doc_id",
+        source: str = "source", block: int = BLOCK) -> DataFrame:
     """doc_id, source, block (number inside the source, from 0), slot (of the block), position (of the document in the mix).
 
-    weights: target share of each source, any scale; all equal when not given.
+    weights: target weight of each source, any scale. others: that of sources which it does not name (the mean of the
+    given ones when not given itself, 1 without any).
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source")).withColumn("h", F.xxhash64("doc_id"))
-    sizes = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}  # one row per source
-    if not sizes:
-        return rows.select("doc_id", "source", F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("slot"), F.lit(0).cast("bigint").alias("position"))
-    given = weights or {}
-    usual = sum(given.values()) / len(given) if given else 1.0
-    names = {s: "" if s is None else f"={s}" for s in sizes}
-    target = {names[s]: float(given.get(s, usual)) for s in sizes}
-    if min(target.values()) <= 0:
-        raise ValueError("a target weight must be over 0; leave the source out of the input instead")
-    plan = phases({names[s]: -(-n // block) for s, n in sizes.items()}, target, frame)
-    buckets = max(1, -(-max(sizes.values()) // BUCKET_ROWS))
-    placed = rows.withColumn("bucket", F.pmod("h", F.lit(buckets)))
-    # rank inside (source, bucket), then the ranks that earlier buckets of the source take
-    counts = placed.groupBy("source", "bucket").agg(F.count("*").alias("n"))
-    before = counts.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    local = placed.withColumn("r", F.row_number().over(Window.partitionBy("source", "bucket").orderBy("h", *_order(["doc_id"]))) - 1)
-    before = before.withColumnRenamed("source", "s2").withColumnRenamed("bucket", "b2")
-    ranked = local.join(before, F.col("source").eqNullSafe(F.col("s2")) & (F.col("bucket") == F.col("b2"))).select("doc_id", "source", (F.col("r") + F.col("before")).alias("rank"))
-    ranked = ranked.select("*", F.expr(f"rank div {block}").alias("block"), F.pmod("rank", F.lit(block)).alias("within"), F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("="), "source")).alias("s"))
-    # at most sources x sources rows, each with its slots of one frame
-    steps = spark.createDataFrame(
-        [(s, p["first"][s], p["first"][s] + p["used"][s], p["offset"], p["length"], p["slots"][s]) for p in plan for s in p["first"] if p["used"][s]],
-        "s string, first bigint, end bigint, offset bigint, length bigint, slots array<bigint>",
-    )
-    join = (ranked["s"] == steps["s"]) & (ranked["block"] >= steps["first"]) & (ranked["block"] < steps["end"])
-    index = F.col("block") - F.col("first")
-    slot = F.col("offset") + F.expr("(block - first) div size(slots)") * F.col("length") + F.element_at("slots", (F.pmod(index, F.size("slots")) + 1).cast("int"))
-    placed = ranked.join(F.broadcast(steps), join).select("doc_id", ranked["source"], "block", slot.alias("slot"), "within")
-    return placed.select("doc_id", "source", "block", "slot", (F.col("slot") * block + F.col("within")).alias("position"))
-
-
-def in_mixed_order(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"))
+    rows = slotted(rows, Targets.of(weights, others), "source", block, ("block", "slot", "within"))
+    out, _ = ranked(rows, [], [F.col("slot"), F.col("within")], "position")
+    return out.drop("within")
+
+
+def in_mixed_order(docs: DataFrame, weights: Mapping[str | None, object] | None = None, others: object | None = None) -> DataFrame:
     """All rows of docs, in files and rows ordered by their place in the mix; the columns of docs."""
-    names = docs.columns
-    key, at = fresh(names, "_id", "_place")
-    place = written(mix(docs, weights).groupBy("doc_id").agg(F.min("position").alias(at)), "places").withColumnRenamed("doc_id", key)
-    both = docs.join(place, docs["doc_id"].eqNullSafe(place[key]), "left")
-    return both.repartitionByRange(F.col(at).asc_nulls_last()).sortWithinPartitions(F.col(at).asc_nulls_last()).select(*[docs[c] for c in names])
+    names = tuple(fresh(docs.columns, "_block", "_slot", "_within"))
+    both = slotted(docs, Targets.of(weights, others), "source", BLOCK, names)
+    return both.repartitionByRange(*names[1:]).sortWithinPartitions(*names[1:]).select(*docs.columns)
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "source"), PRODUCTION, PRODUCTION_OTHERS)

@@ -9,12 +9,15 @@ A file is (all integers little-endian)
   frames, a descriptor byte with the checksum bit and the magic 0x8F92EAB1.
 A plain zstandard reader reads such a file as one stream; `TokenFile` reads only the frames that are asked for.
 
-Tasks encode and compress where the texts are; only compressed frames are shuffled, to files that each hold a
-range of doc_ids. A file is named for its attempt, and the manifest of the tasks that ended names
+Ids and text lengths alone are sorted first; where FILE_CHARS have run up, a file ends, so the driver holds one id per file.
+Tasks then encode and compress where the texts are and look the file's number up, and only compressed frames are
+shuffled, each file to a task of its own. A file is named for its attempt, and the manifest of the tasks that ended names
 the files that count, so a lost executor leaves at most files that nobody reads.
 
-Defined cases: null texts are encoded as empty (one end id). Null doc_ids come first. Repeated rows stay, side by side.
-An empty table gives no file. Extra columns are not read.
+Defined cases: null texts are encoded as empty (one end id). Null doc_ids come first. Repeated rows stay; those of an id (or of no
+id) that would fill several files are dealt over them by their checksums, so ids still ascend through all files. Strings of
+added tokens (`<|endoftext|>`) are encoded as the library does by default, as their token. An empty table gives no
+file. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +42,8 @@ from .common import shared_dir, table, written
 
 END_ID = 2
 SKIP_INDEX, SKIP_SEEK, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
-FILE_CHARS = 1 << 25
+#: Bytes of text per file, about.
+FILE_CHARS = 1 << 26
 #: Chunks that a worker remembers, in two halves; the older half goes when the newer is full.
 CACHE = 600_000
 _SPACE = re.compile(r"\s")
@@ -79,7 +84,8 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: Texts that hold one of these strings are encoded as a whole.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         if not isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel) or self.tokenizer.normalizer is not None:
             raise ValueError(f"{path} is no plain byte-level tokenizer")
         self.width = 2 if max(self.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else 4
@@ -125,7 +131,8 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids and the end id, as bytes."""
-        parts = [(" " + (t or "")).replace("\n", " \n").split(" ")[1:] for t in texts]
+        added = [any(map(t.__contains__, self.added)) if t else False for t in texts]
+        parts = [(" " + ("" if a else t or "")).replace("\n", " \n").split(" ")[1:] for t, a in zip(texts, added)]
         for x in parts:
             x[0] = " " + x[0]
         if len(self.known) > CACHE // 2:  # chunks that are met again move on to the new half
@@ -133,6 +140,10 @@ class Encoder:
         self._learn({p for x in parts for p in x} - self.known.keys())
         get, out, whole = self.known.__getitem__, [], []
         for i, x in enumerate(parts):
+            if added[i]:
+                out.append(b"")
+                whole.append(i)
+                continue
             try:
                 out.append(b"".join(map(get, x)) + self.end)
             except TypeError:  # a None
@@ -143,12 +154,42 @@ class Encoder:
         return out
 
 
-_FRAMES = "doc_id bigint, n_tokens bigint, frame binary, size bigint, checksum bigint"
+_FRAMES = "number int, doc_id bigint, n_tokens bigint, frame binary, size bigint, checksum bigint"
+#: Stands for a null id among the ends of files, below every other id.
+NO_ID = -(2**63)
+
+
+def file_ends(docs: DataFrame, file_chars: int = FILE_CHARS) -> list[int]:
+    """Ascending doc_ids (NO_ID for null) at which files end: wherever file_chars bytes of text have run up in a range of sorted ids."""
+    sizes = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("i"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"), F.monotonically_increasing_id().alias("tie"))
+    ranged = sizes.repartitionByRange("i", "tie").sortWithinPartitions("i").select("i", "n")
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have = 0
+        for b in batches:
+            upto = have + np.cumsum(b.column(1).to_numpy())
+            if len(upto):
+                cut = np.flatnonzero(np.diff(upto // file_chars, prepend=have // file_chars))
+                have = int(upto[-1])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(cut))], ["i"])
+
+    return sorted(r[0] for r in ranged.mapInArrow(ends, "i bigint").collect())  # an id per file
+
+
+def file_numbers(ids: pa.Array, checksums: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The file of each document: that of the first end which is not below its id; an id that ends r files is dealt over all r by the checksums."""
+    known = np.asarray(pc.fill_null(ids, NO_ID))
+    low, high = np.searchsorted(ends, known, "left"), np.searchsorted(ends, known, "right")
+    share = checksums / 2.0**32
+    null = known == NO_ID  # nulls come before an id of that value
+    share[null] = (share[null] + np.where(np.asarray(ids.is_null())[null], 0, 1)) / 2
+    return (low + np.floor(share * (high - low))).astype(np.int32)
 
 
-def frames(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, text) -> (doc_id, n_tokens, frame, size, checksum)."""
+def frames(docs: DataFrame, ends: list[int], tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
+    """(doc_id, text) -> (number of the file, doc_id, n_tokens, frame, size, checksum)."""
     path = tokenizer or default_tokenizer()
+    cuts = np.array(ends, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -158,13 +199,14 @@ def frames(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID)
         zstd = zstandard.ZstdCompressor(level=3, write_checksum=True)
         for b in batches:
             for first in range(0, b.num_rows, 512):
+                ids = b.column(0).slice(first, 512)
                 raw = encoder.encode(b.column(1).slice(first, 512).to_pylist())
+                sums = np.array([xxhash.xxh64_intdigest(x) & 0xFFFFFFFF for x in raw], np.int64)
                 cols = [
-                    b.column(0).slice(first, 512), pa.array([len(x) // encoder.width for x in raw], pa.int64()),
-                    pa.array([zstd.compress(x) for x in raw], pa.binary()), pa.array([len(x) for x in raw], pa.int64()),
-                    pa.array([xxhash.xxh64_intdigest(x) & 0xFFFFFFFF for x in raw], pa.int64()),
+                    pa.array(file_numbers(ids, sums, cuts)), ids, pa.array([len(x) // encoder.width for x in raw], pa.int64()),
+                    pa.array([zstd.compress(x) for x in raw], pa.binary()), pa.array([len(x) for x in raw], pa.int64()), pa.array(sums),
                 ]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "frame", "size", "checksum"])
+                yield pa.RecordBatch.from_arrays(cols, ["number", "doc_id", "n_tokens", "frame", "size", "checksum"])
 
     return docs.mapInArrow(run, _FRAMES)
 
@@ -253,11 +295,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
     path = tokenizer or default_tokenizer()
     width = 2 if max(Tokenizer.from_file(path).get_vocab_size() - 1, end_id) < 1 << 16 else 4
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    chars = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_files = max(1, -(-chars // file_chars))
-    cuts = docs.agg(F.percentile_approx("doc_id", [k / n_files for k in range(1, n_files)], max(10_000, 20 * n_files))).first()[0] if n_files > 1 else []
-    bounds = sorted(set(cuts or []))
-    numbered = F.coalesce(F.expr(f"aggregate(array({', '.join(f'{x}L' for x in bounds)}), 0L, (n, x) -> n + int(x < doc_id))") if bounds else F.lit(0).cast("bigint"), F.lit(0).cast("bigint"))
+    ends = file_ends(docs, file_chars)
     base_fs, base = _place(folder)
     base_fs.create_dir(base, recursive=True)
 
@@ -278,7 +316,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
         if out:
             yield closed()
 
-    ready = frames(docs, path, end_id).withColumn("number", numbered).repartition(max(1, len(bounds) + 1), "number").sortWithinPartitions("number", F.col("doc_id").asc_nulls_first(), "checksum")
+    dealt = frames(docs, ends, path, end_id).repartitionById(len(ends) + 1, "number")
+    ready = dealt.sortWithinPartitions("number", F.col("doc_id").asc_nulls_first(), "checksum")
     return written(ready.mapInArrow(write, "number bigint, path string, n_docs bigint, n_tokens bigint, bytes bigint"), "manifest")
 
 

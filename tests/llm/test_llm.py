@@ -49,19 +49,34 @@ def test_token_files_round_trip(spark, tmp_path):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(tokenfile.default_tokenizer())
-    plain.encode_special_tokens = True
     rng = random.Random(1)
-    texts = EDGES + [" ".join(rng.choice(WORDS) for _ in range(rng.randint(1, 80))) + "." for _ in range(60)]
-    df = docs_of(spark, texts).union(spark.createDataFrame([(None, "no id", "en", "s", 5)], "doc_id bigint, text string, lang string, source string, n_chars bigint"))
+    texts = EDGES + [" ".join(rng.choice(WORDS) for _ in range(rng.randint(1, 80))) + "." for _ in range(60)] + ["a <|endoftext|> b", "<|endoftext|><|endoftext|>"]
+    df = docs_of(spark, texts).withColumns({"number": F.lit("x"), "frame": F.lit(1)})
     folder = f"file://{tmp_path}/tokens"
     manifest = tokenfile.write_tokens(df, folder, file_chars=1500)
     assert manifest.count() > 2
     got = sorted(tokenfile.read_tokens(manifest, folder).collect(), key=lambda r: r["start"])
     start = 0
-    for r, (i, t) in zip(got, [(None, "no id"), *enumerate(texts)], strict=True):
+    for r, (i, t) in zip(got, enumerate(texts), strict=True):
         ids = [*plain.encode(t or "", add_special_tokens=False).ids, tokenfile.END_ID]
         assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) == (i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+    assert plain.encode("a <|endoftext|> b", add_special_tokens=False).ids == tokenfile.Encoder.of(tokenfile.default_tokenizer()).tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids
+
+
+def test_token_files_of_null_and_repeated_ids(spark, tmp_path):
+    rng = random.Random(11)
+    text = lambda: " ".join(rng.choice(WORDS) for _ in range(40))
+    rows = [(None, text()) for _ in range(60)] + [(7, text()) for _ in range(60)] + [(i, text()) for i in range(40)] + [(-(2**63), text()) for _ in range(5)]
+    folder = f"file://{tmp_path}/tokens"
+    manifest = tokenfile.write_tokens(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), folder, file_chars=2000)
+    got = sorted(tokenfile.read_tokens(manifest, folder).collect(), key=lambda r: r["start"])
+    key = lambda x: (x is not None, x or 0)
+    assert [r["doc_id"] for r in got] == sorted((i for i, _ in rows), key=key) and manifest.count() > 10
+    assert max(r["n_docs"] for r in manifest.collect()) < 40  # neither the null ids nor the repeated one share a file
+    enc = tokenfile.Encoder.of(tokenfile.default_tokenizer())
+    want = Counter((i, zlib.crc32(np.frombuffer(enc.encode([t])[0], "<u2").astype("<u4").tobytes())) for i, t in rows)
+    assert Counter((r["doc_id"], r["ids_crc32"]) for r in got) == want
 
 
 def test_token_file_reads_one_document_and_finds_damage(tmp_path):
@@ -416,38 +431,72 @@ def test_quality_plan_is_native(spark, sf):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.sampled_from("abcdefg"), st.floats(0.01, 10), min_size=1, max_size=7), st.integers(10, 120))
-def test_less_than_a_block_from_target(weights, frame):
-    share = mixing.shares(weights, frame)
-    slots, n = mixing.frame_slots(share), sum(share.values())
-    assert sorted(t for x in slots.values() for t in x) == list(range(n))
-    for s, x in slots.items():
-        assert all(abs(sum(t <= k for t in x) - Fraction(share[s] * (k + 1), n)) < 1 for k in range(n))
+@given(st.lists(st.integers(1, 40), min_size=1, max_size=7))
+def test_blocks_stay_in_their_windows(slots):
+    got, n = mixing.frame(slots), sum(slots)
+    assert sorted(t for x in got for t in x) == list(range(n))
+    for k, x in zip(slots, got):
+        assert all(i * n // k <= t < -(-(i + 1) * n // k) for i, t in enumerate(x.tolist()))
+
+
+def _deviations(got, target):
+    """Largest distance of a source's blocks from its target after any slot until the first source runs out, in blocks."""
+    slots = {r["slot"]: r["source"] for r in got}
+    last = {k: max(t for t, s in slots.items() if s == k) for k in set(slots.values())}
+    end, total, worst = min(last.values()) + 1, sum(target[k] for k in last), Fraction(0)
+    assert set(range(end)) <= set(slots)
+    have = Counter()
+    for t in range(end):
+        have[slots[t]] += 1
+        worst = max(worst, *(abs(have[k] - Fraction(target[k]) * (t + 1) / total) for k in last))
+    return worst, end
+
+
+@pytest.mark.parametrize("weights, sizes", [
+    ({"a": 1, "b": 2}, {"a": 34_000, "b": 70_000}), ({"a": 1, "b": 9999}, {"a": 20, "b": 100_000}), (dict.fromkeys("abcdef", 1), dict.fromkeys("abcdef", 3_000)),
+    ({"a": "0.1", "b": "0.0002", "c": 0.7}, {"a": 3_000, "b": 60, "c": 20_000}),
+])
+def test_less_than_a_block_from_the_target_weight(spark, weights, sizes):
+    from functools import reduce
+
+    df = reduce(lambda x, y: x.union(y), [spark.range(n).select("id", F.lit(s).alias("source")) for s, n in sizes.items()])
+    got = mixing.mix(df, weights, doc_id="id", block=1).select("source", "slot").toPandas().to_dict("records")
+    worst, end = _deviations(got, {s: Fraction(str(w)) for s, w in weights.items()})
+    assert worst < 1 and len(got) == sum(sizes.values()) and end > 10_000
 
 
 def test_mix_places_every_row(spark):
     rows = [(i, "hot" if i % 3 else f"s{i % 5}") for i in range(900)] + [(None, None), (5, "hot"), (5, "hot")]
-    got = mixing.mix(spark.createDataFrame(rows, "doc_id bigint, source string"), {"hot": 1.0, "s0": 1.0, "s3": 2.0}, block=4).collect()
-    assert len(got) == len(rows) and len({r["position"] for r in got}) == len(rows)
-    slots = {r["slot"]: r["source"] for r in got}
-    assert sorted(slots) == list(range(len(slots))) and {(r["slot"], r["source"], r["block"]) for r in got} == {(s, src, b) for s, src, b in {(r["slot"], r["source"], r["block"]) for r in got}}
-    target = {"hot": 1.0, "s0": 1.0, "s3": 2.0, **dict.fromkeys(["s1", "s2", "s4", None], 4 / 3)}
-    blocks = Counter(src for src in slots.values())
-    end = min(max(s for s, src in slots.items() if src == k) for k in blocks)  # until the first source runs out
-    share = mixing.shares({f"={k}": target[k] for k in blocks})
-    n = sum(share.values())
-    for k in blocks:
-        have = 0
-        for s in range(end):
-            have += slots[s] == k
-            assert abs(have - share[f"={k}"] * (s + 1) / n) < 1
+    df = spark.createDataFrame(rows, "doc_id bigint, source string").withColumns({"slot": F.lit(1), "_m": F.lit(1), "c": F.lit("")})
+    got = mixing.mix(df, {"hot": 1.0, "s0": 1.0, "s3": 2.0}, block=4).collect()
+    assert Counter((r["doc_id"], r["source"]) for r in got) == Counter(rows) and sorted(r["position"] for r in got) == list(range(len(rows)))
+    target = {"hot": 1, "s0": 1, "s3": 2, **dict.fromkeys(["s1", "s2", "s4", None], Fraction(4, 3))}
+    assert _deviations(got, target)[0] < 1
+    order = sorted(got, key=lambda r: r["position"])
+    assert [r["slot"] for r in order] == sorted(r["slot"] for r in got) and len({(r["source"], r["block"]) for r in got}) == len({r["slot"] for r in got})
+    # when sources have run out, the others still keep to the clock
+    for k, w in target.items():
+        mine = sorted({(r["block"], r["slot"]) for r in got if r["source"] == k})
+        share = Fraction(w) / sum(Fraction(x) for x in target.values())
+        assert all(int(i / share) <= t < -int(-(i + 1) / share // 1) for i, t in mine)
     assert mixing.mix(spark.createDataFrame([], "doc_id bigint, source string")).count() == 0
+    with pytest.raises(ValueError):
+        mixing.mix(df, {"hot": 0})
+
+
+def test_mix_with_many_sources_plans_by_weight(spark):
+    df = spark.range(40_000).select("id", F.concat(F.lit("host"), F.col("id") % 9_000).alias("source"))
+    got = mixing.mix(df, {"host1": 500}, others=1, doc_id="id", block=2).where("source = 'host1'").collect()
+    assert sorted({(r["block"], r["slot"]) for r in got}) == [(i, t) for i, t in sorted({(r["block"], r["slot"]) for r in got}) if i * 9499 // 500 <= t < -(-(i + 1) * 9499 // 500)]
 
 
 def test_mixed_order_keeps_rows(spark):
-    df = docs_of(spark, [f"t{i}" for i in range(50)])
-    got = mixing.in_mixed_order(df)
+    df = docs_of(spark, [f"t{i}" for i in range(300)]).withColumns({"_place": F.lit(1), "_block": F.lit(2), "position": F.lit(3)})
+    got = mixing.in_mixed_order(df, {"s0": 4, "s1": 2}, 1)
     assert got.columns == df.columns and sorted(got.collect()) == sorted(df.collect())
+    place = {r["doc_id"]: r["slot"] for r in mixing.mix(df, {"s0": 4, "s1": 2}, 1).collect()}
+    by_source = Counter(r["source"] for r in got.take(112))  # 7 slots of 16
+    assert by_source == {"s0": 64, "s1": 32, "s2": 16} and len(place) == 300
 
 
 # pipeline --------------------------------------------------------------------------------------------------------------

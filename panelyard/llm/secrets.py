@@ -1,12 +1,22 @@
 """Secret scans: fixed patterns, and assignments lexed from source and configuration syntax.
 
-The lexer reads name-operator-value statements (`name = "a" + other`, `"name": 'x'`, `name: x`, `name := x`,
-`<name>x</name>`), keeps the literals that names stand for, follows names used as values (constant propagation,
-in text order) and scores each literal by its target's name and its own shape. A literal at or over
-THRESHOLD is a span of kind `literal`. Positions are code points, end exclusive.
+The lexer walks a text once. It reads string literals (single, double, triple and back quotes, prefixes, escapes) and, around
+them, these forms of a name with a value:
+- `name = v`, `name := v`, `name += v`, `name => v`, `name: v`, `Type name = v`, `var name type = v`, `name: type = v`;
+- `"name": v`, `'name' => v`, `table["name"] = v`, `$name = v`, `export NAME=v`, `-- name: v` (comments are read like code);
+- `<name>v</name>`, `<entry key="name">v</entry>`, `name="v"`, `key="name" value="v"`;
+- `call(name="v")`, `set_name("v")`, `put("name", "v")`, and the default of `getenv("X", "v")`;
+- `name: |` with an indented block, and values in brackets or on the next line.
+A value is a literal, a bare word up to white space or a bracket, or a sum of these and of names (`a + "b"`, `"a" "b"`, `"a" . $b`,
+`f"{a}b"`, `"${a}b"`). Names keep the literals that they stand for, in text order; a name that is set to something else is
+forgotten (constant propagation). Each literal is scored by its target's name and its own shape. A literal at
+or over THRESHOLD is a span of kind `literal`. Positions are code points, end exclusive.
+
+What a name stands for is a summary of constant size (length, characters folded to 256 counts, ends) and a link to its
+parts, so sums of any number of parts are scored, each part is reported once, and all passes are linear in the text.
 
 Defined cases: null and empty texts give no spans (zero counts, the digest of nothing). Repeated rows give
-equal rows. All passes are linear in the text. Only the id and text columns are read.
+equal rows. Literals with white space are no secrets; the lines of a block are one value. Only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -16,6 +26,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,15 +47,37 @@ SENSITIVE = {
     "accesskey": 0.6, "privatekey": 0.6, "signingkey": 0.6, "encryptionkey": 0.6, "authkey": 0.6, "credential": 0.5,
     "bearer": 0.4, "authorization": 0.4, "connectionstring": 0.4,
 }
-#: Literals that only stand for a secret.
-PLACEHOLDER = re.compile(r"(?i)^(x+|\*+|\.+|none|null|true|false|change_?me|example.*|your[_-].*|dummy|test|todo|redacted|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%)$")
-
-_NAME = r"(?<![\w.$-])[\"'`]?(?P<name>[A-Za-z_$][\w.$-]*+)[\"'`]?"
-_TERM = r"\"(?:[^\"\\\n]|\\.)*+\"|'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`|[^\s\"'`,;+(){}\[\]<>]++"
-STATEMENT = re.compile(rf"{_NAME}[ \t]{{0,16}}+(?::=|=>|->|=(?!=)|:(?![:/]))[ \t]{{0,16}}+(?P<value>(?:{_TERM})(?:[ \t]{{0,16}}\+[ \t]{{0,16}}(?:{_TERM}))*+)", re.ASCII)
-ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][\w.-]*+)>(?P<value>[^<\n]++)</(?P=name)>", re.ASCII)
-_TERMS = re.compile(_TERM, re.ASCII)
-_WORD = re.compile(r"[A-Za-z_$][\w.$-]*+", re.ASCII)
+# Literals that only stand for a secret, whole and by their beginning.
+STAND_INS = {"none", "null", "true", "false", "changeme", "change_me", "dummy", "test", "todo", "redacted"}
+STAND_IN_STARTS = ("example", "your_", "your-")
+#: Beginnings and ends of literals that are filled in elsewhere.
+TEMPLATES = (("<", ">"), ("${", "}"), ("{{", "}}"), ("%", "%"))
+
+_STRING = (
+    r"(?:(?<!\w)[rRbBfFuU]{1,2})?(?:\"\"\"(?:[^\"\\]|\\.|\"(?!\"\"))*+\"\"\"|(?<!\w)'''(?:[^'\\]|\\.|'(?!''))*+'''|\"(?:[^\"\\\n]|\\.)*+\""
+    r"|(?:(?<!\w)|(?<=(?<!\w)[rRbBfFuU])|(?<=(?<!\w)[rRbBfFuU]{2}))'(?:[^'\\\n]|\\.)*+'|`[^`\n]*+`)"
+)
+_OPERATOR = r"=>|:=|->|\+?=(?![=>])|:(?![:/=])"
+#: What the walk stops at: escapes, elements, strings, names with an operator after them, calls.
+_EVENT = re.compile(
+    rf"(?P<escape>\\.)|<(?P<element>[A-Za-z_][\w.:-]*+)(?P<attributes>[^<>\n]*+)>(?P<content>[^<\n]++)</(?P=element)>|(?P<string>{_STRING})"
+    rf"|(?<![\w.$-])(?P<name>[A-Za-z_$][\w.$-]*+)(?:[ \t]*+(?P<operator>{_OPERATOR})|(?P<call>\())",
+    re.ASCII | re.DOTALL,
+)
+_AFTER_STRING = re.compile(rf"[ \t]*+\]?[ \t]*+(?:{_OPERATOR})", re.ASCII)
+_TYPE = re.compile(r"[ \t]*+[A-Za-z_&*][\w.\[\], |&*<>?]*+=(?![=>])", re.ASCII)
+_BLOCK = re.compile(r"[ \t]*+[|>][+-]?[0-9]?[ \t]*+\n")
+_OPEN = re.compile(r"[ \t]*+(?:\([ \t]*+)*+")
+_NEXT_LINE = re.compile(r"\s*+\(?\s*+(?=[rRbBfFuU]{0,2}[\"'`])")
+_TERM = re.compile(rf"(?P<quoted>{_STRING})|[^\s\"'`,;(){{}}\[\]<>]++", re.ASCII | re.DOTALL)
+_PLUS = re.compile(r"[ \t]*+(?:\+|\.\.|&|\|\||~|\.(?=[ \t]*+[\"'$]))\s*+")
+_BESIDE = re.compile(r"(?:[ \t]|\\\n)*+(?=[rRbBfFuU]{0,2}[\"'`])")
+_BESIDE_OPEN = re.compile(r"(?:\s|\\\n)*+(?=[rRbBfFuU]{0,2}[\"'`])")
+_ARGUMENT = re.compile(rf"\s*+(?P<quoted>{_STRING})\s*+", re.ASCII | re.DOTALL)
+_HOLE = re.compile(r"\$?\{\s*([A-Za-z_][\w.]*)\s*\}|\$([A-Za-z_]\w*)", re.ASCII)
+_KEY = re.compile(r"\b(?:key|name)[ \t]*=[ \t]*[\"']([^\"'<>\n]*+)[\"']", re.ASCII)
+_GETTER = re.compile(r"(?:getenv|environ\.get|env|get|getProperty|getOrDefault)$", re.ASCII)
+_OWNER = re.compile(r"^(?:\$|self\.|this\.)+")
 
 
 def base_spans(text: str) -> list[tuple[int, str, int, int]]:
@@ -56,58 +89,264 @@ def base_spans(text: str) -> list[tuple[int, str, int, int]]:
     return out
 
 
+@lru_cache(4096)
 def name_weight(name: str) -> float:
     flat = re.sub(r"[^a-z]", "", name.lower())
     return max((w for part, w in SENSITIVE.items() if part in flat), default=0.0)
 
 
-def literal_score(name: str, literal: str) -> float:
+class Value:
+    """What a name stands for: a summary of constant size, and the parts as a span or two values."""
+
+    __slots__ = ("length", "counts", "begin", "end", "space", "parts")
+
+    def __init__(self, length: int, counts: Counter, begin: str, end: str, space: bool, parts: tuple):
+        self.length, self.counts, self.begin, self.end, self.space, self.parts = length, counts, begin, end, space, parts
+
+    @classmethod
+    def of(cls, text: str, start: int) -> Value:
+        counts: Counter = Counter()
+        for c, n in Counter(text).items():
+            counts[ord(c) if ord(c) < 128 else 128 + ord(c) % 128] += n
+        return cls(len(text), counts, text[:64], text[-2:], any(map(str.isspace, text)), (start, start + len(text)))
+
+    def __add__(self, other: Value) -> Value:
+        return Value(self.length + other.length, self.counts + other.counts, (self.begin + other.begin)[:64], (self.end + other.end)[-2:], self.space or other.space, (self, other))
+
+    def stands_in(self) -> bool:
+        low = self.begin.lower()
+        return (
+            len(self.counts) == 1 or low.startswith(STAND_IN_STARTS) or (self.length <= 64 and low in STAND_INS)
+            or any(low.startswith(a) and self.end.endswith(z) for a, z in TEMPLATES)
+        )
+
+
+def literal_score(name: str, value: Value) -> float:
     """0 to 1: what the target's name says, plus up to 0.4 for the literal's length, character mix and entropy."""
     weight = name_weight(name)
-    if not weight or len(literal) < 6 or PLACEHOLDER.match(literal) or any(c.isspace() for c in literal):
+    if not weight or value.length < 6 or value.space or value.stands_in():
         return 0.0
-    n = Counter(literal)
-    entropy = -sum(v / len(literal) * math.log2(v / len(literal)) for v in n.values())
-    classes = sum(bool(re.search(p, literal)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return weight + 0.1 * (len(literal) >= 12) + 0.1 * (classes >= 2) + 0.1 * (classes >= 3) + 0.1 * (entropy >= 3.0)
-
-
-def statements(text: str) -> Iterator[tuple[str, list[tuple[str, int, int, bool]]]]:
-    """(target name, [(term, start, end, quoted)]) in text order; start and end without the quotes."""
-    found = list(STATEMENT.finditer(text)) if "=" in text or ":" in text or "->" in text else []
-    if "</" in text:
-        found = sorted([*found, *ELEMENT.finditer(text)], key=lambda m: m.start())
-    for m in found:
-        if m.re is ELEMENT:
-            yield m["name"], [(m["value"].strip(), m.start("value"), m.end("value"), True)]
-            continue
-        terms = []
-        for t in _TERMS.finditer(text, m.start("value"), m.end("value")):
-            quoted = t[0][0] in "\"'`" and len(t[0]) > 1
-            terms.append((t[0][1:-1] if quoted else t[0], t.start() + quoted, t.end() - quoted, quoted))
-        yield m["name"], terms
+    n = value.length
+    entropy = -sum(v / n * math.log2(v / n) for v in value.counts.values())
+    classes = len({"a" if 97 <= c <= 122 else "A" if 65 <= c <= 90 else "0" if 48 <= c <= 57 else "." for c in value.counts})
+    return weight + 0.1 * (n >= 12) + 0.1 * (classes >= 2) + 0.1 * (classes >= 3) + 0.1 * (entropy >= 3.0)
+
+
+def inside(string: str) -> tuple[int, int]:
+    """Offsets of a string literal's content: without its prefix and quotes."""
+    a = next(i for i, c in enumerate(string) if c in "\"'`")
+    q = 3 if string[a : a + 3] in ('"""', "'''") and len(string) >= a + 6 else 1
+    return a + q, len(string) - q
+
+
+class Lexer:
+    """One walk over a text; `spans` holds the literals that reached a sensitive name."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.known: dict[str, Value] = {}
+        self.spans: set[tuple[int, int]] = set()
+        self.told: set[int] = set()
+        self.kept: list[Value] = []
+        self.key: tuple[str, int] | None = None
+
+    def pair(self, names: list[str], value: Value | None, strict: bool = False) -> None:
+        """Scores value under each of the names (under the most telling one)."""
+        if value is None or (strict and not any(48 <= c <= 57 for c in value.counts)):
+            return
+        if max(literal_score(n, value) for n in names) >= THRESHOLD:
+            todo = [value]
+            while todo:
+                v = todo.pop()
+                if id(v) in self.told:
+                    continue
+                self.told.add(id(v))
+                self.kept.append(v)  # so that no other value gets its identity
+                if isinstance(v.parts[0], int):
+                    if v.parts[1] > v.parts[0]:
+                        self.spans.add(v.parts)
+                else:
+                    todo += v.parts
+
+    def assign(self, name: str, value: Value | None, more: bool = False) -> None:
+        name = _OWNER.sub("", name)
+        if value is None:
+            if not more:
+                self.known.pop(name, None)
+            return
+        self.known[name] = self.known[name] + value if more and name in self.known else value
+
+    def literal(self, start: int, end: int) -> Value:
+        """A string literal, with the known names that it interpolates."""
+        a, z = inside(self.text[start:end])
+        begin, end = start + a, start + z
+        content = self.text[begin:end]
+        if "$" in content or "{" in content:
+            out, at = None, 0
+            for m in _HOLE.finditer(content):
+                value = self.known.get(m[1] or m[2])
+                if value is None:
+                    continue
+                for v in ([Value.of(content[at : m.start()], begin + at)] if m.start() > at else []) + [value]:
+                    out = v if out is None else out + v
+                at = m.end()
+            if out is not None:
+                return out + Value.of(content[at:], begin + at) if at < len(content) else out
+        return Value.of(content, begin)
+
+    def word(self, start: int, end: int) -> Value:
+        """A bare word: a known name, a sum of words of which one is known, or a literal."""
+        word = self.text[start:end]
+        known = self.known.get(_OWNER.sub("", word))
+        if known is not None:
+            return known
+        if "+" in word.strip("+"):
+            parts, at = [], start
+            for w in word.split("+"):
+                parts.append((w, at))
+                at += len(w) + 1
+            if any(_OWNER.sub("", w) in self.known for w, _ in parts):
+                values = [self.known.get(_OWNER.sub("", w)) or Value.of(w, at) for w, at in parts if w]
+                out = values[0]
+                for v in values[1:]:
+                    out = out + v
+                return out
+        return Value.of(word, start)
+
+    def call(self, name: str, at: int) -> tuple[Value | None, int]:
+        """(what a call with literal arguments stands for, position after those); at: behind the bracket."""
+        first = _ARGUMENT.match(self.text, at)
+        if not first:
+            return None, at
+        one = self.literal(*first.span("quoted"))
+        end, two = first.end(), None
+        if self.text[end : end + 1] == "," and (second := _ARGUMENT.match(self.text, end + 1)):
+            two = self.literal(*second.span("quoted"))
+            if one.length <= 64:
+                self.pair([one.begin], two, strict=True)
+            end = second.end()
+        self.pair([name], two or one, strict=two is not None)
+        return (two if two is not None else None if _GETTER.search(name) else one), end
+
+    def block(self, at: int, name_at: int) -> tuple[Value | None, int]:
+        """The lines below that are indented deeper than the line of the name."""
+        text = self.text
+        begin = text.rfind("\n", 0, name_at) + 1
+        depth = len(text[begin:name_at]) - len(text[begin:name_at].lstrip(" \t-"))
+        value = None
+        while at < len(text):
+            end = text.find("\n", at)
+            end = len(text) if end < 0 else end
+            line = text[at:end]
+            body = line.strip()
+            if body and len(line) - len(line.lstrip(" \t")) <= depth:
+                break
+            if body:
+                part = Value.of(body, at + line.index(body))
+                value = part if value is None else value + part
+            at = end + 1
+        return value, min(at, len(text))
+
+    def value(self, at: int, operator: str, name_at: int) -> tuple[Value | None, int]:
+        """(value that starts at `at`, position after it); None if it is no literal."""
+        text = self.text
+        if operator == ":" and (m := _BLOCK.match(text, at)):
+            return self.block(m.end(), name_at)
+        opened = _OPEN.match(text, at)
+        bracket = "(" in opened[0]
+        at = opened.end()
+        if text[at : at + 1] in ("\n", "\r", "") and (m := _NEXT_LINE.match(text, at)):
+            bracket = bracket or "(" in m[0]
+            at = m.end()
+        out = None
+        while m := _TERM.match(text, at):
+            if m["quoted"]:
+                v, at = self.literal(*m.span()), m.end()
+            else:
+                word_end = m.end()
+                plus = text[word_end - 1] == "+" and text[word_end : word_end + 1] in ("'", '"', "`") and word_end - m.start() > 1
+                if text[word_end : word_end + 1] == "(" and not plus:
+                    v, at = self.call(m[0], word_end + 1)
+                elif text[word_end : word_end + 1] == "[":
+                    return None, word_end
+                else:
+                    v, at = self.word(m.start(), word_end - plus), word_end - plus
+            if v is None:
+                return None, at
+            out = v if out is None else out + v
+            if n := _PLUS.match(text, at):
+                if not _TERM.match(text, n.end()):
+                    break
+                at = n.end()
+            elif m["quoted"] and (n := (_BESIDE_OPEN if bracket else _BESIDE).match(text, at)) and n.end() > at:
+                at = n.end()
+            else:
+                break
+        return out, at
+
+    def declared(self, at: int) -> list[str]:
+        """The word before a name, if a declaration keyword stands before that (`var name type = ...`)."""
+        words, text = [], self.text
+        for _ in range(2):
+            end = at
+            while end and text[end - 1] in " \t":
+                end -= 1
+            if end == at:
+                return []
+            begin = end
+            while begin and (text[begin - 1].isalnum() or text[begin - 1] == "_"):
+                begin -= 1
+            words.append(text[begin:end])
+            at = begin
+        return [words[0]] if words[1] in ("var", "let", "const", "val") and words[0] else []
+
+    def statement(self, name: str, name_at: int, operator: str, at: int) -> int:
+        """A name with an operator; returns where the walk goes on."""
+        if operator == ":" and (m := _TYPE.match(self.text, at)):
+            at, operator = m.end(), "="
+        names = [name]
+        if operator == "=" and name_at and self.text[name_at - 1] in " \t":
+            names += self.declared(name_at)
+        value, end = self.value(at, operator, name_at)
+        self.pair(names, value)
+        for n in names:
+            self.assign(n, value, operator == "+=")
+        if operator == "+=" and name in self.known:
+            self.pair([name], self.known[name])
+        if value is not None and value.length <= 64 and name.lower() in ("key", "name", "id"):
+            self.key = (value.begin, end)
+        elif self.key and name.lower() == "value" and not self.text[self.key[1] : name_at].strip():
+            self.pair([self.key[0]], value)
+        return max(end, at)
+
+    def run(self) -> set[tuple[int, int]]:
+        text, at = self.text, 0
+        while m := _EVENT.search(text, at):
+            at = m.end()
+            if m["element"]:
+                key = _KEY.search(m["attributes"])
+                content = m["content"].strip()
+                value = Value.of(content, m.start("content") + m["content"].index(content)) if content else None
+                self.pair([m["element"], *([key[1]] if key else [])], value)
+                self.assign(m["element"], value)
+                at = m.start("attributes") if m["attributes"] else m.end("content")
+            elif m["string"]:
+                if n := _AFTER_STRING.match(text, at):
+                    a, z = inside(m["string"])
+                    operator = n[0].strip(" \t]")
+                    at = self.statement(m["string"][a:z], m.start(), operator, n.end())
+            elif m["call"]:
+                at = self.call(m["name"], at)[1]
+            elif m["name"]:
+                at = self.statement(m["name"], m.start("name"), m["operator"], at)
+        return self.spans
 
 
 def literal_spans(text: str) -> list[tuple[int, str, int, int]]:
-    """Spans of literals that reach a sensitive target, straight or through other names."""
-    known: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
-    out = set()
-    for name, terms in statements(text):
-        value, where = "", []
-        for term, start, end, quoted in terms:
-            through = None if quoted else known.get(term)
-            if through:
-                value += through[0]
-                where += through[1]
-            else:
-                value += term
-                where.append((start, end))
-        # long sums are followed to their first parts only, so that names used over and over stay linear
-        if sum(e - s for s, e in where) and len(where) <= 64 and len(value) <= 65536:
-            known[name] = (value, tuple(where))
-            if literal_score(name, value) >= THRESHOLD:
-                out.update(where)
-    return [(s, "literal", e, s) for s, e in out if e > s]
+    """Spans of literals that reach a sensitive target, straight or through other names. Without an operator, a call or an element there is none."""
+    if not any(map(text.__contains__, ("=", ":", "->", "(", "</"))):
+        return []
+    return [(s, "literal", e, s) for s, e in Lexer(text).run()]
 
 
 def scan(text: str | None) -> list[tuple[int, str, int, int]]:

@@ -350,6 +350,62 @@ def test_secrets(spark):
     assert "Zk93hdkq" not in clean[n + 1]["text"] and clean[n]["n_chars"] == len(clean[n]["text"]) and clean[0]["text"] is None and clean[3]["text"] == "one"
 
 
+SECRET = "aB3$kfoe93kd"
+FORMS = {  # {n}: a sensitive name, {v}: the secret
+    "assign": '{n} = "{v}"', "walrus": "if ({n} := '{v}'):", "annotated": 'self.{n}: Optional[str] = "{v}"', "typed": 'private static final String {n} = "{v}";', "go": 'var {n} string = "{v}"',
+    "json": '{{"a": 1, "{n}": "{v}"}}', "json_next_line": '"{n}":\n    "{v}"', "php": "$cfg['{n}'] = '{v}';", "hash": "'{n}' => '{v}',", "index": 'os.environ["{n}"] = "{v}"', "yaml": "{n}: {v}", "shell": "export {n}={v}",
+    "ini": "{n}={v}", "element": "<{n}>{v}</{n}>", "entry": '<entry key="{n}">{v}</entry>', "attribute": '<db user="x" {n}="{v}"/>', "key_value": '<add key="{n}" value="{v}" />', "keyword": 'connect(host, {n}="{v}")',
+    "setter": 'set_{n}("{v}")', "put": 'props.put("{n}", "{v}")', "default": 'x = os.getenv("{n}", "{v}")', "triple": "{n} = \'\'\'{v}\'\'\'", "prefix": "{n} = rb'{v}'", "next_line": "{n} = (\n    '{v}'\n)",
+    "wide": "{n}" + " " * 70 + "=" + " " * 70 + '"{v}"', "comment": "# {n}: '{v}'", "backquote": "const {n} = `{v}`", "block": "{n}: |\n  {v}\nnext: 1",
+}
+
+
+def _literals(text):
+    return [text[s:e] for s, k, e, _ in secrets.scan(text) if k == "literal"]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_forms_of_assignments(form):
+    for name in ("private_key", "clientSecret", "DB_CREDENTIAL"):
+        assert _literals("x = 1\ndon't count: it's prose\n" + FORMS[form].format(n=name, v=SECRET) + "\ny = 2") == [SECRET], name
+        assert _literals(FORMS[form].format(n="colour", v=SECRET)) == []
+
+
+def test_constants_are_propagated_and_forgotten():
+    a, b = "Zk93hdkq", "qpw8812X"
+    for middle, want in {
+        "f = a + b": [a, b], "f = a; f += b": [a, b], 'f = f"{a}-{b}"': [a, b, "-"], 'f = "${a}${b}"': [a, b], "f = a+b": [a, b], "f = a . $b": [a, b], "a = load()\nf = a": [], "f = a\nf = None": [], "f = b": [b],
+    }.items():
+        assert _literals(f'a = "{a}"\nb = "{b}"\n{middle}\nprivate_key = f\n') == want, middle
+    assert _literals('private_key = "Zk93" "hdkq" \\\n "x1Y2"') == ["Zk93", "hdkq", "x1Y2"]
+    parts = "".join(f'k = k + "x{i:03d}"\n' for i in range(300))
+    assert len(_literals(f'k = "aB3d"\n{parts}private_key = k')) == 301
+    assert len(_literals('private_key = "' + "aB3d" * 30_000 + '"')[0]) == 120_000
+    for stand_in in ("changeme", "xxxxxxxxxxxx", "your-key-here-123", "${API_KEY_1}", "{{ vault.key1 }}", "has 3 White spaces"):
+        assert _literals(f'private_key = "{stand_in}"') == []
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(sorted(FORMS)), st.sampled_from(["private_key", "signingKey", "colour", "size"]), st.integers(0, 10**6)), max_size=6))
+def test_lexer_on_generated_sources(lines):
+    """Sources written form by form, with the literals that their own rules make secrets."""
+    values = [f"aB3$kf{k:07d}Qz" for _, _, k in lines]
+    text = "\n".join(FORMS[f].format(n=n, v=v) for (f, n, _), v in zip(lines, values))
+    assert _literals(text) == [v for (_, n, _), v in zip(lines, values) if n in ("private_key", "signingKey")]
+
+
+def test_lexer_is_linear():
+    import time
+
+    for unit in ('"', '\\"', "a: b ", "<a>", "\'\'\'", "x=y+", "f(", "a = (\n", 'key="a" ', "p: |\n ", '"""\\"'):
+        took = []
+        for n in (20_000, 80_000):
+            began = time.process_time()
+            secrets.scan(unit * (n // len(unit)))
+            took.append(time.process_time() - began)
+        assert took[1] < 12 * took[0] + 0.2, unit
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["token", "=", ": ", '"', "abcdef123", "AKIA", "0123456789abcdef01234567", "A" * 18, " ", "é", "secret", "\n", "+", "x"]), max_size=12).map("".join))
 def test_base_spans_equal_the_patterns(text):

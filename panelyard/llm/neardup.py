@@ -12,21 +12,26 @@ compared with all members, in blocks of bounded size that give back a spanning f
 links. So no link that a bucket proposes is lost, no pairs are emitted, and a bucket of n close
 copies costs about n comparisons.
 
-Defined cases: null, empty and blank texts have no windows and are classes of their own, as are
-rows with a null id and no copy that has one (class null, kept). Repeated rows are copies. Extra columns are not read.
+Rows are told apart by numbers of their own, given when the signed table is written, never by their ids, so repeated ids
+with different texts are documents like any others.
+
+Defined cases: null, empty and blank texts have no windows and are classes of their own. Repeated rows are copies. A
+class is named by its smallest id that is not null (null if no row has one), and its kept row is the first by id (nulls
+last), then by row number: exactly one in each class. Extra columns are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
 
-from .common import U64, components, hashed_words, mix, passes, table, windows, written
+from .common import U64, components, forget, hashed_words, mix, passes, table, windows, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -34,6 +39,7 @@ BANDS, ROWS = 20, 4
 #: Most members on a side of a block of comparisons, and most cells that they hold.
 BLOCK, BLOCK_CELLS = 512, 2_000_000
 _STEP = U64(0x9E3779B97F4A7C15)
+_SIGNED = StructType().add("key", BinaryType()).add("weight", LongType()).add("bands", ArrayType(LongType()))
 
 
 def weighted_cells(texts: pa.Array, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -82,28 +88,36 @@ def dart_signatures(cells: np.ndarray, owner: np.ndarray, n: int, k: int) -> np.
     return out.reshape(n, k)
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> (doc_id, key, weight, bands); key and bands null without windows."""
-    for b in batches:
-        for i, j in passes(b.column(1)):
-            texts = b.column(1).slice(i, j - i)
-            cells, doc = weighted_cells(texts)
-            n = j - i
-            weight = np.bincount(doc, minlength=n)
-            has = weight > 0
-            first = np.cumsum(weight)[has] - weight[has]
-            key = np.zeros((n, 2), U64)
-            if has.any():
-                key[has, 0] = np.add.reduceat(mix(cells + U64(1)), first)
-                key[has, 1] = np.add.reduceat(mix(cells ^ _STEP), first)
-            times = dart_signatures(cells, doc, n, BANDS * ROWS).view(U64).reshape(n, BANDS, ROWS)
-            band = np.broadcast_to(mix(np.arange(BANDS, dtype=U64) + U64(77)), (n, BANDS)).copy()
-            for r in range(ROWS):
-                band = mix(band + times[:, :, r])
-            keys = pa.array([x.tobytes() if h else None for x, h in zip(key, has)], pa.binary())
-            at = np.concatenate([[0], np.cumsum(np.where(has, BANDS, 0))]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(at), pa.array(band[has].reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(i, n), keys, pa.array(weight), lists], ["doc_id", "key", "weight", "bands"])
+def _signed(text: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows with a text in column number `text` -> the same columns, then key, weight, bands; key and bands null without windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j in passes(b.column(text)):
+                yield _sign(b.slice(i, j - i), text)
+
+    return run
+
+
+def _sign(b: pa.RecordBatch, text: int) -> pa.RecordBatch:
+    texts = b.column(text)
+    cells, doc = weighted_cells(texts)
+    n = len(b)
+    weight = np.bincount(doc, minlength=n)
+    has = weight > 0
+    first = np.cumsum(weight)[has] - weight[has]
+    key = np.zeros((n, 2), U64)
+    if has.any():
+        key[has, 0] = np.add.reduceat(mix(cells + U64(1)), first)
+        key[has, 1] = np.add.reduceat(mix(cells ^ _STEP), first)
+    times = dart_signatures(cells, doc, n, BANDS * ROWS).view(U64).reshape(n, BANDS, ROWS)
+    band = np.broadcast_to(mix(np.arange(BANDS, dtype=U64) + U64(77)), (n, BANDS)).copy()
+    for r in range(ROWS):
+        band = mix(band + times[:, :, r])
+    keys = pa.array([x.tobytes() if h else None for x, h in zip(key, has)], pa.binary())
+    at = np.concatenate([[0], np.cumsum(np.where(has, BANDS, 0))]).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(at), pa.array(band[has].reshape(-1).view(np.int64)))
+    return pa.RecordBatch.from_arrays([*b.columns, keys, pa.array(weight), lists], [*b.schema.names, "key", "weight", "bands"])
 
 
 def similarities(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -212,61 +226,71 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return withed.select("a", "b", "ta", "tb").mapInArrow(_verified, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, class_id (smallest id of its component), copies (rows with the same windows), kept."""
-    return _classed(docs, doc_id, text)[0]
-
-
-def _classed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(near_duplicates, representatives by key; one with a null id has no copy with an id)."""
-    docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    signed = written(docs.mapInArrow(_signed, "doc_id bigint, key binary, weight bigint, bands array<bigint>"), "signed")
-    reps = written(
-        signed.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "weight", "bands")).alias("r"), F.count("*").alias("copies")).select("key", "r.doc_id", "r.weight", "r.bands", "copies"),
-        "reps",
-    )
-    named = reps.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("x"), "weight", F.explode("bands").alias("band"))
+def _classed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of docs under the names c0, c1, ..., with row (a number of its own), class_row (row number of the class's kept row),
+    class_id and copies (rows with the same windows)."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    text_at = docs.columns.index(text)
+    flat = docs.select("*", F.monotonically_increasing_id(), F.col(doc_id).cast("bigint")).toDF(*names, "row", "id")
+    schema = StructType([*flat.schema.fields, *_SIGNED.fields])
+    signed = written(flat.mapInArrow(_signed(text_at), schema), "signed")
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row", "weight", "bands")).alias("r")
+    reps = written(signed.where("key IS NOT NULL").groupBy("key").agg(first, F.count("*").alias("copies")).select("key", "r.*", "copies"), "reps")
+    roots = _roots(signed.select("row", F.col(names[text_at]).alias("text")), reps)
+    rooted = reps.join(roots, F.col("row") == F.col("node"), "left").select("key", "unnamed", "id", "row", "copies", F.coalesce("root", "row").alias("root"))
+    rooted = written(rooted, "rooted")
+    best = rooted.groupBy("root").agg(F.min(F.struct("unnamed", "id", "row")).alias("b")).select("root", F.col("b.id").alias("class_id"), F.col("b.row").alias("class_row"))
+    classes = written(rooted.join(best, "root").select("key", "copies", "class_id", "class_row"), "classes")
+    forget(reps, rooted, roots)
+    out = signed.drop("weight", "bands").join(classes.withColumnRenamed("key", "class_key"), F.col("key") == F.col("class_key"), "left")
+    return out.select(
+        *names, "row", F.coalesce("class_row", "row").alias("class_row"), F.when(F.col("class_row").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("copies", F.lit(1)).alias("copies"),
+    )
+
+
+def _roots(texts: DataFrame, reps: DataFrame) -> DataFrame:
+    """(node, root) of the representatives (row numbers) that are linked with others; texts: row, text."""
+    named = reps.select(F.col("row").alias("x"), "weight", F.explode("bands").alias("band"))
     shared = named.groupBy("band").agg(F.min("x").alias("low"), F.count("*").alias("n")).where("n > 1")
     members = written(named.join(shared.select("band", "low"), "band").select("band", "x", "weight", "low"), "members")
-    wanted = members.select(F.col("x").alias("doc_id")).distinct()
-    texts = written(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    wanted = members.select(F.col("x").alias("row")).distinct()
+    texts = written(texts.join(wanted, "row", "left_semi"), "texts")
     stars = members.where("x <> low").select(F.col("low").alias("a"), F.col("x").alias("b")).distinct()
     links = written(_links(stars, texts), "links")
     roots = written(components(links), "roots")
     # what the stars leave open: members of a bucket in different components
-    named_roots = members.join(roots.withColumnRenamed("node", "x"), "x", "left").select("band", "x", "weight", "low", F.coalesce("root", "x").alias("root"))
-    named_roots = written(named_roots, "rooted")
-    tally = named_roots.groupBy("band", "root").agg(F.count("*").alias("k"), F.max("weight").alias("heaviest"))
+    rooted = members.join(roots.withColumnRenamed("node", "x"), "x", "left").select("band", "x", "weight", "low", F.coalesce("root", "x").alias("root"))
+    rooted = written(rooted, "rooted")
+    tally = rooted.groupBy("band", "root").agg(F.count("*").alias("k"), F.max("weight").alias("heaviest"))
     open_ = tally.groupBy("band").agg(F.max(F.struct("k", "root")).alias("main"), F.sum("k").alias("n"), F.count("*").alias("parts"), F.max("heaviest").alias("heaviest")).where("parts > 1 AND n > 2")
     side = F.expr(f"greatest(8, least({BLOCK}, {BLOCK_CELLS} div heaviest))")
     open_ = open_.select("band", F.col("main.root").alias("main"), F.ceil((F.col("n") - F.col("main.k")) / side).alias("nb"), F.ceil(F.col("n") / side).alias("vb"))
-    left = named_roots.join(open_, "band").withColumn("h", F.xxhash64("x", F.lit(3)))
+    left = rooted.join(open_, "band").withColumn("h", F.xxhash64("x", F.lit(3)))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
     outer = left.where("root <> main").select("band", F.pmod("h", "nb").alias("i"), every("vb").alias("j"), F.lit(True).alias("outer"), "x")
     inner = left.select("band", every("nb").alias("i"), F.pmod("h", "vb").alias("j"), F.lit(False).alias("outer"), "x")
     dealt = written(outer.unionByName(inner), "dealt")
     if not dealt.isEmpty():
         blocks = dealt.join(texts.toDF("x", "text"), "x").groupBy("band", "i", "j").applyInArrow(_block_links, "a bigint, b bigint")
-        roots = written(components(written(links.union(blocks), "links")), "roots")
-    classes = reps.select("key", F.col("doc_id").alias("node"), "copies").join(roots, "node", "left").select("key", "copies", F.coalesce("root", "node").alias("class_id"))
-    out = (
-        signed.select("doc_id", "key").join(classes, "key", "left")
-        .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id").isNull()))
-    )
-    return out, reps
+        more = written(links.union(blocks), "links")
+        forget(roots)
+        roots = written(components(more), "roots")
+        forget(more)
+    forget(members, texts, links, rooted, dealt)
+    return roots
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, class_id (smallest id of its component), copies (rows with the same windows), kept."""
+    found = _classed(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text")
+    return found.select(F.col("c0").cast("bigint").alias("doc_id"), "class_id", "copies", (F.col("row") == F.col("class_row")).alias("kept"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs without all but one row of each class. Rows with a null id stay unless they copy a row with an id."""
-    found, reps = _classed(docs)
-    gone = found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    # rows with a null id go by their texts' hashes
-    unnamed = docs.where("doc_id IS NULL").select(F.xxhash64("text").alias("doc_id"), "text").mapInArrow(_signed, "doc_id bigint, key binary, weight bigint, bands array<bigint>")
-    copied = unnamed.join(reps.where("doc_id IS NOT NULL").select("key"), "key", "left_semi").select(F.col("doc_id").alias("h")).distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    left = left.join(copied, left["doc_id"].isNull() & (F.xxhash64(left["text"]) == copied["h"]), "left_anti")
-    return left.select(docs.columns).dropDuplicates(["doc_id", "text"])
+    """The kept row of each class, with the columns of docs; rows, not ids, are dropped."""
+    found = _classed(docs, "doc_id", "text").where("row = class_row")
+    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

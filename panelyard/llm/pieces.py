@@ -285,8 +285,8 @@ def decoded(encoded: DataFrame, model: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "piece_ids").mapInArrow(run, f"doc_id {encoded.schema['doc_id'].dataType.simpleString()}, text string")
 
 
-def encoded_and_back(docs: DataFrame, model: str | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_pieces, n_byte_pieces, ids_crc32 (of the ids as little-endian 32-bit integers), round_trip (decoding gives the text)."""
+def encoded_and_back(docs: DataFrame, model: str | None = None, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_pieces, n_byte_pieces, ids_crc32 (of the ids as little-endian 32-bit integers), round_trip (decoding gives the text), columns to keep."""
     voc = load(model or default_model())
     low, high = int(voc.byte_ids.min()), int(voc.byte_ids.max())
 
@@ -302,11 +302,13 @@ def encoded_and_back(docs: DataFrame, model: str | None = None, doc_id: str = "d
                     b.column(0).slice(first, 512), pa.array([len(a) for a in arrays], pa.int64()),
                     pa.array([int(((a >= low) & (a <= high)).sum()) for a in arrays], pa.int64()),
                     pa.array([zlib.crc32(x) for x in got], pa.int64()), pa.array(same, pa.bool_()),
+                    *[c.slice(first, 512) for c in b.columns[2:]],
                 ]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_pieces", "n_byte_pieces", "ids_crc32", "round_trip"])
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_pieces", "n_byte_pieces", "ids_crc32", "round_trip", *keep])
 
     schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_pieces bigint, n_byte_pieces bigint, ids_crc32 bigint, round_trip boolean"
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    schema += "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *keep).mapInArrow(run, schema)
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

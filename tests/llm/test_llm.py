@@ -190,20 +190,34 @@ def test_near_duplicates_equal_brute_force(spark):
 
 
 def test_keep_one(spark):
-    df = docs_of(spark, ["a b c d e f", "a b c d e f", None, ""]).union(docs_of(spark, ["a b c d e f"])).union(spark.createDataFrame([(None, "z y x", "en", "s", 5)], docs_of(spark, []).schema))
+    more = spark.createDataFrame([(None, "z y x", "en", "s", 5)], docs_of(spark, []).schema)
+    df = docs_of(spark, ["a b c d e f", "a b c d e f", None, ""]).union(docs_of(spark, ["a b c d e f"])).union(more).withColumns({"row": F.lit(1), "key": F.lit(2), "c0": F.lit(3)})
     got = neardup.keep_one(df)
     assert got.columns == df.columns and sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got.collect()) == [(False, 0), (False, 2), (False, 3), (True, 0)]
 
 
-def test_null_id_among_copies(spark):
-    base = WORDS[:60]
-    texts = [" ".join(base)] * 3 + [" ".join([*base[:-1], "other"]), "z y x w v u"]
-    df = docs_of(spark, texts)
-    unnamed = [(None, texts[0], "en", "s", 5), (None, " ".join(base).upper(), "en", "s", 5), (None, "alone here", "en", "s", 5), (None, None, "en", "s", 5)]
-    df = df.union(spark.createDataFrame(unnamed, df.schema))
+def test_null_and_repeated_ids_equal_brute_force(spark):
+    """Null ids, and ids that repeat with other texts, among exact and near copies of both."""
+    rng = random.Random(21)
+    base = [[rng.choice(WORDS) for _ in range(60)] for _ in range(4)]
+    near = lambda w: " ".join([*w[:-1], rng.choice(WORDS)])
+    rows = []
+    for k, w in enumerate(base):
+        rows += [(None, " ".join(w)), (k + 5, " ".join(w)), (k + 5, near(w)), (k + 6, near(w).upper()), (None, near(w))]
+    rows += [(5, "alone in this text"), (5, "also alone in that one"), (None, "no id and no copy"), (None, None), (1, None), (1, ""), (None, "no id and no copy")]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    root = _classes([t for _, t in rows])
+    named = {r: min((i for (i, _), x in zip(rows, root) if x == r and i is not None), default=None) for r in root}
+    blank = [not _shingles(t) for _, t in rows]
+    want = Counter((i, i if empty else named[r]) for (i, _), r, empty in zip(rows, root, blank))
     got = neardup.near_duplicates(df).collect()
-    assert {(r["doc_id"], r["class_id"], r["kept"]) for r in got} == {(0, 0, True), (1, 0, False), (2, 0, False), (3, 0, False), (4, 4, True), (None, 0, False), (None, None, True)} and len(got) == 9
-    assert sorted((r["doc_id"] is None, r["text"] or "") for r in neardup.keep_one(df).collect()) == [(False, texts[0]), (False, texts[4]), (True, ""), (True, "alone here")]
+    assert Counter((r["doc_id"], r["class_id"]) for r in got) == want and sum(r["kept"] for r in got) == len(set(root))
+    assert all(r["doc_id"] == r["class_id"] for r in got if r["kept"])
+    kept = neardup.keep_one(df).collect()
+    text_root = {t: r for (_, t), r in zip(rows, root)}
+    assert len(kept) == len(set(root)) and len({text_root[r["text"]] for r in kept if r["text"]}) == sum(1 for r in set(root) if not blank[r])
+    assert all(r["doc_id"] == named[text_root[r["text"]]] for r in kept if r["text"])
 
 
 def test_dart_signature_agreement_estimates_similarity():
@@ -563,7 +577,8 @@ def test_pipeline(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     out = corpus_pipeline.run(spark, sf)
     rows = docs.collect()
-    kept = {r["doc_id"]: r["text"] for r in quality.keep_good(docs).collect()}
+    good = quality.keep_good(docs).collect()
+    kept = {r["doc_id"]: r["text"] for r in good}
     ids = sorted(kept)
     roots = _classes([kept[i] for i in ids])
     want = {ids[k] for k in range(len(ids)) if roots[k] == k}
@@ -571,3 +586,31 @@ def test_pipeline(spark, sf):
     assert {r["doc_id"] for r in got} == want and len(got) == len(want) <= len(rows) and all(r["round_trip"] for r in got)
     enc = pieces.Encoder(VOC)
     assert {r["doc_id"]: r["ids_crc32"] for r in got} == {i: zlib.crc32(enc.encode([secrets.redacted(kept[i])])[0]) for i in want}
+    # places are those of the mix: each source has one block here, so its documents stand together, and the heaviest comes first
+    source = {r["doc_id"]: r["source"] for r in good}
+    order = [source[r["doc_id"]] for r in sorted(got, key=lambda r: r["place"])]
+    assert sorted(r["place"] for r in got) == list(range(len(got)))
+    assert sum(x != y for x, y in zip(order, order[1:])) == len(set(order)) - 1 and order != sorted(order)
+
+
+def test_pipeline_stages_on_odd_tables(spark, tmp_path):
+    """Null and repeated ids, null, empty and blank texts, equal rows, a clashing extra column, an empty table."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(31)
+    good = lambda: "the and of to in " + " ".join(rng.choice(WORDS) for _ in range(80))
+    a, b, c = good(), good(), good()
+    rows = [(None, a), (3, a), (3, b), (3, b), (None, c), (None, c), (9, None), (10, ""), (11, " \n "), (12, good() + ' private_key = "aB3$kfoe93kd"'), (None, None)]
+    rows = [(i, t, "en", None if i == 12 else "s1", None if t is None else len(t), "extra", 1) for i, t in rows]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, row string, place int")
+    for empty in (False, True):
+        docs = df.limit(0) if empty else df
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, "")
+            if name != "sentencepiece":
+                assert out.columns == df.columns
+            out.write.parquet(f"{tmp_path}/{name}{empty}")
+            docs = spark.read.schema(out.schema).parquet(f"{tmp_path}/{name}{empty}")
+        got = docs.collect()
+        assert Counter(r["doc_id"] for r in got) == (Counter() if empty else Counter([3, 3, None, 12])) and sorted(r["place"] for r in got) == list(range(0 if empty else 4))
+    clean = spark.read.parquet(f"{tmp_path}/secret_scansFalse").where("doc_id = 12").first()
+    assert "aB3$kfoe93kd" not in clean["text"] and clean["n_chars"] == len(clean["text"])

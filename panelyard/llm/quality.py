@@ -54,31 +54,41 @@ def _without(text: Column, chars: str) -> Column:
     return F.translate(text, chars, "")
 
 
-def _repeats(words: str = "_w", n: str = "_n") -> tuple[str, str]:
-    """SQL of (sorted array of window hash prefix and position, covered words).
+#: Low bits of a long that hold a position (a text has at most 2^30 words); the others hold the beginning of the window's hash.
+POSITION_BITS = 30
 
-    A long holds the prefix in its high and the position in its low bits (16, 20 or 28, by the
-    text's length), so equal windows are neighbours in a plain sort; neighbours are then compared word by word.
+
+def _repeats(words: str = "_w", n: str = "_n", bits: int = POSITION_BITS) -> tuple[str, str, str]:
+    """SQL of (windows as longs in order, neighbours with equal hashes, positions of the windows that are found twice or more).
+
+    Equal windows have equal hashes, so they stand in one run of a plain sort, and neighbours of a run are compared word by
+    word. If two of them differ, different windows share a hash, and one may stand between equal ones: then the windows
+    themselves are sorted instead. (A single space joins their words, which hold none.)
     """
+    mask = (1 << bits) - 1
+    last = f"{n} - 3"
     packed = (
-        f"CASE WHEN {n} < 4 THEN array() ELSE sort_array(transform(sequence(0, {n} - 3), i -> "
-        f"(xxhash64({words}[i], {words}[i + 1], {words}[i + 2]) & shiftleft(-1L, _b)) | i)) END"
+        f"CASE WHEN {n} < 4 THEN array() ELSE sort_array(transform(sequence(0, {last}), i -> "
+        f"(xxhash64({words}[i], {words}[i + 1], {words}[i + 2]) & {~mask}L) | i)) END"
     )
-    at = "shiftleft(1L, _b) - 1"
-    same = (
-        "shiftright(_p[j], _b) = shiftright(_p[j - 1], _b)"
-        + "".join(f" AND {words}[int(_p[j] & _m) + {k}] = {words}[int(_p[j - 1] & _m) + {k}]" for k in range(3))
+    runs = f"CASE WHEN size(_p) < 2 THEN array() ELSE filter(sequence(1, size(_p) - 1), j -> shiftright(_p[j], {bits}) = shiftright(_p[j - 1], {bits})) END"
+    same = " AND ".join(f"{words}[int(_p[j] & {mask}L) + {k}] = {words}[int(_p[j - 1] & {mask}L) + {k}]" for k in range(3))
+    gram = f"concat_ws(' ', {words}[i], {words}[i + 1], {words}[i + 2])"
+    slow = (
+        "transform(filter(flatten(transform(array(sort_array(transform("
+        f"sequence(0, {last}), i -> struct({gram} AS g, i AS i)))), s -> transform(sequence(0, size(s) - 1), j -> "
+        "struct(s[j].i AS i, (j > 0 AND s[j - 1].g = s[j].g) OR (j < size(s) - 1 AND s[j + 1].g = s[j].g) AS hit)))), x -> x.hit), x -> bigint(x.i))"
     )
     found = (
-        "CASE WHEN size(_p) < 2 THEN array() ELSE sort_array(array_distinct(flatten(transform("
-        f"filter(sequence(1, size(_p) - 1), j -> {same}), j -> array(_p[j] & _m, _p[j - 1] & _m))))) END"
+        f"CASE WHEN size(_j) = 0 THEN array() WHEN exists(_j, j -> NOT ({same})) THEN sort_array({slow}) "
+        f"ELSE sort_array(array_distinct(flatten(transform(_j, j -> array(_p[j] & {mask}L, _p[j - 1] & {mask}L))))) END"
     )
-    return packed, at, found
+    return packed, runs, found
 
 
-def counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bits: int = POSITION_BITS) -> DataFrame:
     """Per row of docs: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, and the counts that RULES use."""
-    packed, low_bits, found = _repeats()
+    packed, runs, found = _repeats(bits=bits)
     t = F.coalesce(F.col(text), F.lit(""))
     bare = _without(F.col("_t"), SPACES)
     one = docs.select(F.col(doc_id).alias("doc_id"), t.alias("_t"))
@@ -92,11 +102,12 @@ def counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         (F.length("_bare") - F.length(_without(F.col("_bare"), SYMBOLS))).alias("_s"),
         (F.length("_bare") - F.length(_without(F.col("_bare"), "ABCDEFGHIJKLMNOPQRSTUVWXYZÄÖÜÉÈÀÇÑÊÓÍ"))).alias("_caps"),
         (F.length("_bare") - F.length(_without(F.col("_bare"), "!"))).alias("_marks"),
-        F.expr("CASE WHEN size(_w) < 65536 THEN 16 WHEN size(_w) < 1048576 THEN 20 ELSE 28 END").alias("_b"),
     )
     stops = F.size(F.filter("_w", lambda w: w.isin(STOPS)))
-    four = three.select("doc_id", "_w", "_l", "_n", "_c", "_s", "_caps", "_marks", "_b", F.expr(low_bits).alias("_m"), stops.alias("_stop"), F.expr(packed).alias("_p"))
-    five = four.select("doc_id", "_l", "_n", "_c", "_s", "_caps", "_marks", "_stop", F.expr(found).cast("array<bigint>").alias("_r"))
+    kept = ("doc_id", "_l", "_n", "_c", "_s", "_caps", "_marks")
+    four = three.select(*kept, "_w", stops.alias("_stop"), F.expr(packed).cast("array<bigint>").alias("_p"))
+    five = four.select(*kept, "_w", "_stop", "_p", F.expr(runs).cast("array<int>").alias("_j"))
+    five = five.select(*kept, "_stop", F.expr(found).cast("array<bigint>").alias("_r"))
     covered = F.expr("aggregate(_r, struct(-3L AS last, 0L AS sum), (a, x) -> struct(x AS last, a.sum + least(3L, x - a.last) AS sum), a -> a.sum)")
     as_long = {"n_words": F.col("_n"), "word_chars": F.col("_c"), "n_symbols": F.col("_s"), "n_dup_lines": F.size("_l") - F.size(F.array_distinct("_l")),
                "n_repeat_words": covered, "n_lines": F.size("_l"), "n_stop": F.col("_stop"), "n_capitals": F.col("_caps"), "n_marks": F.col("_marks")}

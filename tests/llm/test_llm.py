@@ -492,6 +492,28 @@ def test_quality_on_edges(spark):
     assert kept.columns == docs_of(spark, []).columns and {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if r["kept"]}
 
 
+def _repeat_words(text):
+    w = re.findall(r"[^\x20\x09-\x0d]+", text)
+    grams = Counter(tuple(w[k : k + 3]) for k in range(len(w) - 2))
+    return len({k + d for k in range(len(w) - 2) if grams[tuple(w[k : k + 3])] > 1 for d in range(3)})
+
+
+def test_quality_counts_are_exact_when_hashes_collide(spark):
+    """With few hash bits left, different windows stand between equal ones."""
+    rng = random.Random(41)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(n)) for n in (3, 4, 40, 200, 700)] + [" ".join(f"u{i}" for i in range(2000)), "one two three " * 2, ""]
+    for bits in (58, 61, quality.POSITION_BITS):
+        got = {r["doc_id"]: r["n_repeat_words"] for r in quality.counts(docs_of(spark, texts), bits=bits).collect()}
+        assert got == {i: _repeat_words(t) for i, t in enumerate(texts)}
+
+
+def test_quality_of_very_long_texts(spark):
+    rng = random.Random(42)
+    texts = [" ".join(rng.choice(WORDS) for _ in range(n)) for n in (70_000, 300_000)] + ["word " * 66_000]
+    got = {r["doc_id"]: r["n_repeat_words"] for r in quality.counts(docs_of(spark, texts)).collect()}
+    assert got == {i: _repeat_words(t) for i, t in enumerate(texts)}
+
+
 def test_quality_plan_is_native(spark, sf):
     plan = registry.QUERIES["op9_quality_rules"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)

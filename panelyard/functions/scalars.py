@@ -108,3 +108,8 @@ def descriptors(column: str, names: list[str] | None = None) -> list[Column]:
     if unknown := [n for n in wanted if n not in DESCRIPTORS]:
         raise ValueError(f"unknown descriptors {unknown}; known: {sorted(DESCRIPTORS)}")
     return [DESCRIPTORS[n](column).cast("bigint").alias(n) for n in wanted]
+
+
+def group_key(group: Column, own: Column) -> Column:
+    """The group's name; where it is null or empty, the row's own key."""
+    return F.coalesce(F.nullif(group, F.lit("")), own)

@@ -7,6 +7,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelyard.operators.ranking import quantiles
+
 UNMATCHED, NO_DESCRIPTION = "unmatched", "no_description"
 
 # Pattern of each label, the first that matches wins.
@@ -21,7 +23,7 @@ RULES = (
 # Fixed value: texts that name both domains.
 TANDEM = r"bd1\s*[/&+]\s*bd2|bd\s*1\s*(?:and|&|/|\+)\s*(?:bd\s*)?2|bromodomain\s*1\s*(?:and|&|/|\+)\s*2|both\s+bromodomains?|\bbd1/2\b|\bbd\s*1/2\b|tandem\s+bromodomain|dual\s+bromodomain"
 # Names of format codes that are no single protein.
-OTHER_FORMATS = {"BAO_0000218": "organism-based format", "BAO_0000219": "cell-based format", "BAO_0000220": "subcellular format", "BAO_0000221": "tissue-based format"}
+OTHER_FORMATS = {"BAO_0000219": "cell-based format", "BAO_0000218": "organism-based format", "BAO_0000220": "subcellular format", "BAO_0000221": "tissue-based format"}
 # Former cohort names.
 ALIASES = {"domain1_biochemical_explicit": "domain1_noncellular_explicit", "domain1_biochemical_confirmed": "domain1_bd1_explicit_structured_binding"}
 
@@ -126,7 +128,8 @@ def composition(assays: DataFrame, activity: DataFrame, curated: DataFrame) -> D
     labels = assays.select("assay_id", "label")
     by_assay = labels.groupBy("label").agg(F.count("*").alias("assays"))
     by_record = activity.join(labels, "assay_id", "left").groupBy(F.coalesce("label", F.lit("unknown")).alias("label")).agg(F.count("*").alias("records"))
-    made = curated.join(labels, "assay_id", "left").groupBy(F.coalesce("label", F.lit("unknown")).alias("label")).agg(F.count("*").alias("curated"), F.median(F.col("value_label")).alias("median"))
+    labelled = curated.join(labels, "assay_id", "left").select(F.coalesce("label", F.lit("unknown")).alias("label"), "value_label")
+    made = labelled.groupBy("label").agg(F.count("*").alias("curated")).join(quantiles(labelled, "value_label", {"median": 0.5}, ("label",)), "label", "left")
     both = by_assay.join(by_record, "label", "full").join(made, "label", "left").fillna(0, ["assays", "records", "curated"])
     totals = both.agg(F.sum("assays").alias("ta"), F.sum("records").alias("tr"))
     return both.crossJoin(F.broadcast(totals)).select(
@@ -140,6 +143,12 @@ def composition_gaps(comp: DataFrame) -> DataFrame:
     return a.join(b, F.col("a") < F.col("b")).where("ma IS NOT NULL AND mb IS NOT NULL").select("a", "b", F.round(F.col("ma") - F.col("mb"), 6).alias("gap"))
 
 
+def entity_across_labels(assays: DataFrame, curated: DataFrame, entity: str, key: str = "structure") -> DataFrame:
+    """(label, median, n) of one entity's curated values under each label of their assays: the same thing, read by several kinds of assay."""
+    mine = curated.where(F.col(key) == entity).join(assays.select("assay_id", "label"), "assay_id", "left")
+    return mine.groupBy(F.coalesce("label", F.lit("unknown")).alias("label")).agg(F.round(F.median("value_label"), 6).alias("median"), F.count("*").alias("n"))
+
+
 def compare_selections(old: DataFrame, new: DataFrame) -> DataFrame:
     """One row: admitted only before, only now, and whether the new selection is the same or a subset."""
     a, b = old.where("admitted").select("assay_id"), new.where("admitted").select("assay_id")

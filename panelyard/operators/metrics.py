@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from panelyard.operators.ranking import kth, quantiles
 
 #: Half-open similarity bins, low end inside.
 AD_BINS = ((0.0, 0.3), (0.3, 0.5), (0.5, 0.7), (0.7, 0.9), (0.9, 1.0000001))
@@ -44,13 +45,19 @@ def ad_curve(df: DataFrame, sim: str = "nn", bins: tuple[tuple[float, float], ..
 
 def ad_reliability(df: DataFrame, halfwidth: float, sim: str = "nn") -> DataFrame:
     """Ten bins: n, percent of all, mae, rmse, coverage at the half-width, median residual. Empty bins stay."""
-    err = F.abs(F.col("y") - F.col("p"))
     b = _bins(df.sparkSession, FINE_BINS)
-    binned = df.join(b, (F.col(sim) >= F.col("lo")) & (F.col(sim) < F.col("hi"))).groupBy("bin").agg(
-        F.count("*").alias("n"), F.round(F.avg(err), 6).alias("mae"), F.round(F.sqrt(F.avg(err * err)), 6).alias("rmse"), F.round(F.avg((err <= halfwidth).cast("int")), 6).alias("coverage"), F.round(F.median(err), 6).alias("median_residual"),
+    rows = df.join(b, (F.col(sim) >= F.col("lo")) & (F.col(sim) < F.col("hi"))).select("bin", F.abs(F.col("y") - F.col("p")).alias("err"))
+    err = F.col("err")
+    binned = rows.groupBy("bin").agg(
+        F.count("*").alias("n"), F.round(F.avg(err), 6).alias("mae"), F.round(F.sqrt(F.avg(err * err)), 6).alias("rmse"), F.round(F.avg((err <= halfwidth).cast("int")), 6).alias("coverage"),
     )
+    medians = quantiles(rows, "err", {"median_residual": 0.5}, ("bin",))
+    binned = binned.join(F.broadcast(medians), "bin", "left")  # ten rows
     total = df.agg(F.count("*").alias("total"))
-    return b.join(binned, "bin", "left").crossJoin(F.broadcast(total)).select("bin", "lo", F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("total") > 0, F.round(100 * F.coalesce("n", F.lit(0)) / F.col("total"), 4)).alias("pct"), "mae", "rmse", "coverage", "median_residual")
+    return b.join(binned, "bin", "left").crossJoin(F.broadcast(total)).select(
+        "bin", "lo", F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("total") > 0, F.round(100 * F.coalesce("n", F.lit(0)) / F.col("total"), 4)).alias("pct"),
+        "mae", "rmse", "coverage", F.round("median_residual", 6).alias("median_residual"),
+    )
 
 
 def similarity_error_correlation(df: DataFrame, sim: str = "nn") -> DataFrame:
@@ -79,39 +86,28 @@ def group_overlap(df: DataFrame, group: str = "grp", test: str = "is_test") -> D
 
 def leakage(nn: DataFrame, overlap: DataFrame, sim: str = "nn") -> DataFrame:
     """One row: median and 95th percentile of the nearest similarity, near-identical rows, overlap of groups."""
-    one = nn.agg(F.round(F.percentile(sim, 0.5), 6).alias("nn_median"), F.round(F.percentile(sim, 0.95), 6).alias("nn_p95"), F.count_if(F.col(sim) >= 0.999).alias("near_identical"))
+    q = quantiles(nn, sim, {"nn_median": 0.5, "nn_p95": 0.95})
+    one = nn.agg(F.count_if(F.col(sim) >= 0.999).alias("near_identical")).join(q, F.lit(True), "left")
+    one = one.select(F.round("nn_median", 6).alias("nn_median"), F.round("nn_p95", 6).alias("nn_p95"), "near_identical")
     return one.crossJoin(overlap.select("overlap"))  # one row each
 
 
 def conformal_band(df: DataFrame, calibration: Column, coverage: float = 0.9, y: str = "y", p: str = "p") -> DataFrame:
     """One row: calibration rows, half-width, rows and share covered among the others.
 
-    The half-width is the residual at index ceil(level * (n - 1)) (from 0) with level = min(1, ceil((n + 1) * coverage) / n). Residuals are
-    counted by value first and ranked by range buckets of the value, so no window holds them all.
+    The half-width is the residual at index ceil(level * (n - 1)) (from 0) with level = min(1, ceil((n + 1) * coverage) / n).
     """
     rows = df.withColumn("_e", F.abs(F.col(y) - F.col(p))).withColumn("_cal", calibration)
     cal = rows.where("_cal AND _e IS NOT NULL")
-    n, top = cal.agg(F.count("*"), F.max("_e")).first()
+    n = cal.count()
     if not n:
         return df.sparkSession.createDataFrame([(0, None, None, None)], "n_cal bigint, halfwidth double, n_test bigint, covered double")
     level = min(1.0, -(-((n + 1) * round(coverage * 1000)) // 1000) / n)
     index = int(-(-(level * (n - 1)) // 1))
-    halfwidth = kth(cal, "_e", index, float(top))
+    halfwidth = kth(cal, "_e", index)
     return rows.where("NOT _cal AND _e IS NOT NULL").agg(F.lit(n).cast("bigint").alias("n_cal"), F.lit(round(halfwidth, 6)).alias("halfwidth"), F.count("*").alias("n_test"), F.round(F.avg((F.col("_e") <= halfwidth).cast("int")), 6).alias("covered"))
 
 
-def kth(df: DataFrame, column: str, index: int, top: float, buckets: int = 4096) -> float:
-    """The value at an index (from 0) of the sorted non-negative column: a histogram finds its bucket, only that bucket is sorted."""
-    cut = F.least(F.floor(F.col(column) / (top or 1.0) * buckets), F.lit(buckets - 1))
-    counts = {r["b"]: r["n"] for r in df.groupBy(cut.alias("b")).agg(F.count("*").alias("n")).collect()}  # at most `buckets` rows
-    for b in sorted(counts):
-        if index < counts[b]:
-            ordered = df.where(cut == b).groupBy(column).agg(F.count("*").alias("n")).withColumn("end", F.sum("n").over(Window.orderBy(column)))
-            return float(ordered.where(F.col("end") > index).orderBy(column).first()[column])
-        index -= counts[b]
-    raise IndexError(index)
-
-
 def mean_baseline(df: DataFrame, test: Column, y: str = "y") -> DataFrame:
     """Errors of the train mean on the test rows."""
     mean = df.where(~test).agg(F.avg(y).alias("p"))

@@ -46,6 +46,46 @@ def out_of_fold(df: DataFrame, make: Callable[[DataFrame], Estimator], fold: str
     return reduce(DataFrame.unionByName, parts)
 
 
+def delta_arms(df: DataFrame, arms: dict[str, tuple[str, Callable[[str], Estimator]]], fold: str = "fold", folds: int = 5, row: str = "id", a: str = "a", b: str = "b") -> DataFrame:
+    """(arm, row, y, p), out of fold, all arms on the same folds and features; y is a - b.
+
+    arms: name -> (kind, estimator for a label column). Kind `direct` fits the difference, `subtract` fits both values and takes the difference of
+    what is predicted; an arm of another algorithm is a further `subtract`."""
+    rows = df.withColumn("_delta", F.col(a) - F.col(b))
+    parts = []
+    for k in range(folds):
+        train, test = rows.where(F.col(fold) != k), rows.where(F.col(fold) == k)
+        for name, (kind, make) in arms.items():
+            if kind == "direct":
+                said = make("_delta").fit(train).transform(test).select(row, "_delta", "p")
+            elif kind == "subtract":
+                first = make(a).fit(train).transform(test).withColumnRenamed("p", "_pa")
+                said = make(b).fit(train).transform(first).select(row, "_delta", (F.col("_pa") - F.col("p")).alias("p"))
+            else:
+                raise ValueError(f"unknown kind of arm {kind!r}")
+            parts.append(said.select(F.lit(name).alias("arm"), row, F.col("_delta").alias("y"), "p"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def linear_arms(df: DataFrame, fold: str = "fold", by: tuple[str, ...] = (), x: str = "x", a: str = "a", b: str = "b") -> DataFrame:
+    """df with p_direct, p_subtract and p_mean of a - b, out of fold: a least-squares line on one feature for the difference, two lines subtracted, and the mean.
+
+    All folds at once from sums: a fold's fit is the sums of all rows less its own."""
+    keys = list(by)
+    parts = {"n": F.lit(1.0), "x": F.col(x), "xx": F.col(x) ** 2, "a": F.col(a), "b": F.col(b), "xa": F.col(x) * F.col(a), "xb": F.col(x) * F.col(b)}
+    own = df.groupBy(*keys, fold).agg(*[F.sum(c).alias(f"o_{n}") for n, c in parts.items()])
+    every = own.groupBy(*keys).agg(*[F.sum(f"o_{n}").alias(f"t_{n}") for n in parts])
+    sums = own.join(every, keys) if keys else own.crossJoin(every)  # a row per fold and group, one row per group
+    s = {n: F.col(f"t_{n}") - F.col(f"o_{n}") for n in parts}
+    sxx = s["xx"] - s["x"] * s["x"] / s["n"]
+    slope = lambda y: F.coalesce((s["x" + y] - s["x"] * s[y] / s["n"]) / F.nullif(sxx, F.lit(0.0)), F.lit(0.0))
+    line = lambda y: (s[y] / s["n"] + slope(y) * (F.col(x) - s["x"] / s["n"]))
+    joined = df.join(F.broadcast(sums), [*keys, fold])  # a row per group and fold
+    direct = (s["a"] - s["b"]) / s["n"] + ((s["xa"] - s["xb"]) - s["x"] * (s["a"] - s["b"]) / s["n"]) / F.nullif(sxx, F.lit(0.0)) * (F.col(x) - s["x"] / s["n"])
+    out = {"p_direct": F.coalesce(direct, (s["a"] - s["b"]) / s["n"]), "p_subtract": line("a") - line("b"), "p_mean": (s["a"] - s["b"]) / s["n"]}
+    return joined.select(*[df[c] for c in df.columns], *[c.alias(n) for n, c in out.items()])
+
+
 def fit_all(df: DataFrame, stages: list) -> PipelineModel:
     return Pipeline(stages=stages).fit(df)
 

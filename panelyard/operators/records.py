@@ -4,16 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def metric_diff(a: DataFrame, b: DataFrame, rel_tol: float = 1e-9, path: str = "path", value: str = "value") -> DataFrame:
-    """(path, kind, gap) where two records differ: missing, extra, null in one, or beyond the tolerance."""
-    both = a.select(path, F.col(value).alias("va"), F.lit(1).alias("ia")).join(b.select(path, F.col(value).alias("vb"), F.lit(1).alias("ib")), path, "full")
+def metric_diff(a: DataFrame, b: DataFrame, rel_tol: float = 1e-9, path: str = "path", value: str = "value", flag: str | None = None) -> DataFrame:
+    """(path, kind, gap) where two records differ: missing, extra, null in one, bool, or beyond the tolerance.
+
+    flag: a boolean column for leaves that are true or false; those must be equal, whatever the tolerance."""
+    flags = lambda df, n: F.col(flag).alias(n) if flag and flag in df.columns else F.lit(None).cast("boolean").alias(n)
+    left = a.select(path, F.col(value).alias("va"), flags(a, "fa"), F.lit(1).alias("ia"))
+    right = b.select(path, F.col(value).alias("vb"), flags(b, "fb"), F.lit(1).alias("ib"))
+    both = left.join(right, path, "full")
     gap = F.abs(F.col("va") - F.col("vb"))
-    kind = F.when(F.col("ib").isNull(), "missing").when(F.col("ia").isNull(), "extra").when(F.col("va").isNull() != F.col("vb").isNull(), "null").when(gap > rel_tol * F.greatest(F.abs("va"), F.abs("vb")), "value")
+    kind = (
+        F.when(F.col("ib").isNull(), "missing").when(F.col("ia").isNull(), "extra").when(~F.col("fa").eqNullSafe(F.col("fb")), "bool")
+        .when(F.col("va").isNull() != F.col("vb").isNull(), "null").when(gap > rel_tol * F.greatest(F.abs("va"), F.abs("vb")), "value")
+    )
     return both.select(path, kind.alias("kind"), F.round(gap, 6).alias("gap")).where("kind IS NOT NULL")
 
 
+def leaves(records: DataFrame, column: str = "record") -> DataFrame:
+    """(path, value, flag) of a nested record of structs and arrays: numbers as doubles, booleans as flags; texts are left out."""
+    def walk(field: T.DataType, at: str, name: str) -> list[tuple[str, str, str]]:
+        if isinstance(field, T.StructType):
+            return [x for f in field.fields for x in walk(f.dataType, f"{at}.`{f.name}`", f"{name}.{f.name}" if name else f.name)]
+        if isinstance(field, T.BooleanType):
+            return [(name, "NULL", at)]
+        return [(name, f"CAST({at} AS DOUBLE)", "NULL")] if isinstance(field, T.NumericType) else []
+
+    found = walk(records.schema[column].dataType, column, "")
+    rows = ", ".join(f"named_struct('path', '{n}', 'value', CAST({v} AS DOUBLE), 'flag', CAST({f} AS BOOLEAN))" for n, v, f in found)
+    return records.select(F.explode(F.expr(f"array({rows})")).alias("x")).select("x.*")
+
+
 def family_gaps(a: DataFrame, b: DataFrame, path: str = "path", value: str = "value") -> DataFrame:
     """Greatest difference per family (the path's first part)."""
     both = a.select(path, F.col(value).alias("va")).join(b.select(path, F.col(value).alias("vb")), path)

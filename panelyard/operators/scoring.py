@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -90,6 +90,19 @@ def acquisition_rounds(pool: DataFrame, measured: DataFrame, rounds: int, k: int
     return history
 
 
+def sampled(source: Callable[[SparkSession, int], DataFrame], spark: SparkSession, n: int, key: str = "key", row: str = "id") -> DataFrame:
+    """At most n candidates from a source (a callable that returns a table): rows without a key dropped, keys that repeat once, by row id."""
+    found = source(spark, n)
+    if missing := {key, row} - set(found.columns):
+        raise ValueError(f"the source gives no column {sorted(missing)}")
+    return found.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(F.struct(*[c for c in found.columns if c != key]), row).alias("r")).select(key, "r.*").orderBy(row).limit(n)
+
+
+def component_vector(candidates: DataFrame, numbers: tuple[str, ...], sim: str = "sim", row: str = "id", digits: int = 6) -> DataFrame:
+    """What a score is made of: the row id, predictions and properties as rounded doubles (null where there are none), and the distance 1 - similarity."""
+    return candidates.select(row, *[F.round(F.col(c).cast("double"), digits).alias(c) for c in numbers], F.round(1 - F.col(sim), digits).cast("double").alias("distance"))
+
+
 def round_trace(history: DataFrame) -> DataFrame:
     return history.groupBy("round").agg(F.count("*").alias("n"), F.round(F.avg("score_geo"), 6).alias("mean_score"), F.round(F.avg("measured"), 6).alias("mean_measured"))
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelyard.operators.ranking import quantiles
+from panelyard.operators.similarity import three_similarities
+
 # Names of strata and advisory labels.
 STRATA = ("S1_in_domain", "S2_near_domain", "S3_far_novel")
 PRIORITIES = ("fep_first", "front_of_queue", "none", "qsar_below_hit_floor", "abstain_out_of_ad")
@@ -70,7 +74,10 @@ def potency_cut(actives: DataFrame, label: str = "label", quantile: float | None
     """One row: the cut, how it was made, rows at or over it."""
     if absolute is None and not (quantile is not None and 0 < quantile < 1):
         raise ValueError("a potency cut is a quantile between 0 and 1, or an absolute value")
-    cut = actives.agg(F.lit(float(absolute)).alias("cut") if absolute is not None else F.round(F.percentile(label, quantile), 6).alias("cut"))
+    if absolute is not None:
+        cut = actives.agg(F.lit(float(absolute)).alias("cut"))
+    else:
+        cut = quantiles(actives, label, {"cut": quantile}).select(F.round("cut", 6).alias("cut"))
     how = f"absolute {absolute}" if absolute is not None else f"quantile {quantile}"
     return actives.crossJoin(F.broadcast(cut)).groupBy("cut").agg(F.count_if(F.col(label) >= F.col("cut")).alias("n_over"), F.lit(how).alias("how"))  # one row
 
@@ -92,7 +99,7 @@ def envelope(actives: DataFrame, low: float = 0.05, high: float = 0.95, margin:
     """(bound, value): each property's quantile range, widened by a share of itself; lower bounds are not below 0."""
     if not 0 <= low < high <= 1 or margin < 0:
         raise ValueError("an envelope needs 0 <= low < high <= 1 and a margin of at least 0")
-    spans = _long(actives.select([F.col(p).cast("double").alias(p) for p, _, _ in BOUNDS])).groupBy("property").agg(F.percentile("v", low).alias("lo"), F.percentile("v", high).alias("hi"))
+    spans = quantiles(_long(actives.select([F.col(p).cast("double").alias(p) for p, _, _ in BOUNDS])), "v", {"lo": low, "hi": high}, ("property",))
     pad = (F.col("hi") - F.col("lo")) * margin
     return _bounds(F.col("lo") - pad, F.col("hi") + pad, spans)
 
@@ -106,6 +113,14 @@ def reference_ceiling(refs: DataFrame, margin: float = 0.15, inflation: float =
     return _bounds(F.col("lo") - pad, F.col("hi") + pad, spans)
 
 
+def ceiling_notes(refs: DataFrame, margin: float = 0.15, inflation: float = 2.0, few: int = 4) -> DataFrame:
+    """One row: references, margin with its inflation, and a caveat where there are none or fewer than `few`."""
+    n = F.col("n_references")
+    caveat = F.when(n == 0, "no references: no ceiling can be derived").when(n < few, F.concat(F.lit("only "), n.cast("string"), F.lit(" references: the ceiling is weakly determined")))
+    inflated = F.when(n > 0, F.round(F.lit(margin) * (1 + inflation / F.sqrt(n)), 4)).otherwise(F.lit(margin))
+    return refs.agg(F.count("*").alias("n_references")).select("n_references", inflated.alias("margin"), caveat.alias("caveat"))
+
+
 def intersect_bounds(*windows: DataFrame) -> DataFrame:
     """The tighter of equal bounds: the least maximum, the greatest minimum; the others are taken over."""
     every = windows[0]
@@ -147,6 +162,45 @@ def annotate(rows: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     return rows.withColumns({"lower": F.round(p - t.halfwidth, 3), "upper": F.round(p + t.halfwidth, 3), "stratum": stratum(s, t), "priority": priority(p, F.col("delta"), s, t), "known_reference": F.coalesce(s >= t.known_flag, F.lit(False))})
 
 
+def screen_library(library: DataFrame, refs: DataFrame, predict: Callable[[DataFrame], DataFrame], t: Thresholds = Thresholds(), row: str = "id", bits: str = "bits", set_name: str = "set_name") -> DataFrame:
+    """Every row of the library with its similarities to the three reference sets, its nearest known reference, what `predict` says,
+    band, stratum, label and known flag. Rows without bits can't be read: they keep null similarities and the label `unparseable`.
+
+    refs: id, bits and the set's name, a row per set. predict: adds `prediction` and `delta` (a fitted MLlib pipeline's transform, or Column expressions);
+    it gets readable rows only.
+    """
+    parsed = F.col(bits).isNotNull()
+    sims = three_similarities(library.where(parsed), refs, row, row, set_name, bits=bits).withColumnRenamed("q", "_q")
+    said = predict(library.where(parsed)).select(F.col(row).alias("_p"), "prediction", "delta")
+    rows = library.join(sims, F.col(row) == F.col("_q"), "left").join(said, F.col(row) == F.col("_p"), "left").drop("_q", "_p")
+    known = F.col("sim_known")
+    out = annotate(rows.withColumn("sim", F.col("sim_train")), t).withColumn("known_reference", F.coalesce(known >= t.known_flag, F.lit(False))).drop("sim")
+    return out.withColumns({c: F.when(parsed, F.col(c)).otherwise("unparseable") for c in ("stratum", "priority")} | {"parsed": parsed})
+
+
+def screen_or_skip(enabled: bool, library: DataFrame | None, screen: Callable[[DataFrame], DataFrame], spark: SparkSession) -> tuple[DataFrame, DataFrame | None]:
+    """(one status row, what was screened): skipped, with the reason, when the screen is switched off or there is no library or no row in it."""
+    there = library is not None and not library.isEmpty()
+    reason = None if enabled and there else f"enabled={str(enabled).lower()}, library={'present' if there else 'absent'}"
+    status = spark.createDataFrame([("ran" if reason is None else "skipped", reason)], "status string, reason string")
+    return status, screen(library) if reason is None else None
+
+
+def top_anchors(rows: DataFrame, cut: float, n: int = 25, value: str = "prediction", order: str = "id") -> DataFrame:
+    """The n best rows at or over a cut; ties by the row id."""
+    return rows.where(F.col(value) >= cut).orderBy(F.desc(value), order).limit(n)
+
+
+def review_list(rows: DataFrame, n: int = 200, flag: str = "known_reference", value: str = "sim", order: str = "id") -> DataFrame:
+    """Flagged rows, the n most similar."""
+    return rows.where(flag).orderBy(F.desc(value), order).limit(n)
+
+
+def head(rows: DataFrame, n: int, order: str = "pos") -> DataFrame:
+    """The first n rows by position."""
+    return rows.orderBy(order).limit(n)
+
+
 def census(rows: DataFrame, column: str, names: tuple[str, ...]) -> DataFrame:
     """(name, n) for every known name, 0 where none is."""
     known = rows.sparkSession.createDataFrame([(n,) for n in names], "name string")
@@ -154,15 +208,24 @@ def census(rows: DataFrame, column: str, names: tuple[str, ...]) -> DataFrame:
     return F.broadcast(known).join(counts, "name", "left").select("name", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def outcome_sums(rows: DataFrame, status: str, ok: str, score: str, seconds: Column) -> DataFrame:
+    """One row: jobs, those that ended well, the sum of their scores, the time of all."""
+    fine = F.col(status) == ok
+    return rows.agg(F.count("*").alias("jobs"), F.count_if(fine).alias("ok"), F.round(F.sum(F.when(fine, F.col(score))), 4).alias("score"), F.sum(seconds).alias("seconds"))
+
+
 def per_stratum(rows: DataFrame) -> DataFrame:
     """Long form: stratum, rows of each label, and the stratum's rows, median similarity and prediction."""
-    by = rows.groupBy("stratum").agg(F.count("*").alias("n"), F.round(F.median("sim"), 6).alias("median_sim"), F.round(F.median("prediction"), 6).alias("median_prediction"))
     labels = rows.groupBy("stratum", "priority").agg(F.count("*").alias("n_label"))
+    by = labels.groupBy("stratum").agg(F.sum("n_label").alias("n"))
+    for column, name in (("sim", "median_sim"), ("prediction", "median_prediction")):
+        by = by.join(F.broadcast(quantiles(rows, column, {name: 0.5}, ("stratum",))), "stratum", "left").withColumn(name, F.round(name, 6))  # three strata
     return labels.join(F.broadcast(by), "stratum")
 
 
 def similarity_summary(rows: DataFrame, sim: str = "sim", flag: float = 0.65) -> DataFrame:
     """One row over the non-null similarities; no row if there are none."""
     have = rows.where(F.col(sim).isNotNull())
-    q = F.percentile(sim, [0.5, 0.9, 0.99])
-    return have.agg(F.count("*").alias("n"), q.alias("q"), F.max(sim).alias("max"), F.count_if(F.col(sim) >= flag).alias("n_known")).where("n > 0").select("n", *[F.round(F.col("q")[i], 6).alias(k) for i, k in enumerate(("median", "p90", "p99"))], "max", "n_known")
+    q = quantiles(have, sim, {"median": 0.5, "p90": 0.9, "p99": 0.99})
+    one = have.agg(F.count("*").alias("n"), F.max(sim).alias("max"), F.count_if(F.col(sim) >= flag).alias("n_known"))
+    return one.crossJoin(q).select("n", *[F.round(k, 6).alias(k) for k in ("median", "p90", "p99")], "max", "n_known")  # one row each

@@ -4,13 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from panelyard.functions.scalars import hash_bucket
-
-#: Groups up to here are dealt out by size; more take the fold of their hash.
-SNAKE_GROUPS = 100_000
-
+from panelyard.operators.ranking import ranked
 
 def is_test(column: str, percent: int = 20, seed: int = 0) -> Column:
     return hash_bucket(F.col(column), seed) % 100 < percent
@@ -21,19 +17,13 @@ def random_split(df: DataFrame, column: str = "id", percent: int = 20, seed: int
 
 
 def group_folds(df: DataFrame, group: str = "grp", k: int = 5) -> DataFrame:
-    """df with a fold per group: groups by size, dealt out back and forth over min(k, groups) folds; no group is in two.
-
-    Beyond SNAKE_GROUPS groups the fold is a hash of the name, which balances as well and needs no order.
-    """
+    """df with a fold per group: groups by size, dealt out back and forth over min(k, groups) folds; no group is in two. One rule at every number of groups."""
     sizes = df.groupBy(group).agg(F.count("*").alias("_n"))
-    n = sizes.count()
-    if n > SNAKE_GROUPS:
-        return df.withColumn("fold", F.pmod(F.xxhash64(group), F.lit(k)))
-    k = max(1, min(k, n))
-    rank = F.row_number().over(Window.orderBy(F.desc("_n"), group)) - 1  # at most SNAKE_GROUPS rows
-    lap, at = F.floor(rank / k), rank % k
-    folds = sizes.select(F.col(group).alias("_g"), F.when(lap % 2 == 0, at).otherwise(k - 1 - at).cast("bigint").alias("fold"))
-    return df.join(F.broadcast(folds), df[group].eqNullSafe(F.col("_g"))).drop("_g")
+    order = ranked(sizes, [], [F.desc("_n"), F.col(group).asc_nulls_first()], "_rank")
+    k = max(1, min(k, sizes.count()))
+    lap, at = F.floor((F.col("_rank") - 1) / k), (F.col("_rank") - 1) % k
+    folds = order.select(F.col(group).alias("_g"), F.when(lap % 2 == 0, at).otherwise(k - 1 - at).cast("bigint").alias("fold"))
+    return df.join(folds, df[group].eqNullSafe(F.col("_g"))).drop("_g")
 
 
 def temporal_split(df: DataFrame, cutoff: int, year: str = "year") -> DataFrame:
@@ -50,27 +40,13 @@ def temporal_counts(df: DataFrame, cutoff: int, label: str = "label_pre", min_tr
     return one.withColumn("evaluated", (F.col("n_train") >= min_train) & (F.col("n_test") >= min_test))
 
 
-def scrambled(df: DataFrame, column: str = "id", label: str = "y", seed: int = 11, buckets: int = 64) -> DataFrame:
-    """df with y_scrambled, a permutation of the labels: rows in id order get the labels in hash order.
-
-    Both orders are cut into hash or id ranges of known size first, so ranks come from many small windows instead of one.
-    """
+def scrambled(df: DataFrame, column: str = "id", label: str = "y", seed: int = 11) -> DataFrame:
+    """df with y_scrambled, a permutation of the labels: rows in id order get the labels in hash order. Both ranks come from range-partitioned sorts."""
     rows = df.select(column, label).where(F.col(column).isNotNull())
-    low, high = rows.agg(F.min(column), F.max(column)).first()
-    if low is None:
-        return df.withColumn("y_scrambled", F.lit(None).cast(df.schema[label].dataType))
-    width = max(1, (high - low) // buckets + 1)
-
-    def ranked(part: Column, order: list, out: str) -> DataFrame:
-        parted = rows.withColumn("_b", part)
-        before = parted.groupBy("_b").agg(F.count("*").alias("_n")).select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # a row per bucket
-        rank = F.row_number().over(Window.partitionBy("_b").orderBy(*order))
-        return parted.withColumn("_r", rank).join(F.broadcast(before), "_b").select((F.col("_r") + F.col("_before")).alias("_rank"), F.col(column if out == "id" else label).alias(f"_{out}"))
-
     h = hash_bucket(F.col(column), seed)
-    by_id = ranked(F.floor((F.col(column) - low) / width), [F.col(column)], "id")
-    by_hash = ranked(F.floor(h * buckets / 4294967296), [h, F.col(column)], "label")
-    mixed = by_id.join(by_hash, "_rank").select("_id", F.col("_label").alias("y_scrambled"))
+    by_id = ranked(rows, [], [F.col(column)], "_rank").select(F.col(column).alias("_id"), "_rank")
+    by_hash = ranked(rows, [], [h, F.col(column)], "_rank").select(F.col(label).alias("y_scrambled"), "_rank")
+    mixed = by_id.join(by_hash, "_rank").select("_id", "y_scrambled")
     return df.join(mixed, df[column] == mixed["_id"], "left").drop("_id")
 
 
@@ -85,9 +61,11 @@ def one_per_group(df: DataFrame, group: str = "grp", order: str = "id") -> DataF
     return df.groupBy(group).agg(F.min_by(F.struct(*df.columns), order).alias("r")).select("r.*")
 
 
-def pair_eligibility(wide: DataFrame, primary: str, comparators: list[str] | None, groups: str | None = None, min_rows: int = 25, min_groups: int = 2) -> DataFrame:
-    """(comparator, n, reason): pairs of the primary with each comparator; None stands for all other targets of the panel, [] for none."""
-    found = [c for c in wide.columns if c.startswith("T") and c != primary]
+def pair_eligibility(wide: DataFrame, primary: str, comparators: list[str] | None, groups: str | None = None, min_rows: int = 25, min_groups: int = 2, key: str = "structure") -> DataFrame:
+    """(comparator, n, reason): pairs of the primary with each comparator; None stands for all other targets of the panel, [] for none.
+
+    The targets of a panel are its columns other than the key, the groups and the differences."""
+    found = [c for c in wide.columns if c not in (primary, key, groups) and not c.startswith("delta_")]
     wanted = found if comparators is None else comparators
     spark = wide.sparkSession
     if not wanted:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from panelyard.functions.scalars import hash_bucket
+from panelyard.operators.ranking import ranked, running
 
 #: Upper ends of the Poisson(1) distribution function for 0, 1, ... occurrences.
 POISSON = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462, 0.9963401531726563, 0.9994058151824183, 0.9999167588507119)
@@ -21,7 +21,7 @@ def poisson_weight(h: Column) -> Column:
     return out.otherwise(7)
 
 
-def bootstrap_r2(df: DataFrame, *by: str, replicates: int = 200, y: str = "y", p: str = "p", row: str = "id") -> DataFrame:
+def bootstrap_r2(df: DataFrame, *by: str, replicates: int = 1000, y: str = "y", p: str = "p", row: str = "id") -> DataFrame:
     """n, and the 2.5 and 97.5 percentiles of R2 over Poisson bootstrap replicates, per group.
 
     A replicate is a few sums of weighted rows, so the shuffle holds replicates x groups rows, whatever the input. Replicates whose labels don't vary
@@ -37,7 +37,7 @@ def bootstrap_r2(df: DataFrame, *by: str, replicates: int = 200, y: str = "y", p
     return score.groupBy(*by).agg(F.count("*").alias("replicates"), F.round(F.percentile("r2", 0.025), 6).alias("lo"), F.round(F.percentile("r2", 0.975), 6).alias("hi"))
 
 
-def pair_support(df: DataFrame, threshold: float = 1.0, by: str = "pair", replicates: int = 200, y: str = "delta", p: str = "score") -> DataFrame:
+def pair_support(df: DataFrame, threshold: float = 1.0, by: str = "pair", replicates: int = 1000, y: str = "delta", p: str = "score") -> DataFrame:
     """Verdict per pair: selective rows (one-sided), prevalence, interval, ordered reasons, supported."""
     counts = df.where(F.col(y).isNotNull() & F.col(p).isNotNull()).groupBy(by).agg(F.count("*").alias("n"), F.count_if(F.col(y) >= threshold).alias("n_selective"))
     both = counts.join(bootstrap_r2(df, by, replicates=replicates, y=y, p=p), by, "left").withColumn("prevalence", F.round(F.col("n_selective") / F.col("n"), 6))
@@ -49,50 +49,50 @@ def pair_support(df: DataFrame, threshold: float = 1.0, by: str = "pair", replic
     return both.select(by, "n", "n_selective", "prevalence", "lo", "hi", F.array_join(why, "; ").alias("reasons"), ((lo > 0) & (F.col("n_selective") > 0)).alias("supported"))
 
 
-def rank_metrics(df: DataFrame, *by: str, positive: str = "positive", score: str = "score", row: str = "id", buckets: int = 256) -> DataFrame:
+def rank_metrics(df: DataFrame, *by: str, positive: str = "positive", score: str = "score", row: str = "id") -> DataFrame:
     """Average precision, ROC AUC, prevalence, lift, top-tenth enrichment per group; nulls for the metrics of a single class.
 
-    Rows are counted by distinct score first; running sums go bucket by bucket of the score's range, with the buckets' totals
-    added, so no window holds all scores. Ties of the top tenth go by the row id.
+    Rows are counted by score first; all but the last metric come from running sums over those counts. At the score where the top
+    tenth ends, ties go by the row id: only those rows are ranked.
     """
-    by = by or ("_all",)
-    rows = df.where(F.col(score).isNotNull() & F.col(positive).isNotNull())
-    rows = rows.withColumn("_all", F.lit(1)) if by == ("_all",) else rows
-    keys = list(by)
-    span = rows.groupBy(*keys).agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"), F.count("*").alias("_n"), F.count_if(positive).alias("_p"))
-    cell = F.least(F.floor((F.col("_hi") - F.col(score)) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)) * buckets), F.lit(buckets - 1))
-    by_score = rows.join(F.broadcast(span), keys).groupBy(*keys, "_lo", "_hi", "_n", "_p", F.coalesce(cell, F.lit(0)).alias("_b"), F.col(score).alias("_s")).agg(F.count("*").alias("n"), F.count_if(positive).alias("p"))
-    total = by_score.groupBy(*keys, "_b").agg(F.sum("n").alias("bn"), F.sum("p").alias("bp"))
-    over = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # `buckets` rows a group
-    before = total.select(*keys, "_b", F.coalesce(F.sum("bn").over(over), F.lit(0)).alias("bn"), F.coalesce(F.sum("bp").over(over), F.lit(0)).alias("bp"))
-    inside = Window.partitionBy(*keys, "_b").orderBy(F.desc("_s"))
-    run = by_score.withColumns({"cn": F.sum("n").over(inside), "cp": F.sum("p").over(inside)}).join(F.broadcast(before), [*keys, "_b"]).withColumns({"cn": F.col("cn") + F.col("bn"), "cp": F.col("cp") + F.col("bp")})
+    df = df.where(F.col(score).isNotNull() & F.col(positive).isNotNull())
+    df = df if by else df.withColumn("_all", F.lit(1))
+    keys = list(by) or ["_all"]
+    counts = df.groupBy(*keys, F.col(score).alias("_s")).agg(F.count("*").alias("n"), F.count_if(positive).alias("p"))
+    run = running(counts, keys, [F.col("_s").desc()], {"n": "cn", "p": "cp"})
+    total = run.groupBy(*keys).agg(F.max("cn").alias("_n"), F.max("cp").alias("_p"))
+    total = total.withColumn("_k", F.greatest(F.lit(1), F.floor(F.col("_n") * 0.1)))
+    run = run.join(total, keys)
     neg = F.col("n") - F.col("p")
-    negatives_above = (F.col("cn") - F.col("cp")) - neg
-    parts = run.groupBy(*keys, "_n", "_p").agg(F.sum(F.col("p") * F.col("cp") / F.col("cn")).alias("ap"), F.sum(F.col("p") * ((F.col("_n") - F.col("_p")) - negatives_above - neg / 2)).alias("u"))
-    k = F.greatest(F.lit(1), F.floor(F.col("_n") * 0.1))
-    top = _top_hits(rows, run, keys, k, score, positive, row)
+    above = F.col("cn") - F.col("cp") - neg
+    at_cut = (F.col("cn") >= F.col("_k")) & (F.col("cn") - F.col("n") < F.col("_k"))
+    parts = run.groupBy(*keys, "_n", "_p", "_k").agg(
+        F.sum(F.col("p") * F.col("cp") / F.col("cn")).alias("ap"), F.sum(F.col("p") * (F.col("_n") - F.col("_p") - above - neg / 2)).alias("u"),
+        F.max(F.when(at_cut, F.col("_s"))).alias("_cut"), F.max(F.when(at_cut, F.col("cp") - F.col("p"))).alias("_hits"), F.max(F.when(at_cut, F.col("_k") - F.col("cn") + F.col("n"))).alias("_left"),
+    )
+    tied = df.join(parts.select(*keys, "_cut", "_left"), keys).where(F.col(score) == F.col("_cut")).select(*keys, row, F.col(positive).alias("_pos"), "_left")
+    more = ranked(tied, keys, [F.col(row)], "_rank").where("_rank <= _left").groupBy(*keys).agg(F.count_if("_pos").alias("_more"))
     both = (F.col("_p") > 0) & (F.col("_p") < F.col("_n"))
-    out = parts.join(F.broadcast(top), keys).select(
-        *keys, F.col("_n").alias("n"), F.col("_p").alias("positives"), F.round(F.col("_p") / F.col("_n"), 6).alias("prevalence"),
-        F.when(both, F.round(F.col("ap") / F.col("_p"), 6)).alias("average_precision"), F.when(both, F.round(F.col("u") / F.col("_p") / (F.col("_n") - F.col("_p")), 6)).alias("roc_auc"),
-        F.when(both, F.round(F.col("ap") / F.col("_p") / (F.col("_p") / F.col("_n")), 6)).alias("lift"), F.when(both, F.round(F.col("hits") / k / (F.col("_p") / F.col("_n")), 6)).alias("top_enrichment"),
+    prevalence = F.col("_p") / F.col("_n")
+    precision = F.col("ap") / F.col("_p")
+    out = parts.join(more, keys, "left").select(
+        *keys, F.col("_n").alias("n"), F.col("_p").alias("positives"), F.round(prevalence, 6).alias("prevalence"), F.when(both, F.round(precision, 6)).alias("average_precision"),
+        F.when(both, F.round(F.col("u") / F.col("_p") / (F.col("_n") - F.col("_p")), 6)).alias("roc_auc"), F.when(both, F.round(precision / prevalence, 6)).alias("lift"),
+        F.when(both, F.round((F.col("_hits") + F.coalesce("_more", F.lit(0))) / F.col("_k") / prevalence, 6)).alias("top_enrichment"),
     )
     return out.drop("_all")
 
 
-def _top_hits(rows: DataFrame, run: DataFrame, keys: list[str], k: Column, score: str, positive: str, row: str) -> DataFrame:
-    """Positives among the k best rows: whole scores above the cut, and at the cut the smallest ids."""
-    cut = run.where(F.col("cn") >= k).groupBy(*keys).agg(F.max("_s").alias("_cut"))
-    above = run.join(F.broadcast(cut), keys).where(F.col("_s") > F.col("_cut")).groupBy(*keys).agg(F.sum("n").alias("na"), F.sum("p").alias("pa"))
-    tied = rows.join(F.broadcast(cut.join(above, keys, "left").join(run.select(*keys, F.col("_n")).distinct(), keys)), keys).where(F.col(score) == F.col("_cut"))
-    ranked = tied.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(row))).where(F.col("_r") <= k - F.coalesce("na", F.lit(0)))
-    return ranked.groupBy(*keys).agg((F.count_if(positive) + F.coalesce(F.first("pa"), F.lit(0))).alias("hits"))
+def paired_deltas(wide: DataFrame, primary: str, comparators: list[str], key: str = "structure") -> DataFrame:
+    """(key, pair, a, b, delta) of the rows that have both targets: a the primary's value, b the comparator's."""
+    made = [F.struct(F.lit(f"{primary}-{c}").alias("pair"), F.col(primary).alias("a"), F.col(c).alias("b"), (F.col(primary) - F.col(c)).alias("delta")) for c in comparators]
+    return wide.select(key, F.explode(F.array(*made)).alias("x")).select(key, "x.*").where("delta IS NOT NULL")
 
 
 def production_basis(verdicts: DataFrame) -> DataFrame:
-    """One row: pairs, supported pairs, and what a production model may be fitted on."""
-    one = verdicts.agg(F.count("*").alias("pairs"), F.count_if("supported").alias("supported_pairs"), F.array_join(F.sort_array(F.collect_list(F.when(F.col("supported"), F.col("pair")))), ",").alias("names"))
+    """One row: pairs, supported pairs, the sorted names of those and of the others, and what a production model may be fitted on."""
+    names = lambda cond: F.array_join(F.sort_array(F.collect_list(F.when(cond, F.col("pair")))), ",")  # noqa: E731  a name per pair of targets
+    one = verdicts.agg(F.count("*").alias("pairs"), F.count_if("supported").alias("supported_pairs"), names(F.col("supported")).alias("names"), names(~F.col("supported")).alias("unsupported"))
     return one.withColumn("basis", F.when(F.col("supported_pairs") == 0, "none").when(F.col("supported_pairs") < F.col("pairs"), "supported_min").otherwise("all_min"))
 
 

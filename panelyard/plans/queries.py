@@ -73,9 +73,9 @@ def _(spark, d):
 
 
 @query("input_identity", """
-SELECT file, count(DISTINCT sha256) AS digests, count(*) AS entries FROM (SELECT p_brand AS file, concat(p_type, p_size % 2) AS sha256 FROM part WHERE p_size < 4) GROUP BY file HAVING count(DISTINCT sha256) > 1""")
+SELECT file, count(DISTINCT sha256) AS digests, count(*) AS entries FROM (SELECT concat(p_brand, p_size) AS file, concat(p_type, p_size % 2) AS sha256 FROM part) GROUP BY file HAVING count(DISTINCT sha256) > 1""")
 def _(spark, d):
-    return R.input_identity(view(spark, d, "part").where("p_size < 4").select(F.col("p_brand").alias("file"), F.concat("p_type", F.col("p_size") % 2).alias("sha256")))
+    return R.input_identity(view(spark, d, "part").select(F.concat("p_brand", "p_size").alias("file"), F.concat("p_type", F.col("p_size") % 2).alias("sha256")))
 
 
 @query("two_col_scan", """
@@ -175,9 +175,8 @@ def _(spark, d):
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    wide = C.wide_panel(_panel(spark, d), PRIMARY, COMPARATORS)
-    long = wide.unpivot("structure", [f"delta_{PRIMARY}_{c}" for c in COMPARATORS], "pair", "delta").where("delta IS NOT NULL")
-    return long.withColumns({"pair": F.regexp_replace("pair", "delta_(.*)_(.*)", "$1-$2"), "id": F.substring("structure", 2, 20).cast("bigint")}).withColumn("score", F.col("delta") * 0.7 + (S.hash_bucket(F.col("id"), 9) % 100) / 50.0)
+    long = A.paired_deltas(C.wide_panel(_panel(spark, d), PRIMARY, COMPARATORS), PRIMARY, COMPARATORS)
+    return long.withColumn("id", F.substring("structure", 2, 20).cast("bigint")).withColumn("score", F.col("delta") * 0.7 + (S.hash_bucket(F.col("id"), 9) % 100) / 50.0)
 
 
 PAIRS = WIDE + f""", pairs AS (SELECT *, CAST(substr(structure, 2) AS BIGINT) AS id, delta * 0.7 + ({bucket("CAST(substr(structure, 2) AS BIGINT)", 9)} % 100) / 50.0 AS score FROM (
@@ -256,6 +255,15 @@ def _(spark, d):
     return H.composition_gaps(_composition(spark, d))
 
 
+_ENTITY = "P1"
+
+
+@query("entity_across_labels", f"""
+WITH {SELECTION} SELECT coalesce(s.label, 'unknown') AS label, round(median(c.label), 6) AS median, count(*) AS n FROM {{fx_curatable}} AS c LEFT JOIN sel AS s ON c.assay_id = s.assay_id WHERE structure = '{_ENTITY}' GROUP BY 1""")
+def _(spark, d):
+    return H.entity_across_labels(_selection(spark, d), _curated(spark, d).withColumn("value_label", F.col("label")).drop("label"), _ENTITY)
+
+
 @query("cohort_subset", f"""
 WITH {SELECTION}, old AS (SELECT assay_id FROM sel WHERE label IN ('domain_1', 'domain_2')), new AS (SELECT assay_id FROM sel WHERE reason IS NULL),
 x AS (SELECT (SELECT count(*) FROM (FROM old EXCEPT ALL FROM new)) AS only_old, (SELECT count(*) FROM (FROM new EXCEPT ALL FROM old)) AS only_new) SELECT *, only_old = 0 AND only_new = 0 AS identical, only_new = 0 AS subset FROM x""")
@@ -414,6 +422,12 @@ def _(spark, d):
     return N.nearest(b, b, "vec_id", "vec_id", "fold").select("q", "nn")
 
 
+@query("text_bits")
+def _(spark, d):
+    """Bits of documents' texts: hashes of three characters each (no SQL: the hash is Spark's)."""
+    return view(spark, d, "documents").select("doc_id", F.size(N.text_bits(F.col("text"))).alias("n"))
+
+
 @query("sim_threshold", f"WITH {SIM} SELECT q, r, s AS similarity FROM pairs WHERE NOT qt AND rt AND s >= 0.4")
 def _(spark, d):
     b = _bits(spark, d)

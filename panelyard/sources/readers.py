@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.window import Window
 
 FIELDS = ("molecule_chembl_id", "canonical_smiles", "standard_type", "standard_value", "standard_units", "standard_relation", "pchembl_value", "assay_chembl_id",
           "assay_type", "bao_format", "target_chembl_id", "activity_comment", "data_validity_comment", "document_year", "assay_description")
@@ -33,27 +33,60 @@ def project_fields(df: DataFrame, fields: tuple[str, ...] = FIELDS, types: tuple
     return out.where(F.lower(type_column).isin(*[t.lower() for t in types])) if types else out
 
 
-def read_library(spark: SparkSession, path: str) -> DataFrame:
-    """(pos, key, id) of `key [id]` lines in file order; blank lines are skipped, absent ids are row<pos>."""
-    text = spark.read.text(path).where("trim(value) <> ''")
-    numbered = text.rdd.zipWithIndex().map(lambda x: (x[1], x[0][0]))  # position in the file is the meaning, so an index over the ordered splits
-    rows = spark.createDataFrame(numbered, "pos bigint, value string").withColumn("f", F.split(F.trim("value"), r"\s+"))
-    return rows.select("pos", F.col("f")[0].alias("key"), F.coalesce(F.get("f", F.lit(1)), F.concat(F.lit("row"), "pos")).alias("id"))
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(pos, value): all lines of text files, blank ones too, with their number from 0 in the order of the files' names and lines; gzip files are unpacked."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("low"))
+    earlier = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)  # a row per block of a file
+    starts = blocks.select(F.col("file").alias("f"), F.col("block").alias("b"), "low", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    return lines.join(starts, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b"))).select((F.col("start") + F.col("at") - F.col("low")).alias("pos"), "value")
 
 
-def two_columns(lines: DataFrame, prefix: str, value: str = "value") -> DataFrame:
-    """(id, key) of two-field lines in either order: the field with the prefix is the id. Lines of fewer fields are dropped."""
+def read_library(spark: SparkSession, path: str, cap: int | None = None, seed: int = 42) -> DataFrame:
+    """(pos, key, id) of `key [id]` lines; blank lines count but are skipped, absent ids are row<pos>. cap: so many rows, those with the smallest hashes of seed and place."""
+    rows = numbered_lines(spark, path).where("trim(value) <> ''").withColumn("f", F.split(F.trim("value"), r"\s+"))
+    rows = rows.select("pos", F.col("f")[0].alias("key"), F.coalesce(F.get("f", F.lit(1)), F.concat(F.lit("row"), "pos")).alias("id"))
+    return rows if cap is None else rows.orderBy(F.xxhash64(F.lit(seed), "pos"), "pos").limit(cap)
+
+
+def read_two_columns(spark: SparkSession, path: str, prefix: str, start: int = 0, n: int | None = None) -> DataFrame:
+    """(pos, id, key) of two-field lines in either order, from line `start` on, n of them at most; gzip files are unpacked. Lines of fewer fields don't count for n."""
+    lines = numbered_lines(spark, path).where(F.col("pos") >= start)
+    rows = two_columns(lines, prefix, keep=("pos",))
+    return rows if n is None else rows.orderBy("pos").limit(n)
+
+
+def two_columns(lines: DataFrame, prefix: str, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(columns to keep, id, key) of two-field lines in either order: the field with the prefix is the id. Lines of fewer fields are dropped."""
     f = lines.withColumn("f", F.split(F.trim(value), r"\s+")).where("size(f) >= 2")
     first = F.startswith(F.upper(F.col("f")[0]), F.lit(prefix.upper()))
-    return f.select(F.when(first, F.col("f")[0]).otherwise(F.col("f")[1]).alias("id"), F.when(first, F.col("f")[1]).otherwise(F.col("f")[0]).alias("key"))
+    return f.select(*keep, F.when(first, F.col("f")[0]).otherwise(F.col("f")[1]).alias("id"), F.when(first, F.col("f")[1]).otherwise(F.col("f")[0]).alias("key"))
 
 
 def read_sums(spark: SparkSession, path: str) -> DataFrame:
-    """(name, sha256) of a checksum file: on each line the 64-hex field and the last other field; comments and blanks skipped."""
-    f = spark.read.text(path).where("NOT startswith(trim(value), '#')").select(F.filter(F.split(F.trim("value"), r"\s+"), lambda x: x != "").alias("f"))
-    digest = F.filter("f", lambda x: x.rlike("^[0-9a-fA-F]{64}$"))
-    name = F.filter("f", lambda x: ~x.rlike("^[0-9a-fA-F]{64}$"))
-    return f.where(F.size(digest) > 0).select(F.ltrim(F.element_at(name, -1), F.lit("*")).alias("name"), F.lower(F.element_at(digest, 1)).alias("sha256"))
+    """(name, sha256) of a checksum file: on each line the first 64-hex field, with each other field (folders cut off) as a name; comments and blanks skipped.
+
+    Of several lines with a name the first counts, so a file is found by its name in any field."""
+    hexes = "^[0-9a-fA-F]{64}$"
+    f = numbered_lines(spark, path).where("NOT startswith(trim(value), '#')").select("pos", F.filter(F.split(F.trim("value"), r"\s+"), lambda x: x != "").alias("f"))
+    digest = F.filter("f", lambda x: x.rlike(hexes))
+    names = F.transform(F.filter("f", lambda x: ~x.rlike(hexes)), lambda x: F.element_at(F.split(F.ltrim(x, F.lit("*")), "/"), -1))
+    rows = f.where(F.size(digest) > 0).select("pos", F.explode(F.array_distinct(names)).alias("name"), F.lower(F.element_at(digest, 1)).alias("sha256"))
+    return rows.groupBy("name").agg(F.min_by("sha256", "pos").alias("sha256"))
+
+
+def verify_pin(spark: SparkSession, path: str, manifest: str | None) -> dict:
+    """Whether a library file is the one that its manifest names; raises if the manifest does not name it or names another content."""
+    if not manifest:
+        return {"verified": False, "why": "no manifest; the library is known by its path only"}
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    want = read_sums(spark, manifest).where(F.col("name") == name).first()
+    if want is None:
+        raise ValueError(f"the manifest has no checksum of {name!r}")
+    got = file_digests(spark, path).first()
+    if got is None or got["sha256"] != want["sha256"]:
+        raise ValueError(f"{name!r} is not the file that the manifest names")
+    return {"verified": True, "sha256": got["sha256"], "file": name}
 
 
 def file_digests(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
@@ -90,18 +123,23 @@ def verify_snapshot(found: DataFrame, sums: DataFrame) -> DataFrame:
 
 
 def require_verified(status: DataFrame, names: list[str] | None = None) -> None:
-    """Raises unless there are files and all (or all the named ones) are ok."""
-    rows = {r["name"]: r["status"] for r in (status.where(F.col("name").isin(names)) if names else status).collect()}  # a row per file of a snapshot
-    bad = {n: s for n, s in rows.items() if s != "ok"} | {n: "missing" for n in names or [] if n not in rows}
-    if bad or not rows:
-        raise ValueError(f"snapshot not verified: {bad or 'no files'}")
+    """Raises unless there are files and all (or all the named ones) are ok. Files are counted, and only a few bad ones are read."""
+    wanted = status.where(F.col("name").isin(names)) if names else status
+    n = wanted.agg(F.count("*").alias("n"), F.countDistinct("name").alias("names")).first()
+    bad = wanted.where("status <> 'ok'").limit(20).collect()
+    if bad or not n["n"] or (names and n["names"] < len(set(names))):
+        raise ValueError(f"snapshot not verified: {[r.asDict() for r in bad] or 'files are missing'}")
 
 
-def merge_shards(spark: SparkSession, pattern: str) -> tuple[DataFrame, DataFrame]:
-    """(lines with their shard, manifest: shard, lines, bytes, digest of the lines in any order)."""
-    rows = spark.read.text(pattern).withColumn("shard", F.col("_metadata.file_name"))
-    manifest = rows.groupBy("shard").agg(F.count("*").alias("lines"), F.sum(F.octet_length("value") + 1).alias("bytes"), F.sum(F.xxhash64("value").cast("decimal(38,0)")).cast("string").alias("digest"))
-    return rows, manifest
+def merge_shards(spark: SparkSession, folder: str, glob: str = "*") -> tuple[DataFrame, DataFrame]:
+    """(lines with their shard, manifest: name, bytes, sha256, lines), files as they are, gzip ones by their content. The last row, MERGED, pins the whole:
+    all bytes and lines, and the SHA-256 of the shards' sums by name."""
+    rows = spark.read.option("pathGlobFilter", glob).text(folder).withColumn("shard", F.regexp_replace(F.col("_metadata.file_name"), r"\.gz$", ""))
+    counted = rows.groupBy(F.col("shard").alias("name")).agg(F.count("*").alias("lines"))
+    shards = file_digests(spark, folder, glob).join(counted, "name", "left").select("name", "bytes", "sha256", F.coalesce("lines", F.lit(0)).alias("lines"))
+    sums = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("name", "sha256"))), lambda x: F.concat_ws("  ", x["sha256"], x["name"])), "\n")  # a line per file
+    merged = shards.agg(F.sum("bytes").alias("bytes"), F.sha2(sums, 256).alias("sha256"), F.sum("lines").alias("lines")).select(F.lit("MERGED").alias("name"), "bytes", "sha256", "lines")
+    return rows, shards.unionByName(merged)
 
 
 def write_table(df: DataFrame, path: str, form: str = "parquet", by: tuple[str, ...] = ()) -> None:
@@ -110,10 +148,28 @@ def write_table(df: DataFrame, path: str, form: str = "parquet", by: tuple[str,
     (w.option("header", True) if form == "csv" else w).save(path)
 
 
-def write_metrics(metrics: DataFrame, path: str) -> None:
-    """A metric table as JSON lines with sorted keys."""
-    metrics.select(F.to_json(F.struct(*sorted(metrics.columns))).alias("value")).write.mode("overwrite").text(path)
+def nested(metrics: DataFrame, path: str = "path", value: str = "value") -> DataFrame:
+    """One row with a nested JSON record of (path, value) rows; parts of a path are split at dots, keys are sorted. A record is small."""
+    def pack(batches):  # noqa: ANN001, ANN202
+        import json
 
+        import pandas as pd
 
-def text_schema(names: tuple[str, ...]) -> StructType:
-    return StructType([StructField(n, StringType()) for n in names])
+        for b in batches:
+            for rows in b["rows"]:
+                out: dict = {}
+                for r in rows:
+                    at, keys = out, r["path"].split(".")
+                    for k in keys[:-1]:
+                        at = at.setdefault(k, {})
+                    at[keys[-1]] = None if r["value"] is None or r["value"] != r["value"] else r["value"]
+                yield pd.DataFrame({"value": [json.dumps(out, sort_keys=True)]})
+
+    rows = metrics.agg(F.sort_array(F.collect_list(F.struct(F.col(path).alias("path"), F.col(value).cast("double").alias("value")))).alias("rows"))
+    return rows.mapInPandas(pack, "value string")
+
+
+def write_metrics(metrics: DataFrame, path: str) -> None:
+    """A (path, value) table as one nested JSON record; any other table as JSON lines with sorted keys."""
+    made = nested(metrics) if set(metrics.columns) == {"path", "value"} else metrics.select(F.to_json(F.struct(*sorted(metrics.columns))).alias("value"))
+    made.write.mode("overwrite").text(path)

@@ -11,9 +11,11 @@ _own: list[tempfile.TemporaryDirectory] = []
 
 
 def fresh_folder(spark: SparkSession, what: str) -> str:
-    """A new path under spark.checkpoint.dir, or, where that is unset (local runs), under a temporary folder of this process."""
+    """A new path under spark.checkpoint.dir. Where that is unset, under a temporary folder of this process, but only if all tasks run in it (master local)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         if not _own:
             _own.append(tempfile.TemporaryDirectory(prefix="panelyard-"))
         base = f"file://{_own[0].name}"

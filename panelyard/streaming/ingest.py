@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -27,9 +28,19 @@ def ingest(spark: SparkSession, folder: str, schema: StructType | str, out: str,
     return added[0]
 
 
-def screen_blocks(spark: SparkSession, folder: str, schema: StructType | str, screen: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str = "key", files_at_once: int = 1) -> None:
-    """Screens a library folder block by block; a key that an earlier block held is dropped (the stream's state holds the keys). Files in order give the
-    batch job's first rows."""
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).parquet(folder).dropDuplicates([key])
-    write = lambda batch, n: screen(batch).write.mode("overwrite").parquet(f"{out}/block={n}")
-    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def screen_blocks(spark: SparkSession, folder: str, schema: StructType | str, screen: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str = "key", order: str = "pos", files_at_once: int = 1) -> None:
+    """Screens a library folder block by block. Of the rows with a key the first of its first block stays (smallest `order`); files in order give the batch job's rows.
+
+    The keys of a block are a partition of a table beside the output, and a block that is run again replaces its own, so the result does not depend on failures."""
+
+    def land(batch: DataFrame, n: int) -> None:
+        keys = f"{out.rstrip('/')}-keys"
+        first = batch.groupBy(key).agg(F.min_by(F.struct(*[c for c in batch.columns if c != key]), order).alias("r")).select(key, "r.*")
+        if n:
+            earlier = batch.sparkSession.read.option("basePath", keys).parquet(*[f"{keys}/block={k}" for k in range(n)])
+            first = first.join(earlier.select(key), key, "left_anti")
+        first.select(key).write.mode("overwrite").parquet(f"{keys}/block={n}")
+        screen(first).write.mode("overwrite").parquet(f"{out}/block={n}")
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).parquet(folder)
+    stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from panelyard.functions import scalars as S
 from panelyard.operators import metrics as M
 from panelyard.operators import models as ML
+from panelyard.operators import ranking as K
 from panelyard.operators import records as R
 from panelyard.operators import scoring as G
 from panelyard.operators import screen as V
@@ -84,6 +85,7 @@ def test_support_verdicts(spark):
 
 def test_production_basis(spark):
     v = lambda *s: spark.createDataFrame([(f"p{i}", x) for i, x in enumerate(s)], "pair string, supported boolean")
+    assert A.production_basis(v(True, False, True)).first()["names"] == "p0,p2" and A.production_basis(v(True, False)).first()["unsupported"] == "p1"
     assert [A.production_basis(v(*s)).first()["basis"] for s in ((False, False), (True, False), (True, True))] == ["none", "supported_min", "all_min"]
     wide = spark.range(30).select(F.col("id").cast("string").alias("structure"), F.lit(1.0).alias("delta_T0_T1"))
     assert A.production_target(wide, "T0", []) is None and A.production_target(wide.limit(3), "T0", ["T1"]) is None and A.production_target(wide, "T0", ["T1"]).count() == 30
@@ -150,6 +152,16 @@ def test_completeness_fails_closed(spark):
         R.require_complete(R.completeness(spark.createDataFrame([], "target string"), spark.createDataFrame([], "target string, expected bigint")))
 
 
+def test_shapes_that_look_around(spark):
+    token = "ab_" + "x1" * 14
+    cases = [(1, token, ["opaque-token"]), (2, "z" + token[:2] + "cdef_" + "x1" * 14, []), (3, "ab_" + "x" * 40, []), (4, token + "-", ["opaque-token"]), (5, "me@users.noreply.example.com", []),
+             (6, "me@users.example.com me@users.noreply.example.com", ["non-noreply-email"]), (7, "/private/tmp/run-123456/x", ["machine-local-scratch"]), (8, "/tmp/run", []), (9, "token: " + "a" * 20, [])]
+    df = spark.createDataFrame([(i, t) for i, t, _ in cases], "doc_id int, text string")
+    got = L.scan(L.lines(df)).collect()
+    assert {i: sorted(r["name"] for r in got if r["doc_id"] == i) for i, _, _ in cases} == {i: w for i, _, w in cases}
+    assert all(token not in r["snippet"] for r in got) and [r["snippet"] for r in got if r["doc_id"] == 6] == ["<REDACTED> me@users.noreply.example.com"]
+
+
 def test_scan_redacts_and_allows(spark):
     df = spark.createDataFrame([(1, "ok\npassword = abcdefghijklmnopqrst\nexample password = abcdefghijklmnopqrst")], "doc_id int, text string")
     got = L.scan(L.lines(df), allow="^example").collect()
@@ -200,15 +212,78 @@ def test_snapshot_states(spark, tmp_path):
 
 
 def test_library_scan(spark, tmp_path):
+    import gzip
+
     (tmp_path / "lib.smi").write_text("CCO m1\n\nCCC\nCCN\tm3\n")
-    assert [tuple(r) for r in IO.read_library(spark, str(tmp_path / "lib.smi")).orderBy("pos").collect()] == [(0, "CCO", "m1"), (1, "CCC", "row1"), (2, "CCN", "m3")]
+    rows = IO.read_library(spark, str(tmp_path / "lib.smi")).orderBy("pos")
+    assert [tuple(r) for r in rows.collect()] == [(0, "CCO", "m1"), (2, "CCC", "row2"), (3, "CCN", "m3")]
+    assert IO.read_library(spark, str(tmp_path / "lib.smi"), cap=2).count() == 2 and IO.read_library(spark, str(tmp_path / "lib.smi"), cap=9).count() == 3
+    with gzip.open(tmp_path / "two.gz", "wt") as f:
+        f.write("ZINC1 CCO\nalone\nCCC zinc2\n\nZINC3 CCN\nZINC4 C\n")
+    got = IO.read_two_columns(spark, str(tmp_path / "two.gz"), "ZINC", start=1, n=2).orderBy("pos").collect()
+    assert [tuple(r) for r in got] == [(2, "zinc2", "CCC"), (4, "ZINC3", "CCN")]
+
+
+def test_library_pin(spark, tmp_path):
+    import hashlib
+
+    (tmp_path / "deck.smi").write_text("CCO m1\n")
+    sha = hashlib.sha256(b"CCO m1\n").hexdigest()
+    (tmp_path / "M").write_text(f"# shards\n{'0' * 64}  7  s1.smi  http://x/s1.smi\n{sha}  7  deck.smi  MERGED\n")
+    assert IO.verify_pin(spark, str(tmp_path / "deck.smi"), str(tmp_path / "M"))["sha256"] == sha
+    assert not IO.verify_pin(spark, str(tmp_path / "deck.smi"), None)["verified"]
+    (tmp_path / "other.smi").write_text("CCC\n")
+    with pytest.raises(ValueError):
+        IO.verify_pin(spark, str(tmp_path / "other.smi"), str(tmp_path / "M"))
+    (tmp_path / "deck.smi").write_text("changed\n")
+    with pytest.raises(ValueError):
+        IO.verify_pin(spark, str(tmp_path / "deck.smi"), str(tmp_path / "M"))
+
+
+def test_merged_shards(spark, tmp_path):
+    import gzip
+    import hashlib
+
+    (tmp_path / "a.smi").write_bytes(b"x\r\ny")  # no line end at the end
+    with gzip.open(tmp_path / "b.smi.gz", "wb") as f:
+        f.write(b"z\n")
+    rows, manifest = IO.merge_shards(spark, str(tmp_path), "*.smi*")
+    got = {r["name"]: (r["bytes"], r["sha256"], r["lines"]) for r in manifest.collect()}
+    sums = {"a.smi": hashlib.sha256(b"x\r\ny").hexdigest(), "b.smi": hashlib.sha256(b"z\n").hexdigest()}
+    assert got["a.smi"] == (4, sums["a.smi"], 2) and got["b.smi"] == (2, sums["b.smi"], 1)
+    assert got["MERGED"] == (6, hashlib.sha256("\n".join(f"{h}  {n}" for n, h in sums.items()).encode()).hexdigest(), 3) and rows.count() == 3
 
 
 def test_csv_read_and_write(spark, tmp_path):
     df = spark.createDataFrame([("IC50", "a,b"), ("Ki", None)], "standard_type string, canonical_smiles string")
     IO.write_table(df, str(tmp_path / "t"), "csv")
     back = IO.read_measurements(spark, str(tmp_path / "t"), "X")
-    assert sorted((r["standard_type"], r["canonical_smiles"], r["target"]) for r in back.collect()) == [("IC50", "a,b", "X"), ("Ki", None, "X")] or back.count() == 2
+    assert {(r["standard_type"], r["canonical_smiles"], r["target"]) for r in back.collect()} == {("IC50", "a,b", "X"), ("Ki", None, "X")}
+    IO.write_table(df.select(F.lit("A1").alias("assay_chembl_id")).limit(1), str(tmp_path / "assays"), "csv")
+    assays = IO.read_assays(spark, str(tmp_path / "assays"))
+    assert assays.columns == list(IO.ASSAY_FIELDS) and assays.first()["description"] is None and assays.first()["assay_chembl_id"] == "A1"
+
+
+def test_nested_records_round_trip(spark, tmp_path):
+    import json
+
+    flat = spark.createDataFrame([("a.b.c", 1.5), ("a.d", None), ("e", 2.0)], "path string, value double")
+    IO.write_metrics(flat, str(tmp_path / "m"))
+    (line,) = [r[0] for r in spark.read.text(str(tmp_path / "m")).collect()]
+    assert json.loads(line) == {"a": {"b": {"c": 1.5}, "d": None}, "e": 2.0}
+    nested = spark.createDataFrame([((1, True, ("t", 2.5)),)], "record struct<n:int,ok:boolean,in:struct<text:string,x:double>>")
+    got = {r["path"]: (r["value"], r["flag"]) for r in R.leaves(nested).collect()}
+    assert got == {"n": (1.0, None), "ok": (None, True), "in.x": (2.5, None)}
+    other = R.leaves(spark.createDataFrame([((1, False, ("t", 2.5)),)], nested.schema))
+    assert [(r["path"], r["kind"]) for r in R.metric_diff(R.leaves(nested), other, flag="flag").collect()] == [("ok", "bool")]
+
+
+def test_decisions_and_manifest(spark):
+    v = spark.createDataFrame([("a", True, 3, "x"), ("b", False, 4, "y")], "pair string, supported boolean, n bigint, reasons string")
+    d = R.decisions(v)
+    assert {(r["path"], r["value"]) for r in d.collect()} == {("a.supported", 1.0), ("a.n", 3.0), ("b.supported", 0.0), ("b.n", 4.0)}
+    assert R.metric_diff(d, R.decisions(v.withColumn("n", F.col("n") + 1)), 0.0).count() == 2
+    assert {r["section"] for r in R.run_manifest(inputs=v, gates=d).collect()} == {"inputs", "gates"}
 
 
 def test_ingest_resumes(spark, tmp_path):
@@ -226,3 +301,114 @@ def test_acquisition_never_repeats(spark):
     pool = spark.range(40).select("id", (F.col("id") / 40.0).alias("score_geo"), (1 - F.col("id") / 40.0).alias("sim"))
     h = G.acquisition_rounds(pool, pool.select("id", F.col("score_geo").alias("measured")), 3, 5)
     assert h.count() == 15 and h.select("id").distinct().count() == 15
+
+
+def test_quantiles_equal_numpy(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows = [(int(g), None if x > 0.98 else float(np.round(x, 2))) for g, x in zip(rng.integers(0, 4, 900), rng.random(900))] + [(9, None), (10, 5.0)]
+    df = spark.createDataFrame(rows, "g int, x double").repartition(5)
+    got = {r["g"]: (r["a"], r["b"], r["c"]) for r in K.quantiles(df, "x", {"a": 0.5, "b": 0.05, "c": 1.0}, ("g",)).collect()}
+    for g in (0, 1, 2, 3, 10):
+        v = [x for k, x in rows if k == g and x is not None]
+        assert np.allclose(got[g], np.quantile(v, [0.5, 0.05, 1.0]))
+    assert 9 not in got and K.quantiles(df.where("g = 9"), "x", {"a": 0.5}).count() == 0
+    every = sorted(x for _, x in rows if x is not None)
+    assert [K.kth(df, "x", i) for i in (0, 300, len(every) - 1)] == [every[0], every[300], every[-1]]
+
+
+def test_quantiles_of_skewed_values_are_not_one_window(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") == 0, 1e12).otherwise(F.col("id") / 20_000.0).alias("x"))
+    assert abs(K.quantiles(df, "x", {"m": 0.5}).first()["m"] - 0.500025) < 1e-4
+    got = P.scrambled(spark.range(3_000).select(F.when(F.col("id") == 0, 10**12).otherwise(F.col("id")).alias("id"), F.col("id").alias("y")))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert got.select("y_scrambled").distinct().count() == 3_000 and "Window [" in plan and "_part" in plan
+
+
+def test_ranked_and_running(spark):
+    df = spark.createDataFrame([(g, v) for g in ("a", None) for v in range(50)], "g string, v int").repartition(4)
+    got = {(r["g"], r["v"]): (r["r"], r["s"]) for r in K.running(K.ranked(df, ["g"], [F.col("v").desc()], "r"), ["g"], [F.col("v")], {"v": "s"}).collect()}
+    assert all(got[g, v] == (50 - v, v * (v + 1) // 2) for g in ("a", None) for v in range(50))
+
+
+def test_folds_follow_one_rule(spark):
+    df = spark.range(400).select("id", F.when(F.col("id") < 200, 0).otherwise(F.col("id")).alias("grp"))
+    got = P.group_folds(df, k=5).groupBy("fold").agg(F.countDistinct("grp").alias("n")).collect()
+    assert {r["n"] for r in got} <= {40, 41} and len(got) == 5
+
+
+def test_best_matches_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    bits = lambda: sorted(rng.sample(range(200), rng.choice([0, 1, 3, 10, 30, 60])))
+    q, r = [(i, bits(), i % 3) for i in range(60)], [(i, bits(), i % 3, rng.randrange(1, 8)) for i in range(80)]
+    r += [(200 + i, q[i][1], q[i][2], 1) for i in range(5)]
+    qd = spark.createDataFrame(q, "id bigint, bits array<int>, apart int")
+    rd = spark.createDataFrame(r, "id bigint, bits array<int>, apart int, sets bigint")
+    for other in (False, True):
+        make = (lambda d: d) if other else (lambda d: d.withColumn("apart", F.lit(None).cast("int")))
+        got = {(x["q"], x["k"]): (x["similarity"], x["r"]) for x in N.best_matches(make(qd), make(rd), 3).collect()}
+        for i, b, g in q:
+            for k in range(3):
+                s = [(round(len({*b} & {*c}) / len({*b} | {*c}), 9), -j) for j, c, h, m in r if m >> k & 1 and {*b} & {*c} and not (other and g == h)]
+                assert got.get((i, k)) == ((max(s)[0], -max(s)[1]) if s else None)
+
+
+def test_screen_library_and_skip(spark):
+    lib = spark.createDataFrame([(1, [1, 2, 3]), (2, None), (3, [9])], "id bigint, bits array<int>")
+    refs = spark.createDataFrame([(10, [1, 2, 3], "train"), (10, [1, 2, 3], "known"), (11, [1, 2], "actives")], "id bigint, bits array<int>, set_name string")
+    predict = lambda d: d.withColumns({"prediction": F.lit(9.0), "delta": F.lit(None).cast("double")})
+    got = {r["id"]: r for r in V.screen_library(lib, refs, predict).collect()}
+    assert (got[1]["sim_train"], got[1]["sim_actives"], got[1]["sim_known"], got[1]["closest"], got[1]["priority"], got[1]["known_reference"]) == (1.0, round(2 / 3, 9), 1.0, 10, "none", True)
+    assert (got[2]["stratum"], got[2]["priority"], got[2]["prediction"], got[2]["sim_train"], got[2]["parsed"]) == ("unparseable", "unparseable", None, None, False)
+    assert (got[3]["sim_train"], got[3]["closest"], got[3]["stratum"], got[3]["priority"]) == (0.0, None, "S3_far_novel", "abstain_out_of_ad")
+    status, out = V.screen_or_skip(False, lib, lambda x: x, spark)
+    assert status.first()["status"] == "skipped" and out is None
+    assert V.screen_or_skip(True, None, lambda x: x, spark)[0].first()["reason"] == "enabled=true, library=absent"
+    status, out = V.screen_or_skip(True, lib, lambda x: x, spark)
+    assert status.first()["status"] == "ran" and out.count() == 3
+
+
+def test_ceiling_notes(spark):
+    refs = lambda n: spark.range(n).select(F.lit(1.0).alias("mw"))
+    assert V.ceiling_notes(refs(4)).first()["caveat"] is None and "only 3" in V.ceiling_notes(refs(3)).first()["caveat"] and V.ceiling_notes(refs(0)).first()["margin"] == 0.15
+
+
+def test_arms_agree_where_they_must(spark):
+    """Least squares is linear in the label, so the direct arm and the subtract arm predict alike."""
+    df = spark.range(200).select("id", (F.col("id") % 4).alias("fold"), (F.col("id") % 17 / 3.0).alias("x"), (F.col("id") % 17 * 2.0 + F.col("id") % 5).alias("a"), (F.col("id") % 11 / 7.0).alias("b"))
+    lines = ML.linear_arms(df).collect()
+    assert all(abs(r["p_direct"] - r["p_subtract"]) < 1e-9 for r in lines)
+    from pyspark.ml.regression import LinearRegression
+
+    ols = lambda y: LinearRegression(labelCol=y, featuresCol="features", predictionCol="p", solver="normal")
+    fitted = ML.delta_arms(ML.with_features(df, numbers=("x",)), {"direct": ("direct", ols), "subtract": ("subtract", ols)}, folds=4).collect()
+    said = {(r["arm"], r["id"]): r["p"] for r in fitted}
+    assert len(said) == 400 and all(abs(said["direct", r["id"]] - r["p_direct"]) < 1e-6 and abs(said["subtract", r["id"]] - r["p_direct"]) < 1e-6 for r in lines)
+    with pytest.raises(ValueError):
+        ML.delta_arms(ML.with_features(df, numbers=("x",)), {"x": ("other", ols)}, folds=1)
+
+
+def test_plug_ins(spark):
+    made = N.bits_by(spark.createDataFrame([(1, "abc"), (2, None)], "id int, key string"), lambda v: [None if x is None else sorted({ord(c) % 7 for c in x}) for x in v], "key")
+    assert {r["id"]: r["bits"] for r in made.collect()} == {1: [0, 1, 6], 2: None}
+    source = lambda s, n: s.range(n * 2).select("id", F.concat(F.lit("k"), F.col("id") % 6).alias("key"))
+    assert [(r["id"], r["key"]) for r in G.sampled(source, spark, 5).collect()] == [(i, f"k{i}") for i in range(5)]
+    with pytest.raises(ValueError):
+        G.sampled(lambda s, n: s.range(n), spark, 5)
+    calls = []
+    pool = spark.range(20).select("id", (F.col("id") / 20.0).alias("sim"))
+    retrain = lambda h: calls.append(h.count()) or (lambda d: d.withColumn("score_geo", -F.col("sim")))
+    h = G.acquisition_rounds(pool, pool.select("id", F.col("sim").alias("measured")), 2, 3, ("exploit",), score=lambda d: d.withColumn("score_geo", F.col("sim")), retrain=retrain)
+    assert sorted((r["round"], r["id"]) for r in h.collect()) == [(0, 17), (0, 18), (0, 19), (1, 0), (1, 1), (1, 2)] and calls == [3, 6]
+    assert [r["n"] for r in G.round_trace(h).orderBy("round").collect()] == [3, 3]
+
+
+def test_weighted_fit_and_carried_columns(spark):
+    df = P.group_weights(spark.range(60).select("id", (F.col("id") < 50).cast("string").alias("grp"), (F.col("id") % 5).cast("double").alias("x"), (F.col("id") < 50).cast("double").alias("y"), F.lit(1.5).alias("label_pre")))
+    rows = ML.with_features(df, numbers=("x",))
+    assert "label_pre" in rows.columns and rows.where("label_pre = 1.5").count() == 60
+    plain, weighted = (ML.forest(trees=5, depth=1, weight=w).fit(rows).transform(rows).agg(F.avg("p")).first()[0] for w in (None, "weight"))
+    assert weighted < plain - 0.1  # the small group counts as much as the large one

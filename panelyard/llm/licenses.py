@@ -1,14 +1,18 @@
 """License scans: a trained paragraph classifier, confirmed by comparison with templates.
 
-Paragraphs are lines; one of more than WINDOW words is read in overlapping windows. Features are hashed one- and two-word
-n-grams of lower-cased letters and digits. A multinomial logistic regression (MLlib) learns the families from variants of the
-fixed notices below, and the class `unknown` from fixed sentences and from lines of at most SAMPLE_DOCS documents (those
-with the smallest id hashes; the documented bound of the fit). A third of the variants is held out to fit the temperature of the
-probabilities. A paragraph is of a family if the calibrated probability is at least CONFIDENCE and a notice
-of the family confirms it: a share of at least OVERLAP of the two-word n-grams of the shorter one.
+A paragraph is a run of lines that hold words; it is read in overlapping windows of several lengths (WINDOWS words), across its line
+ends, and so is each of its lines. Features are hashed one- and two-word n-grams of lower-cased letters and digits. A multinomial
+logistic regression (MLlib) learns the families from variants of the fixed notices below, and the class `unknown` from fixed
+sentences and from the sample. Every third notice of a family is left out of a first fit, and the temperature of the
+probabilities is fitted on those, so it is calibrated on wordings that were not trained on; the second fit has them all.
 
-Nothing can be confirmed without a two-word n-gram of some notice (CUES), so paragraphs with none are `unknown` without being scored; this
-changes no result. A title line such as `MIT License` has just one. All lines of all whole texts are scanned.
+Every window of every text is scored; nothing is left out beforehand. A window is of a family if the calibrated
+probability is at least CONFIDENCE and a notice of the family confirms it: a share of at least OVERLAP of the two-word
+n-grams of the shorter of the two, and no notice of another family shares more with the window. Of findings that overlap
+in their shared words the one that shares most counts, so a whole notice goes before a line of it.
+
+The sample is the bound of the fit: at most SAMPLE_DOCS documents (smallest hashes of id and text), of each the SAMPLE_LINES lines
+with the smallest hashes, and of all their windows the NEGATIVES with the smallest hashes that no notice would confirm.
 
 Defined cases: null, empty and blank texts have no paragraphs. Repeated rows give equal rows. Extra columns are not read. If the
 documents give no lines, the fixed sentences alone are the unknown class.
@@ -16,7 +20,7 @@ documents give no lines, the fixed sentences alone are the unknown class.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,14 +33,14 @@ from pyspark.sql import functions as F
 
 from .common import U64, hashed_words, mix, passes, table
 
-WINDOW = 64
-DIMENSIONS = 1 << 14
-SAMPLE_DOCS = 400
+#: Words of a window, by scale; windows of a scale begin every half window. The first is the longest.
+WINDOWS = (64, 32, 16)
+WINDOW, STRIDE = WINDOWS[0], WINDOWS[0] // 2
+DIMENSIONS = 1 << 13
+ITERATIONS = 25
+SAMPLE_DOCS, SAMPLE_LINES, NEGATIVES = 400, 200, 2000
 CONFIDENCE = 0.6
 OVERLAP = 0.6
-CUES = 1
-#: Lines with so many are no examples of the unknown class.
-NOTICE_CUES = 2
 UNKNOWN = "unknown"
 
 # Notices of licence families, in the wording that their publishers give or that files commonly carry.
@@ -72,6 +76,23 @@ NOTICES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain.", "Released under the Unlicense."],
     "Proprietary": ["All rights reserved.", "Unauthorized copying of this file, via any medium, is strictly prohibited.", "This software is proprietary and confidential."],
 }
+# Titles of the families.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License (MIT)"],
+    "Apache-2.0": ["Apache License", "Apache License, Version 2.0"],
+    "GPL": ["GNU General Public License", "GNU GPL"],
+    "LGPL": ["GNU Lesser General Public License", "GNU LGPL"],
+    "AGPL": ["GNU Affero General Public License", "GNU AGPL"],
+    "BSD": ["BSD License", "BSD 3-Clause License", "BSD 2-Clause License"],
+    "MPL-2.0": ["Mozilla Public License", "Mozilla Public License Version 2.0"],
+    "ISC": ["ISC License"],
+    "CC-BY": ["Creative Commons Attribution 4.0 International", "CC BY 4.0"],
+    "CC-BY-SA": ["Creative Commons Attribution-ShareAlike 4.0 International", "CC BY-SA 4.0"],
+    "CC-BY-NC": ["Creative Commons Attribution-NonCommercial 4.0 International", "CC BY-NC 4.0"],
+    "CC0": ["CC0 1.0 Universal", "Creative Commons Zero"],
+    "Unlicense": ["The Unlicense"],
+    "Proprietary": ["All rights reserved", "Proprietary and confidential"],
+}
 # Sentences with words of licences that grant nothing.
 PLAIN = [
     "The driver must show a valid license at the gate.", "Her fishing license was renewed in the spring.", "He read the public notice and the terms of the offer.", "The version of the story that was released last year is longer.",
@@ -106,8 +127,23 @@ def line_grams(lines: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, pairs, ends
 
 
-def _features(words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    return np.unique(np.concatenate([words, pairs[pairs != 0]]) % U64(DIMENSIONS)).astype(np.int64)
+def _features(words: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashed features, their values): counts over the root of their sum."""
+    at, n = np.unique(np.concatenate([words, pairs[pairs != 0]]) % U64(DIMENSIONS), return_counts=True)
+    return at.astype(np.int64), n / np.sqrt(max(1, n.sum()))
+
+
+def spans_of(begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of all scales over spans of words; a span that fits in a window of a scale is one, and has none of the longer scales but the longest."""
+    first, last = [], []
+    for size in WINDOWS:
+        some = (ends - begins > size) | (size == WINDOWS[0])
+        a, z = begins[some], ends[some]
+        n = np.maximum(1, -(-(z - a - size) // (size // 2)) + 1)
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        first.append(np.repeat(a, n) + size // 2 * nth)
+        last.append(np.minimum(first[-1] + size, np.repeat(z, n)))
+    return np.concatenate(first), np.concatenate(last)
 
 
 @dataclass
@@ -117,27 +153,59 @@ class Model:
     bias: np.ndarray
     temperature: float
     notices: list[tuple[int, np.ndarray]]
-    cues: np.ndarray
-
-    def probabilities(self, features: np.ndarray) -> np.ndarray:
-        z = (self.weights[:, features].sum(1) + self.bias) / self.temperature
-        e = np.exp(z - z.max())
-        return e / e.sum()
-
-    def family(self, words: np.ndarray, pairs: np.ndarray) -> int:
-        """Index of the confirmed family; that of the unknown class otherwise."""
-        p = self.probabilities(_features(words, pairs))
-        unknown = len(self.families) - 1
-        best = int(p.argmax())
-        if best == unknown or p[best] < CONFIDENCE:
-            return unknown
-        own = np.unique(pairs[pairs != 0])
-        share = max(len(np.intersect1d(own, grams)) / max(1, min(len(own), len(grams))) for f, grams in self.notices if f == best)
-        return best if share >= OVERLAP else unknown
 
-
-def _variants(sentence: str, rng: np.random.Generator, n: int) -> list[str]:
-    """The sentence, and n forms of it: words dropped, cut at the end, words around it."""
+    def probabilities(self, words: np.ndarray, pairs: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Calibrated class probabilities of windows [first, last) of words, by running sums of their features' weights."""
+        ones, twos = (np.concatenate([np.zeros((1, len(self.bias))), np.cumsum(w, axis=0)]) for w in
+                      (self.weights.T[(words % U64(DIMENSIONS)).astype(np.int64)], np.where((pairs != 0)[:, None], self.weights.T[(pairs % U64(DIMENSIONS)).astype(np.int64)], 0)))
+        some = np.concatenate([[0], np.cumsum(pairs != 0)])
+        n = last - first + some[last - 1] - some[first]
+        z = (ones[last] - ones[first] + twos[last - 1] - twos[first]) / np.sqrt(n)[:, None] + self.bias
+        z = (z - z.max(axis=1, keepdims=True)) / self.temperature
+        e = np.exp(z)
+        return e / e.sum(axis=1, keepdims=True)
+
+    def confirmed(self, pairs: np.ndarray, family: int) -> np.ndarray | None:
+        """Positions of the n-grams that the family's closest notice shares with a window; None if none confirms it."""
+        own = np.unique(pairs[pairs != 0])
+        best, shared, other = None, 0, 0
+        for f, grams in self.notices:
+            common = len(np.intersect1d(own, grams, assume_unique=True))
+            if f != family:
+                other = max(other, common)
+            elif common > shared and common >= OVERLAP * min(len(own), len(grams)):
+                best, shared = grams, common
+        return np.flatnonzero(np.isin(pairs, best)) if best is not None and shared >= other else None
+
+    def find(self, words: np.ndarray, pairs: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(first and last shared word, family, shared n-grams) of confirmed windows that do not overlap, in text order."""
+        if not len(first):
+            return []
+        p = self.probabilities(words, pairs, first, last)
+        best = p.argmax(1)
+        found = []
+        for u in np.flatnonzero((best != len(self.families) - 1) & (p.max(1) >= CONFIDENCE)).tolist():
+            a, z = int(first[u]), int(last[u])
+            hit = self.confirmed(pairs[a : z - 1], int(best[u]))
+            if hit is not None:
+                found.append((a + int(hit[0]), a + int(hit[-1]) + 1, int(best[u]), len(hit)))
+        out: list[tuple[int, int, int, int]] = []
+        taken = np.zeros(len(words), bool)
+        for x in sorted(found, key=lambda x: (-x[3], x)):
+            if not taken[x[0] : x[1] + 1].any():
+                taken[x[0] : x[1] + 1] = True
+                out.append(x)
+        return sorted(out)
+
+    def family(self, text: str) -> str:
+        """Family of a text as one window."""
+        words, pairs, _ = line_grams(pa.array([text]))
+        found = self.find(words, pairs, np.array([0]), np.array([len(words)])) if len(words) else []
+        return self.families[found[0][2]] if found else UNKNOWN
+
+
+def _variants(sentence: str, rng: np.random.Generator, n: int, around: list[str]) -> list[str]:
+    """The sentence, and n forms of it: words dropped, cut at the end, words or other text around it."""
     words = sentence.split()
     out = [sentence]
     for _ in range(n):
@@ -146,40 +214,59 @@ def _variants(sentence: str, rng: np.random.Generator, n: int) -> list[str]:
             w = w[: int(rng.integers(8, len(w) + 1))]
         if rng.random() < 0.3:
             w = [*(["Copyright", "2020", "the", "authors."] if rng.random() < 0.5 else ["Note:"]), *w]
+        if around and rng.random() < 0.5:
+            more = around[int(rng.integers(len(around)))].split()[: int(rng.integers(max(0, WINDOW - len(w)) + 1))]
+            at = int(rng.integers(len(more) + 1))
+            w = [*more[:at], *w, *more[at:]]
         out.append(" ".join(w))
     return out
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS, seed: int = 1) -> Model:
-    """The classifier, its temperature and the notices. Reads at most sample_docs texts to the driver, the first 200 lines of each."""
+def _sample(docs: DataFrame, doc_id: str, text: str, sample_docs: int, sample_lines: int) -> list[str]:
+    """Lines of the sample's documents. Hashes of id and text order them, so rows that tie are equal."""
+    hashed = docs.where(F.col(text).isNotNull()).select(F.xxhash64(F.col(doc_id), F.col(text)).alias("h"), F.col(text).alias("t"))
+    cut = hashed.select("h").orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
+    if cut is None:
+        return []
+    by_hash = F.array_sort(F.transform(F.split("t", "\n"), lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x"))))
+    rows = hashed.where(F.col("h") <= cut).limit(sample_docs).select(F.slice(by_hash, 1, sample_lines)["x"].alias("lines")).collect()
+    return [x for r in rows for x in r["lines"] if x.strip()]
+
+
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES, negatives: int = NEGATIVES, seed: int = 1) -> Model:
+    """The classifier, its temperature and the notices. Reads at most sample_docs x sample_lines lines to the driver and learns from at most `negatives` windows of them."""
     spark = docs.sparkSession
     families = [*NOTICES, UNKNOWN]
+    unknown = len(NOTICES)
     rng = np.random.default_rng(seed)
-    notices, cues = [], []
-    for k, name in enumerate(NOTICES):
-        for sentence in NOTICES[name]:
-            _, pairs, _ = line_grams(pa.array([sentence]))
-            notices.append((k, np.unique(pairs[pairs != 0])))
-            cues.append(notices[-1][1])
-    cue = np.unique(np.concatenate(cues))
-    # the hashes' cut first, from ids alone: a task sends sample_docs numbers, and only the chosen texts come to the driver
-    hashed = docs.where(F.col(text).isNotNull()).select(F.xxhash64(F.col(doc_id)).alias("h"), F.col(text).alias("t"))
-    cut = hashed.select("h").orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
-    drawn = hashed.where(F.col("h") <= cut).limit(sample_docs).select(F.slice(F.split("t", "\n"), 1, 200).alias("lines")).collect() if cut is not None else []
-    lines = [x for r in drawn for x in r["lines"] if x.strip()]
-    words, pairs, ends = line_grams(pa.array(lines, pa.string()))
-    hits = np.concatenate([[0], np.cumsum(np.isin(pairs, cue))])
-    negatives = [x for x, a, b in zip(lines, np.concatenate([[0], ends[:-1]]), ends) if hits[b] - hits[a] < NOTICE_CUES] if lines else []
-    examples = [(v, k, i % 3 == 2) for k, name in enumerate(NOTICES) for s in NOTICES[name] for i, v in enumerate(_variants(s, rng, 23))]
-    examples += [(v, len(NOTICES), i % 3 == 2) for s in PLAIN for i, v in enumerate(_variants(s, rng, 11))]
-    examples += [(v, len(NOTICES), i % 3 == 2) for i, v in enumerate(negatives[:2000])]
-    grams = [line_grams(pa.array([v])) for v, _, _ in examples]
-    feats = [_features(w, p) for w, p, _ in grams]
-    rows = [(float(k), Vectors.sparse(DIMENSIONS, f.tolist(), [1.0] * len(f))) for f, (_, k, held) in zip(feats, examples) if not held]
-    trained = LogisticRegression(family="multinomial", regParam=1e-4, maxIter=40, standardization=False).fit(spark.createDataFrame(rows, ["label", "features"]).coalesce(2))
-    weights, bias = trained.coefficientMatrix.toArray(), trained.interceptVector.toArray()
-    model = Model(families, weights, bias, 1.0, notices, cue)
-    held = [(weights[:, f].sum(1) + bias, k) for f, (_, k, h) in zip(feats, examples) if h]
+    sentences = [(k, s, i % 3 == 2) for k, name in enumerate(NOTICES) for i, s in enumerate(NOTICES[name])] + [(k, s, False) for k, name in enumerate(NOTICES) for s in TITLES[name]]
+    notices = []
+    for k, sentence, _ in sentences:
+        _, pairs, _ = line_grams(pa.array([sentence]))
+        notices.append((k, np.unique(pairs[pairs != 0])))
+    model = Model(families, np.zeros((unknown + 1, DIMENSIONS)), np.zeros(unknown + 1), 1.0, notices)
+    found = set()
+    for line in sorted(set(_sample(docs, doc_id, text, sample_docs, sample_lines))):
+        w = line.split()
+        found |= {" ".join(w[i : i + WINDOW]) for i in range(0, max(1, len(w) - STRIDE), STRIDE)}
+    plain = []
+    for piece in sorted(found, key=lambda x: (hash_of(x), x)):
+        _, pairs, _ = line_grams(pa.array([piece]))
+        if len(plain) < negatives and all(model.confirmed(pairs, k) is None for k in range(unknown)):
+            plain.append(piece)
+    examples = [(v, k, held) for k, s, held in sentences for v in _variants(s, rng, 23, plain)]
+    examples += [(v, unknown, i % 3 == 2) for s in PLAIN for i, v in enumerate(_variants(s, rng, 11, []))]
+    examples += [(v, unknown, i % 3 == 2) for i, v in enumerate(plain)]
+    feats = [_features(*line_grams(pa.array([v]))[:2]) for v, _, _ in examples]
+
+    def train(wanted: Callable[[bool], bool]) -> None:
+        rows = [(float(k), Vectors.sparse(DIMENSIONS, f.tolist(), x.tolist())) for (f, x), (_, k, held) in zip(feats, examples) if wanted(held)]
+        estimator = LogisticRegression(family="multinomial", regParam=1e-4, maxIter=ITERATIONS, standardization=False)
+        trained = estimator.fit(spark.createDataFrame(rows, ["label", "features"]).coalesce(2))
+        model.weights, model.bias = trained.coefficientMatrix.toArray(), trained.interceptVector.toArray()
+
+    train(lambda held: not held)
+    held = [(model.weights[:, f] @ x + model.bias, k) for (f, x), (_, k, h) in zip(feats, examples) if h]
     z, y = np.array([x for x, _ in held]), np.array([k for _, k in held])
 
     def loss(t: float) -> float:
@@ -188,33 +275,50 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs
         return float(np.mean(np.log(np.exp(s).sum(1)) - s[np.arange(len(y)), y]))
 
     model.temperature = min(np.geomspace(0.25, 8, 61), key=loss)
+    train(lambda held: True)
     return model
 
 
-def scan_lines(model: Model, texts: pa.Array) -> list[tuple[int, list[tuple[int, int]]]]:
-    """For each text: paragraphs with a word, and (line number from 0, family) of the confirmed ones."""
+def hash_of(text: str) -> int:
+    """A hash that does not change from one process to the next."""
+    import xxhash
+
+    return xxhash.xxh64_intdigest(text)
+
+
+def scan_texts(model: Model, texts: pa.Array) -> list[tuple[int, int, list[tuple[int, int]]]]:
+    """For each text: paragraphs, paragraphs with a family, and (line number from 0, family) of what was found."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     lists = pc.split_pattern(texts, "\n")
-    first = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists)))])
+    doc_begins = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists)))]).astype(np.int64)
     words, pairs, ends = line_grams(lists.flatten())
     begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-    at = np.minimum(np.searchsorted(model.cues, pairs), len(model.cues) - 1)
-    hits = np.concatenate([[0], np.cumsum(model.cues[at] == pairs)])
-    found: dict[int, list[tuple[int, int]]] = {}
-    unknown = len(model.families) - 1
-    for line in np.flatnonzero(hits[ends] - hits[begins] >= CUES).tolist():
-        a, b = int(begins[line]), int(ends[line])
-        seen = set()
-        for s in range(a, max(a + 1, b - WINDOW // 2), WINDOW // 2):
-            e = min(b, s + WINDOW)
-            if hits[e] - hits[s] >= CUES:
-                cut = pairs[s:e].copy()
-                cut[-1] = 0
-                seen.add(model.family(words[s:e], cut))
-        doc = int(np.searchsorted(first, line, "right")) - 1
-        found.setdefault(doc, []).extend((line - int(first[doc]), f) for f in sorted(seen - {unknown}))
-    filled = np.concatenate([[0], np.cumsum(ends > begins)])
-    return [(int(filled[first[d + 1]] - filled[first[d]]), found.get(d, [])) for d in range(len(texts))]
+    if not len(words):
+        return [(0, 0, []) for _ in range(len(texts))]
+    filled = ends > begins
+    opens = filled.copy()
+    opens[1:] &= ~filled[:-1]
+    starts = np.zeros(len(filled) + 1, bool)
+    starts[doc_begins] = True
+    opens |= filled & starts[:-1]
+    paragraph = np.cumsum(opens) - 1  # of each line with words
+    first = begins[opens]
+    last = np.append(first[1:], len(words))
+    # pairs go on over a line's end, up to the end of the paragraph
+    inner = np.flatnonzero(pairs[:-1] == 0)
+    inner = inner[~np.isin(inner + 1, first)]
+    pairs[inner] = mix(words[inner] * U64(3) + mix(words[inner + 1]))
+    lines_in = np.bincount(paragraph[filled], minlength=len(first))
+    many = filled & (lines_in[np.maximum(paragraph, 0)] > 1)
+    a, z = spans_of(np.concatenate([first, begins[many]]), np.concatenate([last, ends[many]]))
+    out: list[tuple[set[int], list[tuple[int, int]]]] = [(set(), []) for _ in range(len(texts))]
+    for word, _, family, _ in model.find(words, pairs, a, z):
+        line = int(np.searchsorted(ends, word, "right"))
+        doc = int(np.searchsorted(doc_begins, line, "right")) - 1
+        out[doc][0].add(int(paragraph[line]))
+        out[doc][1].append((line - int(doc_begins[doc]), family))
+    n = np.concatenate([[0], np.cumsum(opens)])
+    return [(int(n[doc_begins[d + 1]] - n[doc_begins[d]]), len(p), f) for d, (p, f) in enumerate(out)]
 
 
 def find_licenses(docs: DataFrame, model: Model | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -224,10 +328,10 @@ def find_licenses(docs: DataFrame, model: Model | None = None, doc_id: str = "do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j in passes(b.column(1)):
-                got = scan_lines(model, b.column(1).slice(i, j - i))
-                named = [[(line, model.families[f]) for line, f in x] for _, x in got]
+                got = scan_texts(model, b.column(1).slice(i, j - i))
+                named = [[(line, model.families[f]) for line, f in x] for _, _, x in got]
                 cols = [
-                    b.column(0).slice(i, j - i), pa.array([n for n, _ in got], pa.int64()), pa.array([len({line for line, _ in x}) for x in named], pa.int64()),
+                    b.column(0).slice(i, j - i), pa.array([n for n, _, _ in got], pa.int64()), pa.array([n for _, n, _ in got], pa.int64()),
                     pa.array([",".join(dict.fromkeys(f for _, f in x)) for x in named], pa.string()), pa.array([",".join(f"{line}:{f}" for line, f in x) for x in named], pa.string()),
                 ]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_paragraphs", "n_licensed", "families", "places"])

@@ -40,6 +40,10 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+#: Characters from which a stretch is solved alone.
+LONG = 400
+
+
 @dataclass
 class Vocabulary:
     """Pieces, scores and the trie. codes: character -> trie label (from 1); base, check, piece: by trie state (0 is the root)."""
@@ -54,6 +58,12 @@ class Vocabulary:
     lowest: float
     single: np.ndarray
 
+    def lists(self) -> tuple[list, list, list, list]:
+        """base, check, piece and scores as lists, made once."""
+        if not hasattr(self, "_lists"):
+            self._lists = tuple(x.tolist() for x in (self.base, self.check, self.piece, self.scores))
+        return self._lists
+
     def label(self, points: np.ndarray) -> np.ndarray:
         return np.where(points < len(self.codes), self.codes[np.minimum(points, len(self.codes) - 1)], 0)
 
@@ -136,13 +146,13 @@ def load(path: str) -> Vocabulary:
 
 
 def viterbi(voc: Vocabulary, stretches: list[str]) -> list[bytes]:
-    """Best piece ids of each stretch, as little-endian 32-bit integers."""
-    out: list[bytes] = [b""] * len(stretches)
-    order = sorted(range(len(stretches)), key=lambda i: len(stretches[i]))
+    """Best piece ids of each stretch, as little-endian 32-bit integers. Short ones are solved together, a step of all at a time; long ones one by one."""
+    out = [_solve_long(voc, x) if len(x) > LONG else b"" for x in stretches]
+    order = sorted((i for i in range(len(stretches)) if len(stretches[i]) <= LONG), key=lambda i: len(stretches[i]))
     at = 0
     while at < len(order):
         end, longest = at, 0
-        while end < len(order) and end - at < 8192:  # rows times length stay bounded, but for a single long stretch
+        while end < len(order) and end - at < 8192:  # rows times length stay bounded
             longest = len(stretches[order[end]])
             if end > at and (end - at + 1) * longest > 400_000:
                 break
@@ -154,6 +164,36 @@ def viterbi(voc: Vocabulary, stretches: list[str]) -> list[bytes]:
     return out
 
 
+def _solve_long(voc: Vocabulary, text: str) -> bytes:
+    """Best piece ids of one stretch; the same steps and ties as `_solve`."""
+    base, check, piece, scores, size = *voc.lists(), len(voc.check)
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+    labels = voc.label(points).tolist()
+    alone = np.where(points < len(voc.single), voc.single[np.minimum(points, len(voc.single) - 1)], False).tolist()
+    n = len(labels)
+    best, came, by = [-np.inf] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+    best[0] = 0.0
+    for i in range(n):
+        here = best[i]
+        if not alone[i] and here + voc.lowest > best[i + 1]:
+            best[i + 1], came[i + 1], by[i + 1] = here + voc.lowest, i, -1
+        state = 0
+        for j in range(i, n):
+            label = labels[j]
+            to = base[state] + label
+            if not label or to >= size or check[to] != state:
+                break
+            state, p = to, piece[to]
+            if p >= 0 and here + scores[p] > best[j + 1]:
+                best[j + 1], came[j + 1], by[j + 1] = here + scores[p], i, p
+    ids: list[int] = []
+    at = n
+    while at > 0:
+        ids += [by[at]] if by[at] >= 0 else voc.byte_ids[list(text[at - 1].encode())].tolist()[::-1]
+        at = came[at]
+    return np.array(ids[::-1], "<u4").tobytes()
+
+
 def _solve(voc: Vocabulary, texts: list[str]) -> list[bytes]:
     m = len(texts)
     lengths = np.array([len(t) for t in texts])

@@ -138,6 +138,20 @@ def test_viterbi_is_best_and_reversible(text):
         assert abs(sum(VOC.scores[i] for i in ids if VOC.scores[i] > -np.inf) + VOC.lowest * len(raw) - _best(text)) < 1e-6
 
 
+def test_long_stretches_are_solved_alike_and_fast():
+    import time
+
+    rng = random.Random(51)
+    for letters in ("ab", "etaoinshrdlu", "aé▁中😀\0", "ABCDEFabcdef0123456789+/="):
+        for n in (1, 30, pieces.LONG + 1, 3_000):
+            text = "".join(rng.choice(letters) for _ in range(n))
+            assert pieces._solve_long(VOC, text) == pieces._solve(VOC, [text])[0]
+    text = "".join(rng.choice("ABCDEFGHabcdefgh0123456789+/") for _ in range(100_000))
+    began = time.process_time()
+    ids = np.frombuffer(pieces.Encoder(VOC).encode([text])[0], "<u4").tolist()
+    assert pieces.decode(VOC, ids) == text and time.process_time() - began < 5
+
+
 def test_pieces_on_edges(spark):
     got = {r["doc_id"]: r for r in pieces.encoded_and_back(docs_of(spark, EDGES)).collect()}
     assert all(r["round_trip"] for r in got.values()) and got[0]["n_pieces"] == got[1]["n_pieces"] == 0

@@ -28,7 +28,7 @@ import struct
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +66,33 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Chunks(dict):
+    """Ids of chunks, made when first asked for; chunks that are not asked for while CACHE // 2 others come are dropped."""
+
+    def __init__(self, make: Callable[[str], bytes | None]):
+        super().__init__()
+        self.make, self.old = make, {}
+        self.parts: dict[str, bytes] = {}
+
+    def __missing__(self, chunk: str) -> bytes | None:
+        ids = self.old[chunk] if chunk in self.old else self.make(chunk)
+        self[chunk] = ids
+        return ids
+
+    def part(self, text: str, make: Callable[[str], bytes]) -> bytes:
+        """Ids of a line end or of signs that follow a word."""
+        if text not in self.parts:
+            if len(self.parts) > CACHE // 2:
+                self.parts.clear()
+            self.parts[text] = make(text)
+        return self.parts[text]
+
+    def age(self) -> None:
+        if len(self) > CACHE // 2:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library. A text whose white space is single spaces and line ends falls
     into chunks that the byte-level pre-tokenizer never joins; a worker remembers chunks from one task to the next."""
@@ -91,59 +118,48 @@ class Encoder:
         self.width = 2 if max(self.tokenizer.get_vocab_size() - 1, end_id) < 1 << 16 else 4
         self.type = "H" if self.width == 2 else "I"
         self.end = array(self.type, [end_id]).tobytes()
-        self.known: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
         self.letters = _byte_letters()
         self.model = self.tokenizer.model
+        self.known = Chunks(self.ids_of)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array(self.type, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _word(self, word: str) -> bytes:
         """Ids of one pre-token; the library's model alone, without its pre-tokenizer."""
-        return array(self.type, [t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]).tobytes()
+        if word.isascii() and word[1:].isalpha():  # letters are written as themselves, and a space before them as its own sign
+            shown = self.letters[32] + word[1:] if word[0] == " " else word
+        else:
+            shown = word.encode().decode("latin-1").translate(self.letters)
+        return array(self.type, [t.id for t in self.model.tokenize(shown)]).tobytes()
 
-    def _learn(self, chunks: set[str]) -> None:
+    def ids_of(self, chunk: str) -> bytes | None:
         """A chunk stands for a space and itself; one that starts with a line end, or with the mark of a text's first chunk (a space, left off), has no
         space before it. None: the chunk's white space may join its neighbour's, so its text is encoded as a whole."""
-        known, old, odd = self.known, self.old, []
-        for chunk in chunks:
-            if chunk in old:
-                known[chunk] = old[chunk]
-                continue
-            text = chunk[1:] if chunk[:1] == " " else chunk if chunk[:1] == "\n" else " " + chunk
-            if m := _SIMPLE.fullmatch(text):
-                line, word, signs = m.groups()
-                key = word[1:] if word[0] == " " else " " + word
-                if (ids := known.get(key) or old.get(key)) is None:
-                    ids = known[key] = self._word(word)
-                for at, part in ((0, line), (1, signs)):
-                    if part:
-                        if (more := known.get("  " + part)) is None:
-                            more = known["  " + part] = self._word(part)
-                        ids = ids + more if at else more + ids
-                known[chunk] = ids
-            elif text in ("", " ", "\n") or _SPACE.search(text[1:] if text[0] in " \n" else text):
-                known[chunk] = None
-            else:
-                odd.append((chunk, text))
-        known.update(zip([c for c, _ in odd], self._whole([t for _, t in odd])))
+        text = chunk[1:] if chunk[:1] == " " else chunk if chunk[:1] == "\n" else " " + chunk
+        if m := _SIMPLE.fullmatch(text):
+            line, word, signs = m.groups()
+            if not line and not signs:
+                return self._word(word)
+            ids = self.known[word[1:] if word[0] == " " else " " + word]
+            if line:
+                ids = self.known.part(line, self._word) + ids
+            return ids + self.known.part(signs, self._word) if signs else ids
+        if text in ("", " ", "\n") or _SPACE.search(text[1:] if text[0] in " \n" else text):
+            return None
+        return self._whole([text])[0]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids and the end id, as bytes."""
-        added = [any(map(t.__contains__, self.added)) if t else False for t in texts]
-        parts = [(" " + ("" if a else t or "")).replace("\n", " \n").split(" ")[1:] for t, a in zip(texts, added)]
-        for x in parts:
-            x[0] = " " + x[0]
-        if len(self.known) > CACHE // 2:  # chunks that are met again move on to the new half
-            self.old, self.known = self.known, {}
-        self._learn({p for x in parts for p in x} - self.known.keys())
+        self.known.age()
         get, out, whole = self.known.__getitem__, [], []
-        for i, x in enumerate(parts):
-            if added[i]:
+        for i, t in enumerate(texts):
+            if t and any(map(t.__contains__, self.added)):
                 out.append(b"")
                 whole.append(i)
                 continue
+            x = (" " + (t or "")).replace("\n", " \n").split(" ")[1:]
+            x[0] = " " + x[0]
             try:
                 out.append(b"".join(map(get, x)) + self.end)
             except TypeError:  # a None
@@ -165,13 +181,15 @@ def file_ends(docs: DataFrame, file_chars: int = FILE_CHARS) -> list[int]:
     ranged = sizes.repartitionByRange("i", "tie").sortWithinPartitions("i").select("i", "n")
 
     def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = 0
+        have, last = 0, None
         for b in batches:
             upto = have + np.cumsum(b.column(1).to_numpy())
             if len(upto):
                 cut = np.flatnonzero(np.diff(upto // file_chars, prepend=have // file_chars))
-                have = int(upto[-1])
+                have, last = int(upto[-1]), b.column(0)[-1]
                 yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(cut))], ["i"])
+        if last is not None and have % file_chars > file_chars // 4:  # a small rest goes on in the next range
+            yield pa.RecordBatch.from_arrays([pa.array([last.as_py()], pa.int64())], ["i"])
 
     return sorted(r[0] for r in ranged.mapInArrow(ends, "i bigint").collect())  # an id per file
 

@@ -75,11 +75,16 @@ def text_label(description: Column, rules: tuple[tuple[str, str], ...] = RULES)
     return out.otherwise(UNMATCHED)
 
 
+def captured(text: Column, pattern: str) -> Column:
+    """What the first group of a pattern holds where it first matches, whatever the case; empty without a match or a text."""
+    return F.regexp_extract(F.coalesce(text, F.lit("")), f"(?i){pattern}", 1)
+
+
 def _structured_reason(s: Structured, has_metadata: Column) -> Column:
     text, fmt, kind = F.coalesce("description", F.lit("")), F.trim(F.coalesce("bao_format", F.lit(""))), F.upper(F.trim(F.coalesce("assay_type", F.lit(""))))
     out = F.when(~has_metadata, F.lit("structured metadata absent"))
     if s.tandem:
-        found = F.regexp_extract(text, f"(?i)({s.tandem})", 1)
+        found = captured(text, f"({s.tandem})")
         out = out.when(found != "", F.concat(F.lit("tandem-domain construct: "), found))
     named = F.lit(None).cast("string")
     for code, name in s.other_formats:

@@ -52,6 +52,16 @@ def panel(rows: DataFrame, cutoff: int | None = None) -> DataFrame:
     return rows.groupBy("target", "structure").agg(*aggs)
 
 
+#: Order of a finished panel's columns; others follow as they are.
+OUTPUT = ("target", "molecule_id", "structure", "label", "n", "year", "year_max", "source")
+
+
+def finished(panel_rows: DataFrame, constants: dict[str, object]) -> DataFrame:
+    """A panel with constant columns (which replace columns of their name), the known columns first and in order."""
+    rows = panel_rows.withColumns({c: F.lit(v) for c, v in constants.items()}) if constants else panel_rows
+    return rows.select([c for c in OUTPUT if c in rows.columns] + [c for c in rows.columns if c not in OUTPUT])
+
+
 def wide_panel(panel_rows: DataFrame, primary: str, comparators: list[str]) -> DataFrame:
     """A column per target, primary minus each comparator, and the least difference that is not null."""
     wide = panel_rows.groupBy("structure").pivot("target", [primary, *comparators]).agg(F.median("label"))

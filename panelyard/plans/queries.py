@@ -117,6 +117,12 @@ def _(spark, d):
     return rounded(_panel(spark, d), "label").select("target", "structure", "label", "n", "molecule_id", F.col("year").cast("bigint").alias("year"), F.col("year_max").cast("bigint").alias("year_max"))
 
 
+@query("curate_output", f"WITH {PANEL} SELECT target, structure, round(label, 6) AS label, n, 'tables' AS source FROM panel")
+def _(spark, d):
+    out = C.finished(rounded(_panel(spark, d), "label"), {"source": "tables"})
+    return out.select([c for c in out.columns if c not in ("molecule_id", "year", "year_max")])
+
+
 @query("era_split", f"""
 SELECT target, structure, round(median(label), 6) AS label, round(median(label) FILTER (year < {CUTOFF}), 6) AS label_pre, count(*) FILTER (year < {CUTOFF}) AS n_pre,
   round(median(label) FILTER (year >= {CUTOFF}), 6) AS label_post, count(*) FILTER (year >= {CUTOFF}) AS n_post FROM {{fx_curatable}} GROUP BY target, structure""")
@@ -218,7 +224,7 @@ def _(spark, d):
 
 @query("regex_capture", r"SELECT assay_id, regexp_extract(coalesce(description, ''), '(?i)(\bthe and\b|\bund die\b)', 1) AS found FROM {fx_assay}")
 def _(spark, d):
-    return view(spark, d, "fx_assay").select("assay_id", F.regexp_extract(F.coalesce("description", F.lit("")), r"(?i)(\bthe and\b|\bund die\b)", 1).alias("found"))
+    return view(spark, d, "fx_assay").select("assay_id", H.captured(F.col("description"), r"(\bthe and\b|\bund die\b)").alias("found"))
 
 
 @query("cohort_apply", f"WITH {SELECTION} SELECT a.pos, a.structure, a.assay_id FROM {{fx_activity}} AS a WHERE a.assay_id IN (SELECT assay_id FROM sel WHERE reason IS NULL)")

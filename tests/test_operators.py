@@ -412,3 +412,11 @@ def test_weighted_fit_and_carried_columns(spark):
     assert "label_pre" in rows.columns and rows.where("label_pre = 1.5").count() == 60
     plain, weighted = (ML.forest(trees=5, depth=1, weight=w).fit(rows).transform(rows).agg(F.avg("p")).first()[0] for w in (None, "weight"))
     assert weighted < plain - 0.1  # the small group counts as much as the large one
+
+
+def test_finished_panels_have_a_fixed_order(spark):
+    from panelyard.operators import curate as C
+
+    df = spark.createDataFrame([(1, "T0", 5.0, "s", "old")], "extra int, target string, label double, structure string, source string")
+    out = C.finished(df, {"source": "new", "cutoff": 1999})
+    assert out.columns == ["target", "structure", "label", "source", "extra", "cutoff"] and out.first()["source"] == "new"

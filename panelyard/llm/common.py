@@ -8,10 +8,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,16 +41,51 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go at the end of each query, not when the driver next collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def written(df: DataFrame, what: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, and a lost executor costs no recomputation."""
+    """df as a Parquet table in the shared folder: cuts the lineage, and a lost executor costs no recomputation. Shuffles that made it are dropped."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out
 
 
+def from_files(df: DataFrame) -> bool:
+    """Whether df's rows come from Parquet files, and so have places in them."""
+    try:
+        df.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return False
+    return True
+
+
+def numbered(df: DataFrame, row: str) -> DataFrame:
+    """df with a number of its own for each row, from 0, the same in every scan: rows of the files before it, by name, and its index in its
+    own file. Rows that do not come from Parquet files are written to some first."""
+    if not from_files(df):
+        df = written(df, "rows")
+    file, index, f, start = fresh([*df.columns, row], "_file", "_index", "_f", "_start")
+    rows = df.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(index))
+    earlier = Window.orderBy(f).rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    starts = rows.groupBy(F.col(file).alias(f)).agg(F.count("*").alias("n")).select(f, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(start))
+    both = rows.join(written(starts, "starts"), F.col(file) == F.col(f))
+    return both.select(*[rows[c] for c in df.columns], (F.col(start) + F.col(index)).alias(row))
+
+
 def forget(*tables: DataFrame | None) -> None:
     """Deletes tables made by `written` that nothing will read again; others are left alone."""
     for df in tables:

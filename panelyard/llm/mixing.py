@@ -32,12 +32,10 @@ from math import gcd, lcm
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import fresh, ranked, table, written
+from .common import fresh, from_files, numbered, ranked, table, written
 
 BLOCK = 16
 #: Target weights of the registered jobs: three favoured sources, the others at 1 (exact in a frame of the sum's length).
@@ -154,16 +152,10 @@ def in_mixed_order(docs: DataFrame, weights: Mapping[str | None, object] | None
 
 
 def stored_places(docs: DataFrame, place: str = "place") -> DataFrame:
-    """docs, as read from the files that `in_mixed_order` was written to, with each row's place (from 0): rows of the files before it, by
-    name, and its index in its own. Null for rows that do not come from Parquet files, which have no order."""
-    try:
-        rows = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_index"))
-    except AnalysisException:
-        return docs.withColumn(place, F.lit(None).cast("bigint"))
-    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
-    starts = rows.groupBy("_file").agg(F.count("*").alias("n")).select(F.col("_file").alias("_f"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_start"))
-    both = rows.join(written(starts, "starts"), F.col("_file") == F.col("_f"))
-    return both.select(*[rows[c] for c in docs.columns if c != place], (F.col("_start") + F.col("_index")).alias(place))
+    """docs, as read from the files that `in_mixed_order` was written to, with each row's place (from 0) in them. Null for rows that do not
+    come from files, which have no order."""
+    others = docs.drop(place)
+    return numbered(others, place) if from_files(docs) else others.withColumn(place, F.lit(None).cast("bigint"))
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,8 +12,8 @@ compared with all members, in blocks of bounded size that give back a spanning f
 links. So no link that a bucket proposes is lost, no pairs are emitted, and a bucket of n close
 copies costs about n comparisons.
 
-Rows are told apart by numbers of their own, given when the signed table is written, never by their ids, so repeated ids
-with different texts are documents like any others.
+Rows are told apart by numbers of their own, their places in the files that they are read from, never by their ids, so
+repeated ids with different texts are documents like any others.
 
 Defined cases: null, empty and blank texts have no windows and are classes of their own. Repeated rows are copies. A
 class is named by its smallest id that is not null (null if no row has one), and its kept row is the first by id (nulls
@@ -29,9 +29,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
 
-from .common import U64, components, forget, hashed_words, mix, passes, table, windows, written
+from .common import U64, components, forget, fresh, hashed_words, mix, numbered, passes, table, windows, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -39,7 +38,6 @@ BANDS, ROWS = 20, 4
 #: Most members on a side of a block of comparisons, and most cells that they hold.
 BLOCK, BLOCK_CELLS = 512, 2_000_000
 _STEP = U64(0x9E3779B97F4A7C15)
-_SIGNED = StructType().add("key", BinaryType()).add("weight", LongType()).add("bands", ArrayType(LongType()))
 
 
 def weighted_cells(texts: pa.Array, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -88,19 +86,15 @@ def dart_signatures(cells: np.ndarray, owner: np.ndarray, n: int, k: int) -> np.
     return out.reshape(n, k)
 
 
-def _signed(text: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows with a text in column number `text` -> the same columns, then key, weight, bands; key and bands null without windows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, j in passes(b.column(text)):
-                yield _sign(b.slice(i, j - i), text)
-
-    return run
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, id, text) -> (row, id, key, weight, bands); key and bands null without windows."""
+    for b in batches:
+        for i, j in passes(b.column(2)):
+            yield _sign(b.slice(i, j - i))
 
 
-def _sign(b: pa.RecordBatch, text: int) -> pa.RecordBatch:
-    texts = b.column(text)
+def _sign(b: pa.RecordBatch) -> pa.RecordBatch:
+    texts = b.column(2)
     cells, doc = weighted_cells(texts)
     n = len(b)
     weight = np.bincount(doc, minlength=n)
@@ -117,7 +111,7 @@ def _sign(b: pa.RecordBatch, text: int) -> pa.RecordBatch:
     keys = pa.array([x.tobytes() if h else None for x, h in zip(key, has)], pa.binary())
     at = np.concatenate([[0], np.cumsum(np.where(has, BANDS, 0))]).astype(np.int32)
     lists = pa.ListArray.from_arrays(pa.array(at), pa.array(band[has].reshape(-1).view(np.int64)))
-    return pa.RecordBatch.from_arrays([*b.columns, keys, pa.array(weight), lists], [*b.schema.names, "key", "weight", "bands"])
+    return pa.RecordBatch.from_arrays([b.column(0), b.column(1), keys, pa.array(weight), lists], ["row", "id", "key", "weight", "bands"])
 
 
 def similarities(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -226,27 +220,23 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return withed.select("a", "b", "ta", "tb").mapInArrow(_verified, "a bigint, b bigint")
 
 
-def _classed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The rows of docs under the names c0, c1, ..., with row (a number of its own), class_row (row number of the class's kept row),
-    class_id and copies (rows with the same windows)."""
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    text_at = docs.columns.index(text)
-    flat = docs.select("*", F.monotonically_increasing_id(), F.col(doc_id).cast("bigint")).toDF(*names, "row", "id")
-    schema = StructType([*flat.schema.fields, *_SIGNED.fields])
-    signed = written(flat.mapInArrow(_signed(text_at), schema), "signed")
+def _classed(rows: DataFrame) -> DataFrame:
+    """(row, id, text) -> (row, id, class_row (number of the class's kept row), class_id, copies (rows with the same windows))."""
+    signed = written(rows.mapInArrow(_signed, "row bigint, id bigint, key binary, weight bigint, bands array<bigint>"), "signed")
     first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "row", "weight", "bands")).alias("r")
     reps = written(signed.where("key IS NOT NULL").groupBy("key").agg(first, F.count("*").alias("copies")).select("key", "r.*", "copies"), "reps")
-    roots = _roots(signed.select("row", F.col(names[text_at]).alias("text")), reps)
+    roots = _roots(rows.select("row", "text"), reps)
     rooted = reps.join(roots, F.col("row") == F.col("node"), "left").select("key", "unnamed", "id", "row", "copies", F.coalesce("root", "row").alias("root"))
     rooted = written(rooted, "rooted")
     best = rooted.groupBy("root").agg(F.min(F.struct("unnamed", "id", "row")).alias("b")).select("root", F.col("b.id").alias("class_id"), F.col("b.row").alias("class_row"))
-    classes = written(rooted.join(best, "root").select("key", "copies", "class_id", "class_row"), "classes")
-    forget(reps, rooted, roots)
-    out = signed.drop("weight", "bands").join(classes.withColumnRenamed("key", "class_key"), F.col("key") == F.col("class_key"), "left")
-    return out.select(
-        *names, "row", F.coalesce("class_row", "row").alias("class_row"), F.when(F.col("class_row").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+    classes = rooted.join(best, "root").select(F.col("key").alias("class_key"), "copies", "class_id", "class_row")
+    out = signed.select("row", "id", "key").join(classes, F.col("key") == F.col("class_key"), "left").select(
+        "row", "id", F.coalesce("class_row", "row").alias("class_row"), F.when(F.col("class_row").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("copies", F.lit(1)).alias("copies"),
     )
+    out = written(out, "classes")
+    forget(signed, reps, roots, rooted)
+    return out
 
 
 def _roots(texts: DataFrame, reps: DataFrame) -> DataFrame:
@@ -283,14 +273,19 @@ def _roots(texts: DataFrame, reps: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, class_id (smallest id of its component), copies (rows with the same windows), kept."""
-    found = _classed(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "doc_id", "text")
-    return found.select(F.col("c0").cast("bigint").alias("doc_id"), "class_id", "copies", (F.col("row") == F.col("class_row")).alias("kept"))
+    row = fresh(docs.columns, "_row")[0]
+    rows = numbered(docs, row).select(F.col(row).alias("row"), F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
+    return _classed(rows).select(F.col("id").alias("doc_id"), "class_id", "copies", (F.col("row") == F.col("class_row")).alias("kept"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The kept row of each class, with the columns of docs; rows, not ids, are dropped."""
-    found = _classed(docs, "doc_id", "text").where("row = class_row")
-    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    row = fresh(docs.columns, "_row")[0]
+    own = numbered(docs, row)
+    found = _classed(own.select(F.col(row).alias("row"), F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text")))
+    kept = written(found.where("row = class_row").select(F.col("row").alias(row)), "kept")
+    forget(found)
+    return own.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

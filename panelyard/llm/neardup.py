@@ -215,8 +215,8 @@ def _forest_links(ia: np.ndarray, ib: np.ndarray, near: np.ndarray) -> set[tuple
 
 
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of pairs (a, b) whose texts are similar enough."""
-    withed = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
+    """Those of pairs (a, b) whose texts are similar enough. Texts are shuffled, never broadcast, whatever their files' size."""
+    withed = pairs.join(texts.toDF("a", "ta").hint("merge"), "a").join(texts.toDF("b", "tb").hint("merge"), "b")
     return withed.select("a", "b", "ta", "tb").mapInArrow(_verified, "a bigint, b bigint")
 
 
@@ -245,7 +245,8 @@ def _roots(texts: DataFrame, reps: DataFrame) -> DataFrame:
     shared = named.groupBy("band").agg(F.min("x").alias("low"), F.count("*").alias("n")).where("n > 1")
     members = written(named.join(shared.select("band", "low"), "band").select("band", "x", "weight", "low"), "members")
     wanted = members.select(F.col("x").alias("row")).distinct()
-    texts = written(texts.join(wanted, "row", "left_semi"), "texts")
+    # texts are joined by shuffles at every size, so that plans don't change with it
+    texts = written(texts.join(wanted.hint("merge"), "row", "left_semi"), "texts")
     stars = members.where("x <> low").select(F.col("low").alias("a"), F.col("x").alias("b")).distinct()
     links = written(_links(stars, texts), "links")
     roots = written(components(links), "roots")
@@ -262,7 +263,7 @@ def _roots(texts: DataFrame, reps: DataFrame) -> DataFrame:
     inner = left.select("band", every("nb").alias("i"), F.pmod("h", "vb").alias("j"), F.lit(False).alias("outer"), "x")
     dealt = written(outer.unionByName(inner), "dealt")
     if not dealt.isEmpty():
-        blocks = dealt.join(texts.toDF("x", "text"), "x").groupBy("band", "i", "j").applyInArrow(_block_links, "a bigint, b bigint")
+        blocks = dealt.join(texts.toDF("x", "text").hint("merge"), "x").groupBy("band", "i", "j").applyInArrow(_block_links, "a bigint, b bigint")
         more = written(links.union(blocks), "links")
         forget(roots)
         roots = written(components(more), "roots")
@@ -285,7 +286,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     found = _classed(own.select(F.col(row).alias("row"), F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text")))
     kept = written(found.where("row = class_row").select(F.col("row").alias(row)), "kept")
     forget(found)
-    return own.join(kept, row, "left_semi").select(*docs.columns)
+    return own.join(kept.hint("merge"), row, "left_semi").select(*docs.columns)
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

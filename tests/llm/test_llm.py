@@ -653,6 +653,31 @@ def test_mixed_order_keeps_rows(spark):
     assert by_source == {"s0": 64, "s1": 32, "s2": 16} and len(place) == 300
 
 
+# all ---------------------------------------------------------------------------------------------------------------------
+
+
+def test_clashing_columns_null_ids_and_long_texts(spark):
+    """Operators on (doc_id, text) read no other column, whatever it is called; null ids stay; texts of 40,000 words are whole."""
+    rng = random.Random(61)
+    long = " ".join(rng.choice(WORDS) for _ in range(40_000))
+    tail = long.rsplit(" ", 200)[1:]
+    rows = [(None, "short text"), (1, long), (2, long + " and more"), (3, " ".join(rng.choice(WORDS) for _ in range(100)) + " " + " ".join(tail)), (None, long), (4, 'private_key = "aB3$kfoe93kd" ' + " ".join(WORDS[:60]))]
+    plain = spark.createDataFrame(rows, "doc_id bigint, text string")
+    clash = plain.withColumns({c: F.lit("x") for c in ("h", "x", "words", "spans", "n_assign", "n_pieces", "row", "key", "n_words", "kept", "rep")})
+    for op, reduced in (
+        (lambda d: pieces.encoded_and_back(d), lambda r: (r["doc_id"], r["n_pieces"], r["round_trip"])), (lambda d: secrets.find_secrets(d), lambda r: (r["doc_id"], r["spans"])),
+        (lambda d: passages.repeated_passages(d), lambda r: (r["doc_id"], r["rep"], r["spans"])), (lambda d: neardup.near_duplicates(d), lambda r: (r["doc_id"], r["class_id"], r["kept"])),
+        (lambda d: quality.quality_rules(d), lambda r: (r["doc_id"], r["n_words"], r["kept"])),
+    ):
+        a, b = (Counter(map(reduced, op(d).collect())) for d in (plain, clash))
+        assert a == b and sum(a.values()) == len(rows)
+    near = {(r["doc_id"], r["class_id"], r["kept"]) for r in neardup.near_duplicates(clash).collect()}
+    assert near >= {(1, 1, True), (2, 1, False), (None, 1, False), (3, 3, True), (None, None, True)}
+    found = {r["doc_id"]: r for r in passages.repeated_passages(clash).collect() if r["doc_id"] is not None}
+    assert found[2]["spans"] == "0:40000" and found[3]["spans"] == "100:300" and found[1]["spans"] == "0:40000"
+    assert all(r["n_passages"] == 0 for r in passages.repeated_passages(clash).where("doc_id IS NULL").collect())
+
+
 # pipeline --------------------------------------------------------------------------------------------------------------
 
 

@@ -1,6 +1,6 @@
 """Queries of this subpackage by name, and their SQL where SQL can express them."""
 
-from . import chat, licenses, mixing, neardup, passages, pieces, quality, secrets, tokenfile, vectors
+from . import chat, licenses, mixing, multiset, neardup, passages, pieces, quality, secrets, tokenfile, vectors
 
 QUERIES = {
     "op1_token_files": tokenfile.op1_token_files,
@@ -13,5 +13,6 @@ QUERIES = {
     "op8_chat_format": chat.op8_chat_format,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_mix_sources": mixing.op10_mix_sources,
+    "op11_fingerprints": multiset.op11_fingerprints,
 }
 ORACLES = {"op4_near_vectors": vectors.ORACLE, "op8_chat_format": chat.ORACLE, "op9_quality_rules": quality.ORACLE}

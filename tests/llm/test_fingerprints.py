@@ -78,7 +78,7 @@ def test_null_and_repeated_ids_and_a_single_row(spark):
     got = multiset.edited_likeness(spark.createDataFrame(rows * 3, "doc_id bigint, text string")).collect()
     assert sorted((r["doc_id"] or 0, r["n_chars"]) for r in got) == sorted((i or 0, len(t)) for i, t in rows * 3)
     one = multiset.edited_likeness(spark.createDataFrame([(5, "alone in here")], "doc_id bigint, text string")).collect()
-    assert len(one) == 1 and one[0]["near_next"] == 1.0 and one[0]["edited_sha256"] == hashlib.sha256(b"alone in healo").hexdigest()
+    assert len(one) == 1 and one[0]["near_next"] == 1.0 and one[0]["edited_sha256"] == hashlib.sha256(b"alone in halo").hexdigest()
 
 
 def test_likeness_follows_the_share_of_common_text():

@@ -1,22 +1,14 @@
-"""Set similarity (shared bits over all bits): best matches in blocks with bounds by size, threshold pairs by prefixes of rare bits."""
+"""Set similarity (shared bits over all bits): bits of texts and numbers, nearest references, threshold pairs by prefixes of rare bits or by bands."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from panelyard.sources.shared import fresh_folder
-
-#: Digits kept, so that sums in any order give equal results.
-DIGITS = 9
-#: Most queries and references that meet in one group.
-BLOCK = 1024
-#: Sizes within this ratio share a bucket.
-RATIO = 1.25
+from panelyard.operators.bitindex import DIGITS, best_matches
 
 
 def text_bits(text: Column, n_bits: int = 2048, width: int = 3) -> Column:
@@ -54,99 +46,23 @@ def pair_similarities(queries: DataFrame, refs: DataFrame, query_id: str, ref_id
     return shared.select("q", "r", F.round(F.col("both") / (F.col("qn") + F.col("rn") - F.col("both")), DIGITS).alias("similarity"))
 
 
-def _matrix(lists: pa.ChunkedArray, bits: np.ndarray) -> np.ndarray:
-    """Rows of 0 and 1 over the given bits."""
-    column = lists.combine_chunks()
-    out = np.zeros((len(column), len(bits)), np.float32)
-    n = np.asarray(column.value_lengths())
-    flat = np.asarray(column.flatten())
-    at = np.minimum(np.searchsorted(bits, flat), max(0, len(bits) - 1))
-    row = np.repeat(np.arange(len(column)), n)
-    known = bits[at] == flat if len(bits) else np.zeros(len(flat), bool)
-    out[row[known], at[known]] = 1
-    return out
-
-
-def _best_in_block(t: pa.Table) -> pa.Table:
-    """One row per query and set: the reference of the block that is most similar (smallest id of equals), shared bits and all bits."""
-    query = t["query"].to_numpy(zero_copy_only=False)
-    a, b = t.filter(pa.array(query)), t.filter(pa.array(~query))
-    rows: list[pa.Table] = []
-    if len(a) and len(b):
-        bits = np.unique(np.concatenate([np.asarray(x["bits"].combine_chunks().flatten()) for x in (a, b)]))
-        na, nb = (np.asarray(x["bits"].combine_chunks().value_lengths()) for x in (a, b))
-        order = np.argsort(b["id"].to_numpy(), kind="stable")
-        b, nb = b.take(pa.array(order)), nb[order]
-        both = (_matrix(a["bits"], bits) @ _matrix(b["bits"], bits).T).astype(np.int64)
-        every = na[:, None] + nb[None, :] - both
-        ratio = both / np.maximum(every, 1)
-        apart = a["apart"].to_numpy(zero_copy_only=False)[:, None] == b["apart"].to_numpy(zero_copy_only=False)[None, :]
-        member = b["sets"].to_numpy()
-        for k in range(int(member.max()).bit_length()):
-            fits = ((member >> k) & 1).astype(bool)[None, :] & ~apart & (both > 0)
-            masked = np.where(fits, ratio, -1.0)
-            best = masked.argmax(1)
-            hit = np.flatnonzero(masked[np.arange(len(a)), best] > 0)
-            j = best[hit]
-            cols = {"q": a["id"].take(pa.array(hit)), "k": pa.array(np.full(len(hit), k, np.int32)), "r": b["id"].take(pa.array(j))}
-            rows.append(pa.table(cols | {"both": pa.array(both[hit, j]), "every": pa.array(every[hit, j])}))
-    schema = pa.schema([("q", pa.int64()), ("k", pa.int32()), ("r", pa.int64()), ("both", pa.int64()), ("every", pa.int64())])
-    return pa.concat_tables(rows).cast(schema) if rows else schema.empty_table()
-
-
-def _compared(q: DataFrame, r: DataFrame, visits: DataFrame) -> DataFrame:
-    """Best matches of queries in the buckets of references that they visit (id, bucket), in groups of at most BLOCK x BLOCK on average."""
-    visiting = q.join(visits, "id")
-    blocks = r.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("rb")).join(visiting.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("qb")), "bucket")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    h = F.xxhash64("id")
-    left = visiting.join(blocks, "bucket").select("bucket", F.pmod(h, "qb").cast("int").alias("i"), every("rb").alias("j"), F.lit(True).alias("query"), "id", "bits", "apart", F.lit(0).cast("bigint").alias("sets"))
-    right = r.join(blocks, "bucket").select("bucket", every("qb").alias("i"), F.pmod(h, "rb").cast("int").alias("j"), F.lit(False).alias("query"), "id", "bits", "apart", "sets")
-    found = left.unionByName(right).groupBy("bucket", "i", "j").applyInArrow(_best_in_block, "q bigint, k int, r bigint, both bigint, every bigint")
-    exact = F.round(F.col("both") / F.col("every"), DIGITS)
-    return found.groupBy("q", "k").agg(F.max(F.struct(exact.alias("similarity"), (-F.col("r")).alias("minus"))).alias("b")).select("q", "k", "b.similarity", (-F.col("b.minus")).alias("r"))
-
-
-def best_matches(queries: DataFrame, refs: DataFrame, n_sets: int = 1) -> DataFrame:
-    """(q, k, similarity, r): the most similar reference of set k for each query that shares a bit with one, the smallest id of equals.
-
-    queries: id, bits, apart; refs: id, bits, apart, sets (bit k: in set k). Rows whose `apart` is equal and not null don't meet.
-    Two sets of a and b bits are at most min(a, b) / max(a, b) similar. Queries first meet references of about their own
-    size; what they find there bounds the sizes that they still have to visit. No pair leaves a task: a block returns one row per query and set.
-    """
-    # a null `apart` is a value that no reference has
-    q = queries.select(F.col("id").cast("bigint").alias("id"), F.array_distinct("bits").alias("bits"), F.when(F.col("apart").isNull(), F.lit(1).cast("bigint")).otherwise(F.xxhash64("apart")).alias("apart")).where("size(bits) > 0")
-    r = refs.select(F.col("id").cast("bigint").alias("id"), F.array_distinct("bits").alias("bits"), F.when(F.col("apart").isNull(), F.lit(2).cast("bigint")).otherwise(F.xxhash64("apart")).alias("apart"), "sets").where("size(bits) > 0")
-    bucket = F.floor(F.log(F.size("bits")) / np.log(RATIO)).cast("int")
-    folder = fresh_folder(queries.sparkSession, "matches")
-    q.withColumn("own", bucket).write.parquet(f"{folder}/q")
-    r.withColumn("bucket", bucket).write.parquet(f"{folder}/r")
-    spark = queries.sparkSession
-    q, r = spark.read.parquet(f"{folder}/q"), spark.read.parquet(f"{folder}/r")
-    spans = r.groupBy("bucket").agg(F.min(F.size("bits")).alias("least"), F.max(F.size("bits")).alias("most"), *[F.max(F.expr(f"shiftright(sets, {k}) & 1")).alias(f"s{k}") for k in range(n_sets)])
-    near = _compared(q.drop("own"), r, q.select("id", F.col("own").alias("bucket")))
-    near.write.parquet(f"{folder}/near")
-    near = spark.read.parquet(f"{folder}/near")
-    # per query the least of its sets' bests: a bucket is visited if it may still hold one as good for some set
-    found = near.groupBy("q").agg(*[F.coalesce(F.max(F.when(F.col("k") == k, F.col("similarity"))), F.lit(0.0)).alias(f"b{k}") for k in range(n_sets)])
-    sizes = q.select("id", "own", F.size("bits").alias("n")).join(found.withColumnRenamed("q", "id"), "id", "left")
-    bound = F.when(F.col("n") < F.col("least"), F.col("n") / F.col("least")).when(F.col("n") > F.col("most"), F.col("most") / F.col("n")).otherwise(1.0)
-    # a row per bucket of sizes: a few dozen
-    better = F.lit(False)
-    for k in range(n_sets):
-        better = better | ((F.col(f"s{k}") > 0) & (F.round(bound, DIGITS) >= F.coalesce(f"b{k}", F.lit(0.0))))
-    visits = sizes.join(F.broadcast(spans), (F.col("bucket") != F.col("own")) & better).select("id", "bucket")
-    both = near.unionByName(_compared(q.drop("own"), r, visits))
-    best = both.groupBy("q", "k").agg(F.max(F.struct("similarity", (-F.col("r")).alias("minus"))).alias("b"))
-    return best.select("q", "k", "b.similarity", (-F.col("b.minus")).alias("r"))
+def _shaped(df: DataFrame, key: str, bits: str, other_than: str | None = None) -> DataFrame:
+    return df.select(F.col(key).alias("id"), F.col(bits).alias("bits"), (F.col(other_than) if other_than else F.lit(None).cast("int")).alias("apart"))
 
 
 def nearest(queries: DataFrame, refs: DataFrame, query_id: str, ref_id: str, other_than: str | None = None, bits: str = "bits") -> DataFrame:
-    """q, nn (0 if nothing is shared), nearest reference (smallest id of equals). other_than: a column whose equal values don't meet."""
-    apart = F.col(other_than) if other_than else F.lit(None).cast("int")
-    shaped = lambda df, key: df.select(F.col(key).alias("id"), F.col(bits).alias("bits"), apart.alias("apart"))
-    best = best_matches(shaped(queries, query_id), shaped(refs, ref_id).withColumn("sets", F.lit(1).cast("bigint")))
-    return queries.select(F.col(query_id).alias("q")).join(best, "q", "left").select("q", F.coalesce("similarity", F.lit(0.0)).alias("nn"), F.col("r").alias("nearest"))
+    """q, nn (0 if nothing is shared), nearest reference (smallest id of equals). other_than: a column whose equal values don't meet. Ids are of any type."""
+    best = best_matches(_shaped(queries, query_id, bits, other_than), _shaped(refs, ref_id, bits, other_than).withColumn("sets", F.lit(1).cast("bigint")))
+    best = best.withColumnRenamed("q", "_q")
+    return queries.select(F.col(query_id).alias("q")).join(best, F.col("q") == F.col("_q"), "left").select("q", F.coalesce("similarity", F.lit(0.0)).alias("nn"), F.col("r").alias("nearest"))
+
+
+def most_similar(queries: DataFrame, refs: DataFrame, query_id: str, ref_id: str, m: int = 5, other_than: str | None = None, bits: str = "bits") -> DataFrame:
+    """(q, rank, r, similarity): the m most similar references of each query that share a bit with it (smaller ids first of equals). The way to list pairs at scale: m rows a query come out,
+    and a block of the search holds about 1,024 x 1,024 pairs."""
+    best = best_matches(_shaped(queries, query_id, bits, other_than), _shaped(refs, ref_id, bits, other_than).withColumn("sets", F.lit(1).cast("bigint")), m=m)
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.col("similarity").desc(), "r"))
+    return best.select("q", rank.alias("rank"), "r", "similarity")
 
 
 def three_similarities(queries: DataFrame, refs: DataFrame, query_id: str, ref_id: str, set_name: str = "set_name", sets: tuple[str, ...] = ("train", "actives", "known"), bits: str = "bits") -> DataFrame:
@@ -174,3 +90,20 @@ def threshold_matches(left: DataFrame, right: DataFrame, left_id: str, right_id:
     met = met.where((F.size("qb") >= at_least * F.size("rb")) & (F.size("rb") >= at_least * F.size("qb")))
     both = F.size(F.array_intersect("qb", "rb"))
     return met.select("q", "r", F.round(both / (F.size("qb") + F.size("rb") - both), DIGITS).alias("similarity")).where(F.col("similarity") >= at_least)
+
+
+def near_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, at_least: float, bits: str = "bits", bands: int = 20, rows: int = 3) -> DataFrame:
+    """Most pairs at or over a threshold, and no others: an opt-in for bits that are too common for `threshold_matches`.
+
+    Sets meet if one of `bands` bands of `rows` min-hashes each is equal, which a pair of similarity s misses with a probability of (1 - s^rows)^bands: by default
+    0.8 % at 0.6 and 0.004 % at 0.75. The exact similarity decides about those that meet. Sets without bits meet nothing."""
+    def banded(df: DataFrame, key: str, name: str) -> DataFrame:
+        shaped = df.select(F.col(key).alias(name), F.array_distinct(bits).alias("own")).where("size(own) > 0")
+        least = lambda k: F.array_min(F.transform("own", lambda x: F.xxhash64(x.cast("bigint"), F.lit(k))))
+        made = [F.xxhash64(F.lit(b), *[least(b * rows + i) for i in range(rows)]) for b in range(bands)]
+        return shaped.withColumn("band", F.explode(F.array(*made))).withColumnRenamed("own", f"{name}b")
+
+    met = banded(left, left_id, "q").join(banded(right, right_id, "r").withColumnRenamed("band", "other"), F.col("band") == F.col("other"))
+    n, m, both = F.size("qb"), F.size("rb"), F.size(F.array_intersect("qb", "rb"))
+    pairs = met.where((n >= at_least * m) & (m >= at_least * n)).select("q", "r", F.round(both / (n + m - both), DIGITS).alias("similarity"))
+    return pairs.where(F.col("similarity") >= at_least).distinct()

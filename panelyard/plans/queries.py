@@ -440,6 +440,13 @@ def _(spark, d):
     return N.threshold_matches(b.where("NOT train"), b.where("train"), "vec_id", "vec_id", 0.4)
 
 
+@query("top_matches", f"WITH {SIM} SELECT q, row_number() OVER (PARTITION BY q ORDER BY s DESC, r) AS rank, r, s AS similarity FROM pairs WHERE NOT qt AND rt QUALIFY rank <= 5")
+def _(spark, d):
+    """The five most similar references of each query: what is listed of the pairs at scale."""
+    b = _bits(spark, d)
+    return N.most_similar(b.where("NOT train"), b.where("train"), "vec_id", "vec_id", 5)
+
+
 def _reference_sets(b: DataFrame) -> DataFrame:
     return b.where("train").withColumn("set_name", F.explode(F.array_compact(F.array(F.lit("train"), F.when(F.col("grp") < 4, "actives"), F.when(F.col("vec_id") % 10 == 0, "known")))))
 

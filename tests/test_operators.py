@@ -338,24 +338,6 @@ def test_folds_follow_one_rule(spark):
     assert {r["n"] for r in got} <= {40, 41} and len(got) == 5
 
 
-def test_best_matches_equal_brute_force(spark):
-    import random
-
-    rng = random.Random(5)
-    bits = lambda: sorted(rng.sample(range(200), rng.choice([0, 1, 3, 10, 30, 60])))
-    q, r = [(i, bits(), i % 3) for i in range(60)], [(i, bits(), i % 3, rng.randrange(1, 8)) for i in range(80)]
-    r += [(200 + i, q[i][1], q[i][2], 1) for i in range(5)]
-    qd = spark.createDataFrame(q, "id bigint, bits array<int>, apart int")
-    rd = spark.createDataFrame(r, "id bigint, bits array<int>, apart int, sets bigint")
-    for other in (False, True):
-        make = (lambda d: d) if other else (lambda d: d.withColumn("apart", F.lit(None).cast("int")))
-        got = {(x["q"], x["k"]): (x["similarity"], x["r"]) for x in N.best_matches(make(qd), make(rd), 3).collect()}
-        for i, b, g in q:
-            for k in range(3):
-                s = [(round(len({*b} & {*c}) / len({*b} | {*c}), 9), -j) for j, c, h, m in r if m >> k & 1 and {*b} & {*c} and not (other and g == h)]
-                assert got.get((i, k)) == ((max(s)[0], -max(s)[1]) if s else None)
-
-
 def test_screen_library_and_skip(spark):
     lib = spark.createDataFrame([(1, [1, 2, 3]), (2, None), (3, [9])], "id bigint, bits array<int>")
     refs = spark.createDataFrame([(10, [1, 2, 3], "train"), (10, [1, 2, 3], "known"), (11, [1, 2], "actives")], "id bigint, bits array<int>, set_name string")

@@ -233,6 +233,20 @@ def _(spark, d):
     return V.screen_library(library, refs, _predicted).drop("bits")
 
 
+@query("screen_text_ids", f"""
+WITH {SIM}, e AS (SELECT p.*, g.grp, concat('ZINC', q) AS qi, concat('REF', r) AS ri FROM pairs AS p JOIN {{fx_bits}} AS g ON p.r = g.vec_id WHERE NOT qt AND rt), k AS (SELECT qi, max(s) AS m FROM e WHERE r % 10 = 0 GROUP BY qi),
+c AS (SELECT e.qi, min(ri) AS closest FROM e JOIN k ON e.qi = k.qi AND e.s = k.m WHERE r % 10 = 0 GROUP BY e.qi), a AS (SELECT qi, max(s) AS t, max(s) FILTER (grp < 4) AS a FROM e GROUP BY qi), lib AS (SELECT concat('ZINC', vec_id) AS id, bits FROM {{fx_bits}} WHERE NOT train)
+SELECT id, coalesce(a.t, 0) AS sim_train, coalesce(a.a, 0) AS sim_actives, coalesce(k.m, 0) AS sim_known, closest, CASE WHEN coalesce(a.t, 0) >= {_T.in_domain} THEN 'S1_in_domain' WHEN coalesce(a.t, 0) >= {_T.borderline} THEN 'S2_near_domain' ELSE 'S3_far_novel' END AS stratum
+FROM lib LEFT JOIN a ON id = a.qi LEFT JOIN k ON id = k.qi LEFT JOIN c ON id = c.qi""")
+def _(spark, d):
+    """A screen of a library whose ids are texts, as in library files, against references with names of their own kind."""
+    b = _bits(spark, d)
+    library = b.where("NOT train").select(F.concat(F.lit("ZINC"), "vec_id").alias("id"), "bits")
+    refs = _reference_sets(b).withColumn("id", F.concat(F.lit("REF"), "vec_id"))
+    said = lambda rows: rows.withColumns({"prediction": F.size("bits").cast("double"), "delta": F.lit(None).cast("double")})
+    return V.screen_library(library, refs, said).select("id", "sim_train", "sim_actives", "sim_known", "closest", "stratum")
+
+
 @query("screen_skip", "SELECT 'skipped' AS status, 'enabled=true, library=absent' AS reason UNION ALL SELECT 'ran', NULL FROM (SELECT count(*) AS n FROM {fx_bits} WHERE NOT train) WHERE n > 0")
 def _(spark, d):
     library = _bits(spark, d).where("NOT train")
@@ -547,11 +561,11 @@ def _(spark, d):
     folder = fresh_folder(spark, "stream")
     library = view(spark, d, "fx_library").where("key IS NOT NULL").select("doc_id", "key", "size", "pos")
     low, high = library.agg(F.min("pos"), F.max("pos")).first()
-    for k in range(3):  # a stream takes files by age
-        part = F.floor((F.col("pos") - (low or 0)) * 3 / ((high or 0) - (low or 0) + 1)) == k
-        library.where(part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
     reason = F.lit("kept")
     for name, bad in reversed(_fails()):
         reason = F.when(F.coalesce(bad, F.lit(True)), name).otherwise(reason)
-    screen_blocks(spark, f"{folder}/in", library.schema, lambda b: b.withColumn("reason", reason), f"{folder}/out", f"{folder}/checkpoint")
+    for k in range(3):  # each third lands after the stream has stopped, and is screened by a stream that starts again
+        part = F.floor((F.col("pos") - (low or 0)) * 3 / ((high or 0) - (low or 0) + 1)) == k
+        library.where(part).write.mode("append").parquet(f"{folder}/in")
+        screen_blocks(spark, f"{folder}/in", library.schema, lambda b: b.withColumn("reason", reason), f"{folder}/out", f"{folder}/checkpoint", files_at_once=1_000_000)
     return spark.read.parquet(f"{folder}/out").select("doc_id", "reason")

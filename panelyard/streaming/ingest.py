@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
 
@@ -28,19 +32,71 @@ def ingest(spark: SparkSession, folder: str, schema: StructType | str, out: str,
     return added[0]
 
 
-def screen_blocks(spark: SparkSession, folder: str, schema: StructType | str, screen: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str = "key", order: str = "pos", files_at_once: int = 1) -> None:
-    """Screens a library folder block by block. Of the rows with a key the first of its first block stays (smallest `order`); files in order give the batch job's rows.
+class _FirstOfKey(StatefulProcessor):
+    """Lets a key's first row through, once in the life of the stream: the smallest by `order` of the block that the key first comes in."""
 
-    The keys of a block are a partition of a table beside the output, and a block that is run again replaces its own, so the result does not depend on failures."""
+    def __init__(self, order: str):
+        self.order = order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "seen boolean")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:  # noqa: N802, N803
+        if self.seen.exists():
+            return
+        self.seen.update((True,))
+        yield min(rows, key=lambda r: (r[self.order] is None, r[self.order]))
+
+
+def first_of_keys(stream: DataFrame, key: str, order: str) -> DataFrame:
+    """Of a stream's rows with a key that is not null the first (smallest `order`, nulls last) of the first block that holds the key, by keyed state: a block reads and writes the state of its own
+    keys only, however many came before it. Batches of rows keep one row a key before they are shuffled, so a key that most rows have is no large group."""
+
+    def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = b.take(pc.sort_indices(b, [(key, "ascending"), (order, "ascending")]))
+            keys = b.column(key).to_pylist()
+            yield b.take(pa.array([i for i, k in enumerate(keys) if not i or k != keys[i - 1]], pa.int64()))
+
+    rows = stream.where(F.col(key).isNotNull())
+    return rows.mapInArrow(thinned, rows.schema).groupBy(key).transformWithState(statefulProcessor=_FirstOfKey(order), outputStructType=rows.schema, outputMode="append", timeMode="none")
+
+
+#: Where the keys' state lives: a local store per partition whose changes go to the checkpoint with each block.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def _with_state(spark: SparkSession) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def screen_blocks(spark: SparkSession, folder: str, schema: StructType | str, screen: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: str = "key", order: str = "pos", files_at_once: int = 1) -> list[dict]:
+    """Screens a library folder block by block: what came since the last call, in blocks of so many files by age. Of the rows with a key the first of its first block stays (smallest `order`); blocks
+    in order give the batch job's rows. Per block that was screened: rows read, keys that were new, keys so far.
+
+    Which keys came before is state in the checkpoint, so a block's work grows with its own rows. A block that is run again after a failure sees the state before it and replaces its own output."""
 
     def land(batch: DataFrame, n: int) -> None:
-        keys = f"{out.rstrip('/')}-keys"
-        first = batch.groupBy(key).agg(F.min_by(F.struct(*[c for c in batch.columns if c != key]), order).alias("r")).select(key, "r.*")
-        if n:
-            earlier = batch.sparkSession.read.option("basePath", keys).parquet(*[f"{keys}/block={k}" for k in range(n)])
-            first = first.join(earlier.select(key), key, "left_anti")
-        first.select(key).write.mode("overwrite").parquet(f"{keys}/block={n}")
-        screen(first).write.mode("overwrite").parquet(f"{out}/block={n}")
-
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).parquet(folder)
-    stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        screen(batch).write.mode("overwrite").parquet(f"{out}/block={n}")
+
+    with _with_state(spark):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).parquet(folder)
+        firsts = first_of_keys(stream, key, order)
+        query = firsts.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+    done = []
+    for p in query.recentProgress:
+        state = p["stateOperators"][0] if p["stateOperators"] else {}
+        done.append({"block": p["batchId"], "rows": p["numInputRows"], "new_keys": state.get("numRowsUpdated", 0), "keys": state.get("numRowsTotal", 0)})
+    return done

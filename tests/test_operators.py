@@ -402,3 +402,31 @@ def test_finished_panels_have_a_fixed_order(spark):
     df = spark.createDataFrame([(1, "T0", 5.0, "s", "old")], "extra int, target string, label double, structure string, source string")
     out = C.finished(df, {"source": "new", "cutoff": 1999})
     assert out.columns == ["target", "structure", "label", "source", "extra", "cutoff"] and out.first()["source"] == "new"
+
+
+def test_bootstrap_sums_equal_an_explode(spark):
+    import numpy as np
+
+    ids = np.array([0, 5, 990, 123456789, 7_000_000_000, 2**40])
+    for some in (ids, np.concatenate([ids, [-3, -1_000_003]])):
+        df = spark.createDataFrame([(int(i), r) for i in some for r in range(60)], "i bigint, r bigint")
+        want = {(x["i"], x["r"]): x["w"] for x in df.select("i", "r", A.poisson_weight(S.hash_bucket(F.col("i") * 1009 + F.col("r") * 7919, 17)).alias("w")).collect()}
+        got = A.poisson_weights(some, 60)
+        assert all(got[r, k] == want[int(i), r] for k, i in enumerate(some) for r in range(60))
+    rng = np.random.default_rng(2)
+    rows = [("ab"[i % 2] if i % 7 else None, i, float(np.round(x, 2)), float(x + e)) for i, (x, e) in enumerate(zip(rng.normal(size=3000), rng.normal(size=3000)))] + [("c", 9000, 1.0, 2.0), ("a", None, 1.0, 1.0), ("a", 1, None, 1.0)]
+    got = {r["g"]: r for r in A.bootstrap_r2(spark.createDataFrame(rows, "g string, id bigint, y double, p double").repartition(5), "g", replicates=40).collect()}
+    assert set(got) == {"a", "b", None}  # a single row never varies
+    for g in got:
+        own = [r for r in rows if r[0] == g and r[1] is not None and r[2] is not None]
+        w = A.poisson_weights(np.array([r[1] for r in own]), 40).astype(float)
+        y, p = np.array([r[2] for r in own]), np.array([r[3] for r in own])
+        r2 = 1 - (w @ (y - p) ** 2) / (w @ y**2 - (w @ y) ** 2 / w.sum(1))
+        assert got[g]["replicates"] == 40 and np.allclose([got[g]["lo"], got[g]["hi"]], np.quantile(r2, [0.025, 0.975]), atol=2e-6)
+
+
+def test_bootstrap_copies_no_rows(spark):
+    df = spark.range(2000).selectExpr("'x' AS g", "id", "CAST(id % 50 AS DOUBLE) AS y", "CAST(id % 47 AS DOUBLE) AS p")
+    plan = A.bootstrap_r2(df, "g")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("MapInArrow") :]
+    assert "Generate" not in below and "sequence" not in below

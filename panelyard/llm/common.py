@@ -53,17 +53,35 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts the lineage, and a lost executor costs no recomputation. Shuffles that made it are dropped."""
+def written(df: DataFrame, what: str, lasting: bool = False) -> DataFrame:
+    """df as a Parquet table in the shared folder: cuts the lineage, and a lost executor costs no recomputation. Shuffles that made it are dropped.
+
+    Inside `scratch` it goes when that ends; a lasting one goes with the scratch around it, if there is one."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     with shuffles_dropped(spark):
         df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
+    around = _scratches[:-1] if lasting else _scratches
+    if around:
+        around[-1].append(out)
     return out
 
 
+_scratches: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables that are written inside are deleted at the end, but for lasting ones."""
+    _scratches.append([])
+    try:
+        yield
+    finally:
+        forget(*_scratches.pop())
+
+
 def from_files(df: DataFrame) -> bool:
     """Whether df's rows come from Parquet files, and so have places in them."""
     try:
@@ -73,16 +91,22 @@ def from_files(df: DataFrame) -> bool:
     return True
 
 
+#: Files up to which where each one's rows start is broadcast (16 bytes a file); with more of them rows are joined by shuffles.
+FILES = 1_000_000
+
+
 def numbered(df: DataFrame, row: str) -> DataFrame:
     """df with a number of its own for each row, from 0, the same in every scan: rows of the files before it, by name, and its index in its
-    own file. Rows that do not come from Parquet files are written to some first."""
+    own file. Rows that do not come from Parquet files are written to some first. Texts are not shuffled for it."""
     if not from_files(df):
         df = written(df, "rows")
     file, index, f, start = fresh([*df.columns, row], "_file", "_index", "_f", "_start")
-    rows = df.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(index))
-    earlier = Window.orderBy(f).rowsBetween(Window.unboundedPreceding, -1)  # a row per file
-    starts = rows.groupBy(F.col(file).alias(f)).agg(F.count("*").alias("n")).select(f, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(start))
-    both = rows.join(written(starts, "starts"), F.col(file) == F.col(f))
+    rows = df.select("*", F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(index))
+    earlier = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    starts = df.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count("*").alias("n"))
+    starts = written(starts.select(F.xxhash64("path").alias(f), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(start)), "starts")
+    few = starts.count() <= FILES
+    both = rows.join(F.broadcast(starts) if few else starts, F.col(file) == F.col(f))
     return both.select(*[rows[c] for c in df.columns], (F.col(start) + F.col(index)).alias(row))
 
 
@@ -105,7 +129,7 @@ def ranked(df: DataFrame, group: list[str], order: list[Column], rank: str) -> t
     part, at, low, before, tie = fresh([*df.columns, rank, "n"], "_part", "_at", "_low", "_before", "_tie")
     keys = [*[F.col(g).asc_nulls_first() for g in group], *order, F.col(tie)]
     rows = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys).drop(tie)
-    rows = written(rows.withColumns({part: F.spark_partition_id(), at: F.monotonically_increasing_id()}), "sorted")
+    rows = written(rows.withColumns({part: F.spark_partition_id(), at: F.monotonically_increasing_id()}), "sorted")  # narrow rows, by its callers' choice
     counts = rows.groupBy(*group, part).agg(F.count("*").alias("n"), F.min(at).alias(low))
     earlier = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*group, part, low, "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(before))

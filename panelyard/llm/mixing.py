@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, from_files, numbered, ranked, table, written
+from .common import fresh, from_files, numbered, ranked, scratch, table, written
 
 BLOCK = 16
 #: Target weights of the registered jobs: three favoured sources, the others at 1 (exact in a frame of the sum's length).
@@ -139,16 +139,24 @@ def mix(docs: DataFrame, weights: Mapping[str | None, object] | None = None, oth
     given ones when not given itself, 1 without any).
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"))
-    rows = slotted(rows, Targets.of(weights, others), "source", block, ("block", "slot", "within"))
-    out, _ = ranked(rows, [], [F.col("slot"), F.col("within")], "position")
-    return out.drop("within")
+    with scratch():
+        rows = slotted(rows, Targets.of(weights, others), "source", block, ("block", "slot", "within"))
+        out, _ = ranked(rows, [], [F.col("slot"), F.col("within")], "position")
+        return written(out.drop("within"), "mix", lasting=True)
 
 
 def in_mixed_order(docs: DataFrame, weights: Mapping[str | None, object] | None = None, others: object | None = None) -> DataFrame:
-    """All rows of docs, in files and rows ordered by their place in the mix; the columns of docs."""
-    names = tuple(fresh(docs.columns, "_block", "_slot", "_within"))
-    both = slotted(docs, Targets.of(weights, others), "source", BLOCK, names)
-    return both.repartitionByRange(*names[1:]).sortWithinPartitions(*names[1:]).select(*docs.columns)
+    """All rows of docs, in files and rows ordered by their place in the mix; the columns of docs.
+
+    Only row numbers, sources and hashes are ranked. Texts are shuffled twice: to meet their slots, and into the order of the mix."""
+    row, h, slot, within, block, own_row = fresh(docs.columns, "_row", "_h", "_slot", "_within", "_block", "_own")
+    own = numbered(docs, row)
+    with scratch():
+        narrow = own.select(row, "source", F.xxhash64(*docs.columns).alias(h))
+        placed = slotted(narrow, Targets.of(weights, others), "source", BLOCK, (block, slot, within))
+        places = written(placed.select(F.col(row).alias(own_row), slot, within), "places", lasting=True)
+    both = own.join(places.hint("merge"), F.col(row) == F.col(own_row))  # by shuffles at every size
+    return both.repartitionByRange(slot, within).sortWithinPartitions(slot, within).select(*docs.columns)
 
 
 def stored_places(docs: DataFrame, place: str = "place") -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, components, forget, fresh, hashed_words, mix, numbered, passes, table, windows, written
+from .common import U64, components, forget, fresh, hashed_words, mix, numbered, passes, scratch, table, windows, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -234,7 +234,7 @@ def _classed(rows: DataFrame) -> DataFrame:
         "row", "id", F.coalesce("class_row", "row").alias("class_row"), F.when(F.col("class_row").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("copies", F.lit(1)).alias("copies"),
     )
-    out = written(out, "classes")
+    out = written(out, "classes", lasting=True)
     forget(signed, reps, roots, rooted)
     return out
 
@@ -275,17 +275,20 @@ def _roots(texts: DataFrame, reps: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, class_id (smallest id of its component), copies (rows with the same windows), kept."""
     row = fresh(docs.columns, "_row")[0]
-    rows = numbered(docs, row).select(F.col(row).alias("row"), F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    return _classed(rows).select(F.col("id").alias("doc_id"), "class_id", "copies", (F.col("row") == F.col("class_row")).alias("kept"))
+    with scratch():
+        rows = numbered(docs, row).select(F.col(row).alias("row"), F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
+        classes = _classed(rows)
+    return classes.select(F.col("id").alias("doc_id"), "class_id", "copies", (F.col("row") == F.col("class_row")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The kept row of each class, with the columns of docs; rows, not ids, are dropped."""
     row = fresh(docs.columns, "_row")[0]
     own = numbered(docs, row)
-    found = _classed(own.select(F.col(row).alias("row"), F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text")))
-    kept = written(found.where("row = class_row").select(F.col("row").alias(row)), "kept")
-    forget(found)
+    with scratch():
+        found = _classed(own.select(F.col(row).alias("row"), F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text")))
+        kept = written(found.where("row = class_row").select(F.col("row").alias(row)), "kept", lasting=True)
+        forget(found)
     return own.join(kept.hint("merge"), row, "left_semi").select(*docs.columns)
 
 

@@ -723,3 +723,30 @@ def test_pipeline_stages_on_odd_tables(spark, tmp_path):
         assert Counter(r["doc_id"] for r in got) == (Counter() if empty else Counter([3, 3, None, 12])) and sorted(r["place"] for r in got) == list(range(0 if empty else 4))
     clean = spark.read.parquet(f"{tmp_path}/secret_scansFalse").where("doc_id = 12").first()
     assert "aB3$kfoe93kd" not in clean["text"] and clean["n_chars"] == len(clean["text"])
+
+
+def test_pipeline_leaves_its_last_table_only(spark, sf, tmp_path, monkeypatch):
+    import corpus_pipeline
+    from panelyard.llm import common
+
+    monkeypatch.setattr(common, "shared_dir", lambda spark: f"file://{tmp_path}")
+    got = corpus_pipeline.run(spark, sf)
+    assert [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["sentencepiece"] and got.count() > 0
+
+
+def test_ranks_of_the_mix_move_no_texts(spark, tmp_path, monkeypatch):
+    from panelyard.llm import common
+
+    monkeypatch.setattr(common, "shared_dir", lambda spark: f"file://{tmp_path}")
+    rng = random.Random(5)
+    docs = docs_of(spark, ["".join(rng.choice("abcdefghijklmnop") for _ in range(20_000)) for _ in range(60)])
+    docs.repartition(7).write.parquet(f"{tmp_path}/docs")
+    stored = spark.read.parquet(f"{tmp_path}/docs")
+    got = mixing.in_mixed_order(stored)
+    held = sum(f.stat().st_size for p in tmp_path.iterdir() if p.name != "docs" for f in p.rglob("*.parquet"))
+    assert held < 40_000 and got.count() == 60 and sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["docs", "places", "starts"]
+    assert "BroadcastHashJoin" in common.numbered(stored, "row")._jdf.queryExecution().executedPlan().toString()
+    rows = common.numbered(stored, "row").select("row", "doc_id").collect()
+    assert sorted(r["row"] for r in rows) == list(range(60)) and len({r["doc_id"] for r in rows}) == 60
+    monkeypatch.setattr(common, "FILES", 3)
+    assert sorted((r["row"], r["doc_id"]) for r in common.numbered(stored, "row").select("row", "doc_id").collect()) == sorted((r["row"], r["doc_id"]) for r in rows)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from panelyard.llm import mixing, neardup, pieces, quality, secrets
-from panelyard.llm.common import forget, table, written
+from panelyard.llm.common import forget, scratch, table, written
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,6 +55,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        before, docs = docs, written(stage(spark, docs, sf_dir), name)
+        with scratch():  # what the stage has written goes when its result is there
+            before, docs = docs, written(stage(spark, docs, sf_dir), name, lasting=True)
         forget(before)
     return docs

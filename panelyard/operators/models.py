@@ -3,21 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelyard.sources.shared import kept
+
 
 def with_features(df: DataFrame, bits: str | None = None, n_bits: int = 0, numbers: tuple[str, ...] = ()) -> DataFrame:
-    """df with a `features` vector: set bits as 0/1, then the numbers. Rows without bits or with a null number are left out."""
+    """df with a `features` vector: set bits as 0/1, then the numbers. Rows without bits or with a null number are left out.
+
+    Bits stay sparse: a row costs its set bits, not n_bits."""
     parts, rows = list(numbers), df
     if bits:
-        rows = rows.where(F.col(bits).isNotNull()).withColumn("_bits", array_to_vector(F.transform(F.sequence(F.lit(0), F.lit(n_bits - 1)), lambda i: F.array_contains(F.col(bits), i).cast("double"))))
+        rows = rows.where(F.col(bits).isNotNull()).withColumn("_names", F.transform(bits, lambda x: x.cast("string")))
+        counted = CountVectorizerModel.from_vocabulary([str(i) for i in range(n_bits)], inputCol="_names", outputCol="_bits").setBinary(True).setMinTF(1.0)
+        rows = counted.transform(rows).drop("_names")
         parts = ["_bits", *parts]
     return VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="skip").transform(rows).drop("_bits")
 
@@ -37,34 +44,46 @@ def ridge(df: DataFrame, label: str = "y", alpha: float = 1.0) -> LinearRegressi
     return LinearRegression(labelCol=label, featuresCol="features", predictionCol="p", elasticNetParam=0.0, standardization=False, regParam=alpha * (dev or 1.0) / max(n, 1))
 
 
-def out_of_fold(df: DataFrame, make: Callable[[DataFrame], Estimator], fold: str = "fold", folds: int = 5, keep: tuple[str, ...] = ("id", "grp", "fold", "y")) -> DataFrame:
-    """Every row predicted once, by a fit without its fold."""
-    parts = []
-    for k in range(folds):
-        train = df.where(F.col(fold) != k)
-        parts.append(make(train).fit(train).transform(df.where(F.col(fold) == k)).select(*keep, "p"))
-    return reduce(DataFrame.unionByName, parts)
+def _fitted(spark: SparkSession, work: list[Callable[[], DataFrame]], at_once: int) -> DataFrame:
+    """The union of what the calls give. Each fits models; so many calls run at a time, so that the many small jobs of a fit leave no executor idle."""
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        return reduce(DataFrame.unionByName, pool.map(inheritable_thread_target(spark)(lambda f: f()), work))
+
+
+def out_of_fold(df: DataFrame, make: Callable[[DataFrame], Estimator], fold: str = "fold", folds: int = 5, keep: tuple[str, ...] = ("id", "grp", "fold", "y"), at_once: int = 4) -> DataFrame:
+    """Every row predicted once, by a fit without its fold. The rows are computed once, as a table that all fits read; so many folds are fitted at a time."""
+    rows = kept(df, "folds")
+
+    def one(k: int) -> DataFrame:
+        train = rows.where(F.col(fold) != k)
+        return make(train).fit(train).transform(rows.where(F.col(fold) == k)).select(*keep, "p")
+
+    return _fitted(df.sparkSession, [partial(one, k) for k in range(folds)], at_once)
 
 
-def delta_arms(df: DataFrame, arms: dict[str, tuple[str, Callable[[str], Estimator]]], fold: str = "fold", folds: int = 5, row: str = "id", a: str = "a", b: str = "b") -> DataFrame:
-    """(arm, row, y, p), out of fold, all arms on the same folds and features; y is a - b.
+def delta_arms(df: DataFrame, arms: dict[str, tuple[str, Callable[[str], Estimator]]], fold: str = "fold", folds: int = 5, row: str = "id", a: str = "a", b: str = "b", by: str | None = None, at_once: int = 8) -> DataFrame:
+    """(arm, row, y, p), out of fold, all arms on the same folds and features; y is a - b. by: a column (its values are few, such as pairs of targets) each of whose values has fits
+    of its own, and which the result has too.
 
     arms: name -> (kind, estimator for a label column). Kind `direct` fits the difference, `subtract` fits both values and takes the difference of
-    what is predicted; an arm of another algorithm is a further `subtract`."""
-    rows = df.withColumn("_delta", F.col(a) - F.col(b))
-    parts = []
-    for k in range(folds):
-        train, test = rows.where(F.col(fold) != k), rows.where(F.col(fold) == k)
-        for name, (kind, make) in arms.items():
-            if kind == "direct":
-                said = make("_delta").fit(train).transform(test).select(row, "_delta", "p")
-            elif kind == "subtract":
-                first = make(a).fit(train).transform(test).withColumnRenamed("p", "_pa")
-                said = make(b).fit(train).transform(first).select(row, "_delta", (F.col("_pa") - F.col("p")).alias("p"))
-            else:
-                raise ValueError(f"unknown kind of arm {kind!r}")
-            parts.append(said.select(F.lit(name).alias("arm"), row, F.col("_delta").alias("y"), "p"))
-    return reduce(DataFrame.unionByName, parts)
+    what is predicted; an arm of another algorithm is a further `subtract`. The rows are computed once, as a table; so many fits run at a time."""
+    if wrong := sorted({kind for kind, _ in arms.values()} - {"direct", "subtract"}):
+        raise ValueError(f"unknown kind of arm {wrong[0]!r}")
+    rows = kept(df.withColumn("_delta", F.col(a) - F.col(b)), "arms")
+    groups = [r[0] for r in rows.select(by).distinct().orderBy(by).collect()] if by else [None]  # names of pairs
+
+    def one(group: object, k: int, name: str) -> DataFrame:
+        own = rows.where(F.col(by).eqNullSafe(F.lit(group))) if by else rows
+        train, test = own.where(F.col(fold) != k), own.where(F.col(fold) == k)
+        kind, make = arms[name]
+        if kind == "direct":
+            said = make("_delta").fit(train).transform(test).select(row, "_delta", "p")
+        else:
+            first = make(a).fit(train).transform(test).withColumnRenamed("p", "_pa")
+            said = make(b).fit(train).transform(first).select(row, "_delta", (F.col("_pa") - F.col("p")).alias("p"))
+        return said.select(*([F.lit(group).alias(by)] if by else []), F.lit(name).alias("arm"), row, F.col("_delta").alias("y"), "p")
+
+    return _fitted(df.sparkSession, [partial(one, g, k, name) for g in groups for k in range(folds) for name in arms], at_once)
 
 
 def linear_arms(df: DataFrame, fold: str = "fold", by: tuple[str, ...] = (), x: str = "x", a: str = "a", b: str = "b") -> DataFrame:
@@ -80,7 +99,7 @@ def linear_arms(df: DataFrame, fold: str = "fold", by: tuple[str, ...] = (), x:
     sxx = s["xx"] - s["x"] * s["x"] / s["n"]
     slope = lambda y: F.coalesce((s["x" + y] - s["x"] * s[y] / s["n"]) / F.nullif(sxx, F.lit(0.0)), F.lit(0.0))
     line = lambda y: (s[y] / s["n"] + slope(y) * (F.col(x) - s["x"] / s["n"]))
-    joined = df.join(F.broadcast(sums), [*keys, fold])  # a row per group and fold
+    joined = df.join(sums, [*keys, fold])  # Spark broadcasts the sums where they are few
     direct = (s["a"] - s["b"]) / s["n"] + ((s["xa"] - s["xb"]) - s["x"] * (s["a"] - s["b"]) / s["n"]) / F.nullif(sxx, F.lit(0.0)) * (F.col(x) - s["x"] / s["n"])
     out = {"p_direct": F.coalesce(direct, (s["a"] - s["b"]) / s["n"]), "p_subtract": line("a") - line("b"), "p_mean": (s["a"] - s["b"]) / s["n"]}
     return joined.select(*[df[c] for c in df.columns], *[c.alias(n) for n, c in out.items()])

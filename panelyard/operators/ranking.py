@@ -43,6 +43,26 @@ def ranked(df: DataFrame, by: list[str], order: list[Column], rank: str = "rank"
     return running(df.withColumn("_one", F.lit(1).cast("bigint")), by, order, {"_one": rank}).drop("_one")
 
 
+def smallest(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """The n first rows by columns that tell all rows apart (nulls first); all if there are fewer. Only these columns are sorted, by ranges, to find where the n-th row is; then rows are filtered,
+    so that no task gathers them."""
+    keys = df.select(*order)
+    upto, tables = _running(keys.withColumn("_one", F.lit(1).cast("bigint")), [], [F.col(c).asc_nulls_first() for c in order], {"_one": "_rank"})
+    last = upto.where(F.col("_rank") == n).select(*order).first() if n > 0 else None
+    fewer = last is None and n > 0
+    drop_kept(*tables)
+    if fewer:
+        return df
+    if last is None:
+        return df.limit(0)
+    before, same = F.lit(False), F.lit(True)
+    for c in order:
+        at = F.lit(last[c]).cast(df.schema[c].dataType)
+        less = (F.col(c).isNull() & at.isNotNull()) | F.coalesce(F.col(c) < at, F.lit(False))
+        before, same = before | (same & less), same & F.col(c).eqNullSafe(at)
+    return df.where(before | same)
+
+
 def quantiles(df: DataFrame, column: str, wanted: dict[str, float], by: tuple[str, ...] = ()) -> DataFrame:
     """Exact quantiles of a column's values that are not null (linear between the two next to the place), one row a group; none for a group without values.
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.operators.ranking import quantiles
+from panelyard.operators.ranking import quantiles, smallest
 from panelyard.operators.similarity import three_similarities
 
 # Names of strata and advisory labels.
@@ -62,7 +62,7 @@ def first_of_each(library: DataFrame, key: str = "key", order: str = "pos") -> D
 
 def seeded_cap(df: DataFrame, n: int, h: str = "h", order: str = "pos") -> DataFrame:
     """n rows by their hash, in input order; all if there are fewer."""
-    return df.orderBy(h, order).limit(n).orderBy(order)
+    return smallest(df, n, [h, order]).orderBy(order)
 
 
 def seeded_shuffle(df: DataFrame, h: str = "h", order: str = "pos") -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from panelyard.operators.bitindex import DIGITS, best_matches
@@ -23,16 +25,32 @@ def threshold_bits(vector: str, cut: float) -> Column:
     return F.expr(f"filter(sequence(0, size({vector}) - 1), i -> CAST({vector}[i] AS DOUBLE) > {cut})")
 
 
+def column_by(df: DataFrame, make: Callable[[list], list], column: str, out: str, kind: str) -> DataFrame:
+    """df with a column from a plug-in: make gets a batch of another column's values and returns as many of the SQL type `kind`, null for what it can't read. Other columns pass unchanged."""
+    field = T._parse_datatype_string(f"`{out}` {kind}").fields[0]
+    rows = df.drop(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        to = to_arrow_type(field.dataType)
+        for b in batches:
+            made = make(b.column(column).to_pylist())
+            if len(made) != len(b):
+                raise ValueError(f"the plug-in for {out!r} returned {len(made)} values for {len(b)} rows")
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(made, to)], [*b.schema.names, out])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, field]))
+
+
 def bits_by(df: DataFrame, make: Callable[[list], list[list[int] | None]], column: str, bits: str = "bits") -> DataFrame:
     """df with bits from a plug-in: make gets a batch of the column's values and returns on-bit positions, null for what it can't read."""
-    schema = f"{df._jdf.schema().toDDL()}, `{bits}` array<int>" if df.columns else f"`{bits}` array<int>"
+    return column_by(df, make, column, bits, "array<int>")
 
-    def run(batches):  # noqa: ANN001, ANN202
-        for b in batches:
-            b[bits] = make(b[column].tolist())
-            yield b
 
-    return df.mapInPandas(run, schema)
+def keys_by(df: DataFrame, make: Callable[[list], list[str | None]], column: str, key: str = "key") -> DataFrame:
+    """df with normalised keys from a plug-in (in place of the lexical ones of `scalars.largest_fragment`); null for what it can't read, and such rows are dropped by `curate` and counted by `funnel`."""
+    return column_by(df, make, column, key, "string")
 
 
 def pair_similarities(queries: DataFrame, refs: DataFrame, query_id: str, ref_id: str, bits: str = "bits", at_least: float | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from panelyard.functions import scalars as S
 from panelyard.operators import metrics as M
@@ -18,7 +19,7 @@ from panelyard.operators import textscan as L
 from panelyard.plans.fixtures import bucket, view
 from panelyard.plans.queries import PAIRS, PANEL, SIM, _bits, _pairs, _panel, _reference_sets, query, rounded
 from panelyard.sources import readers as IO
-from panelyard.sources.shared import fresh_folder
+from panelyard.sources.shared import fresh_folder, kept
 from panelyard.streaming.ingest import ingest, screen_blocks
 
 # support --------------------------------------------------------------------------------------------------------------
@@ -96,10 +97,10 @@ def _(spark, d):
 
 @query("delta_arms_fit")
 def _(spark, d):
-    """Forests for the difference, forests for both values, boosting for both values: on the same folds and features."""
-    rows = ML.with_features(_arm_rows(spark, d).where("pair = 'T0-T1'").withColumn("z", F.col("id") % 7 / 7.0), numbers=("x", "z"))
-    arms = {"direct_rf": ("direct", lambda y: ML.forest(y, 20, 5)), "subtract_rf": ("subtract", lambda y: ML.forest(y, 20, 5)), "subtract_boosted": ("subtract", lambda y: ML.boosted(y, 10, 3))}
-    return M.regression(ML.delta_arms(rows, arms), "arm")
+    """Forests for the difference, forests for both values, boosting for both values, for every pair of targets: on the same folds and features."""
+    rows = ML.with_features(_arm_rows(spark, d).withColumn("z", F.col("id") % 7 / 7.0), numbers=("x", "z"))
+    arms = {"direct_rf": ("direct", lambda y: ML.forest(y, 20, 5)), "subtract_rf": ("subtract", lambda y: ML.forest(y, 20, 5)), "subtract_boosted": ("subtract", lambda y: ML.boosted(y, 5, 3))}
+    return M.regression(ML.delta_arms(rows, arms, by="pair"), "pair", "arm")
 
 
 # screening ------------------------------------------------------------------------------------------------------------
@@ -247,6 +248,12 @@ def _(spark, d):
     return V.screen_library(library, refs, said).select("id", "sim_train", "sim_actives", "sim_known", "closest", "stratum")
 
 
+@query("candidate_head", "SELECT doc_id, pos FROM {fx_library} WHERE key IS NOT NULL ORDER BY pos LIMIT 40")
+def _(spark, d):
+    """The first candidates of a pool by place: the limit is the operator."""
+    return V.head(view(spark, d, "fx_library").where("key IS NOT NULL").select("doc_id", "pos"), 40)
+
+
 @query("screen_skip", "SELECT 'skipped' AS status, 'enabled=true, library=absent' AS reason UNION ALL SELECT 'ran', NULL FROM (SELECT count(*) AS n FROM {fx_bits} WHERE NOT train) WHERE n > 0")
 def _(spark, d):
     library = _bits(spark, d).where("NOT train")
@@ -396,6 +403,45 @@ def _(spark, d):
     return R.metric_diff(view(spark, d, "fx_metrics_a"), view(spark, d, "fx_metrics_b"))
 
 
+_CUSTOMERS = "SELECT n_nationkey AS k, n_name AS nation, c_mktsegment AS segment, count(c_custkey) AS n, CAST(round(coalesce(sum(c_acctbal), 0), 2) AS DOUBLE) AS balance FROM {nation} LEFT JOIN {customer} ON c_nationkey = n_nationkey GROUP BY n_nationkey, n_name, c_mktsegment"
+_LEAF_SQL = """s AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY segment NULLS FIRST) - 1 AS i FROM ({customers}) AS c),
+a AS (SELECT k, nation, 'name' AS path, NULL::DOUBLE AS value, NULL::BOOLEAN AS flag, nation AS text FROM s WHERE i = 0 UNION ALL SELECT k, nation, concat('segments[', i, '].segment'), NULL, NULL, segment FROM s
+  UNION ALL SELECT k, nation, concat('segments[', i, '].n'), n, NULL, NULL FROM s UNION ALL SELECT k, nation, concat('segments[', i, '].checks.balance'), balance, NULL, NULL FROM s UNION ALL SELECT k, nation, concat('segments[', i, '].checks.large'), NULL, n > 2, NULL FROM s),
+b AS (SELECT k, nation, path, CASE WHEN k % 5 = 1 AND path LIKE '%.balance' THEN value + 1 ELSE value END AS value, CASE WHEN k % 5 = 3 AND path LIKE 'segments[0]%' THEN NOT flag ELSE flag END AS flag,
+  CASE WHEN k % 5 = 2 AND path LIKE '%.segment' THEN concat(text, '!') ELSE text END AS text FROM a WHERE k % 5 <> 4 OR path <> 'name')"""
+
+
+def _nation_records(spark: SparkSession, d: str, other: bool) -> DataFrame:
+    """A nested record a nation: its name, and an array of its customers' segments. The other run's records differ by rules on the nation's number."""
+    k = F.col("k")
+    rows = spark.sql(_CUSTOMERS, nation=view(spark, d, "nation"), customer=view(spark, d, "customer"))
+    own = F.row_number().over(Window.partitionBy("k").orderBy(F.col("segment").asc_nulls_first()))
+    rows = rows.withColumn("first", own == 1)
+    change = lambda rule, then, other_: F.when(F.lit(other) & (k % 5 == rule), then).otherwise(other_)
+    segment = F.struct(
+        F.col("first"), F.coalesce(F.col("segment"), F.lit("")).alias("order"), change(2, F.concat("segment", F.lit("!")), F.col("segment")).alias("segment"), "n",
+        F.struct(change(1, F.col("balance") + 1, F.col("balance")).alias("balance"), F.when(F.lit(other) & (k % 5 == 3) & F.col("first"), F.col("n") <= 2).otherwise(F.col("n") > 2).alias("large")).alias("checks"),
+    )
+    made = rows.groupBy("k", "nation").agg(F.transform(F.array_sort(F.collect_list(F.struct((~F.col("first")).alias("later"), F.coalesce("segment", F.lit("")).alias("at"), segment.alias("s")))), lambda x: x["s"].dropFields("first", "order")).alias("segments"))
+    name = F.when(F.lit(other) & (k % 5 == 4), F.lit(None).cast("string")).otherwise(F.col("nation"))
+    full = F.to_json(F.struct(name.alias("name"), "segments"), {"ignoreNullFields": "false"})
+    return made.select("nation", F.when(F.lit(other) & (k % 5 == 4), F.to_json(F.struct("segments"), {"ignoreNullFields": "false"})).otherwise(full).alias("record"))
+
+
+@query("record_leaves", f"WITH {_LEAF_SQL.replace('{customers}', _CUSTOMERS)} SELECT nation, path, value, flag, text FROM a")
+def _(spark, d):
+    return R.leaves(_nation_records(spark, d, False), by=("nation",))
+
+
+@query("record_diff", f"""WITH {_LEAF_SQL.replace('{customers}', _CUSTOMERS)} SELECT coalesce(a.nation, b.nation) AS nation, coalesce(a.path, b.path) AS path,
+  CASE WHEN b.path IS NULL THEN 'missing' WHEN a.path IS NULL THEN 'extra' WHEN a.flag IS DISTINCT FROM b.flag THEN 'bool' ELSE 'value' END AS kind, round(abs(a.value - b.value), 6) AS gap
+FROM a FULL JOIN b ON a.k = b.k AND a.path = b.path WHERE a.path IS NULL OR b.path IS NULL OR a.flag IS DISTINCT FROM b.flag OR a.text IS DISTINCT FROM b.text OR abs(a.value - b.value) > 1e-9 * greatest(abs(a.value), abs(b.value))""")
+def _(spark, d):
+    """Nested records of two runs, a pair a nation: numbers, flags and texts inside arrays, and a name that is gone."""
+    one, two = (R.leaves(_nation_records(spark, d, other), by=("nation",)) for other in (False, True))
+    return R.metric_diff(one, two, flag="flag", text="text", by=("nation",))
+
+
 @query("family_gaps", "SELECT split_part(a.path, '.', 1) AS family, count(*) AS n, round(max(abs(a.value - b.value)), 6) AS max_gap FROM {fx_metrics_a} AS a JOIN {fx_metrics_b} AS b ON a.path = b.path GROUP BY 1")
 def _(spark, d):
     return R.family_gaps(view(spark, d, "fx_metrics_a"), view(spark, d, "fx_metrics_b"))
@@ -517,6 +563,32 @@ def _(spark, d):
     return IO.verify_snapshot(there, sums)
 
 
+_FILE_SQL = "f AS (SELECT n_nationkey AS k, sha256(string_agg(concat(c_custkey, ',', c_name), chr(10) ORDER BY c_custkey) || chr(10)) AS sha256, sum(octet_length(encode(concat(c_custkey, ',', c_name))) + 1)::BIGINT AS bytes FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey)"
+
+
+def _nation_files(spark: SparkSession, d: str) -> DataFrame:
+    """(k, bytes, sha256) of files on disk, one with each nation's customers in order."""
+    folder = fresh_folder(spark, "snapshot")
+    rows = view(spark, d, "customer").where("c_nationkey IS NOT NULL").select(F.col("c_nationkey").alias("k"), "c_custkey", F.concat_ws(",", "c_custkey", "c_name").alias("value"))
+    rows.repartition("k").sortWithinPartitions("k", "c_custkey").select("k", "value").write.partitionBy("k").text(folder)
+    return IO.file_digests(spark, folder, "part-*", by_path=True).select(F.regexp_extract("name", "/k=([0-9]+)/", 1).cast("int").alias("k"), "bytes", "sha256")
+
+
+@query("snapshot_files", f"WITH {_FILE_SQL} SELECT k, bytes, sha256 FROM f")
+def _(spark, d):
+    """Digests of files' bytes, read in parts inside tasks."""
+    return _nation_files(spark, d)
+
+
+@query("snapshot_status", f"WITH {_FILE_SQL} SELECT n_nationkey::VARCHAR AS name, CASE WHEN n_nationkey % 5 = 0 THEN 'unlisted' WHEN n_nationkey % 5 = 1 THEN 'mismatch' ELSE 'ok' END AS status FROM nation JOIN f ON k = n_nationkey UNION ALL SELECT 'gone', 'missing'")
+def _(spark, d):
+    """Files' digests against a list of sums that lacks some files, is wrong about others and names one that is not there."""
+    found = _nation_files(spark, d).select(F.col("k").cast("string").alias("name"), "sha256", "k")
+    sums = found.where("k % 5 <> 0").select("name", F.when(F.col("k") % 5 == 1, F.sha2("sha256", 256)).otherwise(F.col("sha256")).alias("sha256"))
+    gone = view(spark, d, "region").limit(1).select(F.lit("gone").alias("name"), F.lit("0").alias("sha256"))
+    return IO.verify_snapshot(found.drop("k"), sums.unionByName(gone))
+
+
 @query("shard_manifest", "SELECT count(*) AS lines, sum(octet_length(encode(url)) + 1)::BIGINT AS bytes FROM pages")
 def _(spark, d):
     folder = fresh_folder(spark, "shards")
@@ -543,6 +615,15 @@ def _(spark, d):
     return IO.read_two_columns(spark, folder, "ZINC", 20, 100)
 
 
+@query("indexed_slice", "SELECT page_id AS pos, concat('ZINC', page_id) AS id FROM pages WHERE page_id >= 40")
+def _(spark, d):
+    """Lines from number 40 on, by an index of the files: those before them are not read."""
+    folder = fresh_folder(spark, "deck")
+    line = F.concat_ws(" ", F.concat(F.lit("ZINC"), "page_id"), F.split("url", "/")[2])
+    view(spark, d, "pages").repartitionByRange(8, "page_id").sortWithinPartitions("page_id").select(line.alias("value")).write.text(folder)
+    return IO.read_two_columns(spark, folder, "ZINC", 40, index=kept(IO.line_index(spark, folder), "index")).select("pos", "id")
+
+
 @query("stream_ingest", "SELECT event_type, count(*) AS n, round(sum(value), 4) AS value FROM events GROUP BY event_type")
 def _(spark, d):
     folder = fresh_folder(spark, "stream")

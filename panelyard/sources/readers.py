@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from panelyard.operators.ranking import smallest
+from panelyard.sources.shared import kept
+
 FIELDS = ("molecule_chembl_id", "canonical_smiles", "standard_type", "standard_value", "standard_units", "standard_relation", "pchembl_value", "assay_chembl_id",
           "assay_type", "bao_format", "target_chembl_id", "activity_comment", "data_validity_comment", "document_year", "assay_description")
 ASSAY_FIELDS = ("assay_chembl_id", "description", "assay_type", "bao_format", "confidence_score", "assay_organism", "relationship_type")
@@ -33,27 +38,56 @@ def project_fields(df: DataFrame, fields: tuple[str, ...] = FIELDS, types: tuple
     return out.where(F.lower(type_column).isin(*[t.lower() for t in types])) if types else out
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(pos, value): all lines of text files, blank ones too, with their number from 0 in the order of the files' names and lines; gzip files are unpacked."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
-    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("low"))
-    earlier = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)  # a row per block of a file
-    starts = blocks.select(F.col("file").alias("f"), F.col("block").alias("b"), "low", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
-    return lines.join(starts, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b"))).select((F.col("start") + F.col("at") - F.col("low")).alias("pos"), "value")
+def _blocks(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("low"))
+
+
+def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+
+
+def line_index(spark: SparkSession, path: str) -> DataFrame:
+    """(file, first, n): where each text file's lines start in the order of the files' names. Small: a row per file. Write it once beside a library that is read in slices."""
+    files = spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("n"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    return files.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"), "n")
+
+
+def numbered_lines(spark: SparkSession, path: str, index: DataFrame | None = None, start: int = 0, end: int | None = None) -> DataFrame:
+    """(pos, value): all lines of text files, blank ones too, with their number from 0 in the order of the files' names and lines; gzip files are unpacked.
+
+    start, end: only lines from start on, before end. With an index (see `line_index`) only files that hold such lines are read; without one all are counted.
+    The lines are a table before they are numbered, so a retried task can't number them otherwise."""
+    inside = (F.col("pos") >= start) if end is None else (F.col("pos") >= start) & (F.col("pos") < end)
+    if index is not None:
+        held = index.where((F.col("first") + F.col("n") > start) & (F.lit(True) if end is None else F.col("first") < end))
+        files = [r["file"] for r in held.select("file").collect()]  # names of files, as in any listing
+        lines = _lines(spark, files) if files else spark.createDataFrame([], "value string, file string, block bigint, at bigint")
+        base = held.select(F.col("file").alias("of"), "first")
+    else:
+        lines, base = _lines(spark, path), None
+    lines = kept(lines, "lines")
+    earlier = (Window.partitionBy("file") if base is not None else Window).orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)  # a row per block of a file
+    starts = _blocks(lines).select(F.col("file").alias("f"), F.col("block").alias("b"), "low", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    if base is not None:
+        starts = starts.join(base, F.col("f") == F.col("of")).select("f", "b", "low", (F.col("start") + F.col("first")).alias("start"))
+    both = lines.join(starts, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")))
+    return both.select((F.col("start") + F.col("at") - F.col("low")).alias("pos"), "value").where(inside)
 
 
 def read_library(spark: SparkSession, path: str, cap: int | None = None, seed: int = 42) -> DataFrame:
     """(pos, key, id) of `key [id]` lines; blank lines count but are skipped, absent ids are row<pos>. cap: so many rows, those with the smallest hashes of seed and place."""
     rows = numbered_lines(spark, path).where("trim(value) <> ''").withColumn("f", F.split(F.trim("value"), r"\s+"))
     rows = rows.select("pos", F.col("f")[0].alias("key"), F.coalesce(F.get("f", F.lit(1)), F.concat(F.lit("row"), "pos")).alias("id"))
-    return rows if cap is None else rows.orderBy(F.xxhash64(F.lit(seed), "pos"), "pos").limit(cap)
+    return rows if cap is None else smallest(rows.withColumn("_h", F.xxhash64(F.lit(seed), "pos")), cap, ["_h", "pos"]).drop("_h")
 
 
-def read_two_columns(spark: SparkSession, path: str, prefix: str, start: int = 0, n: int | None = None) -> DataFrame:
-    """(pos, id, key) of two-field lines in either order, from line `start` on, n of them at most; gzip files are unpacked. Lines of fewer fields don't count for n."""
-    lines = numbered_lines(spark, path).where(F.col("pos") >= start)
-    rows = two_columns(lines, prefix, keep=("pos",))
-    return rows if n is None else rows.orderBy("pos").limit(n)
+def read_two_columns(spark: SparkSession, path: str, prefix: str, start: int = 0, n: int | None = None, index: DataFrame | None = None) -> DataFrame:
+    """(pos, id, key) of two-field lines in either order, from line `start` on, n of them at most; gzip files are unpacked. Lines of fewer fields don't count for n.
+
+    With an index only files from line `start` on are read."""
+    rows = two_columns(numbered_lines(spark, path, index, start), prefix, keep=("pos",))
+    return rows if n is None else smallest(rows, n, ["pos"])
 
 
 def two_columns(lines: DataFrame, prefix: str, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -89,31 +123,48 @@ def verify_pin(spark: SparkSession, path: str, manifest: str | None) -> dict:
     return {"verified": True, "sha256": got["sha256"], "file": name}
 
 
-def file_digests(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """(name, bytes, sha256) of files; gzip files by their decompressed content, under the name without .gz."""
-    import hashlib
+#: Bytes of a file that are held at a time; most tasks that files are dealt to.
+PART, TASKS = 1 << 20, 10_000
+
+
+def stream_digest(stream, gzipped: bool) -> tuple[int, str]:  # noqa: ANN001
+    """(bytes, SHA-256) of an open file, read in parts; of what it unpacks to if gzipped, whatever the number of its members."""
+    sha, n, unzip = hashlib.sha256(), 0, zlib.decompressobj(31) if gzipped else None
+    while raw := stream.read(PART):
+        while raw:
+            if unzip is None:
+                part, raw = raw, b""
+            else:
+                if unzip.eof:
+                    unzip = zlib.decompressobj(31)
+                part = unzip.decompress(raw, PART)
+                raw = unzip.unused_data if unzip.eof else unzip.unconsumed_tail
+            sha.update(part)
+            n += len(part)
+    if unzip is not None and not unzip.eof and n:
+        raise ValueError("a gzip file ends too early")
+    return n, sha.hexdigest()
+
+
+def file_digests(spark: SparkSession, folder: str, glob: str = "*", by_path: bool = False) -> DataFrame:
+    """(name, bytes, sha256) of files of any size; gzip files by their decompressed content, under the name without .gz. by_path: the whole path instead of the name.
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+    Spark lists the files (their names only, empty ones too); a task opens each of its own and reads it in parts, so its memory does not depend on the files' sizes."""
+    paths = [unquote(p) for p in spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).inputFiles()]
+    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, min(len(paths), TASKS)))
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
         for b in batches:
-            out = []
-            for path, content in zip(b.column("path").to_pylist(), b.column("content")):
-                raw, name = memoryview(content.as_buffer()), path.rsplit("/", 1)[-1]
-                sha, n = hashlib.sha256(), 0
-                if name.endswith(".gz"):
-                    unzip = zlib.decompressobj(31)
-                    for k in range(0, len(raw), 1 << 20):
-                        part = unzip.decompress(raw[k : k + (1 << 20)])
-                        sha.update(part)
-                        n += len(part)
-                else:
-                    sha.update(raw)
-                    n = len(raw)
-                out.append((name.removesuffix(".gz"), n, sha.hexdigest()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else ([], [], []), (pa.string(), pa.int64(), pa.string()))], ["name", "bytes", "sha256"])
-
-    return files.select("path", "content").mapInArrow(digest, "name string, bytes bigint, sha256 string")
+            for path in b.column("path").to_pylist():
+                system, place = fs.FileSystem.from_uri(path)
+                with system.open_input_stream(place, compression=None) as stream:
+                    n, sha = stream_digest(stream, path.endswith(".gz"))
+                name = (path if by_path else path.rsplit("/", 1)[-1]).removesuffix(".gz")
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64()), pa.array([sha])], ["name", "bytes", "sha256"])
+
+    return files.mapInArrow(digest, "name string, bytes bigint, sha256 string")
 
 
 def verify_snapshot(found: DataFrame, sums: DataFrame) -> DataFrame:

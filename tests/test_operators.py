@@ -272,8 +272,8 @@ def test_nested_records_round_trip(spark, tmp_path):
     (line,) = [r[0] for r in spark.read.text(str(tmp_path / "m")).collect()]
     assert json.loads(line) == {"a": {"b": {"c": 1.5}, "d": None}, "e": 2.0}
     nested = spark.createDataFrame([((1, True, ("t", 2.5)),)], "record struct<n:int,ok:boolean,in:struct<text:string,x:double>>")
-    got = {r["path"]: (r["value"], r["flag"]) for r in R.leaves(nested).collect()}
-    assert got == {"n": (1.0, None), "ok": (None, True), "in.x": (2.5, None)}
+    got = {r["path"]: (r["value"], r["flag"], r["text"]) for r in R.leaves(nested).collect()}
+    assert got == {"n": (1.0, None, None), "ok": (None, True, None), "in.x": (2.5, None, None), "in.text": (None, None, "t")}
     other = R.leaves(spark.createDataFrame([((1, False, ("t", 2.5)),)], nested.schema))
     assert [(r["path"], r["kind"]) for r in R.metric_diff(R.leaves(nested), other, flag="flag").collect()] == [("ok", "bool")]
 
@@ -281,8 +281,11 @@ def test_nested_records_round_trip(spark, tmp_path):
 def test_decisions_and_manifest(spark):
     v = spark.createDataFrame([("a", True, 3, "x"), ("b", False, 4, "y")], "pair string, supported boolean, n bigint, reasons string")
     d = R.decisions(v)
-    assert {(r["path"], r["value"]) for r in d.collect()} == {("a.supported", 1.0), ("a.n", 3.0), ("b.supported", 0.0), ("b.n", 4.0)}
-    assert R.metric_diff(d, R.decisions(v.withColumn("n", F.col("n") + 1)), 0.0).count() == 2
+    flags, texts = {"a": (True, "x"), "b": (False, "y")}, lambda r: (r["path"], r["value"], r["flag"], r["text"])
+    assert {texts(r) for r in d.collect()} == {("a.n", 3.0, None, None), ("b.n", 4.0, None, None)} | {(f"{k}.supported", None, f, None) for k, (f, _) in flags.items()} | {(f"{k}.reasons", None, None, t) for k, (_, t) in flags.items()}
+    exact = lambda other: sorted((r["path"], r["kind"]) for r in R.metric_diff(d, R.decisions(other), 0.0, flag="flag", text="text").collect())
+    assert exact(v.withColumn("n", F.col("n") + 1)) == [("a.n", "value"), ("b.n", "value")] and exact(v) == []
+    assert exact(v.withColumn("reasons", F.lit("x")).withColumn("supported", F.lit(True))) == [("b.reasons", "value"), ("b.supported", "bool")]
     assert {r["section"] for r in R.run_manifest(inputs=v, gates=d).collect()} == {"inputs", "gates"}
 
 

@@ -190,27 +190,52 @@ def passes(texts: pa.Array, *more: pa.Array) -> Iterator[tuple[int, int]]:
         at = end
 
 
+def word_places(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) in bytes of the words (runs of bytes other than 9-13 and 32) of texts that lie one after the other and end at `ends`."""
+    starts, stops = [], []
+    cuts = np.unique(ends[(ends > 0) & (ends < len(data))])
+    for lo in range(0, len(data), PASS_BYTES):
+        hi = min(len(data), lo + PASS_BYTES)
+        inside = ~_SPACE[data[max(lo - 1, 0) : hi]]
+        if not lo:
+            inside = np.concatenate([[False], inside])
+        here = inside[1:]
+        split = np.zeros(len(here), bool)
+        own = cuts[(cuts >= lo) & (cuts < hi)] - lo
+        split[own] = True
+        starts.append(np.flatnonzero(here & (~inside[:-1] | split)) + lo)
+        stops.append(np.flatnonzero(inside[:-1] & (~here | split)) + lo)
+    starts, stops = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (starts, stops))
+    return starts, np.append(stops, len(data)) if len(starts) > len(stops) else stops
+
+
 def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words (runs of bytes other than 9-13 and 32) of all texts; per text the end offset. Null: no words."""
+    """64-bit hashes of the words (runs of bytes other than 9-13 and 32) of all texts; per text the end offset. Null: no words.
+
+    Texts are hashed in pieces of about PASS_BYTES, cut between words (a longer word in parts), so what it takes beside the result is about 24 bytes a word."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())
     ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     if len(texts) == 0 or ends[-1] == ends[0]:
         return np.zeros(0, U64), np.zeros(len(texts), np.int64)
     data = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0] : ends[-1]]
-    ends = ends - ends[0]
-    inside = ~_SPACE[data]
-    first = inside.copy()
-    first[1:] &= ~inside[:-1]
-    cut = ends[:-1][(ends[:-1] < len(data))]
-    first[cut] |= inside[cut]
-    starts = np.flatnonzero(first)
-    if not len(starts):
-        return np.zeros(0, U64), np.zeros(len(texts), np.int64)
-    word = np.cumsum(first) - 1
-    at = np.arange(len(data)) - starts[np.maximum(word, 0)]
-    value = _BYTE[data] * _power(int(at[inside].max()) + 1)[np.where(inside, at, 0)]
-    value[~inside] = 0
-    return mix(np.add.reduceat(value, starts)), np.searchsorted(starts, ends[1:], "left").astype(np.int64)
+    ends = ends[1:] - ends[0]
+    starts, stops = word_places(data, ends)
+    out = np.empty(len(starts), U64)
+    at = 0
+    while at < len(starts):
+        lo = int(starts[at])
+        to = max(at + 1, int(np.searchsorted(stops, lo + PASS_BYTES, "right")))
+        hi = int(stops[to - 1])
+        if to == at + 1 and hi - lo > PASS_BYTES:  # the sum over a long word's parts, each times a power of the prime
+            out[at] = U64(sum(int((_BYTE[data[x : min(hi, x + PASS_BYTES)]] * _power(min(hi, x + PASS_BYTES) - x)).sum(dtype=U64)) * pow(_PRIME, x - lo, 1 << 64) for x in range(lo, hi, PASS_BYTES)) & (2**64 - 1))
+        else:
+            first = starts[at:to] - lo
+            place = np.arange(hi - lo) - np.repeat(first, np.diff(first, append=hi - lo))
+            value = _BYTE[data[lo:hi]] * _power(int(place.max()) + 1)[place]
+            value[_SPACE[data[lo:hi]]] = 0
+            out[at:to] = np.add.reduceat(value, first)
+        at = to
+    return mix(out), np.searchsorted(starts, ends, "left").astype(np.int64)
 
 
 def windows(words: np.ndarray, ends: np.ndarray, k: int, short: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -6,7 +6,9 @@ them, these forms of a name with a value:
 - `"name": v`, `'name' => v`, `table["name"] = v`, `$name = v`, `export NAME=v`, `-- name: v` (comments are read like code);
 - `<name>v</name>`, `<entry key="name">v</entry>`, `name="v"`, `key="name" value="v"`;
 - `call(name="v")`, `set_name("v")`, `put("name", "v")`, and the default of `getenv("X", "v")`;
-- `name: |` with an indented block, and values in brackets or on the next line.
+- `name: |` with an indented block; values in round brackets, on the next line and after a continued one (`= \\`);
+- lists `name = ["v", "w"]`, `name: [v, w]`, `name:` with `- v` lines below, and entries of `name = {...}` (also under the names of the entries);
+- `a, name = "u", "v"` at the beginning of a line, and the other branches `x or "v"`, `x || "v"`, `x ?? "v"`, `u if c else "v"`, `c ? "u" : "v"`.
 A value is a literal, a bare word up to white space or a bracket, or a sum of these and of names (`a + "b"`, `"a" "b"`, `"a" . $b`,
 `f"{a}b"`, `"${a}b"`). Names keep the literals that they stand for, in text order; a name that is set to something else is
 forgotten (constant propagation). Each literal is scored by its target's name and its own shape. A literal at
@@ -61,7 +63,7 @@ _OPERATOR = r"=>|:=|->|\+?=(?![=>])|:(?![:/=])"
 #: What the walk stops at: escapes, elements, strings, names with an operator after them, calls.
 _EVENT = re.compile(
     rf"(?P<escape>\\.)|<(?P<element>[A-Za-z_][\w.:-]*+)(?P<attributes>[^<>\n]*+)>(?P<content>[^<\n]++)</(?P=element)>|(?P<string>{_STRING})"
-    rf"|(?<![\w.$-])(?P<name>[A-Za-z_$][\w.$-]*+)(?:[ \t]*+(?P<operator>{_OPERATOR})|(?P<call>\())",
+    rf"|(?<![\w.$-])(?P<name>[A-Za-z_$][\w.$-]*+)(?:[ \t]*+(?P<operator>{_OPERATOR})|(?P<call>\())|(?P<brace>[{{}}])",
     re.ASCII | re.DOTALL,
 )
 _AFTER_STRING = re.compile(rf"[ \t]*+\]?[ \t]*+(?:{_OPERATOR})", re.ASCII)
@@ -77,6 +79,15 @@ _ARGUMENT = re.compile(rf"\s*+(?P<quoted>{_STRING})\s*+", re.ASCII | re.DOTALL)
 _HOLE = re.compile(r"\$?\{\s*([A-Za-z_][\w.]*)\s*\}|\$([A-Za-z_]\w*)", re.ASCII)
 _KEY = re.compile(r"\b(?:key|name)[ \t]*=[ \t]*[\"']([^\"'<>\n]*+)[\"']", re.ASCII)
 _GETTER = re.compile(r"(?:getenv|environ\.get|env|get|getProperty|getOrDefault)$", re.ASCII)
+_LIST = re.compile(r"(?:[ \t]|\\?\n)*+\[")
+_MAP = re.compile(r"(?:[ \t]|\\?\n)*+\{")
+_NEXT_ITEM = re.compile(r"\s*+(?:,\s*+)?+")
+_DASH = re.compile(r"[ \t]*+\n[ \t]*+-[ \t]++")
+_NAMED = re.compile(r"[ \t]*+(?:=|:(?!//))", re.ASCII)
+_OTHERWISE = re.compile(r"[^\n\"'`;{}]{0,120}?(?:\b(?:or|else)\b|\|\||\?\?|\?[^\n\"'`;{}]{0,120}?:|(?<=[ \t]):)[ \t]*+(?=[rRbBfFuU]{0,2}[\"'`])", re.ASCII)
+_TUPLE = re.compile(r"[ \t]*+,\s*+")
+#: Characters behind a `{` in which entries belong to its name, names of a tuple, and branches of a value that are looked at.
+SCOPE, NAMES, BRANCHES = 4000, 8, 8
 _OWNER = re.compile(r"^(?:\$|self\.|this\.)+")
 
 
@@ -149,6 +160,9 @@ class Lexer:
         self.told: set[int] = set()
         self.kept: list[Value] = []
         self.key: tuple[str, int] | None = None
+        self.depth = 0
+        #: Open braces that are the value of a telling name: (depth inside, the most telling name up to there, where it ends at the latest).
+        self.scopes: list[tuple[int, str, int]] = []
 
     def pair(self, names: list[str], value: Value | None, strict: bool = False) -> None:
         """Scores value under each of the names (under the most telling one)."""
@@ -255,6 +269,8 @@ class Lexer:
         opened = _OPEN.match(text, at)
         bracket = "(" in opened[0]
         at = opened.end()
+        if text.startswith("\\\n", at):  # goes on in the next line
+            at = _OPEN.match(text, at + 2).end()
         if text[at : at + 1] in ("\n", "\r", "") and (m := _NEXT_LINE.match(text, at)):
             bracket = bracket or "(" in m[0]
             at = m.end()
@@ -300,25 +316,112 @@ class Lexer:
             at = begin
         return [words[0]] if words[1] in ("var", "let", "const", "val") and words[0] else []
 
+    def tuple_names(self, at: int) -> list[str]:
+        """The names before one with an operator, if a line is `a, b, name = ...` up to there."""
+        text, out = self.text, []
+        while len(out) < NAMES:
+            end = at
+            while end and text[end - 1] in " \t":
+                end -= 1
+            if not end or text[end - 1] != ",":
+                return out[::-1] if out and (not end or text[end - 1] in "\n;") else []
+            end -= 1
+            while end and text[end - 1] in " \t":
+                end -= 1
+            begin = end
+            while begin and (text[begin - 1].isalnum() or text[begin - 1] in "_.$"):
+                begin -= 1
+            if begin == end:
+                return []
+            out.append(text[begin:end])
+            at = begin
+        return []
+
+    def named(self, term: re.Match) -> bool:
+        """Whether a term is a name with a value of its own."""
+        return bool(_NAMED.match(self.text, term.end())) or (not term["quoted"] and (term[0].endswith(":") or "=" in term[0].rstrip("=")))
+
+    def items(self, names: list[str], at: int) -> int:
+        """Literals and bare words of a list, from behind its bracket; what is neither is left to the walk."""
+        text = self.text
+        while True:
+            at = _NEXT_ITEM.match(text, at).end()
+            m = _TERM.match(text, at)
+            if not m or self.named(m) or (not m["quoted"] and text[m.end() : m.end() + 1] == "("):
+                return at
+            self.pair(names, self.literal(*m.span()) if m["quoted"] else self.word(*m.span()))
+            at = m.end()
+
+    def dashes(self, names: list[str], at: int) -> int:
+        """`- v` lines below a name; an entry that has a name of its own is left to the walk."""
+        text = self.text
+        while m := _DASH.match(text, at):
+            term = _TERM.match(text, m.end())
+            if not term or self.named(term):
+                return at
+            self.pair(names, self.literal(*term.span()) if term["quoted"] else self.word(*term.span()))
+            at = term.end()
+        return at
+
     def statement(self, name: str, name_at: int, operator: str, at: int) -> int:
         """A name with an operator; returns where the walk goes on."""
-        if operator == ":" and (m := _TYPE.match(self.text, at)):
+        text = self.text
+        if operator == ":" and (m := _TYPE.match(text, at)):
             at, operator = m.end(), "="
         names = [name]
-        if operator == "=" and name_at and self.text[name_at - 1] in " \t":
+        if operator == "=" and name_at and text[name_at - 1] in " \t":
             names += self.declared(name_at)
+        key, self.key = self.key, None
+        while self.scopes and name_at >= self.scopes[-1][2]:
+            self.scopes.pop()
+        if m := _LIST.match(text, at):
+            self.assign(name, None)
+            return self.items(names, m.end())
+        if m := _MAP.match(text, at):
+            self.assign(name, None)
+            best = max([*names, *[x[1] for x in self.scopes[-1:]]], key=name_weight)
+            if name_weight(best):
+                self.scopes.append((self.depth + 1, best, m.end() + SCOPE))
+            return m.end() - 1
+        if operator == ":" and _DASH.match(text, at):
+            self.assign(name, None)
+            return self.dashes(names, at)
         value, end = self.value(at, operator, name_at)
+        if operator == "=" and (before := self.tuple_names(name_at)):
+            return self.unpacked([*before, name], value, end, name_at)
         self.pair(names, value)
+        if self.scopes:
+            self.pair([self.scopes[-1][1]], value, strict=True)
+        for _ in range(BRANCHES):
+            if not (m := _OTHERWISE.match(text, end)):
+                break
+            other = _TERM.match(text, m.end())
+            if not other or not other["quoted"]:
+                break
+            branch, end = self.literal(*other.span()), other.end()
+            self.pair(names, branch)
+            value = branch if value is None else value
         for n in names:
             self.assign(n, value, operator == "+=")
         if operator == "+=" and name in self.known:
             self.pair([name], self.known[name])
         if value is not None and value.length <= 64 and name.lower() in ("key", "name", "id"):
             self.key = (value.begin, end)
-        elif self.key and name.lower() == "value" and not self.text[self.key[1] : name_at].strip():
-            self.pair([self.key[0]], value)
+        elif key and name.lower() == "value" and not text[key[1] : name_at].strip():
+            self.pair([key[0]], value)
         return max(end, at)
 
+    def unpacked(self, names: list[str], value: Value | None, end: int, name_at: int) -> int:
+        """`a, b = v, w`: each name with its own value."""
+        values = [value]
+        while len(values) < len(names) and (m := _TUPLE.match(self.text, end)):
+            value, end = self.value(m.end(), "=", name_at)
+            values.append(value)
+        for n, v in zip(names, values if len(values) == len(names) else [None] * len(names)):
+            self.pair([n], v)
+            self.assign(n, v)
+        return end
+
     def run(self) -> set[tuple[int, int]]:
         text, at = self.text, 0
         while m := _EVENT.search(text, at):
@@ -335,6 +438,10 @@ class Lexer:
                     a, z = inside(m["string"])
                     operator = n[0].strip(" \t]")
                     at = self.statement(m["string"][a:z], m.start(), operator, n.end())
+            elif m["brace"]:
+                self.depth += 1 if m["brace"] == "{" else -1
+                while self.scopes and self.scopes[-1][0] > self.depth:
+                    self.scopes.pop()
             elif m["call"]:
                 at = self.call(m["name"], at)[1]
             elif m["name"]:

@@ -403,6 +403,9 @@ FORMS = {  # {n}: a sensitive name, {v}: the secret
     "ini": "{n}={v}", "element": "<{n}>{v}</{n}>", "entry": '<entry key="{n}">{v}</entry>', "attribute": '<db user="x" {n}="{v}"/>', "key_value": '<add key="{n}" value="{v}" />', "keyword": 'connect(host, {n}="{v}")',
     "setter": 'set_{n}("{v}")', "put": 'props.put("{n}", "{v}")', "default": 'x = os.getenv("{n}", "{v}")', "triple": "{n} = \'\'\'{v}\'\'\'", "prefix": "{n} = rb'{v}'", "next_line": "{n} = (\n    '{v}'\n)",
     "wide": "{n}" + " " * 70 + "=" + " " * 70 + '"{v}"', "comment": "# {n}: '{v}'", "backquote": "const {n} = `{v}`", "block": "{n}: |\n  {v}\nnext: 1",
+    "list": '{n} = ["{v}"]', "json_list": '{{"{n}": [\n  "short", "{v}"\n]}}', "yaml_list": "{n}: [{v}, x]", "yaml_items": "{n}:\n  - {v}\n  - x\nnext: 1", "map": '{n} = {{"a": "{v}", "b": [1]}}', "json_map": '{{"{n}": {{"a": {{"b": "{v}"}}}}, "c": 1}}',
+    "tuple": 'u, {n} = "x", "{v}"', "tuple_first": '{n}, u = "{v}", load()', "continued": '{n} =\\\n    "{v}"', "or": '{n} = get("X") or "{v}"', "or_call": '{n} = find(a, b) or "{v}"', "else": '{n} = load() if ready else "{v}"', "ternary": '{n} = ready ? load : "{v}";',
+    "nullish": '{n} = env.X ?? "{v}"',
 }
 
 
@@ -443,15 +446,22 @@ def test_lexer_on_generated_sources(lines):
 def test_lexer_is_linear():
     import time
 
-    for unit in ('"', '\\"', "a: b ", "<a>", "\'\'\'", "x=y+", "f(", "a = (\n", 'key="a" ', "p: |\n ", '"""\\"'):
+    for unit in ('"', '\\"', "a: b ", "<a>", "\'\'\'", "x=y+", "f(", "a = (\n", 'key="a" ', "p: |\n ", '"""\\"', "value = 3\n", "token = [", "token = {", "a, ", "x = y or ", "token:\n - a", "t = \\\n"):
         took = []
         for n in (20_000, 80_000):
             began = time.process_time()
-            secrets.scan(unit * (n // len(unit)))
+            secrets.scan('key: "abc"\n' + unit * (n // len(unit)))
             took.append(time.process_time() - began)
         assert took[1] < 12 * took[0] + 0.2, unit
 
 
+def test_entries_of_other_names_are_left_alone():
+    assert _literals('colour = ["aB3$kfoe93kd"]\nprivate_key = {"a": 1}\nother = "aB3$kfoe93kd"\n') == []
+    assert _literals('f(private_key, b="aB3$kfoe93kd")') == [] and _literals('private_key = {"a": "plainword"}') == []
+    assert _literals('private_key = {\n' + "x\n" * 3000 + '"b": "aB3$kfoe93kd"') == []  # a brace that never closes
+    assert _literals('items:\n  - private_key: aB3$kfoe93kd\n  - b') == ["aB3$kfoe93kd"]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["token", "=", ": ", '"', "abcdef123", "AKIA", "0123456789abcdef01234567", "A" * 18, " ", "é", "secret", "\n", "+", "x"]), max_size=12).map("".join))
 def test_base_spans_equal_the_patterns(text):

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 MARK = "▁"
-#: Stretches that a task remembers; the memory is emptied when full.
-CACHE = 250_000
+#: Stretches that a task remembers, of so many characters at most (about 100 MB at worst); the memory is emptied when full. Longer ones are solved each time that they come.
+CACHE, REMEMBERED = 250_000, 48
 BELOW = 10.0
 
 
@@ -291,7 +291,11 @@ class Encoder:
         keys = list(new)
         known.update(zip(keys, viterbi(self.voc, [k[0] if isinstance(k, tuple) else k if k[:1] == "\n" else MARK + k for k in keys])))
         known[None] = self.marker
-        return [b"".join(map(known.__getitem__, x)) for x in parts]
+        out = [b"".join(map(known.__getitem__, x)) for x in parts]
+        for k in keys:
+            if len(k[0] if isinstance(k, tuple) else k) > REMEMBERED:
+                del known[k]
+        return out
 
 
 def decode(voc: Vocabulary, ids: list[int]) -> str:

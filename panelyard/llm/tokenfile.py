@@ -44,8 +44,8 @@ END_ID = 2
 SKIP_INDEX, SKIP_SEEK, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 #: Bytes of text per file, about.
 FILE_CHARS = 1 << 26
-#: Chunks that a worker remembers, in two halves; the older half goes when the newer is full.
-CACHE = 600_000
+#: Chunks that a worker remembers, of so many characters at most (about 200 MB at worst), in two halves; the older half goes when the newer is full.
+CACHE, REMEMBERED = 600_000, 48
 _SPACE = re.compile(r"\s")
 
 
@@ -76,16 +76,20 @@ class Chunks(dict):
 
     def __missing__(self, chunk: str) -> bytes | None:
         ids = self.old[chunk] if chunk in self.old else self.make(chunk)
-        self[chunk] = ids
+        if len(chunk) <= REMEMBERED:
+            self[chunk] = ids
         return ids
 
     def part(self, text: str, make: Callable[[str], bytes]) -> bytes:
         """Ids of a line end or of signs that follow a word."""
-        if text not in self.parts:
+        ids = self.parts.get(text)
+        if ids is None:
+            ids = make(text)
             if len(self.parts) > CACHE // 2:
                 self.parts.clear()
-            self.parts[text] = make(text)
-        return self.parts[text]
+            if len(text) <= REMEMBERED:
+                self.parts[text] = ids
+        return ids
 
     def age(self) -> None:
         if len(self) > CACHE // 2:

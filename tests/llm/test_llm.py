@@ -742,6 +742,17 @@ def test_all_passages_of_a_small_corpus_by_brute_force(spark):
     assert got == {i: len(c) for i, c in enumerate(covered)}
 
 
+def test_texts_without_spaces_are_not_remembered():
+    """50,000 spaceless texts: memory counts bytes, not entries."""
+    texts = ["".join(chr(0x4E00 + (i * 7 + j) % 900) for j in range(60)) for i in range(300)] + ["a b c", "x" * 500]
+    enc, words = pieces.Encoder(VOC), tokenfile.Encoder.of(tokenfile.default_tokenizer())
+    for e in (enc, words):
+        first = e.encode(texts)
+        assert first == e.encode(texts)
+        assert max(len(k[0] if isinstance(k, tuple) else k) for k in e.known if k) <= 50
+    assert max(map(len, words.known.parts), default=0) <= 48
+
+
 # pipeline --------------------------------------------------------------------------------------------------------------
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelyard.operators.ranking import quantiles
+from panelyard.operators.sketches import KLL_K, LG_K, sketched_quantile
+from panelyard.sources.shared import drop_kept, kept
 
 UNMATCHED, NO_DESCRIPTION = "unmatched", "no_description"
 
@@ -116,25 +118,37 @@ def reasons(selection: DataFrame) -> DataFrame:
     return selection.groupBy("label", F.coalesce("reason", F.lit("admitted")).alias("reason")).agg(F.count("*").alias("n"))
 
 
-def attrition(activity: DataFrame, selection: DataFrame) -> DataFrame:
-    """One row: assays, activities, distinct structures in and out, unknown assays' activities, and the shares that stay (4 decimals, 0 of nothing)."""
+def attrition(activity: DataFrame, selection: DataFrame, approximate: bool = False) -> DataFrame:
+    """One row: assays, activities, distinct structures in and out, unknown assays' activities, and the shares that stay (4 decimals, 0 of nothing).
+
+    approximate: structures are counted by HyperLogLog sketches, to about 1 % (`sketches.DISTINCT_ERROR`), and not shuffled."""
     flagged = activity.join(selection.select("assay_id", "admitted"), "assay_id", "left")
     share = lambda a, b: F.when(F.col(b) == 0, 0.0).otherwise(F.round(F.col(a) / F.col(b), 4))
+    distinct = (lambda c: F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(c, F.lit(LG_K))), F.lit(0))) if approximate else F.countDistinct
     rows = flagged.agg(
         F.count("*").alias("activities_in"), F.count_if("admitted").alias("activities_out"), F.count_if(F.col("admitted").isNull()).alias("activities_unknown"),
-        F.countDistinct("structure").alias("structures_in"), F.countDistinct(F.when(F.col("admitted"), F.col("structure"))).alias("structures_out"),
+        distinct(F.col("structure")).alias("structures_in"), distinct(F.when(F.col("admitted"), F.col("structure"))).alias("structures_out"),
     )
     known = selection.agg(F.count("*").alias("assays_in"), F.count_if("admitted").alias("assays_out"))
     return known.crossJoin(rows).select("*", share("activities_out", "activities_in").alias("activity_share"), share("structures_out", "structures_in").alias("structure_share"), share("assays_out", "assays_in").alias("assay_share"))  # one row each
 
 
-def composition(assays: DataFrame, activity: DataFrame, curated: DataFrame) -> DataFrame:
-    """Per label: assays and records with their own shares, curated records and their median label."""
+def composition(assays: DataFrame, activity: DataFrame, curated: DataFrame, approximate: bool = False) -> DataFrame:
+    """Per label: assays and records with their own shares, curated records and their median label.
+
+    The curated rows are read once: counted by label and value, from which both numbers follow. approximate: medians by KLL sketches (the value at a rank within
+    `sketches.RANK_ERROR` of the half), one a label and task, with no sort of values."""
     labels = assays.select("assay_id", "label")
     by_assay = labels.groupBy("label").agg(F.count("*").alias("assays"))
     by_record = activity.join(labels, "assay_id", "left").groupBy(F.coalesce("label", F.lit("unknown")).alias("label")).agg(F.count("*").alias("records"))
-    labelled = curated.join(labels, "assay_id", "left").select(F.coalesce("label", F.lit("unknown")).alias("label"), "value_label")
-    made = labelled.groupBy("label").agg(F.count("*").alias("curated")).join(quantiles(labelled, "value_label", {"median": 0.5}, ("label",)), "label", "left")
+    labelled = curated.join(labels, "assay_id", "left").select(F.coalesce("label", F.lit("unknown")).alias("label"), F.col("value_label").cast("double").alias("value_label"))
+    if approximate:
+        made = labelled.groupBy("label").agg(F.count("*").alias("curated"), sketched_quantile(F.kll_sketch_agg_double("value_label", F.lit(KLL_K)), 0.5).alias("median"))
+    else:
+        counts = kept(labelled.groupBy("label", "value_label").agg(F.count("*").alias("n")), "values")
+        medians = quantiles(counts, "value_label", {"median": 0.5}, ("label",), "n")
+        made = kept(counts.groupBy("label").agg(F.sum("n").alias("curated")).join(medians, "label", "left"), "made")
+        drop_kept(counts, medians)
     both = by_assay.join(by_record, "label", "full").join(made, "label", "left").fillna(0, ["assays", "records", "curated"])
     totals = both.agg(F.sum("assays").alias("ta"), F.sum("records").alias("tr"))
     return both.crossJoin(F.broadcast(totals)).select(

@@ -63,13 +63,14 @@ def smallest(df: DataFrame, n: int, order: list[str]) -> DataFrame:
     return df.where(before | same)
 
 
-def quantiles(df: DataFrame, column: str, wanted: dict[str, float], by: tuple[str, ...] = ()) -> DataFrame:
+def quantiles(df: DataFrame, column: str, wanted: dict[str, float], by: tuple[str, ...] = (), times: str | None = None) -> DataFrame:
     """Exact quantiles of a column's values that are not null (linear between the two next to the place), one row a group; none for a group without values.
+    times: a column that says how often a row counts.
 
     Values are counted first, in one pass over df, so repeated ones cost nothing, and only the values around the wanted places are gathered.
     """
     keys = list(by)
-    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
+    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).cast("double").alias("_v")).agg((F.sum(times) if times else F.count("*")).alias("_n"))
     upto, tables = _running(counts, keys, [F.col("_v").asc()], {"_n": "_upto"})
     total = tables[0].groupBy(*keys).agg(F.sum("_n").alias("_total"))
     same = F.lit(True)

@@ -39,18 +39,37 @@ def box_qa(points: DataFrame, boxes: DataFrame, entry: str = "entry", group: str
     return out.select(entry, "box_group", "n_own", "inside", "n_others_inside", F.array_join(why, ",").alias("failed"))
 
 
+#: Points that share a cell and a part of it when they meet centers.
+CROWD = 4096
+
+
 def within_radius(points: DataFrame, centers: DataFrame, radius: float, by: str = "entry") -> DataFrame:
-    """Points with a center of the same entry within the radius. A grid of the radius' width: each center goes to the 27 cells around it, and a point only meets
-    the centers of its own cell."""
-    cell = [F.floor(F.col(a) / radius).alias(f"g{a}") for a in AXES]
+    """Points with a center of the same entry within the radius.
+
+    Cells of half the radius' width come first: their diagonal is shorter than the radius, so points that share one with a center need no distance, and a crowd of points around a
+    crowd of centers is one row of cells. The other points meet the centers of the 27 cells of the radius' width around them; a cell with many such points is split into parts, each
+    with the cell's centers."""
+    fine = lambda d: [F.floor(F.col(a) / (radius / 2)).alias(f"h{a}") for a in d]
+    own = points.select("*", *fine(AXES), *[F.floor(F.col(a) / radius).alias(f"g{a}") for a in AXES])
+    cells = [by, *[f"h{a}" for a in AXES]]
+    centered = centers.select(by, *fine(AXES)).distinct()
+    inside_ = own.join(centered, cells, "left_semi")
+    rest = own.join(centered, cells, "left_anti")
+    keys = [by, *[f"g{a}" for a in AXES]]
+    crowds = rest.groupBy(*keys).agg(F.ceil(F.count("*") / CROWD).cast("int").alias("parts"))
     around = centers.select(F.col(by), *[F.col(a).alias(f"o{a}") for a in AXES])
     for a in AXES:
-        own = F.floor(F.col(f"o{a}") / radius)
-        around = around.withColumn(f"g{a}", F.explode(F.array(own - 1, own, own + 1)))
+        at = F.floor(F.col(f"o{a}") / radius)
+        around = around.withColumn(f"g{a}", F.explode(F.array(at - 1, at, at + 1)))
+    around = around.join(crowds, keys).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = rest.join(crowds, keys).withColumn("part", F.pmod(F.xxhash64(*AXES), "parts").cast("int"))
     near = sum(((F.col(a) - F.col(f"o{a}")) ** 2 for a in AXES), F.lit(0.0)) <= radius * radius
-    p, c = points.select("*", *cell).alias("p"), around.alias("c")
-    keys = (F.col(f"p.{by}") == F.col(f"c.{by}")) & (F.col("p.gx") == F.col("c.gx")) & (F.col("p.gy") == F.col("c.gy")) & (F.col("p.gz") == F.col("c.gz"))
-    return p.join(c, keys & near, "left_semi").drop("gx", "gy", "gz")
+    p, c = dealt.alias("p"), around.alias("c")
+    same = F.col("p.part") == F.col("c.part")
+    for k in keys:
+        same = same & (F.col(f"p.{k}") == F.col(f"c.{k}"))
+    found = p.join(c, same & near, "left_semi")
+    return inside_.select(*points.columns).unionByName(found.select(*points.columns))
 
 
 def preference(df: DataFrame, similarity: str = "similarity", quality: str = "resolution", row: str = "id") -> DataFrame:

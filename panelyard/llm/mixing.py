@@ -6,8 +6,8 @@ source within less than one block of w * slots at every slot. Weights are whole
 they become whole slots of a frame as long as their sum (in lowest terms), after which the schedule repeats.
 
 Sources of equal weight are one class that is scheduled as a whole and whose slots go round its members; a member's window
-holds the class's window, so the bound stays. The frame is thus planned over the distinct weights of the `weights` parameter,
-however many sources the data has, and is a table that slots are looked up in.
+holds the class's window, so the bound stays. The class with most slots has those that the others leave, so a plan holds the blocks
+of the other classes in one frame only: it follows from the weights given as a parameter, however many sources the data has.
 
 When a source runs out, its later slots stay empty and the others close ranks. The clock of releases and deadlines is
 the slot number with the empty ones counted, so the bound holds against that clock to the end; until the first source runs
@@ -31,7 +31,7 @@ from functools import reduce
 from math import gcd, lcm
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,25 +59,63 @@ def exact(weight: object) -> Fraction:
     return out
 
 
-def frame(slots: list[int], horizon: int | None = None) -> list[np.ndarray]:
-    """For each class, which has so many slots of a frame of sum(slots): the slots of its blocks, by earliest deadline first (ties by number).
+def frame(slots: list[int], horizon: int | None = None) -> tuple[int, list[np.ndarray | None]]:
+    """(the class with most slots, for each other class the slots of its blocks): earliest deadline first (ties by number) in a frame of sum(slots) slots. The
+    class with most slots has all that are left, so what is planned are the blocks of the others, whatever the number of its sources.
 
     horizon: slots that are planned at most, for a frame that is longer than the data.
     """
     length = sum(slots)
     horizon = length if horizon is None else min(length, horizon)
+    most = max(range(len(slots)), key=lambda c: (slots[c], -c))
+    n = slots[most]
     got: list[list[int]] = [[] for _ in slots]
-    ready = [(-(-length // n), c) for c, n in enumerate(slots)]
-    heapq.heapify(ready)
-    waiting: list[tuple[int, int]] = []
-    for t in range(horizon):
+    ready: list[tuple[int, int]] = []
+    waiting = [(0, c) for c in range(len(slots)) if c != most]
+    heapq.heapify(waiting)
+    t = placed = 0
+    while t < horizon and (ready or waiting):
         while waiting and waiting[0][0] <= t:
             c = heapq.heappop(waiting)[1]
             heapq.heappush(ready, (-(-(len(got[c]) + 1) * length // slots[c]), c))
-        c = heapq.heappop(ready)[1]
-        got[c].append(t)
-        heapq.heappush(waiting, (len(got[c]) * length // slots[c], c))
-    return [np.array(x, np.int64) for x in got]
+        if not ready:
+            t = waiting[0][0]
+            continue
+        due, c = ready[0]
+        # the first slot that the large class's next block isn't released for, and the first at which its deadline comes after this one
+        early = -(-(placed + 1) * n // (length - n)) + placed
+        later = ((due if most > c else due + 1) - 1) * n // length + placed
+        at = max(t, min(early, later))
+        if waiting and waiting[0][0] <= at:
+            t = max(t, waiting[0][0])
+            continue
+        if at >= horizon:
+            break
+        heapq.heappop(ready)
+        got[c].append(at)
+        placed, t = placed + 1, at + 1
+        if len(got[c]) < slots[c]:
+            heapq.heappush(waiting, (len(got[c]) * length // slots[c], c))
+    return most, [None if c == most else np.array(x, np.int64) for c, x in enumerate(got)]
+
+
+class Frame:
+    """Slots of blocks, from what `frame` plans."""
+
+    def __init__(self, slots: list[int], horizon: int | None = None):
+        self.slots, self.length = np.array(slots, np.int64), sum(slots)
+        self.most, self.planned = frame(slots, horizon)
+        taken = np.sort(np.concatenate([np.zeros(0, np.int64), *[x for x in self.planned if x is not None]]))
+        self.free = taken - np.arange(len(taken))  # free slots before each taken one
+
+    def slot(self, c: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """The slot of each class's block (from 0); frames follow one another."""
+        nth, rest = np.divmod(block, self.slots[c])
+        out = nth * self.length
+        for k, known in enumerate(self.planned):
+            own = c == k
+            out[own] += rest[own] + np.searchsorted(self.free, rest[own], "right") if known is None else known[rest[own]]
+        return out
 
 
 @dataclass(frozen=True)
@@ -102,7 +140,7 @@ def slotted(docs: DataFrame, targets: Targets, source: str, block: int, names: t
     """docs with three columns: block number inside the source (from 0), slot of the block, place inside the block."""
     spark = docs.sparkSession
     distinct = targets.distinct
-    h, rank, s, c, q, j, m, k, cc, r, t = fresh([*docs.columns, *names], *"_h _rank _s _c _q _j _m _k _cc _r _t".split())
+    h, rank, s, c, q, m, k, cc = fresh([*docs.columns, *names], *"_h _rank _s _c _q _m _k _cc".split())
     inside, sizes = ranked(docs.withColumn(h, F.xxhash64(*docs.columns)), [source], [F.col(h)], rank)
     # the parameter's entries and nothing of the data
     known = spark.createDataFrame([(name, distinct.index(w)) for name, w in targets.given.items()], f"{cc} string, {c} int")
@@ -116,19 +154,19 @@ def slotted(docs: DataFrame, targets: Targets, source: str, block: int, names: t
     slots = [a * x["m"] for a, x in zip(whole_weights([distinct[x[c]] for x in classes]), classes)]
     length = sum(slots)
     blocks = [-(-x["most"] // block) * x["m"] for x in classes]
-    planned = frame(slots, max(-(-b * length // n) + 1 for b, n in zip(blocks, slots)))
-    plan = spark.createDataFrame([(x[c], x["m"], n) for x, n in zip(classes, slots)], f"{cc} int, {m} bigint, {k} bigint")
-    members = members.join(F.broadcast(plan), F.col(c) == F.col(cc)).select(s, c, q, m, k)  # a row per distinct weight
-    flat = pa.table({cc: np.repeat(np.array([x[c] for x in classes], np.int32), [len(x) for x in planned]),
-                     r: np.concatenate([np.arange(len(x)) for x in planned]), t: np.concatenate(planned)})
-    slot_of = written(spark.createDataFrame(flat), "frame")
-    # the joins follow the tables' sizes: small ones are broadcast below Spark's own threshold, others are shuffled
+    plan = Frame(slots, max(-(-b * length // n) + 1 for b, n in zip(blocks, slots)))
+    sizes_ = spark.createDataFrame([(x[c], i, x["m"]) for i, x in enumerate(classes)], f"{cc} int, {k} int, {m} bigint")
+    members = members.join(F.broadcast(sizes_), F.col(c) == F.col(cc)).select(s, q, m, k)  # a row per distinct weight
+    # the join follows the tables' sizes: small ones are broadcast below Spark's own threshold, others are shuffled
     both = inside.join(written(members, "members"), inside[source].eqNullSafe(F.col(s)))
     both = both.withColumn(names[0], F.expr(f"`{rank}` div {block}"))
-    both = both.withColumn(j, F.col(names[0]) * F.col(m) + F.col(q))
-    both = both.join(slot_of, (F.col(c) == F.col(cc)) & (F.pmod(j, k) == F.col(r)))
-    slot = F.expr(f"`{j}` div `{k}`") * F.lit(length) + F.col(t)
-    return both.select(*[inside[x] for x in docs.columns], names[0], slot.alias(names[1]), F.pmod(rank, F.lit(block)).alias(names[2]))
+
+    @F.pandas_udf("bigint")
+    def slot(c: pd.Series, j: pd.Series) -> pd.Series:
+        return pd.Series(plan.slot(c.to_numpy(), j.to_numpy()))
+
+    at = slot(F.col(k), F.col(names[0]) * F.col(m) + F.col(q))
+    return both.select(*[inside[x] for x in docs.columns], names[0], at.alias(names[1]), F.pmod(rank, F.lit(block)).alias(names[2]))
 
 
 def mix(docs: DataFrame, weights: Mapping[str | None, object] | None = None, others: object | None = None, doc_id: str = "doc_id",

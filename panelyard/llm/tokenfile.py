@@ -42,8 +42,8 @@ from .common import shared_dir, table, written
 
 END_ID = 2
 SKIP_INDEX, SKIP_SEEK, SEEK_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
-#: Bytes of text per file, about.
-FILE_CHARS = 1 << 26
+#: Bytes of text per file, about; most tasks that write or read files, of which each has a run of neighbouring ones.
+FILE_CHARS, TASKS = 1 << 26, 20_000
 #: Chunks that a worker remembers, of so many characters at most (about 200 MB at worst), in two halves; the older half goes when the newer is full.
 CACHE, REMEMBERED = 600_000, 48
 _SPACE = re.compile(r"\s")
@@ -338,7 +338,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
         if out:
             yield closed()
 
-    dealt = frames(docs, ends, path, end_id).repartitionById(len(ends) + 1, "number")
+    # neighbouring files share a task where there are many
+    tasks = min(TASKS, len(ends) + 1)
+    dealt = frames(docs, ends, path, end_id).repartitionById(tasks, F.expr(f"CAST(CAST(number AS BIGINT) * {tasks} div {len(ends) + 1} AS INT)"))
     ready = dealt.sortWithinPartitions("number", F.col("doc_id").asc_nulls_first(), "checksum")
     return written(ready.mapInArrow(write, "number bigint, path string, n_docs bigint, n_tokens bigint, bytes bigint"), "manifest")
 
@@ -365,8 +367,9 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
 
     # a row per file, so one window over all of them is small
     before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start")
-    files = manifest.select("path", before)
-    spread = files.repartition(max(1, manifest.count()), "path")
+    last = manifest.agg(F.max("number")).first()[0] or 0
+    tasks = min(TASKS, last + 1)
+    spread = manifest.select("path", "number", before).repartitionById(tasks, F.expr(f"CAST(number * {tasks} div {last + 1} AS INT)")).sortWithinPartitions("number").select("path", "start")
     return spread.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 

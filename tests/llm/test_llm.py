@@ -79,6 +79,17 @@ def test_token_files_of_null_and_repeated_ids(spark, tmp_path):
     assert Counter((r["doc_id"], r["ids_crc32"]) for r in got) == want
 
 
+def test_token_files_share_tasks(spark, tmp_path, monkeypatch):
+    """More files than tasks: each task writes and reads a run of neighbouring files."""
+    monkeypatch.setattr(tokenfile, "TASKS", 3)
+    texts = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(40)]
+    manifest = tokenfile.write_tokens(docs_of(spark, texts), f"file://{tmp_path}/tokens", file_chars=1500)
+    rows = tokenfile.read_tokens(manifest, f"file://{tmp_path}/tokens")
+    got = sorted(rows.collect(), key=lambda r: r["start"])
+    assert manifest.count() > 8 and rows.rdd.getNumPartitions() <= 3 and [r["doc_id"] for r in got] == list(range(40))
+    assert [r["start"] for r in got] == [sum(x["n_tokens"] for x in got[:i]) for i in range(40)]
+
+
 def test_token_file_reads_one_document_and_finds_damage(tmp_path):
     import pyarrow.fs as pafs
     import xxhash
@@ -597,10 +608,33 @@ def test_quality_plan_is_native(spark, sf):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 40), min_size=1, max_size=7))
 def test_blocks_stay_in_their_windows(slots):
-    got, n = mixing.frame(slots), sum(slots)
-    assert sorted(t for x in got for t in x) == list(range(n))
+    plan, n = mixing.Frame(slots), sum(slots)
+    got = [plan.slot(np.full(k, c), np.arange(k)) for c, k in enumerate(slots)]
+    assert sorted(t for x in got for t in x.tolist()) == list(range(n))
     for k, x in zip(slots, got):
         assert all(i * n // k <= t < -(-(i + 1) * n // k) for i, t in enumerate(x.tolist()))
+    assert [x.tolist() for x in got] == _edf(slots)
+    far = plan.slot(np.zeros(3, np.int64), slots[0] * 7 + np.arange(3) % slots[0])
+    assert far.tolist() == [7 * n + int(got[0][i % slots[0]]) for i in range(3)]
+
+
+def _edf(slots):
+    """Earliest deadline first, slot by slot."""
+    out, n = [[] for _ in slots], sum(slots)
+    for t in range(n):
+        ready = [(-(-(len(x) + 1) * n // k), c) for c, (k, x) in enumerate(zip(slots, out)) if len(x) * n // k <= t and len(x) < k]
+        out[min(ready)[1]].append(t)
+    return out
+
+
+def test_a_plan_does_not_grow_with_the_sources():
+    import time
+
+    began = time.process_time()
+    plan = mixing.Frame([8, 4, 1, 2 * 10**7])
+    assert time.process_time() - began < 1 and plan.planned[plan.most] is None and sum(len(x) for x in plan.planned if x is not None) == 13
+    few = plan.slot(np.full(5, 3), np.array([0, 1, 10**7, 2 * 10**7 - 1, 2 * 10**7]))
+    assert few[-1] > few[-2] and all(int(b) * plan.length // (2 * 10**7) <= t < -(-(int(b) + 1) * plan.length // (2 * 10**7)) for b, t in zip([0, 1, 10**7, 2 * 10**7 - 1, 2 * 10**7], few.tolist()))
 
 
 def _deviations(got, target):

@@ -3,17 +3,20 @@
 A paragraph is a run of lines that hold words; it is read in overlapping windows of several lengths (WINDOWS words), across its line
 ends, and so is each of its lines. Features are hashed one- and two-word n-grams of lower-cased letters and digits. A multinomial
 logistic regression (MLlib) learns the families from variants of the fixed notices below, and the class `unknown` from fixed
-sentences and from the sample. Every third notice of a family is left out of a first fit, and the temperature of the
+sentences (notices of other licences among them) and from the sample. Every third notice of a family, or the last of fewer, is left out of a first fit, and the temperature of the
 probabilities is fitted on those, so it is calibrated on wordings that were not trained on; the second fit has them all.
 
 Every window of every text is scored; nothing is left out beforehand. A window is of a family if the calibrated
 probability is at least CONFIDENCE and a notice of the family confirms it: a share of at least OVERLAP of the two-word
-n-grams of the shorter of the two, and no notice of another family shares more with the window. Of findings that overlap
+n-grams of the shorter of the two, where an n-gram that several families have counts for its part only; what a short notice shares must hold a word of the family's name
+if the notice does (a word of its titles that neither other licences nor plain sentences have, such as `mozilla` or `gnu`); and no notice of another family or of another licence shares more with the window. Of findings that overlap
 in their shared words the one that shares most counts, so a whole notice goes before a line of it.
 
 The sample is the bound of the fit: at most SAMPLE_DOCS documents (smallest hashes of id and text), of each the SAMPLE_LINES lines
 with the smallest hashes, and of all their windows the NEGATIVES with the smallest hashes that no notice would confirm.
 
+A single word is no notice (`GPLv3` alone on a line isn't found; `License: GPLv3` is). Other licences have no family, whether listed here or not.
+
 Defined cases: null, empty and blank texts have no paragraphs. Repeated rows give equal rows. Extra columns are not read. If the
 documents give no lines, the fixed sentences alone are the unknown class.
 """
@@ -41,6 +44,8 @@ ITERATIONS = 25
 SAMPLE_DOCS, SAMPLE_LINES, NEGATIVES = 400, 200, 2000
 CONFIDENCE = 0.6
 OVERLAP = 0.6
+#: Most n-grams of a notice that must share a word of its family's name.
+SHORT = 16
 UNKNOWN = "unknown"
 
 # Notices of licence families, in the wording that their publishers give or that files commonly carry.
@@ -56,13 +61,14 @@ NOTICES = {
     ],
     "GPL": [
         "This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-3.0-or-later", "Released under the GNU GPL v3.",
+        "Licensed under GPL.", "Licensed under GPLv3.", "Licensed under the GPLv2.", "Released under the GPL v3.", "Released under the GPLv3.", "License: GPLv3",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
     "LGPL": [
-        "Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "Licensed under the GNU Lesser General Public License, version 3.", "SPDX-License-Identifier: LGPL-2.1-or-later", "Licensed under LGPLv3.", "Licensed under the LGPL.",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
     ],
-    "AGPL": ["Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation"],
+    "AGPL": ["Licensed under the GNU Affero General Public License, version 3.", "SPDX-License-Identifier: AGPL-3.0-only", "Licensed under AGPLv3.", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation"],
     "BSD": [
         "Released under the BSD 3-Clause License.", "Licensed under the BSD 2-Clause License.", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", "SPDX-License-Identifier: BSD-3-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
@@ -93,6 +99,12 @@ TITLES = {
     "Unlicense": ["The Unlicense"],
     "Proprietary": ["All rights reserved", "Proprietary and confidential"],
 }
+# Notices of other licences, which are of the unknown class.
+OTHERS = [
+    "Eclipse Public License - v 2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "Licensed under the EUPL, Version 1.2.",
+    "European Union Public Licence", "Distributed under the Boost Software License, Version 1.0.", "This file is released under the zlib license.", "Do What The Fuck You Want To Public License, Version 2",
+    "Common Development and Distribution License (CDDL) Version 1.0", "Licensed under the Artistic License 2.0.", "Python Software Foundation License Version 2", "SPDX-License-Identifier: EPL-2.0", "SPDX-License-Identifier: Zlib",
+]
 # Sentences with words of licences that grant nothing.
 PLAIN = [
     "The driver must show a valid license at the gate.", "Her fishing license was renewed in the spring.", "He read the public notice and the terms of the offer.", "The version of the story that was released last year is longer.",
@@ -152,7 +164,21 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float
+    #: (family, n-grams, their first and second words) of each notice; other licences have the number of the unknown class.
     notices: list[tuple[int, np.ndarray]]
+    named: list[np.ndarray]
+
+    def __post_init__(self) -> None:
+        grams = np.concatenate([np.zeros(0, U64), *[np.unique(np.concatenate([g for f, g in self.notices if f == k])) for k in {f for f, _ in self.notices}]])
+        self.grams, count = np.unique(grams, return_counts=True)
+        self.shares = 1.0 / count
+
+    def weight(self, grams: np.ndarray) -> np.ndarray:
+        """For each n-gram one over the families that have it; 1 if none has."""
+        if not len(self.grams):
+            return np.ones(len(grams))
+        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        return np.where(self.grams[at] == grams, self.shares[at], 1.0)
 
     def probabilities(self, words: np.ndarray, pairs: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Calibrated class probabilities of windows [first, last) of words, by running sums of their features' weights."""
@@ -168,12 +194,14 @@ class Model:
     def confirmed(self, pairs: np.ndarray, family: int) -> np.ndarray | None:
         """Positions of the n-grams that the family's closest notice shares with a window; None if none confirms it."""
         own = np.unique(pairs[pairs != 0])
-        best, shared, other = None, 0, 0
+        whole = self.weight(own).sum()
+        best, shared, other = None, 0.0, 0.0
         for f, grams in self.notices:
-            common = len(np.intersect1d(own, grams, assume_unique=True))
+            both = np.intersect1d(own, grams, assume_unique=True)
+            common = self.weight(both).sum()
             if f != family:
                 other = max(other, common)
-            elif common > shared and common >= OVERLAP * min(len(own), len(grams)):
+            elif common > shared and common >= OVERLAP * min(whole, self.weight(grams).sum()) and (len(grams) > SHORT or not np.isin(grams, self.named[f]).any() or np.isin(both, self.named[f]).any()):
                 best, shared = grams, common
         return np.flatnonzero(np.isin(pairs, best)) if best is not None and shared >= other else None
 
@@ -233,18 +261,31 @@ def _sample(docs: DataFrame, doc_id: str, text: str, sample_docs: int, sample_li
     return [x for r in rows for x in r["lines"] if x.strip()]
 
 
+def _templates(sentences: list[tuple[int, str, bool]], unknown: int) -> tuple[list[tuple[int, np.ndarray]], list[np.ndarray]]:
+    """(family and n-grams of each notice, for each family the n-grams of its notices that hold a word of its name)."""
+    notices, grams_of, words_of = [], [[] for _ in range(unknown)], [set() for _ in range(unknown)]
+    for k, sentence in [*[(k, s) for k, s, _ in sentences], *[(unknown, s) for s in OTHERS]]:
+        words, pairs, _ = line_grams(pa.array([sentence]))
+        notices.append((k, np.unique(pairs[pairs != 0])))
+        if k < unknown:
+            grams_of[k] += [(g, {int(x), int(y)}) for g, x, y in zip(pairs.tolist(), words.tolist(), words[1:].tolist()) if g]
+    for k, name in enumerate(NOTICES):
+        short = [s for f, s, _ in sentences if f == k and len(s.split()) <= 6]
+        for title in [*TITLES[name], *short]:
+            words_of[k] |= {int(x) for x in line_grams(pa.array([title]))[0]}
+    common = {int(x) for s in [*PLAIN, *OTHERS] for x in line_grams(pa.array([s]))[0]}
+    return notices, [np.unique(np.array([g for g, both in grams_of[k] if both & (words_of[k] - common)], U64)) for k in range(unknown)]
+
+
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAMPLE_LINES, negatives: int = NEGATIVES, seed: int = 1) -> Model:
     """The classifier, its temperature and the notices. Reads at most sample_docs x sample_lines lines to the driver and learns from at most `negatives` windows of them."""
     spark = docs.sparkSession
     families = [*NOTICES, UNKNOWN]
     unknown = len(NOTICES)
     rng = np.random.default_rng(seed)
-    sentences = [(k, s, i % 3 == 2) for k, name in enumerate(NOTICES) for i, s in enumerate(NOTICES[name])] + [(k, s, False) for k, name in enumerate(NOTICES) for s in TITLES[name]]
-    notices = []
-    for k, sentence, _ in sentences:
-        _, pairs, _ = line_grams(pa.array([sentence]))
-        notices.append((k, np.unique(pairs[pairs != 0])))
-    model = Model(families, np.zeros((unknown + 1, DIMENSIONS)), np.zeros(unknown + 1), 1.0, notices)
+    last = lambda name, i: i % 3 == 2 or (len(NOTICES[name]) < 3 and i == len(NOTICES[name]) - 1)
+    sentences = [(k, s, last(name, i)) for k, name in enumerate(NOTICES) for i, s in enumerate(NOTICES[name])] + [(k, s, False) for k, name in enumerate(NOTICES) for s in TITLES[name]]
+    model = Model(families, np.zeros((unknown + 1, DIMENSIONS)), np.zeros(unknown + 1), 1.0, *_templates(sentences, unknown))
     found = set()
     for line in sorted(set(_sample(docs, doc_id, text, sample_docs, sample_lines))):
         w = line.split()
@@ -256,6 +297,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs
             plain.append(piece)
     examples = [(v, k, held) for k, s, held in sentences for v in _variants(s, rng, 23, plain)]
     examples += [(v, unknown, i % 3 == 2) for s in PLAIN for i, v in enumerate(_variants(s, rng, 11, []))]
+    examples += [(v, unknown, i % 3 == 2) for s in OTHERS for i, v in enumerate(_variants(s, rng, 23, plain))]
     examples += [(v, unknown, i % 3 == 2) for i, v in enumerate(plain)]
     feats = [_features(*line_grams(pa.array([v]))[:2]) for v, _, _ in examples]
 

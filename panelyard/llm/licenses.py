@@ -172,6 +172,16 @@ class Model:
         grams = np.concatenate([np.zeros(0, U64), *[np.unique(np.concatenate([g for f, g in self.notices if f == k])) for k in {f for f, _ in self.notices}]])
         self.grams, count = np.unique(grams, return_counts=True)
         self.shares = 1.0 / count
+        # all notices' n-grams in one sorted list, so that a window is compared with all of them at once
+        self.family_of = np.array([f for f, _ in self.notices], np.int64)
+        sizes = np.array([len(g) for _, g in self.notices], np.int64)
+        flat = np.concatenate([np.zeros(0, U64), *[g for _, g in self.notices]])
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.argsort(flat, kind="stable")
+        naming = np.concatenate([np.zeros(0, bool), *[np.isin(g, self.named[f]) if f < len(self.named) else np.zeros(len(g), bool) for f, g in self.notices]])
+        self.flat, self.of, self.naming = flat[order], of[order], naming[order]
+        self.totals = np.bincount(of, self.weight(flat), len(sizes))
+        self.free = (sizes > SHORT) | (np.bincount(of, naming, len(sizes)) == 0)  # notices that need no word of the name
 
     def weight(self, grams: np.ndarray) -> np.ndarray:
         """For each n-gram one over the families that have it; 1 if none has."""
@@ -191,19 +201,30 @@ class Model:
         e = np.exp(z)
         return e / e.sum(axis=1, keepdims=True)
 
+    def compared(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(weight of the n-grams that a window shares with each notice, whether the notice confirms its family)."""
+        own = np.unique(pairs[pairs != 0])
+        low, high = np.searchsorted(self.flat, own, "left"), np.searchsorted(self.flat, own, "right")
+        n = high - low
+        at = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        weight = self.weight(own)
+        common = np.bincount(self.of[at], np.repeat(weight, n), len(self.notices))
+        named = np.bincount(self.of[at], self.naming[at], len(self.notices)) > 0
+        return common, (common > 0) & (common >= OVERLAP * np.minimum(weight.sum(), self.totals) - 1e-9) & (self.free | named)
+
     def confirmed(self, pairs: np.ndarray, family: int) -> np.ndarray | None:
         """Positions of the n-grams that the family's closest notice shares with a window; None if none confirms it."""
-        own = np.unique(pairs[pairs != 0])
-        whole = self.weight(own).sum()
-        best, shared, other = None, 0.0, 0.0
-        for f, grams in self.notices:
-            both = np.intersect1d(own, grams, assume_unique=True)
-            common = self.weight(both).sum()
-            if f != family:
-                other = max(other, common)
-            elif common > shared and common >= OVERLAP * min(whole, self.weight(grams).sum()) and (len(grams) > SHORT or not np.isin(grams, self.named[f]).any() or np.isin(both, self.named[f]).any()):
-                best, shared = grams, common
-        return np.flatnonzero(np.isin(pairs, best)) if best is not None and shared >= other else None
+        common, good = self.compared(pairs)
+        mine = self.family_of == family
+        shared = np.where(mine & good, common, -1.0)
+        best = int(shared.argmax())
+        return np.flatnonzero(np.isin(pairs, self.notices[best][1])) if shared[best] > 0 and shared[best] >= common[~mine].max(initial=0.0) - 1e-9 else None
+
+    def confirms_any(self, pairs: np.ndarray) -> bool:
+        """Whether some family is confirmed by a window: the closest notice of all confirms its own."""
+        common, good = self.compared(pairs)
+        closest = common >= common.max(initial=0.0) - 1e-9
+        return bool((closest & good & (self.family_of < len(self.named))).any())
 
     def find(self, words: np.ndarray, pairs: np.ndarray, first: np.ndarray, last: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(first and last shared word, family, shared n-grams) of confirmed windows that do not overlap, in text order."""
@@ -293,7 +314,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_docs
     plain = []
     for piece in sorted(found, key=lambda x: (hash_of(x), x)):
         _, pairs, _ = line_grams(pa.array([piece]))
-        if len(plain) < negatives and all(model.confirmed(pairs, k) is None for k in range(unknown)):
+        if len(plain) < negatives and not model.confirms_any(pairs):
             plain.append(piece)
     examples = [(v, k, held) for k, s, held in sentences for v in _variants(s, rng, 23, plain)]
     examples += [(v, unknown, i % 3 == 2) for s in PLAIN for i, v in enumerate(_variants(s, rng, 11, []))]

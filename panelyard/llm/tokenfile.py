@@ -11,7 +11,7 @@ A plain zstandard reader reads such a file as one stream; `TokenFile` reads only
 
 Ids and text lengths alone are sorted first; where FILE_CHARS have run up, a file ends, so the driver holds one id per file.
 Tasks then encode and compress where the texts are and look the file's number up, and only compressed frames are
-shuffled, each file to a task of its own. A file is named for its attempt, and the manifest of the tasks that ended names
+shuffled, neighbouring files to one of at most TASKS tasks. A file is named for its attempt, and the manifest of the tasks that ended names
 the files that count, so a lost executor leaves at most files that nobody reads.
 
 Defined cases: null texts are encoded as empty (one end id). Null doc_ids come first. Repeated rows stay; those of an id (or of no

@@ -13,11 +13,37 @@ from pyspark.sql.window import Window
 from panelyard.operators.bitindex import DIGITS, best_matches
 
 
+#: Characters of a text that are taken apart at a time.
+PIECE = 4096
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def text_bits(text: Column, n_bits: int = 2048, width: int = 3) -> Column:
-    """On-bit positions of a text: hashes of its character n-grams, folded to n_bits. Null for null."""
-    last = F.length(text) - width + 1
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.pmod(F.xxhash64(F.substring(text, i, F.lit(width))), F.lit(n_bits)).cast("int"))
-    return F.when(text.isNotNull(), F.sort_array(F.array_distinct(grams)))
+    """On-bit positions of a text: hashes of its character n-grams, folded to n_bits. Null for null.
+
+    A text is cut into pieces and those into characters, so the cost is linear in its length (a `substring` for each n-gram reads the text from its start each time)
+    and only one piece's characters are held at a time."""
+    size = max(PIECE, width)
+    bit = lambda gram: F.pmod(F.xxhash64(gram), F.lit(n_bits)).cast("int")
+    none = F.array().cast("array<int>")
+
+    def bits(chars: Column) -> Column:
+        gram = lambda i: bit(F.concat(*[F.get(chars, i + k) for k in range(width)]))
+        return F.when(F.size(chars) < width, none).otherwise(F.transform(F.sequence(F.lit(0), F.size(chars) - width), gram))
+
+    def piece(pieces: Column, k: Column) -> Column:
+        """A piece with the first characters of the next."""
+        return F.concat(F.get(pieces, k), F.substring(F.coalesce(F.get(pieces, k + 1), F.lit("")), 1, width - 1)) if width > 1 else F.get(pieces, k)
+
+    def every(pieces: Column) -> Column:
+        return F.aggregate(F.sequence(F.lit(0), F.size(pieces) - 1), none, lambda seen, k: F.array_distinct(F.concat(seen, _let(F.split(piece(pieces, k), ""), bits))))
+
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    return F.when(F.length(text) < width, F.array(bit(text))).when(text.isNotNull(), F.sort_array(_let(cut, every)))
 
 
 def threshold_bits(vector: str, cut: float) -> Column:

@@ -105,3 +105,19 @@ def test_approximate_join_finds_most_pairs_and_no_others(spark):
     exact = {(x["q"], x["r"]): x["similarity"] for x in N.threshold_matches(df, df, "id", "id", 0.6).collect()}
     near = {(x["q"], x["r"]): x["similarity"] for x in N.near_matches(df, df, "id", "id", 0.6).collect()}
     assert near.items() <= exact.items() and len(exact) > 1500 and len(near) >= 0.95 * len(exact)
+
+
+def test_text_bits_of_whole_texts_at_a_linear_cost(spark):
+    import time
+
+    text = lambda i: F.substring("text", i, F.lit(3))
+    rows = ["", "a", "ab", "abc", "\U0001f600\u00e9b\n\U0001f600x", "\ufeffabcd", None] + [(f"{n}\n\U0001f600\u00e9" * n)[:n] for n in (4095, 4096, 4097, 4098, 4099, 8192, 8193, 9000)]
+    df = spark.createDataFrame(list(enumerate(rows)), "id int, text string")
+    plain = F.transform(F.sequence(F.lit(1), F.greatest(F.length("text") - 2, F.lit(1))), lambda i: F.pmod(F.xxhash64(text(i)), F.lit(2048)).cast("int"))
+    got = df.select("id", N.text_bits(F.col("text")).alias("got"), F.when(F.col("text").isNotNull(), F.sort_array(F.array_distinct(plain))).alias("want")).collect()
+    assert all(r["got"] == r["want"] for r in got) and len(got) == len(rows)
+    assert [r[0] for r in df.where("id = 4").select(F.size(N.text_bits(F.col("text"), width=1))).collect()] == [5]
+    long = spark.range(1).select(F.expr("array_join(transform(sequence(1, 400000), i -> CAST(i AS STRING)), ' ')").alias("text"))
+    start = time.time()
+    assert 900 < long.select(F.size(N.text_bits(F.col("text")))).first()[0] <= 2048
+    assert time.time() - start < 60  # 2.7 million characters: a substring for each would read 3.6 million MB

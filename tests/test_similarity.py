@@ -121,3 +121,27 @@ def test_text_bits_of_whole_texts_at_a_linear_cost(spark):
     start = time.time()
     assert 900 < long.select(F.size(N.text_bits(F.col("text")))).first()[0] <= 2048
     assert time.time() - start < 60  # 2.7 million characters: a substring for each would read 3.6 million MB
+
+
+@pytest.mark.parametrize("case", ["common", "rare", "open", "names"])
+def test_pairs_by_brute_force_without_a_join_by_bits(spark, case, monkeypatch):
+    rng = random.Random(case)
+    space, most = {"common": (40, 20), "rare": (4000, 40), "open": (4000, 40), "names": (300, 280)}[case]
+    monkeypatch.setattr(bitindex, "TILE", 16)
+    monkeypatch.setattr(bitindex, "AT_A_TIME", 7)
+    if case == "open":
+        monkeypatch.setattr(bitindex, "_PACKED", 100)
+        monkeypatch.setattr(bitindex, "_AT_ONCE", 50)
+    pool = [rng.sample(range(space), most) for _ in range(5)]
+    bits = lambda: rng.sample(rng.choice(pool), rng.randrange(most)) + rng.sample(range(space), 2)
+    name = (lambda i: f"N{i}") if case == "names" else (lambda i: i)
+    sets = {side: [(name(i), bits()) for i in range(30)] + [(name(60), []), (name(61), None), (name(62), [3, 3, 5])] for side in "lr"}
+    left, right = (spark.createDataFrame(sets[s], f"id {'string' if case == 'names' else 'bigint'}, bits array<int>").repartition(3) for s in "lr")
+    want = {(i, j): round(len({*a} & {*b}) / len({*a} | {*b}), 9) for i, a in sets["l"] for j, b in sets["r"] if a and b and {*a} & {*b}}
+    got = N.pair_similarities(left, right, "id", "id")
+    assert {(x["q"], x["r"]): x["similarity"] for x in got.collect()} == want and got.count() == len(want)
+    # what a plan shuffles are rows, not pairs of bits: no join is in it
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    for t in (0.25, 0.666666667):
+        found = N.threshold_matches(left, right, "id", "id", t).collect()
+        assert {(x["q"], x["r"]): x["similarity"] for x in found} == {k: s for k, s in want.items() if s >= t} and len(found) == len({(x["q"], x["r"]) for x in found})

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelyard.sources.shared import kept
+
 
 def metric_diff(a: DataFrame, b: DataFrame, rel_tol: float = 1e-9, path: str = "path", value: str = "value", flag: str | None = None, text: str | None = None, by: tuple[str, ...] = (),
                 ignored: tuple[str, ...] = (), ranks: tuple[str, ...] = (), rank_tol: float = 0.0, absolute: bool = False) -> DataFrame:
@@ -41,13 +43,13 @@ def leaves(records: DataFrame, column: str = "record", by: tuple[str, ...] = ())
     """(by, path, value, flag, text) of nested records: numbers, booleans and texts in a column each, nulls in none. column: JSON texts, or structs, maps and arrays of any depth.
 
     Paths are names joined by dots with the places of arrays, as in `pairs[0].support.reasons[1]`. Empty objects and arrays have no leaves. Records are unfolded level by level
-    by Spark's own VARIANT generator, all records at once; there are as many steps as levels."""
+    by Spark's own VARIANT generator, all records at once; there are as many steps as levels. Each level is a table in the shared folder, so the records are computed once."""
     kind = records.schema[column].dataType
     made = F.parse_json(column) if isinstance(kind, T.StringType) else F.to_variant_object(column)
     now = records.where(F.col(column).isNotNull()).select(*by, F.lit("").alias("path"), made.alias("v"))
     out = None
     while True:
-        typed = now.withColumn("kind", F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0))
+        typed = kept(now.withColumn("kind", F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0)), "level")
         done = typed.where("kind NOT IN ('OBJECT', 'ARRAY')").select(
             *by, "path", F.when(~F.col("kind").isin("STRING", "BOOLEAN", "VOID"), F.try_variant_get("v", "$", "double")).alias("value"),
             F.when(F.col("kind") == "BOOLEAN", F.try_variant_get("v", "$", "boolean")).alias("flag"), F.when(F.col("kind") == "STRING", F.try_variant_get("v", "$", "string")).alias("text"),

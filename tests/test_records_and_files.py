@@ -150,3 +150,21 @@ def test_fits_are_accurate_on_held_out_rows(spark):
     arms = {"direct": ("direct", lambda y: ML.forest(y, 20, 6)), "subtract": ("subtract", lambda y: ML.forest(y, 20, 6))}
     got = {(r["pair"], r["arm"]): r for r in M.regression(ML.delta_arms(rows, arms, by="pair"), "pair", "arm").collect()}
     assert len(got) == 4 and all(r["n"] == 450 and r["r2"] > 0.95 for r in got.values())
+
+
+def test_records_are_computed_once_and_customers_are_not_broadcast(spark, sf):
+    from panelyard.plans import queries2
+
+    plan = queries2._nation_records(spark, sf, False)._jdf.queryExecution().optimizedPlan().toString()
+    join = next(i for i, line in enumerate(plan.splitlines()) if "Join LeftOuter" in line)
+    assert any("Aggregate [c_nationkey" in line for line in plan.splitlines()[join:])
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    records = spark.createDataFrame([('{"a": {"b": [1, {"c": true}]}, "d": "x"}',)], "record string").mapInArrow(counted, "record string")
+    got = {(r["path"], r["value"], r["flag"], r["text"]) for r in R.leaves(records).collect()}
+    assert got == {("a.b[0]", 1.0, None, None), ("a.b[1].c", None, True, None), ("d", None, None, "x")} and runs.value == 1

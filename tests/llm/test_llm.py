@@ -347,6 +347,45 @@ def test_passage_of_fragments_that_others_hold_first(spark):
         assert {i for i, r in got.items() if r["n_passages"]} == {4, 5} and got[4]["spans"] == f"20:{20 + n}" and got[5]["partners"] == [4]
 
 
+def test_all_texts_with_a_passage_are_linked(spark, monkeypatch):
+    """Each pair of twelve texts is listed; where keys are frequent, the links of a text tell which others have the same words."""
+    rng = random.Random(26)
+    rnd = lambda n: [rng.choice(WORDS) for _ in range(n)]
+    p = rnd(70)
+    texts = [" ".join(rnd(20 + i) + p + rnd(30)) for i in range(12)]
+    got = {r["doc_id"]: r for r in passages.repeated_passages(docs_of(spark, texts)).collect()}
+    assert all(got[i]["partners"] == list(range(i)) and got[i]["spans"] == f"{20 + i}:{90 + i}" for i in range(12))
+    monkeypatch.setattr(passages, "FEW", 4)
+    texts += [" ".join(rnd(5) + p[10:65] + rnd(30)) for _ in range(3)]
+    got = {r["doc_id"]: r for r in passages.repeated_passages(docs_of(spark, texts)).collect()}
+    assert all(f"{20 + i}:{90 + i}=0@20:90" in got[i]["links"].split(",") for i in range(1, 12)) and all("5:60=0@30:85" in got[i]["links"].split(",") for i in range(12, 15))
+
+
+@pytest.mark.parametrize("n", [50, 56, 61, 80])
+def test_passage_of_frequent_fragments(spark, n):
+    """Fragments of one word less than a passage stand first and before each text that holds all of it, in more texts than are compared in all pairs."""
+    rng = random.Random(36 + n)
+    rnd = lambda n: [rng.choice(WORDS) for _ in range(n)]
+    p = rnd(n)
+    part = lambda: " ".join(rnd(20) + p[(i := rng.randint(0, n - 49)) : i + 49] + rnd(20))
+    some = lambda: [part() for _ in range(passages.FEW + 8)]
+    texts = [*some(), " ".join(rnd(20) + p + rnd(40)), *some(), " ".join(rnd(50) + p), *some(), " ".join(p + rnd(9))]
+    a, b, c = (k * (passages.FEW + 9) - 1 for k in (1, 2, 3))
+    got = {r["doc_id"]: r for r in passages.repeated_passages(docs_of(spark, texts)).collect()}
+    assert a in got[b]["partners"] and a in got[c]["partners"] and got[b]["n_passages"] and got[c]["spans"].startswith("0:")
+
+
+def test_pieces_cover_all_windows():
+    """Two texts with MIN_WORDS equal words share a piece in them, wherever they lie."""
+    rng = random.Random(46)
+    rnd = lambda n: [rng.choice(WORDS) for _ in range(n)]
+    for _ in range(60):
+        p = rnd(passages.MIN_WORDS)
+        t = [rnd(rng.randint(0, 80)) + p + rnd(rng.randint(0, 80)) for _ in range(2)]
+        h, doc, at = passages.pieces(*passages._words(pa.array([" ".join(x) for x in t])))
+        assert {int(x) for x in h[doc == 0]} & {int(x) for x in h[doc == 1]} and all(at[doc == k].max() <= len(t[k]) - passages.PIECE for k in (0, 1))
+
+
 @pytest.mark.parametrize("identity, least", [(0.9, 0.97), (0.85, 0.95), (0.8, 0.9)])
 def test_fuzzy_passages_with_spread_edits(spark, identity, least):
     rng = random.Random(17)

@@ -152,6 +152,26 @@ def test_fits_are_accurate_on_held_out_rows(spark):
     assert len(got) == 4 and all(r["n"] == 450 and r["r2"] > 0.95 for r in got.values())
 
 
+def test_fits_by_sums_are_those_of_the_rows(spark):
+    """Sums of each bag against the rows' own; accuracy on held-out rows as of MLlib on rows; rows without a label are predicted, those without a number are not."""
+    rows = spark.range(2000).select("id", (F.col("id") % 5).alias("fold"), (F.col("id") % 31 / 31.0).alias("x"), (F.col("id") % 17 / 17.0).alias("z"), (F.col("id") % 5 == 0).alias("test"))
+    y = 5 + 3 * F.col("x") + F.when(F.col("z") > 0.5, 2.0).otherwise(0.0) + F.col("id") % 3 / 10
+    rows = rows.withColumns({"y": F.when(F.col("id") != 7, y), "grp": F.col("fold"), "x": F.when(F.col("id") != 11, F.col("x"))})
+    sums = ML.bag_sums(rows, ("x", "z"), "fold", 3, lambda h: (h < 2**31).cast("int"))
+    h = F.pmod(F.xxhash64("id", F.lit(1), F.lit(0)), F.lit(1 << 32))
+    plain = rows.where((h < 2**31) & F.col("y").isNotNull() & F.col("x").isNotNull()).groupBy("fold", "x", "z").agg(F.count("*").alias("n"), F.sum("y").alias("t"), F.sum(F.col("y") ** 2).alias("u"))
+    both = sums.where("bag = 1 AND w > 0").join(plain, ["fold", "x", "z"]).collect()
+    assert len(both) == plain.count() == sums.where("bag = 1 AND w > 0").count() and all(r["w"] == r["n"] and abs(r["s"] - r["t"]) < 1e-9 and abs(r["q"] - r["u"]) < 1e-9 for r in both)
+    oof = ML.forest_by_sums(rows, ("x", "z"), trees=6, depth=6).cache()
+    assert oof.count() == 1999 and M.regression(oof).first()["r2"] > 0.9 and oof.where("id = 7 AND y IS NULL AND p IS NOT NULL").count() == 1
+    said = ML.boosted_by_sums(rows, ("x", "z"), rounds=12, depth=4, step=0.3)
+    row = ML.with_features(rows.where("y IS NOT NULL"), numbers=("x", "z"))
+    there = M.regression(ML.boosted(rounds=12, depth=4, step=0.3).fit(row.where("NOT test")).transform(row.where("test"))).first()
+    assert said.count() == 400 and abs(M.regression(said).first()["r2"] - there["r2"]) < 0.02 and there["r2"] > 0.9
+    again = {r["id"]: r["p"] for r in ML.boosted_by_sums(rows.repartition(7, "z"), ("x", "z"), rounds=12, depth=4, step=0.3).collect()}
+    assert all(abs(again[r["id"]] - r["p"]) < 1e-6 for r in said.collect())
+
+
 def test_records_are_computed_once_and_customers_are_not_broadcast(spark, sf):
     from panelyard.plans import queries2
 

@@ -386,6 +386,61 @@ def test_pieces_cover_all_windows():
         assert {int(x) for x in h[doc == 0]} & {int(x) for x in h[doc == 1]} and all(at[doc == k].max() <= len(t[k]) - passages.PIECE for k in (0, 1))
 
 
+def blocks_of(texts, run):
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, min(i + 7, len(texts)))), pa.array(texts[i : i + 7])], ["doc_id", "text"]) for i in range(0, len(texts), 7)]
+    return pa.Table.from_batches(list(run(iter(batches))))
+
+
+def test_keys_move_as_a_row_a_bucket():
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(WORDS) for _ in range(rng.randint(0, 300))) for _ in range(21)]
+    keys = blocks_of(texts, passages._keyed(3))
+    keys = keys.filter(pa.compute.invert(keys["met"])).combine_chunks()
+    words, ends = passages._words(pa.array(texts))
+    h, doc, at = passages.seeds(words, ends)
+    more, of = passages.runs(h, doc)
+    want = Counter(zip([*h.tolist(), *more.tolist()], [*doc.tolist(), *of.tolist()], [*passages.contexts(words, ends, doc, at).tolist(), *[0] * len(more)]))
+    columns = [passages.unpacked(keys[c].chunk(0), np.uint64)[0].tolist() for c in "hxc"]
+    assert len(keys) <= 3 * 8 < len(h) and Counter(zip(*columns)) == want
+    found = list(passages.whole_buckets(iter(keys.sort_by("bucket").combine_chunks().to_batches(max_chunksize=2)), "hxc"))
+    assert Counter(row for cols in found for row in zip(*(c.tolist() for c in cols))) == want
+    assert len({b for cols in found for b in set((cols[0] >> np.uint64(61)).tolist())}) == sum(len(set((cols[0] >> np.uint64(61)).tolist())) for cols in found)
+
+
+def test_texts_meet_the_first_with_their_window(monkeypatch):
+    """And the one before, whether or not a window is frequent; only texts that share a window meet."""
+    rng = random.Random(6)
+    seen = {(int(passages._words(pa.array([w]))[0][0]) >> 32) % 1023: w for w in WORDS}  # words that the ten bits around a piece tell apart
+    rnd = lambda n: rng.choices(list(seen.values()), k=n)
+    parts = [rnd(rng.randint(45, 70)) for _ in range(6)]
+    texts = [rnd(rng.randint(0, 20)) + rng.choice(parts) + rng.choice([rnd(3), []]) + rng.choice(parts) + rnd(rng.randint(0, 20)) for _ in range(60)]
+    pieces = blocks_of([" ".join(t) for t in texts], passages._pieced(2)).sort_by("bucket").combine_chunks()
+    got = []
+    for hot, hold in ((10**6, 10**6), (3, 10**6), (3, 5)):
+        monkeypatch.setattr(passages, "HOT", hot)
+        monkeypatch.setattr(passages, "HOLD", hold)
+        wide = pa.Table.from_batches(list(passages._widened(iter(pieces.to_batches(max_chunksize=3))))).sort_by([("h", "ascending"), ("x", "ascending")]).combine_chunks()
+        assert pa.compute.all(wide["met"]).as_py() == (hot > 60)
+        pairs = pa.Table.from_batches(list(passages._led(iter(wide.to_batches(max_chunksize=11)))))
+        got.append(set(zip(pairs["x"].to_pylist(), pairs["y"].to_pylist())))
+    holds = {}
+    for i, t in enumerate(texts):
+        for w in {tuple(t[k : k + passages.MIN_WORDS]) for k in range(len(t) - passages.MIN_WORDS + 1)}:
+            holds.setdefault(w, []).append(i)
+    want = {(x, y) for v in holds.values() for k, x in enumerate(v[1:]) for y in (v[0], v[k])}
+    share = {(x, y) for v in holds.values() for x in v for y in v if x > y}
+    assert want and want <= got[0] <= share and got[0] == got[1] == got[2]
+
+
+def test_word_hashes_are_sums_over_bytes():
+    from panelyard.llm import common
+
+    words = [bytes(97 + (i * k) % 26 for i in range(k)).decode() for k in (1, 2, 15, 16, 17, 18, 40, 300)] + ["\u00e9" * 9]
+    want = [sum(int(common._BYTE[b]) * pow(common._PRIME, k, 1 << 64) for k, b in enumerate(w.encode())) & (2**64 - 1) for w in words]
+    got, ends = common.hashed_words(pa.array([" ".join(words[:5]), None, " \n" + "\t".join(words[5:])]))
+    assert got.tolist() == common.mix(np.array(want, np.uint64)).tolist() and ends.tolist() == [5, 5, 9]
+
+
 @pytest.mark.parametrize("identity, least", [(0.9, 0.97), (0.85, 0.95), (0.8, 0.9)])
 def test_fuzzy_passages_with_spread_edits(spark, identity, least):
     rng = random.Random(17)

@@ -31,6 +31,19 @@ _ROWS, _GROUPS = 1024, 256
 _STEPS = np.array([np.ceil(x * 2.0**32) for x in POISSON]).astype(np.uint32)
 
 
+def poisson_bags(hashes: np.ndarray, bags: int) -> np.ndarray:
+    """rows x bags weights 0 to 7, as `poisson_weight` of 32 bits mixed from a row's hash and the bag's number."""
+    z = hashes[:, None] + np.arange(1, bags + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        z ^= z >> np.uint64(shift)
+        z *= np.uint64(factor)
+    u = (z >> np.uint64(32)).astype(np.uint32)
+    out = np.zeros(u.shape, np.uint8)
+    for step in _STEPS:
+        out += u >= step
+    return out
+
+
 def poisson_weights(ids: np.ndarray, replicates: int) -> np.ndarray:
     """replicates x rows weights 0 to 7: `poisson_weight` of `hash_bucket(id * 1009 + replicate * 7919, 17)`, many at a time."""
     x = ids[None, :] * 1009 + (np.arange(replicates) * 7919)[:, None] if (ids < 0).any() else None

@@ -7,6 +7,7 @@ import random
 import subprocess
 import sys
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,6 +173,53 @@ def test_fits_by_sums_are_those_of_the_rows(spark):
     assert all(abs(again[r["id"]] - r["p"]) < 1e-6 for r in said.collect())
 
 
+def _cart(cells, depth):
+    """{cell: mean of its leaf} of the tree of one feature that tries all thresholds; cells: (x, weight, weighted label)."""
+    mean = lambda c: sum(s for _, _, s in c) / sum(w for _, w, _ in c)
+    seen = sorted({x for x, w, _ in cells if w})
+    best, at = 1e-12, None
+    for lo, hi in zip(seen, seen[1:]) if depth else ():
+        parts = [[c for c in cells if c[1] and (c[0] > lo) == over] for over in (False, True)]
+        gain = sum(mean(p) ** 2 * sum(w for _, w, _ in p) for p in parts) - mean(cells) ** 2 * sum(w for _, w, _ in cells)
+        if gain > best:
+            best, at = gain, (lo + hi) / 2
+    if at is None:
+        return {x: mean(cells) for x, _, _ in cells}
+    return _cart([c for c in cells if c[0] <= at], depth - 1) | _cart([c for c in cells if c[0] > at], depth - 1)
+
+
+def test_the_registered_forest_is_whole_and_its_trees_are_those_of_all_thresholds(spark, sf, monkeypatch):
+    """400 trees without a bound on their depth but MLlib's; each tree against one grown in Python from the rows and their weights."""
+    import inspect
+
+    from panelyard.operators.support import poisson_bags
+    from panelyard.plans import queries2, registry
+
+    called, made = [], ML.forest_by_sums
+    monkeypatch.setattr(queries2.ML, "forest_by_sums", lambda *a, **k: called.append(inspect.signature(made).bind(*a, **k)) or a[0].withColumn("p", F.lit(0.0)))
+    registry.QUERIES["rf_fit"](spark, sf)
+    called[0].apply_defaults()
+    assert called[0].arguments["trees"] >= 400 and called[0].arguments["depth"] >= 30 and called[0].arguments["folds"] == 5
+    rows = spark.range(400).select("id", (F.col("id") % 3).alias("fold"), (F.col("id") * F.col("id") % 23).alias("x"), F.lit(0).alias("grp"), (F.col("id") * 7919 % 101 / 7.0).alias("y"), F.xxhash64("id", F.lit(5)).alias("h"))
+    rows = rows.withColumn("x", F.when(F.col("id") == 399, 99).otherwise(F.col("x"))).cache()  # a value of one fold only
+    for depth in (2, 30):
+        got = {r["id"]: r["p"] for r in made(rows, ("x",), folds=3, trees=4, depth=depth, seed=5).collect()}
+        plain = rows.collect()
+        weights = poisson_bags(np.array([r["h"] for r in plain]).view(np.uint64), 4)
+        want = {r["id"]: 0.0 for r in plain}
+        for k in range(3):
+            for t in range(4):
+                cells = {r["x"]: (r["x"], 0.0, 0.0) for r in plain}
+                for r, w in zip(plain, weights[:, t].tolist()):
+                    if r["fold"] != k:
+                        x, n, s = cells[r["x"]]
+                        cells[x] = x, n + w, s + w * r["y"]
+                leaf = _cart(list(cells.values()), depth)
+                for r in plain:
+                    want[r["id"]] += leaf[r["x"]] / 4 if r["fold"] == k else 0.0
+        assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 for i in want)
+
+
 def test_records_are_computed_once_and_customers_are_not_broadcast(spark, sf):
     from panelyard.plans import queries2
 

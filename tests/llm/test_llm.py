@@ -375,6 +375,35 @@ def test_passage_of_frequent_fragments(spark, n):
     assert a in got[b]["partners"] and a in got[c]["partners"] and got[b]["n_passages"] and got[c]["spans"].startswith("0:")
 
 
+@pytest.mark.parametrize("gap", [1, 2, 3])
+def test_passage_of_two_frequent_lines_with_edits_between(spark, gap):
+    """Two lines are in more texts than are compared in all pairs, and the first of those have one of them only; two texts have both, with different words between, so no 50 equal words."""
+    rng = random.Random(56 + gap)
+    rnd = lambda n: [f"v{rng.randrange(10**7)}" for _ in range(n)]
+    p, q = rnd(34), rnd(34)
+    texts = [rnd(20) + (p, q)[i % 2] + rnd(20) for i in range(2 * passages.FEW + 16)]
+    n = len(texts)
+    texts += [rnd(30) + p + rnd(gap) + q + rnd(9), rnd(30) + p + rnd(20), rnd(20) + q + rnd(30), rnd(12) + p + rnd(gap) + q + rnd(25)]
+    got = {r["doc_id"]: r for r in passages.repeated_passages(docs_of(spark, [" ".join(t) for t in texts])).collect()}
+    assert got[n + 3]["partners"] == [n] and got[n + 3]["spans"] == f"12:{80 + gap}" and got[n]["spans"] == f"30:{98 + gap}"
+    assert {i for i, r in got.items() if r["n_passages"]} == {n, n + 3}
+
+
+def test_rows_of_a_frequent_key_meet_where_they_are_alike():
+    """Each pair that alone agrees on a side of a frequent key, however often all others have it; pairs stay in proportion to the rows."""
+    rng = np.random.default_rng(7)
+    counts = []
+    for n in (400, 1600):
+        c = rng.integers(1, 2**63, n).astype(np.uint64) & np.uint64(0xFFFFFFFFFFFF0000)
+        c = c & np.uint64(0xFFFFFFFF00000000) | np.uint64(0x76543210)  # all rows are alike on one side
+        c[n // 2 + 9] = c[n // 3] & np.uint64(0xFFFF000000000000) | c[n // 2 + 9] & np.uint64(0x0000FFFFFFFFFFFF)
+        px, py = passages.meetings(np.full(n, 5, np.uint64), np.arange(n), c)
+        pairs = set(zip(px.tolist(), py.tolist()))
+        assert (n // 2 + 9, n // 3) in pairs and {(i, 0) for i in range(1, n)} <= pairs
+        counts.append(len(pairs))
+    assert counts[1] < 5 * counts[0]
+
+
 def test_pieces_cover_all_windows():
     """Two texts with MIN_WORDS equal words share a piece in them, wherever they lie."""
     rng = random.Random(46)

@@ -3,6 +3,7 @@
 import random
 import uuid
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,3 +160,14 @@ def test_nearest_of_few_bits_meets_in_tiles_and_visits_no_buckets(spark, monkeyp
     assert tiles.count() > 1 and tiles.agg(F.sum("every")).first()[0] == len([1 for x in q if x[1]]) * len([1 for x in r if x[1]])
     got = {(x["q"], x["k"]): (x["r"], x["similarity"]) for x in bitindex.best_matches(qd, rd, 3).collect()}
     assert got == {(i, k): found[0] for i, b, g in q for k in range(3) if (found := _ranked(b, g, r, k, True))}
+
+
+def test_pairs_are_rounded_in_their_tile_as_sql_rounds(spark):
+    """Quotients of bit counts, ties of the last digit included, and no work by the row after the tile."""
+    both, every = (v.ravel() for v in np.meshgrid(np.arange(1, 70), np.array([70, 97, 128, 512, 1024, 2048, 5120])))
+    df = spark.createDataFrame(list(zip(both.tolist(), every.tolist())), "b bigint, e bigint").select("b", "e", F.round(F.col("b") / F.col("e"), bitindex.DIGITS).alias("s"))
+    want = {(r["b"], r["e"]): r["s"] for r in df.collect()}
+    assert {(b, e): s for b, e, s in zip(both.tolist(), every.tolist(), bitindex._rounded(both, every).tolist())} == want and want[1, 1024] == 0.000976563
+    rows = spark.createDataFrame([(i, [i % 5, 7, 9 + i % 3]) for i in range(20)], "id bigint, bits array<int>")
+    found = N.pair_similarities(rows, rows, "id", "id")
+    assert found.count() == 400 and "round(" not in found._jdf.queryExecution().optimizedPlan().toString()
